@@ -93,7 +93,8 @@ def grid_sql(mapping: str, start, n: int = 1, step_days: int = 7, features=FEATU
     if user_filter:
         where.append(user_filter)
     where_sql = ("WHERE " + " AND ".join(where)) if where else ""
-    return f"""WITH {MAPPING_SQL[mapping]},
+    mapping_sql = MAPPING_SQL.get(mapping, mapping)
+    return f"""WITH {mapping_sql},
 {dates_cte(start, n, step_days)},
 a AS (
   SELECT g.feature_date, e.user_id,
