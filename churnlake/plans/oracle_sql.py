@@ -67,6 +67,9 @@ FEATURE_SQL = {
     "days_since_signup": "CAST(round(date_sub('second', u.signup_date, g.feature_date) / 86400.0) AS INTEGER)",
 }
 FEATURE_ORDER = tuple(FEATURE_SQL)
+# The same expressions without rounding, for frames that are aggregated further.
+FEATURE_SQL_RAW = dict(FEATURE_SQL, avg_sessions_7d="coalesce(a.s7, 0) / 7.0",
+                       total_spend_90d="CAST(coalesce(b.spend, 0.0) AS DOUBLE)")
 
 
 def dates_cte(start, n: int = 1, step_days: int = 7) -> str:
@@ -77,9 +80,13 @@ def dates_cte(start, n: int = 1, step_days: int = 7) -> str:
 
 def grid_sql(mapping: str, start, n: int = 1, step_days: int = 7, features=FEATURE_ORDER,
              with_label: bool = False, existing_only: bool = False, user_filter: str | None = None,
-             extra_ctes: str = "") -> str:
-    """CTE list ending in ``snap``: features (+ label) per user and date."""
-    cols = ",\n         ".join(f"{FEATURE_SQL[f]} AS {f}" for f in features)
+             extra_ctes: str = "", raw: bool = False, prefix: str = "", with_mapping: bool = True) -> str:
+    """CTE list ending in ``{prefix}snap``: features (+ label) per user and date.
+
+    ``prefix`` renames the grid CTEs so that two grids can share one query;
+    ``with_mapping=False`` leaves out the leading ``WITH <mapping>,``."""
+    exprs = FEATURE_SQL_RAW if raw else FEATURE_SQL
+    cols = ",\n         ".join(f"{exprs[f]} AS {f}" for f in features)
     if cols:
         cols = ",\n         " + cols
     label = ""
@@ -94,8 +101,8 @@ def grid_sql(mapping: str, start, n: int = 1, step_days: int = 7, features=FEATU
         where.append(user_filter)
     where_sql = ("WHERE " + " AND ".join(where)) if where else ""
     mapping_sql = MAPPING_SQL.get(mapping, mapping)
-    return f"""WITH {mapping_sql},
-{dates_cte(start, n, step_days)},
+    head = f"WITH {mapping_sql},\n" if with_mapping else ""
+    text = f"""{head}{dates_cte(start, n, step_days)},
 a AS (
   SELECT g.feature_date, e.user_id,
          count(DISTINCT e.session_id) FILTER (WHERE e.event_time >= g.feature_date - INTERVAL 7 DAY) AS s7,
@@ -128,6 +135,16 @@ snap AS (
   LEFT JOIN b ON b.user_id = u.user_id AND b.feature_date = g.feature_date
   {label_join}
   {where_sql})"""
+    if prefix:
+        for name in ("dates", "a", "l", "b", "lab", "snap"):
+            text = text.replace(f"\n{name} AS (", f"\n{prefix}{name} AS (")
+            if text.startswith(f"{name} AS ("):
+                text = f"{prefix}{text}"
+        text = (text.replace("FROM dates g", f"FROM {prefix}dates g").replace("CROSS JOIN dates g", f"CROSS JOIN {prefix}dates g")
+                .replace("LEFT JOIN a ON", f"LEFT JOIN {prefix}a a ON").replace("LEFT JOIN l ON", f"LEFT JOIN {prefix}l l ON")
+                .replace("LEFT JOIN b ON", f"LEFT JOIN {prefix}b b ON")
+                .replace("LEFT JOIN lab ON", f"LEFT JOIN {prefix}lab lab ON"))
+    return text
 
 
 def snapshot_sql(mapping: str, date, **kw) -> str:
@@ -138,3 +155,20 @@ def iso(d) -> str:
     if isinstance(d, (_dt.date, _dt.datetime)):
         return d.isoformat()[:10]
     return str(d)[:10]
+
+
+PREDICTIONS_CTE = """predictions AS (
+  SELECT CAST(event_id AS BIGINT) AS prediction_id, CAST(user_id AS BIGINT) AS user_id,
+         least(value / 500.0, 1.0) AS churn_probability,
+         CAST(CASE WHEN least(value / 500.0, 1.0) >= 0.1 THEN 1 ELSE 0 END AS INTEGER) AS predicted_label,
+         ts AS prediction_time,
+         CASE WHEN event_id % 2 = 0 THEN '1.0' ELSE '2.0' END AS model_version,
+         (event_id % 50) / 10.0 AS latency_ms, event_type <> 'error' AS from_cache, false AS is_monitored
+  FROM events)"""
+
+
+def long_sql(frame: str, features) -> str:
+    """Unpivot ``frame`` to (feature_name, value), dropping nulls / NaN."""
+    return "\n  UNION ALL ".join(
+        f"SELECT '{c}' AS feature_name, CAST({c} AS DOUBLE) AS value FROM {frame} "
+        f"WHERE {c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE))" for c in features)

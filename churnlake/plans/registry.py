@@ -17,12 +17,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def round_half_away(x: F.Column, digits: int) -> F.Column:
+    """round(x * 10^d) / 10^d with ties away from zero, in double arithmetic
+    (the same steps as DuckDB's ``round(DOUBLE, d)``, so both sides agree bit
+    for bit); NaN and infinities pass through."""
+    m = float(10 ** digits)
+    r = F.signum(x) * F.floor(F.abs(x) * F.lit(m) + F.lit(0.5)) / F.lit(m)
+    return F.when(x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), x).otherwise(r)
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
+    return df.select(*[round_half_away(F.col(f.name).cast("double"), digits).alias(f.name)
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
 
+def with_rounded_doubles(sqls: dict[str, str], schema_dir: str, digits: int = 6) -> dict[str, str]:
+    """Wrap each oracle query so that its DOUBLE columns are rounded like the
+    Spark side. Column types are found by binding the query with DuckDB against
+    the parquet files in ``schema_dir`` (no data is read)."""
+    import os
+
+    import duckdb
+
+    from churnlake.sources.tables import TEST_TABLES
+    if not os.path.isdir(schema_dir):
+        return dict(sqls)
+    con = duckdb.connect()
+    for t in TEST_TABLES:
+        path = f"{schema_dir}/{t}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    out = {}
+    for name, sql in sqls.items():
+        try:
+            desc = con.execute(f"DESCRIBE SELECT * FROM ({sql}) AS q").fetchall()
+        except Exception:  # noqa: BLE001 - leave the query as written
+            out[name] = sql
+            continue
+        dbl = [r[0] for r in desc if str(r[1]).upper() in ("DOUBLE", "FLOAT", "REAL")]
+        if not dbl:
+            out[name] = sql
+            continue
+        repl = ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in dbl)
+        out[name] = f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS q"
+    con.close()
+    return out
+
+
 def register(name: str, sql: str | None = None, round_digits: int | None = 6):
     def deco(fn: Callable[[SparkSession, str], DataFrame]):
         if name in QUERIES:
