@@ -210,7 +210,7 @@ def custom_aggregates(d: Domain, grid: Grid, specs: Sequence[FeatureSpec]) -> Da
 def feature_grid(d: Domain, grid: Grid, features: Sequence[str] = S.FEATURE_COLUMNS,
                  with_label: bool = False, existing_only: bool = False,
                  user_ids: DataFrame | None = None,
-                 custom: Sequence[FeatureSpec] = ()) -> DataFrame:
+                 custom: Sequence[FeatureSpec] = (), label_days: int = LABEL_WINDOW_DAYS) -> DataFrame:
     """Features (and optionally the label) for every user at every grid date.
 
     ``existing_only`` keeps only users who signed up before the date;
@@ -241,7 +241,7 @@ def feature_grid(d: Domain, grid: Grid, features: Sequence[str] = S.FEATURE_COLU
     if need & {"failed_payments_30d", "total_spend_90d", "refunds_30d"}:
         joined = joined.join(billing_aggregates(billing, grid), ["user_id", "k"], "left")
     if with_label:
-        joined = joined.join(label_flags(events, billing, grid), ["user_id", "k"], "left")
+        joined = joined.join(label_flags(events, billing, grid, label_days), ["user_id", "k"], "left")
     if custom:
         joined = joined.join(custom_aggregates(Domain(users, events, billing), grid, custom),
                              ["user_id", "k"], "left")

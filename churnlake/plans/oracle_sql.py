@@ -80,7 +80,8 @@ def dates_cte(start, n: int = 1, step_days: int = 7) -> str:
 
 def grid_sql(mapping: str, start, n: int = 1, step_days: int = 7, features=FEATURE_ORDER,
              with_label: bool = False, existing_only: bool = False, user_filter: str | None = None,
-             extra_ctes: str = "", raw: bool = False, prefix: str = "", with_mapping: bool = True) -> str:
+             extra_ctes: str = "", raw: bool = False, prefix: str = "", with_mapping: bool = True,
+             label_days: int = 30) -> str:
     """CTE list ending in ``{prefix}snap``: features (+ label) per user and date.
 
     ``prefix`` renames the grid CTEs so that two grids can share one query;
@@ -126,7 +127,7 @@ lab AS (
   SELECT DISTINCT g.feature_date, x.user_id FROM dates g JOIN (
       SELECT user_id, event_time FROM user_events
       UNION ALL SELECT user_id, event_time FROM billing_events WHERE status = 'successful') x
-    ON x.event_time >= g.feature_date AND x.event_time < g.feature_date + INTERVAL 30 DAY){extra_ctes},
+    ON x.event_time >= g.feature_date AND x.event_time < g.feature_date + INTERVAL {int(label_days)} DAY){extra_ctes},
 snap AS (
   SELECT u.user_id, g.feature_date{cols}{label}
   FROM users u CROSS JOIN dates g

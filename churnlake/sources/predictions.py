@@ -57,3 +57,59 @@ def prediction_log_with_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def training_baseline_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature rows the model was trained on: weekly snapshots, first half of January."""
     return FE.feature_grid(mapping_a(spark, sf_dir), FE.make_grid("2024-01-03", 3, 7))
+
+
+# --- A/B fixtures ---------------------------------------------------------------
+
+EXISTING_BEFORE = "2024-01-03"
+
+
+def _test_name(user_id: F.Column) -> F.Column:
+    return F.concat(F.lit("exp-"), (user_id % 3).cast("string"))
+
+
+def ab_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per experiment seen in the log: split 0.3 for exp-1 else 0.5;
+    exp-2 is completed (inactive), the others active."""
+    log = prediction_log(spark, sf_dir)
+    t = (log.select(_test_name(F.col("user_id")).alias("test_name"), "prediction_time")
+         .groupBy("test_name").agg(F.min("prediction_time").alias("start_date"),
+                                   F.max("prediction_time").alias("end_date")))
+    return t.select("test_name", F.lit("1.0").alias("control_version"), F.lit("2.0").alias("variant_version"),
+                    F.when(F.col("test_name") == "exp-1", 0.3).otherwise(0.5).alias("traffic_split"),
+                    "start_date", "end_date",
+                    (F.datediff(F.to_date("end_date"), F.to_date("start_date")) + 1).alias("duration_days"),
+                    F.when(F.col("test_name") == "exp-2", "completed").otherwise("active").alias("status"))
+
+
+def ab_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_id, test_name, first_seen): every user of the log, in its experiment."""
+    log = prediction_log(spark, sf_dir)
+    return (log.groupBy("user_id").agg(F.min("prediction_time").alias("first_seen"))
+            .select("user_id", _test_name(F.col("user_id")).alias("test_name"), "first_seen"))
+
+
+def ab_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assignments already stored: users first seen before 2024-01-03, assigned
+    by an earlier rule (variant iff bucket >= 5000)."""
+    from churnlake.operators.abtest import hash_bucket
+    c = ab_candidates(spark, sf_dir).filter(F.col("first_seen") < F.lit(EXISTING_BEFORE).cast("timestamp_ntz"))
+    return c.select("user_id", "test_name",
+                    F.when(hash_bucket(F.col("test_name"), F.col("user_id")) >= 5000, "variant")
+                    .otherwise("control").alias("variant"),
+                    F.lit("1.0").alias("control_version"), F.lit("2.0").alias("variant_version"),
+                    F.col("first_seen").alias("assigned_at"))
+
+
+def ab_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlake.operators.abtest import sticky_assign
+    return sticky_assign(ab_candidates(spark, sf_dir), ab_existing(spark, sf_dir), ab_tests(spark, sf_dir))
+
+
+def ab_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ab_test_results: every logged prediction under its user's variant."""
+    log = prediction_log(spark, sf_dir).select("user_id", "churn_probability", "latency_ms",
+                                                 F.col("prediction_time").alias("recorded_at"))
+    a = ab_assignments(spark, sf_dir).select("user_id", "test_name", "variant")
+    return log.join(a, "user_id", "inner").select("user_id", "test_name", "variant", "churn_probability",
+                                                  "latency_ms", "recorded_at")
