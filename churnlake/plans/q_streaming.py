@@ -1 +1,134 @@
-"""Registered queries."""
+"""Registered streaming queries. Each job lands its input (derived
+from the test tables) as day files in a fresh folder under the checkpoint root,
+runs the Structured Streaming query with ``availableNow`` and returns the sink
+as a batch DataFrame; the oracle is the batch result it must equal."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from churnlake.plans import oracle_sql as O
+from churnlake.plans.q_abtest import AB_SQL
+from churnlake.plans.q_monitoring import _LOG_ONLY
+from churnlake.plans.q_scoring import FIX_SQL, active_store
+from churnlake.plans.registry import register
+from churnlake.session import scratch_path
+from churnlake.sources.predictions import ab_existing, ab_tests, prediction_log
+from churnlake.sources.tables import mapping_a, read_table
+from churnlake.streaming import jobs as J
+
+LATE_BEFORE = "2024-01-16"
+DUP_FROM = "2024-01-20"
+
+
+def _landed_log(spark, sf_dir):
+    log = prediction_log(spark, sf_dir)
+    path = scratch_path(spark, "landing-log")
+    J.write_landing(log, path, F.to_date("prediction_time"))
+    return path, log.schema
+
+
+@register("stream_ingest", "WITH " + O.PREDICTIONS_CTE + "\nSELECT *, CAST(NULL AS VARCHAR) AS features FROM predictions")
+def q_stream_ingest(spark, sf_dir):
+    """File-source ingest of the prediction log into a parquet sink."""
+    path, schema = _landed_log(spark, sf_dir)
+    return J.ingest(spark, path, schema, scratch_path(spark, "ingest-sink"))
+
+
+@register("stream_hourly_metrics", _LOG_ONLY + "\nSELECT * FROM hourly")
+def q_stream_hourly_metrics(spark, sf_dir):
+    """Watermarked 1-hour windows per version, update mode into a changelog."""
+    path, schema = _landed_log(spark, sf_dir)
+    df, _ = J.streaming_hourly_metrics(spark, path, schema)
+    return df
+
+
+@register("stream_late_events", _LOG_ONLY + f"\nSELECT * FROM hourly WHERE metric_date >= DATE '{LATE_BEFORE}'")
+def q_stream_late_events(spark, sf_dir):
+    """Predictions from before 01-16 land after the rest: with a 1-day
+    watermark they are late and dropped; the metrics cover the on-time days."""
+    log = prediction_log(spark, sf_dir)
+    cut = F.lit(LATE_BEFORE).cast("timestamp_ntz")
+    path = scratch_path(spark, "landing-late")
+    J.write_landing(log.filter(F.col("prediction_time") >= cut), path, F.to_date("prediction_time"))
+    df, _ = J.streaming_hourly_metrics(spark, path, log.schema, watermark="1 day", max_files=None,
+                                       late=log.filter(F.col("prediction_time") < cut))
+    return df
+
+
+@register("stream_latest_vectors", FIX_SQL + "\nSELECT * FROM latest")
+def q_stream_latest_vectors(spark, sf_dir):
+    """Snapshot files arrive one per trigger; the latest table is merged per batch."""
+    store = active_store(spark, sf_dir)
+    path = scratch_path(spark, "landing-store")
+    J.write_landing(store, path, F.to_date("feature_date"))
+    return J.streaming_latest_vectors(spark, path, store.schema, max_files=1)
+
+
+@register("stream_ab_assign", AB_SQL + "\nSELECT user_id, test_name, variant, control_version, variant_version, source"
+          " FROM assign")
+def q_stream_ab_assign(spark, sf_dir):
+    """Sticky assignment applied to each micro-batch of the log."""
+    path, schema = _landed_log(spark, sf_dir)
+    existing = scratch_path(spark, "assign-existing")
+    ab_existing(spark, sf_dir).write.mode("overwrite").parquet(existing)
+    out = J.streaming_assign(spark, path, schema, ab_tests(spark, sf_dir), existing)
+    return out.select("user_id", "test_name", "variant", "control_version", "variant_version", "source")
+
+
+@register("stream_sliding_activity", O.grid_sql("A", "2024-01-02", 60, 1, features=("events_30d",))
+          + "\nSELECT user_id, feature_date, events_30d AS events FROM snap WHERE events_30d > 0")
+def q_stream_sliding_activity(spark, sf_dir):
+    """30-day windows sliding by a day per user; the window ending at d equals
+    the events_30d feature at d."""
+    ev = mapping_a(spark, sf_dir).user_events
+    path = scratch_path(spark, "landing-activity")
+    J.write_landing(ev, path, F.to_date("event_time"))
+    return J.streaming_sliding_counts(spark, path, ev.schema)
+
+
+def _activity(spark, sf_dir):
+    """Every raw event is activity for sessionisation (the fixture has no session id)."""
+    return read_table(spark, sf_dir, "events").select(F.col("user_id").cast("long").alias("user_id"),
+                                                       F.col("ts").alias("event_time"))
+
+
+_SESS_SQL = f"""WITH ev AS (SELECT CAST(user_id AS BIGINT) AS user_id, ts AS event_time FROM events),
+g AS (SELECT *, CASE WHEN lag(event_time) OVER w IS NULL
+                       OR date_sub('second', lag(event_time) OVER w, event_time) >= {J.SESSION_GAP_SECONDS}
+                     THEN 1 ELSE 0 END AS new FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY event_time)),
+n AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS session_number
+      FROM g),
+sess AS (SELECT user_id, CAST(session_number AS BIGINT) AS session_number, min(event_time) AS session_start,
+                max(event_time) + INTERVAL {J.SESSION_GAP_SECONDS} SECOND AS session_end, count(*) AS events
+         FROM n GROUP BY ALL)"""
+
+
+@register("sessionize", _SESS_SQL + "\nSELECT * FROM sess")
+def q_sessionize(spark, sf_dir):
+    """Batch sessions (gap >= 30 min starts a new one), split by hour chunks so
+    a heavy user is spread over many tasks, then stitched."""
+    return J.sessions_table(J.sessionize(_activity(spark, sf_dir)))
+
+
+@register("stream_sessions", _SESS_SQL + "\nSELECT user_id, session_start, session_end, events FROM sess")
+def q_stream_sessions(spark, sf_dir):
+    """session_window(30 minutes) on the stream, closed by a sentinel event."""
+    ev = _activity(spark, sf_dir)
+    path = scratch_path(spark, "landing-sessions")
+    J.write_landing(ev, path, F.to_date("event_time"))
+    return J.streaming_sessions(spark, path, ev.schema)
+
+
+@register("stream_dedupe", "WITH " + O.PREDICTIONS_CTE + "\nSELECT *, CAST(NULL AS VARCHAR) AS features FROM predictions")
+def q_stream_dedupe(spark, sf_dir):
+    """Days from 01-20 on are delivered twice; dropDuplicatesWithinWatermark on
+    prediction_id restores the log."""
+    log = prediction_log(spark, sf_dir)
+    path = scratch_path(spark, "landing-dupes")
+    J.write_landing(log, path, F.to_date("prediction_time"))
+    J.write_landing(log.filter(F.col("prediction_time") >= F.lit(DUP_FROM).cast("timestamp_ntz")),
+                    path, F.to_date("prediction_time"), name="copy")
+    return J.streaming_dedupe(spark, path, log.schema, ["prediction_id"])
+
+
