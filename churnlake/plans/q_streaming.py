@@ -95,7 +95,7 @@ def _activity(spark, sf_dir):
 
 _SESS_SQL = f"""WITH ev AS (SELECT CAST(user_id AS BIGINT) AS user_id, ts AS event_time FROM events),
 g AS (SELECT *, CASE WHEN lag(event_time) OVER w IS NULL
-                       OR date_sub('second', lag(event_time) OVER w, event_time) >= {J.SESSION_GAP_SECONDS}
+                       OR date_sub('microsecond', lag(event_time) OVER w, event_time) > {J.SESSION_GAP_SECONDS * 1000000}
                      THEN 1 ELSE 0 END AS new FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY event_time)),
 n AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS session_number
       FROM g),
@@ -106,7 +106,7 @@ sess AS (SELECT user_id, CAST(session_number AS BIGINT) AS session_number, min(e
 
 @register("sessionize", _SESS_SQL + "\nSELECT * FROM sess")
 def q_sessionize(spark, sf_dir):
-    """Batch sessions (gap >= 30 min starts a new one), split by hour chunks so
+    """Batch sessions (a gap over 30 min starts a new one), split by hour chunks so
     a heavy user is spread over many tasks, then stitched."""
     return J.sessions_table(J.sessionize(_activity(spark, sf_dir)))
 

@@ -24,19 +24,23 @@ from churnlake.operators import abtest as AB
 from churnlake.operators.scoring import latest_features
 from churnlake.session import scratch_path
 
-EPOCH = F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
+
 SESSION_GAP_SECONDS = 1800
 
 
 def to_instant(ntz: Column) -> Column:
     """timestamp_ntz (UTC wall clock) -> timestamp, zone independent."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", EPOCH, ntz))
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), ntz))
 
 
 def to_wallclock(instant: Column) -> Column:
     """timestamp -> timestamp_ntz (UTC wall clock), zone independent."""
     secs = (F.unix_micros(instant) / F.lit(1_000_000)).cast("decimal(18,6)")
-    return EPOCH + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+    return _epoch() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -232,7 +236,8 @@ def streaming_sliding_counts(spark: SparkSession, landing: str, schema: T.Struct
 
 def sessionize(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS, chunk: str = "HOUR") -> DataFrame:
     """Batch sessionization: a new session starts when the gap to the user's
-    previous event is >= ``gap_seconds``.
+    previous event exceeds ``gap_seconds`` (a session is a burst whose
+    consecutive events are at most 30 minutes apart, as ``session_window``).
 
     Skew-safe: the lag / running count runs per (user, time chunk), so one
     user's history is split over many tasks; chunk summaries (one row per active
@@ -241,15 +246,16 @@ def sessionize(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS, chunk:
     t = F.col("event_time")
     ev = events.select("user_id", "event_time", F.date_trunc(chunk, t).alias("chunk"))
     w1 = Window.partitionBy("user_id", "chunk").orderBy("event_time")
-    gap = F.timestamp_diff("SECOND", F.lag("event_time").over(w1), t)
-    ev = ev.withColumn("_new", F.when(gap.isNull() | (gap >= gap_seconds), 1).otherwise(0))
+    gap = F.timestamp_diff("MICROSECOND", F.lag("event_time").over(w1), t)
+    ev = ev.withColumn("_new", F.when(gap.isNull() | (gap > gap_seconds * 1_000_000), 1).otherwise(0))
     ev = ev.withColumn("local", F.sum("_new").over(w1.rowsBetween(Window.unboundedPreceding, 0)))
     summ = ev.groupBy("user_id", "chunk").agg(F.min("event_time").alias("first_t"), F.max("event_time").alias("last_t"),
                                               F.max("local").alias("n_local"))
     w2 = Window.partitionBy("user_id").orderBy("chunk")
     prev_last = F.lag("last_t").over(w2)
     summ = summ.withColumn("cont", F.when(prev_last.isNotNull()
-                                          & (F.timestamp_diff("SECOND", prev_last, F.col("first_t")) < gap_seconds), 1)
+                                          & (F.timestamp_diff("MICROSECOND", prev_last, F.col("first_t"))
+                                             <= gap_seconds * 1_000_000), 1)
                            .otherwise(0))
     started = F.col("n_local") - F.col("cont")
     summ = summ.withColumn("base", F.coalesce(F.sum(started).over(w2.rowsBetween(Window.unboundedPreceding, -1)),
