@@ -67,15 +67,19 @@ def welch(stats: DataFrame) -> DataFrame:
     cols = ["num_predictions", "avg_probability", "std_probability", "avg_latency", "min_latency", "max_latency"]
     cw = c.select("test_name", *[F.col(x).alias(f"control_{x}") for x in cols])
     vw = v.select("test_name", *[F.col(x).alias(f"variant_{x}") for x in cols])
-    n_var = stats.groupBy("test_name").agg(F.count(F.lit(1)).alias("n_variants"))
+    n_var = stats.groupBy("test_name").agg(F.expr("count(1) AS n_variants"))
     j = n_var.join(cw, "test_name", "left").join(vw, "test_name", "left")
-    m1, s1, n1 = F.col("control_avg_probability"), F.col("control_std_probability"), F.col("control_num_predictions")
-    m2, s2, n2 = F.col("variant_avg_probability"), F.col("variant_std_probability"), F.col("variant_num_predictions")
-    a, b = s1 * s1 / n1, s2 * s2 / n2
-    ok = (F.col("n_variants") >= 2) & s1.isNotNull() & s2.isNotNull() & (s1 != 0) & (s2 != 0) & (n1 >= 2) & (n2 >= 2)
-    t = F.when(ok, (m1 - m2) / F.sqrt(a + b)).otherwise(F.lit(0.0))
-    dof = F.when(ok, (a + b) * (a + b) / (a * a / (n1 - 1) + b * b / (n2 - 1)))
-    return j.withColumn("t_statistic", t).withColumn("dof", dof)
+    a = "(control_std_probability * control_std_probability / control_num_predictions)"
+    b = "(variant_std_probability * variant_std_probability / variant_num_predictions)"
+    ok = ("(n_variants >= 2 AND control_std_probability IS NOT NULL AND variant_std_probability IS NOT NULL "
+          "AND control_std_probability != 0 AND variant_std_probability != 0 "
+          "AND control_num_predictions >= 2 AND variant_num_predictions >= 2)")
+    return j.selectExpr(
+        "*",
+        f"CASE WHEN {ok} THEN (control_avg_probability - variant_avg_probability) / sqrt({a} + {b}) "
+        "ELSE 0.0D END AS t_statistic",
+        f"CASE WHEN {ok} THEN ({a} + {b}) * ({a} + {b}) / ({a} * {a} / (control_num_predictions - 1) "
+        f"+ {b} * {b} / (variant_num_predictions - 1)) END AS dof")
 
 
 def with_pvalue(w: DataFrame, exact: bool = True) -> DataFrame:

@@ -27,10 +27,10 @@ import datetime as _dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.functions.timefn import to_python_date, ts
+from churnlake.functions.timefn import to_python_date
 from churnlake.sources import schemas as S
 from churnlake.sources.tables import Domain
 
@@ -66,15 +66,15 @@ class Grid:
     def last(self) -> _dt.date:
         return self.start + _dt.timedelta(days=self.step_days * (self.n - 1))
 
-    def start_ts(self) -> Column:
-        return ts(self.start)
+    def start_sql(self) -> str:
+        return f"TIMESTAMP_NTZ'{self.start.isoformat()} 00:00:00'"
 
-    def date_of(self, k: Column) -> Column:
-        return ts(self.start) + F.make_dt_interval(k * F.lit(self.step_days))
+    def date_of_sql(self, k: str) -> str:
+        return f"{self.start_sql()} + make_dt_interval({k} * {self.step_days})"
 
-    def day(self, t: Column) -> Column:
+    def day_sql(self, t: str) -> str:
         """Calendar-day index of ``t`` relative to the grid start (can be negative)."""
-        return F.datediff(F.to_date(t), F.lit(self.start.isoformat()).cast("date"))
+        return f"datediff(to_date({t}), DATE'{self.start.isoformat()}')"
 
 
 def make_grid(start, n: int = 1, step_days: int = 7) -> Grid:
@@ -83,51 +83,52 @@ def make_grid(start, n: int = 1, step_days: int = 7) -> Grid:
     return Grid(to_python_date(start), int(n), int(step_days))
 
 
-def _floor_div(x: Column, step: int) -> Column:
-    return F.floor(x / F.lit(float(step))).cast("int")
+def _floor_div(x: str, step: int) -> str:
+    return f"CAST(floor(({x}) / {float(step)}) AS INT)"
 
 
-def _explode_back(grid: Grid, day: Column, window_days: int) -> Column:
-    """Grid indices k with ``d_k - window <= t < d_k``."""
-    lo = F.greatest(_floor_div(day, grid.step_days) + 1, F.lit(0))
-    hi = F.least(_floor_div(day + F.lit(window_days), grid.step_days), F.lit(grid.n - 1))
-    return F.when(lo <= hi, F.sequence(lo, hi))
+def _explode_back(grid: Grid, day: str, window_days: int) -> str:
+    """Grid indices k with ``d_k - window <= t < d_k`` (SQL text)."""
+    lo = f"greatest({_floor_div(day, grid.step_days)} + 1, 0)"
+    hi = f"least({_floor_div(f'{day} + {window_days}', grid.step_days)}, {grid.n - 1})"
+    return f"CASE WHEN {lo} <= {hi} THEN sequence({lo}, {hi}) END"
 
 
-def _explode_forward(grid: Grid, day: Column, window_days: int) -> Column:
-    """Grid indices k with ``d_k <= t < d_k + window``."""
-    lo = F.greatest(_floor_div(day - F.lit(window_days), grid.step_days) + 1, F.lit(0))
-    hi = F.least(_floor_div(day, grid.step_days), F.lit(grid.n - 1))
-    return F.when(lo <= hi, F.sequence(lo, hi))
+def _explode_forward(grid: Grid, day: str, window_days: int) -> str:
+    """Grid indices k with ``d_k <= t < d_k + window`` (SQL text)."""
+    lo = f"greatest({_floor_div(f'{day} - {window_days}', grid.step_days)} + 1, 0)"
+    hi = f"least({_floor_div(day, grid.step_days)}, {grid.n - 1})"
+    return f"CASE WHEN {lo} <= {hi} THEN sequence({lo}, {hi}) END"
 
 
-def _in_window(grid: Grid, day: Column, k: Column, window_days: int) -> Column:
+def _in_window(grid: Grid, day: str, k: str, window_days: int) -> str:
     """Exploded row at index k lies inside the last ``window_days`` before d_k."""
-    return day >= k * F.lit(grid.step_days) - F.lit(window_days)
+    return f"({day} >= {k} * {grid.step_days} - {window_days})"
 
 
-def _time_range(grid: Grid, before_first: int, after_last: int) -> tuple[Column, Column]:
-    """Scan bounds ``[d_0 - before_first, d_last + after_last)``, pushed to parquet."""
-    lo = ts(grid.start - _dt.timedelta(days=before_first))
-    hi = ts(grid.last + _dt.timedelta(days=after_last))
-    return lo, hi
+def _time_range(grid: Grid, before_first: int, after_last: int) -> str:
+    """Scan bounds ``d_0 - before_first <= event_time < d_last + after_last``,
+    pushed to the parquet scan."""
+    lo = (grid.start - _dt.timedelta(days=before_first)).isoformat()
+    hi = (grid.last + _dt.timedelta(days=after_last)).isoformat()
+    return f"event_time >= TIMESTAMP_NTZ'{lo} 00:00:00' AND event_time < TIMESTAMP_NTZ'{hi} 00:00:00'"
+
+
+def _before(grid: Grid) -> str:
+    return f"event_time < TIMESTAMP_NTZ'{grid.last.isoformat()} 00:00:00'"
 
 
 def activity_aggregates(events: DataFrame, grid: Grid) -> DataFrame:
     """(user_id, k) -> events_30d, sessions_30d, sessions_7d."""
-    lo, hi = _time_range(grid, 30, 0)
-    t = F.col("event_time")
-    rows = (events.filter((t >= lo) & (t < hi))
-            .select("user_id", "session_id", grid.day(t).alias("day"))
-            .select("user_id", "session_id", "day", F.explode(_explode_back(grid, F.col("day"), 30)).alias("k")))
+    rows = (events.filter(_time_range(grid, 30, 0))
+            .selectExpr("user_id", "session_id", f"{grid.day_sql('event_time')} AS day")
+            .selectExpr("user_id", "session_id", "day", f"explode({_explode_back(grid, 'day', 30)}) AS k"))
     per_session = (rows.groupBy("user_id", "session_id", "k")
-                   .agg(F.count(F.lit(1)).alias("n"),
-                        F.max(_in_window(grid, F.col("day"), F.col("k"), 7)).alias("in7")))
-    has_session = F.col("session_id").isNotNull()
+                   .agg(F.expr("count(1) AS n"), F.expr(f"bool_or({_in_window(grid, 'day', 'k', 7)}) AS in7")))
     return (per_session.groupBy("user_id", "k")
-            .agg(F.sum("n").alias("events_30d"),
-                 F.count_if(has_session).alias("sessions_30d"),
-                 F.count_if(has_session & F.col("in7")).alias("sessions_7d")))
+            .agg(F.expr("sum(n) AS events_30d"),
+                 F.expr("count_if(session_id IS NOT NULL) AS sessions_30d"),
+                 F.expr("count_if(session_id IS NOT NULL AND in7) AS sessions_7d")))
 
 
 def last_login_by_index(events: DataFrame, grid: Grid) -> DataFrame:
@@ -137,45 +138,43 @@ def last_login_by_index(events: DataFrame, grid: Grid) -> DataFrame:
     (at most n) buckets of a user is then spread over the indices up to the next
     bucket. Unbounded history, but at most n rows per user after the first step.
     """
-    t = F.col("event_time")
-    _, hi = _time_range(grid, 0, 0)
-    first_k = F.greatest(_floor_div(grid.day(t), grid.step_days) + 1, F.lit(0))
-    buckets = (events.filter((F.col("event_type") == "login") & (t < hi))
-               .groupBy("user_id", first_k.alias("k0"))
-               .agg(F.max(t).alias("bucket_last")))
-    w = Window.partitionBy("user_id").orderBy("k0")
-    carried = (buckets
-               .withColumn("last_login", F.max("bucket_last").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-               .withColumn("k1", F.coalesce(F.lead("k0").over(w) - 1, F.lit(grid.n - 1))))
-    return carried.select("user_id", F.explode(F.sequence("k0", "k1")).alias("k"), "last_login")
+    logins = events.filter(f"event_type = 'login' AND {_before(grid)}")
+    if grid.n == 1:  # one date: a plain per-user max, no carry-forward needed
+        return logins.groupBy("user_id").agg(F.expr("0 AS k"), F.expr("max(event_time) AS last_login"))
+    first_k = f"greatest({_floor_div(grid.day_sql('event_time'), grid.step_days)} + 1, 0)"
+    buckets = (logins
+               .groupBy("user_id", F.expr(first_k).alias("k0"))
+               .agg(F.expr("max(event_time) AS bucket_last")))
+    w = "PARTITION BY user_id ORDER BY k0"
+    carried = buckets.selectExpr(
+        "user_id", "k0",
+        f"max(bucket_last) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_login",
+        f"coalesce(lead(k0) OVER ({w}) - 1, {grid.n - 1}) AS k1")
+    return carried.selectExpr("user_id", "explode(sequence(k0, k1)) AS k", "last_login")
 
 
 def billing_aggregates(billing: DataFrame, grid: Grid) -> DataFrame:
     """(user_id, k) -> failed_payments_30d, total_spend_90d, refunds_30d."""
-    lo, hi = _time_range(grid, 90, 0)
-    t = F.col("event_time")
-    rows = (billing.filter((t >= lo) & (t < hi))
-            .select("user_id", "status", "amount", grid.day(t).alias("day"))
-            .select("*", F.explode(_explode_back(grid, F.col("day"), 90)).alias("k")))
-    in30 = _in_window(grid, F.col("day"), F.col("k"), 30)
-    st = F.col("status")
+    rows = (billing.filter(_time_range(grid, 90, 0))
+            .selectExpr("user_id", "status", "amount", f"{grid.day_sql('event_time')} AS day")
+            .selectExpr("*", f"explode({_explode_back(grid, 'day', 90)}) AS k"))
+    in30 = _in_window(grid, "day", "k", 30)
     return (rows.groupBy("user_id", "k")
-            .agg(F.count_if((st == "failed") & in30).alias("failed_payments_30d"),
-                 F.sum(F.when(st == "successful", F.col("amount"))).alias("total_spend_90d"),
-                 F.count_if((st == "refunded") & in30).alias("refunds_30d")))
+            .agg(F.expr(f"count_if(status = 'failed' AND {in30}) AS failed_payments_30d"),
+                 F.expr("sum(CASE WHEN status = 'successful' THEN amount END) AS total_spend_90d"),
+                 F.expr(f"count_if(status = 'refunded' AND {in30}) AS refunds_30d")))
 
 
 def label_flags(events: DataFrame, billing: DataFrame, grid: Grid,
                 window_days: int = LABEL_WINDOW_DAYS) -> DataFrame:
     """(user_id, k) pairs with activity or a successful payment in [d_k, d_k + 30d)."""
-    lo, hi = _time_range(grid, 0, window_days)
-    t = F.col("event_time")
-    act = events.filter((t >= lo) & (t < hi)).select("user_id", grid.day(t).alias("day"))
-    paid = (billing.filter((F.col("status") == "successful") & (t >= lo) & (t < hi))
-            .select("user_id", grid.day(t).alias("day")))
+    rng = _time_range(grid, 0, window_days)
+    day = f"{grid.day_sql('event_time')} AS day"
+    act = events.filter(rng).selectExpr("user_id", day)
+    paid = billing.filter(f"status = 'successful' AND {rng}").selectExpr("user_id", day)
     return (act.unionByName(paid)
-            .select("user_id", F.explode(_explode_forward(grid, F.col("day"), window_days)).alias("k"))
-            .groupBy("user_id", "k").agg(F.lit(1).alias("retained")))
+            .selectExpr("user_id", f"explode({_explode_forward(grid, 'day', window_days)}) AS k")
+            .groupBy("user_id", "k").agg(F.expr("1 AS retained")))
 
 
 def custom_aggregates(d: Domain, grid: Grid, specs: Sequence[FeatureSpec]) -> DataFrame | None:
@@ -186,16 +185,14 @@ def custom_aggregates(d: Domain, grid: Grid, specs: Sequence[FeatureSpec]) -> Da
         if not mine:
             continue
         widest = max(s.window_days for s in mine)
-        lo, hi = _time_range(grid, widest, 0)
-        t = F.col("event_time")
-        rows = (frame.filter((t >= lo) & (t < hi))
-                .withColumn("day", grid.day(t))
-                .withColumn("k", F.explode(_explode_back(grid, F.col("day"), widest))))
+        rows = (frame.filter(_time_range(grid, widest, 0))
+                .withColumn("day", F.expr(grid.day_sql("event_time")))
+                .withColumn("k", F.expr(f"explode({_explode_back(grid, 'day', widest)})")))
         aggs = []
         for s in mine:
             if s.agg not in AGGREGATIONS:
                 raise ValueError(f"unknown aggregation {s.agg!r}")
-            keep = _in_window(grid, F.col("day"), F.col("k"), s.window_days)
+            keep = F.expr(_in_window(grid, "day", "k", s.window_days))
             if s.predicate is not None:
                 keep = keep & s.predicate()
             val = F.when(keep, F.col(s.column) if s.column else F.lit(1))
@@ -222,10 +219,10 @@ def feature_grid(d: Domain, grid: Grid, features: Sequence[str] = S.FEATURE_COLU
     users = d.users.select("user_id", "plan_type", "signup_date")
     if user_ids is not None:
         users = users.join(user_ids.select("user_id"), "user_id", "left_semi")
-    base = users.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid.n - 1))).alias("k"))
-    base = base.withColumn("feature_date", grid.date_of(F.col("k")))
+    base = users.selectExpr("*", f"explode(sequence(0, {grid.n - 1})) AS k")
+    base = base.selectExpr("*", f"{grid.date_of_sql('k')} AS feature_date")
     if existing_only:
-        base = base.filter(F.col("signup_date") < F.col("feature_date"))
+        base = base.filter("signup_date < feature_date")
 
     need = set(features)
     events, billing = d.user_events, d.billing_events
@@ -246,33 +243,29 @@ def feature_grid(d: Domain, grid: Grid, features: Sequence[str] = S.FEATURE_COLU
         joined = joined.join(custom_aggregates(Domain(users, events, billing), grid, custom),
                              ["user_id", "k"], "left")
 
-    fd = F.col("feature_date")
-    plan = F.col("plan_type")
-    exprs = {
-        "avg_sessions_7d": F.coalesce(F.col("sessions_7d"), F.lit(0)) / F.lit(7.0),
-        "sessions_30d": F.coalesce(F.col("sessions_30d"), F.lit(0)).cast("long"),
-        "days_since_last_login": F.coalesce(
-            F.round(F.timestamp_diff("SECOND", F.col("last_login"), fd) / F.lit(86400.0)).cast("int"),
-            F.lit(NEVER_LOGGED_IN)),
-        "events_30d": F.coalesce(F.col("events_30d"), F.lit(0)).cast("long"),
-        "failed_payments_30d": F.coalesce(F.col("failed_payments_30d"), F.lit(0)).cast("long"),
-        "total_spend_90d": F.coalesce(F.col("total_spend_90d"), F.lit(0.0)).cast("double"),
-        "refunds_30d": F.coalesce(F.col("refunds_30d"), F.lit(0)).cast("long"),
-        "is_pro_plan": F.when(plan == "pro", 1).otherwise(0).cast("int"),
-        "is_paid_plan": F.when(plan.isin("basic", "pro"), 1).otherwise(0).cast("int"),
-        "days_since_signup": F.round(F.timestamp_diff("SECOND", F.col("signup_date"), fd)
-                                     / F.lit(86400.0)).cast("int"),
-    }
-    cols = [F.col("user_id"), fd.alias("feature_date")]
-    cols += [exprs[f].alias(f) for f in S.FEATURE_COLUMNS if f in need]
+    cols = ["user_id", "feature_date"] + [f"{FEATURE_EXPR[f]} AS {f}" for f in S.FEATURE_COLUMNS if f in need]
     for s in custom:
-        v = F.col(s.name)
-        if s.default is not None:
-            v = F.coalesce(v, F.lit(s.default))
-        cols.append(v.cast(s.dtype).alias(s.name))
+        v = f"coalesce(`{s.name}`, {s.default!r})" if s.default is not None else f"`{s.name}`"
+        cols.append(f"CAST({v} AS {s.dtype}) AS `{s.name}`")
     if with_label:
-        cols.append(F.when(F.col("retained").isNull(), 1).otherwise(0).cast("int").alias("churned_30d"))
-    return joined.select(*cols)
+        cols.append("CAST(CASE WHEN retained IS NULL THEN 1 ELSE 0 END AS INT) AS churned_30d")
+    return joined.selectExpr(*cols)
+
+
+# Output expressions of the ten catalogue features over the joined aggregates.
+FEATURE_EXPR = {
+    "avg_sessions_7d": "coalesce(sessions_7d, 0) / 7.0D",
+    "sessions_30d": "CAST(coalesce(sessions_30d, 0) AS BIGINT)",
+    "days_since_last_login": (f"coalesce(CAST(round(timestampdiff(SECOND, last_login, feature_date) / 86400.0D) AS INT), "
+                              f"{NEVER_LOGGED_IN})"),
+    "events_30d": "CAST(coalesce(events_30d, 0) AS BIGINT)",
+    "failed_payments_30d": "CAST(coalesce(failed_payments_30d, 0) AS BIGINT)",
+    "total_spend_90d": "CAST(coalesce(total_spend_90d, 0.0D) AS DOUBLE)",
+    "refunds_30d": "CAST(coalesce(refunds_30d, 0) AS BIGINT)",
+    "is_pro_plan": "CAST(CASE WHEN plan_type = 'pro' THEN 1 ELSE 0 END AS INT)",
+    "is_paid_plan": "CAST(CASE WHEN plan_type IN ('basic', 'pro') THEN 1 ELSE 0 END AS INT)",
+    "days_since_signup": "CAST(round(timestampdiff(SECOND, signup_date, feature_date) / 86400.0D) AS INT)",
+}
 
 
 def feature_snapshot(d: Domain, feature_date, features: Sequence[str] = S.FEATURE_COLUMNS,

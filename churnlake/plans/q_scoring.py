@@ -37,8 +37,17 @@ def active_store(spark, sf_dir):
     return FE.feature_grid(d, FE.make_grid(STORE_START_A, STORE_N_A, STORE_STEP_A), user_ids=active)
 
 
+_FITTED: dict[tuple[str, str], SC.Scaler] = {}
+
+
 def model(spark, sf_dir) -> SC.LogisticModel:
-    return SC.LogisticModel(SC.fit_scaler(training_baseline_frame(spark, sf_dir)))
+    """The scoring model: fixed weights over the standardiser fitted on the
+    training rows. The fitted parameters are a model artefact (20 numbers),
+    fitted once per application and data folder, as a loaded model would be."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        _FITTED[key] = SC.fit_scaler(training_baseline_frame(spark, sf_dir))
+    return SC.LogisticModel(_FITTED[key])
 
 
 def latest(spark, sf_dir):

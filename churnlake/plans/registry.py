@@ -26,10 +26,20 @@ def round_half_away(x: F.Column, digits: int) -> F.Column:
     return F.when(x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), x).otherwise(r)
 
 
+def _round_sql(name: str, digits: int) -> str:
+    m = f"{float(10 ** digits)!r}D"
+    x = f"CAST(`{name}` AS DOUBLE)"
+    return (f"CASE WHEN {x} IS NULL OR isnan({x}) OR abs({x}) = double('infinity') THEN {x} "
+            f"ELSE signum({x}) * floor(abs({x}) * {m} + 0.5D) / {m} END AS `{name}`")
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*[round_half_away(F.col(f.name).cast("double"), digits).alias(f.name)
-                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
-                       for f in df.schema.fields])
+    """Round every double column like ``round_half_away`` (one SQL expression each)."""
+    fields = df.schema.fields
+    if not any(isinstance(f.dataType, (T.DoubleType, T.FloatType)) for f in fields):
+        return df
+    return df.selectExpr(*[_round_sql(f.name, digits) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+                           else f"`{f.name}`" for f in fields])
 
 
 def with_rounded_doubles(sqls: dict[str, str], schema_dir: str, digits: int = 6) -> dict[str, str]:

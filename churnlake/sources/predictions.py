@@ -23,18 +23,18 @@ LOG_GRID_DAYS = 31
 
 def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    prob = F.least(F.col("value") / F.lit(500.0), F.lit(1.0))
-    return ev.select(
-        F.col("event_id").cast("long").alias("prediction_id"),
-        F.col("user_id").cast("long").alias("user_id"),
-        prob.alias("churn_probability"),
-        F.when(prob >= 0.1, 1).otherwise(0).cast("int").alias("predicted_label"),
-        F.col("ts").alias("prediction_time"),
-        F.lit(None).cast("string").alias("features"),
-        F.when(F.col("event_id") % 2 == 0, "1.0").otherwise("2.0").alias("model_version"),
-        ((F.col("event_id") % 50) / F.lit(10.0)).alias("latency_ms"),
-        (F.col("event_type") != "error").alias("from_cache"),
-        F.lit(False).alias("is_monitored"),
+    prob = "least(value / 500.0D, 1.0D)"
+    return ev.selectExpr(
+        "CAST(event_id AS BIGINT) AS prediction_id",
+        "CAST(user_id AS BIGINT) AS user_id",
+        f"{prob} AS churn_probability",
+        f"CAST(CASE WHEN {prob} >= 0.1D THEN 1 ELSE 0 END AS INT) AS predicted_label",
+        "ts AS prediction_time",
+        "CAST(NULL AS STRING) AS features",
+        "CASE WHEN event_id % 2 = 0 THEN '1.0' ELSE '2.0' END AS model_version",
+        "(event_id % 50) / 10.0D AS latency_ms",
+        "event_type != 'error' AS from_cache",
+        "false AS is_monitored",
     )
 
 

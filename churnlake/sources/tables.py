@@ -18,15 +18,35 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.functions.timefn import ts
 from churnlake.sources import schemas as S
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+def _schema(ddl: str):
+    from pyspark.sql.types import _parse_datatype_string
+    return _parse_datatype_string(ddl)
+
+
+# Declared schemas of the source tables this library reads: the planner then
+# never opens file footers to infer them (one listing per read, no sampling).
+SOURCE_DDL = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                 "l_linestatus string, l_shipdate timestamp_ntz"),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    ddl = SOURCE_DDL.get(name)
+    return spark.read.schema(_schema(ddl)).parquet(path) if ddl else spark.read.parquet(path)
 
 
 @dataclass(frozen=True)
@@ -49,33 +69,30 @@ def _users(spark: SparkSession, sf_dir: str, signup_origin: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     # nation is a fixed 25-row dimension; the planner broadcasts it from its size estimate.
     return (customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
-            .select(F.col("c_custkey").cast("long").alias("user_id"),
-                    _plan_type(F.col("c_mktsegment")).alias("plan_type"),
-                    (ts(signup_origin) - F.make_dt_interval((F.col("c_custkey") % 365).cast("int")))
-                    .alias("signup_date"),
-                    F.col("n_name").alias("country")))
+            .selectExpr("CAST(c_custkey AS BIGINT) AS user_id",
+                        "CASE WHEN c_mktsegment = 'BUILDING' THEN 'pro' "
+                        "WHEN c_mktsegment IN ('FURNITURE', 'MACHINERY') THEN 'basic' ELSE 'free' END AS plan_type",
+                        f"TIMESTAMP_NTZ'{signup_origin} 00:00:00' - make_dt_interval(CAST(c_custkey % 365 AS INT))"
+                        " AS signup_date",
+                        "n_name AS country"))
 
 
 def mapping_a(spark: SparkSession, sf_dir: str) -> Domain:
     """Dense month: January 2024 from ``events``."""
     users = _users(spark, sf_dir, "2024-01-15")
     ev = read_table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "value", "props")
-    user_events = (ev.filter(~F.col("event_type").isin("purchase", "error"))
-                   .select(F.col("user_id").cast("long").alias("user_id"),
-                           F.when(F.col("event_type") == "signup", "login")
-                           .when(F.col("event_type") == "view", "page_view")
-                           .when(F.col("event_type") == "click", "search")
-                           .otherwise(F.col("event_type")).alias("event_type"),
-                           F.col("ts").alias("event_time"),
-                           F.concat(F.col("user_id").cast("string"), F.lit("-"),
-                                    F.to_date("ts").cast("string")).alias("session_id")))
-    k = F.get_json_object("props", "$.k").cast("int")
-    billing = (ev.filter(F.col("event_type").isin("purchase", "error"))
-               .select(F.col("user_id").cast("long").alias("user_id"),
-                       F.col("value").alias("amount"),
-                       F.when(F.col("event_type") == "error", "failed")
-                       .when(k < 5, "refunded").otherwise("successful").alias("status"),
-                       F.col("ts").alias("event_time")))
+    user_events = (ev.filter("event_type NOT IN ('purchase', 'error')")
+                   .selectExpr("CAST(user_id AS BIGINT) AS user_id",
+                               "CASE event_type WHEN 'signup' THEN 'login' WHEN 'view' THEN 'page_view' "
+                               "WHEN 'click' THEN 'search' ELSE event_type END AS event_type",
+                               "ts AS event_time",
+                               "concat(CAST(user_id AS STRING), '-', CAST(to_date(ts) AS STRING)) AS session_id"))
+    billing = (ev.filter("event_type IN ('purchase', 'error')")
+               .selectExpr("CAST(user_id AS BIGINT) AS user_id", "value AS amount",
+                           "CASE WHEN event_type = 'error' THEN 'failed' "
+                           "WHEN CAST(get_json_object(props, '$.k') AS INT) < 5 THEN 'refunded' "
+                           "ELSE 'successful' END AS status",
+                           "ts AS event_time"))
     return Domain(users, user_events, billing)
 
 
@@ -87,16 +104,13 @@ def mapping_b(spark: SparkSession, sf_dir: str) -> Domain:
     lineitem = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     user_events = (lineitem.join(orders.select("o_orderkey", "o_custkey"),
                                  lineitem.l_orderkey == orders.o_orderkey, "inner")
-                   .select(F.col("o_custkey").cast("long").alias("user_id"),
-                           F.when(F.col("l_linenumber") == 1, "login").otherwise("page_view").alias("event_type"),
-                           F.col("l_shipdate").alias("event_time"),
-                           F.col("l_orderkey").cast("string").alias("session_id")))
-    billing = orders.select(F.col("o_custkey").cast("long").alias("user_id"),
-                            F.col("o_totalprice").alias("amount"),
-                            F.when(F.col("o_orderstatus") == "F", "successful")
-                            .when(F.col("o_orderstatus") == "O", "failed")
-                            .when(F.col("o_orderstatus") == "P", "refunded").alias("status"),
-                            F.col("o_orderdate").alias("event_time"))
+                   .selectExpr("CAST(o_custkey AS BIGINT) AS user_id",
+                               "CASE WHEN l_linenumber = 1 THEN 'login' ELSE 'page_view' END AS event_type",
+                               "l_shipdate AS event_time", "CAST(l_orderkey AS STRING) AS session_id"))
+    billing = orders.selectExpr("CAST(o_custkey AS BIGINT) AS user_id", "o_totalprice AS amount",
+                                "CASE o_orderstatus WHEN 'F' THEN 'successful' WHEN 'O' THEN 'failed' "
+                                "WHEN 'P' THEN 'refunded' END AS status",
+                                "o_orderdate AS event_time")
     return Domain(users, user_events, billing)
 
 
