@@ -18,15 +18,16 @@ from churnlake.sources.tables import mapping_a
 _TN = "'exp-' || CAST(user_id % 3 AS VARCHAR)"
 _BUCKET = "CAST(('0x' || substring(md5(test_name || ':' || CAST(user_id AS VARCHAR)), 1, 8)) AS BIGINT) % 10000"
 
-AB_SQL = "WITH " + O.PREDICTIONS_CTE + f""",
-tests AS (
+TESTS_CTE = f"""tests AS (
   SELECT test_name, '1.0' AS control_version, '2.0' AS variant_version,
          CAST(CASE WHEN test_name = 'exp-1' THEN 0.3 ELSE 0.5 END AS DOUBLE) AS traffic_split,
          min(prediction_time) AS start_date, max(prediction_time) AS end_date,
          CAST(date_diff('day', CAST(min(prediction_time) AS DATE), CAST(max(prediction_time) AS DATE)) + 1 AS INTEGER)
            AS duration_days,
          CASE WHEN test_name = 'exp-2' THEN 'completed' ELSE 'active' END AS status
-  FROM (SELECT {_TN} AS test_name, prediction_time FROM predictions) GROUP BY test_name),
+  FROM (SELECT {_TN} AS test_name, prediction_time FROM predictions) GROUP BY test_name)"""
+
+AB_SQL = "WITH " + O.PREDICTIONS_CTE + ",\n" + TESTS_CTE + f""",
 cand AS (SELECT user_id, {_TN} AS test_name, min(prediction_time) AS first_seen FROM predictions GROUP BY user_id),
 bk AS (SELECT *, {_BUCKET} AS bucket FROM cand),
 existing AS (

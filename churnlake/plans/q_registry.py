@@ -8,7 +8,7 @@ from churnlake.operators import features as FE
 from churnlake.operators import monitor as M
 from churnlake.operators import registry as R
 from churnlake.plans import oracle_sql as O
-from churnlake.plans.q_abtest import AB_SQL
+from churnlake.plans.q_abtest import TESTS_CTE
 from churnlake.plans.q_monitoring import _ALERTS_SQL, _degradation, _report
 from churnlake.plans.registry import register
 from churnlake.sources.predictions import AS_OF, ab_tests, prediction_log
@@ -40,11 +40,11 @@ def promo_log(spark, sf_dir):
     return R.promotions(status(spark, sf_dir))
 
 
-REG_SQL = (O.grid_sql("A", LABEL_GRID_START, LABEL_GRID_DAYS, 1, features=(), with_label=True, label_days=1)
-           + ",\n" + O.PREDICTIONS_CTE + f""",
-sl AS (SELECT p.*, s.churned_30d AS actual_label,
+def reg_body(snap: str) -> str:
+    """Registry CTEs (sl ... promo) over a label grid CTE named ``snap``."""
+    return f"""sl AS (SELECT p.*, s.churned_30d AS actual_label,
               'churn-' || p.model_version AS model_name, date_trunc('week', p.prediction_time) AS training_date
-       FROM predictions p LEFT JOIN snap s
+       FROM predictions p LEFT JOIN {snap} s
          ON s.user_id = p.user_id AND s.feature_date = date_trunc('day', p.prediction_time) + INTERVAL 1 DAY),
 cnt AS (SELECT model_name, training_date, count(*) AS training_samples,
                count(*) FILTER (WHERE predicted_label = 1 AND actual_label = 1) AS tp,
@@ -92,7 +92,11 @@ base AS (
 dep AS (SELECT model_name, version, 'production' AS from_status, 'deprecated' AS to_status, next_at AS promoted_at
         FROM (SELECT *, lead(promoted_at) OVER (PARTITION BY model_name ORDER BY promoted_at) AS next_at
               FROM base WHERE to_status = 'production') WHERE next_at IS NOT NULL),
-promo AS (SELECT * FROM base UNION ALL SELECT * FROM dep)""")
+promo AS (SELECT * FROM base UNION ALL SELECT * FROM dep)"""
+
+
+REG_SQL = (O.grid_sql("A", LABEL_GRID_START, LABEL_GRID_DAYS, 1, features=(), with_label=True, label_days=1)
+           + ",\n" + O.PREDICTIONS_CTE + ",\n" + reg_body("snap"))
 
 
 @register("model_versions", REG_SQL + """
@@ -182,7 +186,18 @@ def q_retraining_signals(spark, sf_dir):
     return R.retraining_signals(_report(spark, sf_dir), _degradation(spark, sf_dir), M.prediction_volume(log, AS_OF))
 
 
-@register("dashboard_summary")
+_DASH_SQL = (_SIGNALS_SQL + ",\n"
+             + O.grid_sql("A", LABEL_GRID_START, LABEL_GRID_DAYS, 1, features=(), with_label=True, label_days=1,
+                          prefix="rg_", with_mapping=False)
+             + ",\n" + reg_body("rg_snap") + ",\n" + TESTS_CTE + """
+SELECT (SELECT count(*) FROM st WHERE status = 'production') AS production_models,
+       (SELECT count(*) FROM st WHERE status = 'staging') AS staging_models,
+       (SELECT count(*) FROM tests WHERE status = 'active') AS active_tests,
+       (SELECT count(*) FROM alerts) AS alerts,
+       (SELECT should_retrain FROM sig) AS should_retrain""")
+
+
+@register("dashboard_summary", _DASH_SQL)
 def q_dashboard_summary(spark, sf_dir):
     """Production / staging counts, active tests, retraining flag, alert count."""
     sig = q_retraining_signals(spark, sf_dir)
