@@ -168,3 +168,16 @@ def t_two_sided_pvalue_np(t, dof) -> np.ndarray:
 def t_two_sided_pvalue(t: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series(t_two_sided_pvalue_np(t.to_numpy(dtype=float, na_value=np.nan),
                                            dof.to_numpy(dtype=float, na_value=np.nan)))
+
+
+def t_two_sided_pvalue_sql(t: str, dof: str, panels: int = 20000) -> str:
+    """DuckDB text of the same p-value by Simpson integration of the t density
+    over [0, |t|] (used only by the oracle, as an independent check)."""
+    nu = f"({dof})"
+    h = f"(abs({t}) / {panels})"
+    x = f"(r.i * {h})"
+    logc = f"(lgamma(({nu} + 1) / 2.0) - lgamma({nu} / 2.0) - 0.5 * ln({nu} * pi()))"
+    dens = f"exp({logc} - ({nu} + 1) / 2.0 * ln(1 + {x} * {x} / {nu}))"
+    weight = f"(CASE WHEN r.i = 0 OR r.i = {panels} THEN 1 WHEN r.i % 2 = 1 THEN 4 ELSE 2 END)"
+    integral = f"(SELECT sum({weight} * {dens}) * {h} / 3.0 FROM range(0, {panels + 1}) r(i))"
+    return f"greatest(least(1.0 - 2.0 * {integral}, 1.0), 0.0)"

@@ -106,14 +106,26 @@ def q_ab_welch(spark, sf_dir):
     return AB.welch(AB.results_by_variant(ab_results(spark, sf_dir)))
 
 
-@register("ab_pvalue")
+_EXACT_P = f"(CASE WHEN dof IS NULL THEN 1.0 ELSE {ST.t_two_sided_pvalue_sql('t_statistic', 'dof')} END)"
+_PW_SQL = AB_SQL + f""",
+pw AS (SELECT *, {_EXACT_P} AS p_value FROM welch),
+won AS (SELECT *, p_value < 0.05 AS significant,
+               CASE WHEN n_variants < 2 THEN 'none'
+                    WHEN variant_avg_probability < control_avg_probability AND p_value < 0.05 THEN 'variant'
+                    ELSE 'control' END AS winner,
+               CASE WHEN n_variants < 2 THEN 'insufficient_data' ELSE 'active' END AS status
+        FROM pw)"""
+
+
+@register("ab_pvalue", _PW_SQL + "\nSELECT test_name, t_statistic, dof, p_value FROM pw")
 def q_ab_pvalue(spark, sf_dir):
     """Student-t two-sided p-value per test (vectorised UDF on one row per test)."""
     w = AB.with_pvalue(AB.welch(AB.results_by_variant(ab_results(spark, sf_dir))))
     return w.select("test_name", "t_statistic", "dof", "p_value")
 
 
-@register("ab_winner")
+@register("ab_winner", _PW_SQL + "\nSELECT test_name, n_variants, t_statistic, dof, p_value, significant, winner, status"
+          " FROM won")
 def q_ab_winner(spark, sf_dir):
     w = AB.all_tests(ab_results(spark, sf_dir))
     return w.select("test_name", "n_variants", "t_statistic", "dof", "p_value", "significant", "winner", "status")
@@ -136,7 +148,7 @@ def q_ab_winner_normal(spark, sf_dir):
     return w.select("test_name", "n_variants", "t_statistic", "dof", "p_value", "significant", "winner", "status")
 
 
-@register("ab_all_tests")
+@register("ab_all_tests", _PW_SQL + "\nSELECT * FROM won")
 def q_ab_all_tests(spark, sf_dir):
     """Statistics, Welch test, exact p-value and winner for every test at once."""
     return AB.all_tests(ab_results(spark, sf_dir))
