@@ -8,7 +8,7 @@
   ranges by approximate quantiles; offsets are summed over the (few) buckets and
   the running sum runs inside each (group, bucket), so no task ever receives a
   whole group.
-* ``t_sf_two_sided``: Student-t two-sided p-value through the regularised
+* ``t_two_sided_pvalue``: Student-t two-sided p-value through the regularised
   incomplete beta function (NumPy continued fraction) as a pandas UDF; it runs
   on one row per test.
 """
@@ -104,6 +104,37 @@ def running_totals(df: DataFrame, keys: Sequence[str], value: str, sums: Sequenc
     return out.drop("_g") if keys == ["_g"] else out
 
 
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+                    buckets: int = 64) -> DataFrame:
+    """Exact quantiles with linear interpolation (as ``percentile`` /
+    ``quantile_cont``) per group, one column ``q<i>`` per probability.
+
+    Built on ``running_totals`` over the distinct values, so no task holds a
+    group's values: the value at 0-based rank i is the smallest value whose
+    cumulative count exceeds i, found with a filtered ``min`` (map-side combined).
+    """
+    keys = list(keys)
+    if not keys:
+        df = df.withColumn("_g", F.lit(0))
+        keys = ["_g"]
+    x = F.col(value).cast("double")
+    counts = df.filter(x.isNotNull()).groupBy(*keys, x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    cum = running_totals(counts, keys, "_v", ["_c"], buckets)
+    n = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+    j = cum.join(n, keys)
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = (F.col("_n") - 1) * F.lit(float(p))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        aggs += [F.min(F.when(F.col("cum__c") > lo, F.col("_v"))).alias(f"_lo{i}"),
+                 F.min(F.when(F.col("cum__c") > hi, F.col("_v"))).alias(f"_hi{i}"),
+                 F.first(pos - lo).alias(f"_fr{i}")]
+    agg = j.groupBy(*keys).agg(*aggs)
+    out = agg.select(*keys, *[(F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
+                              .alias(f"q{i}") for i in range(len(probs))])
+    return out.drop("_g") if keys == ["_g"] else out
+
+
 # --- Student t ---------------------------------------------------------------
 
 def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, iters: int = 300, eps: float = 3e-16) -> np.ndarray:

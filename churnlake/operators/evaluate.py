@@ -83,10 +83,13 @@ def threshold_analysis(scored: DataFrame, thresholds: Sequence[float] = THRESHOL
 
 
 def prediction_summary(scored: DataFrame, score: str = "churn_probability") -> DataFrame:
+    """count, mean, std, min, exact quartiles (distributed), max of the scores."""
     x = F.col(score)
-    return scored.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                      F.min(x).alias("min"), F.percentile(x, 0.25).alias("p25"), F.percentile(x, 0.5).alias("p50"),
-                      F.percentile(x, 0.75).alias("p75"), F.max(x).alias("max"))
+    m = scored.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                   F.min(x).alias("min"), F.max(x).alias("max"))
+    q = ST.exact_quantiles(scored.select(F.lit(1).alias("_k"), x.alias("_s")), ["_k"], "_s", [0.25, 0.5, 0.75])
+    j = m.withColumn("_k", F.lit(1)).join(q, "_k", "left")  # one row on each side, joined on a constant key
+    return j.selectExpr("count", "mean", "std", "min", "q0 AS p25", "q1 AS p50", "q2 AS p75", "max")
 
 
 def prediction_histogram(scored: DataFrame, bins: int = 10, score: str = "churn_probability") -> DataFrame:

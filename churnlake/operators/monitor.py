@@ -297,12 +297,14 @@ def psi(current: DataFrame, reference: DataFrame, features: Sequence[str] = S.MO
     """Population stability index per feature with decile edges of the reference.
 
     Bin = number of edges strictly below the value; shares are floored at 1e-4.
-    Edges are exact quantiles (``percentile``); one small row of edges per feature.
+    Edges are exact quantiles from distributed prefix sums; one small row of
+    edges per feature.
     """
     fr = [round(i / bins, 10) for i in range(1, bins)]
     ref = long_features(reference, features)
     cur = long_features(current, features)
-    edges = ref.groupBy("feature_name").agg(F.percentile("value", fr).alias("edges"))
+    q = ST.exact_quantiles(ref, ["feature_name"], "value", fr)
+    edges = q.select("feature_name", F.array(*[F.col(f"q{i}") for i in range(len(fr))]).alias("edges"))
 
     def binned(lf: DataFrame, tag: str) -> DataFrame:
         b = lf.join(F.broadcast(edges), "feature_name").select(

@@ -142,21 +142,26 @@ def validation_report(features: DataFrame, labels: DataFrame | None = None) -> D
 
 
 def feature_describe(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, std, min, quartiles, max per feature in one global aggregate.
+    """count, mean, std, min, quartiles, max per feature.
+
+    Moments come from one global aggregate; the quartiles are exact (linear
+    interpolation) from distributed prefix sums over the distinct values, so no
+    task ever holds a column's values."""
+    from churnlake.functions.stats import exact_quantiles
 
-    Quartiles are exact (linear interpolation) via ``percentile``, whose state is
-    a map of distinct values; the catalogue features have few distinct values.
-    Use ``percentile_approx`` for high-cardinality columns.
-    """
     feats = [c for c in (features or S.FEATURE_COLUMNS) if c in df.columns]
     aggs = []
     for c in feats:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, 0.25).alias(f"{c}__p25"), F.percentile(x, 0.5).alias(f"{c}__p50"),
-                 F.percentile(x, 0.75).alias(f"{c}__p75"), F.max(x).alias(f"{c}__max")]
-    return _stack(df.agg(*aggs), feats, ("count", "mean", "std", "min", "p25", "p50", "p75", "max"))
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+    moments = _stack(df.agg(*aggs), feats, ("count", "mean", "std", "min", "max"))
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in feats)
+    long = df.selectExpr(f"stack({len(feats)}, {stack}) AS (column_name, value)")
+    q = exact_quantiles(long, ["column_name"], "value", [0.25, 0.5, 0.75]).selectExpr(
+        "column_name", "q0 AS p25", "q1 AS p50", "q2 AS p75")
+    return (moments.join(q, "column_name", "left")
+            .select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
 def pit_leakage_audit(full: DataFrame, truncated: DataFrame, name: str) -> DataFrame:
