@@ -13,7 +13,9 @@ One plan computes any number of snapshot dates ``d_k = start + k * step`` days
 * last login needs unbounded history: logins are bucketed by the first grid index
   they reach, then a running max over at most n rows per user carries them forward.
 * the label (no activity and no successful payment in ``[d_k, d_k + 30d)``) is the
-  same explode in the other direction.
+  same explode in the other direction, done in the same pass: each row is
+  exploded once to tagged (k, feature|label) pairs, so a fact table is scanned
+  and shuffled once for its features and the label together.
 
 All aggregates are keyed ``(user_id, k)``, so they join the users x grid frame
 co-partitioned; each fact table is aggregated to one row per key *before* any
@@ -84,7 +86,7 @@ def make_grid(start, n: int = 1, step_days: int = 7) -> Grid:
 
 
 def _floor_div(x: str, step: int) -> str:
-    return f"CAST(floor(({x}) / {float(step)}) AS INT)"
+    return f"CAST(floor(({x}) / {float(step)}D) AS INT)"
 
 
 def _explode_back(grid: Grid, day: str, window_days: int) -> str:
@@ -118,17 +120,37 @@ def _before(grid: Grid) -> str:
     return f"event_time < TIMESTAMP_NTZ'{grid.last.isoformat()} 00:00:00'"
 
 
-def activity_aggregates(events: DataFrame, grid: Grid) -> DataFrame:
-    """(user_id, k) -> events_30d, sessions_30d, sessions_7d."""
-    rows = (events.filter(_time_range(grid, 30, 0))
+def _tagged_indices(grid: Grid, back_days: int, fwd_days: int | None) -> str:
+    """One array of (k, f) structs: f = true for the feature indices of a row
+    (window ``back_days`` before d_k), false for its label indices (the
+    ``fwd_days`` after d_k). One explode then serves features and label."""
+    back = (f"transform(coalesce({_explode_back(grid, 'day', back_days)}, array()), "
+            f"k -> named_struct('k', k, 'f', true))")
+    if fwd_days is None:
+        return back
+    fwd = (f"transform(coalesce({_explode_forward(grid, 'day', fwd_days)}, array()), "
+           f"k -> named_struct('k', k, 'f', false))")
+    return f"concat({back}, {fwd})"
+
+
+def activity_aggregates(events: DataFrame, grid: Grid, label_days: int | None = None) -> DataFrame:
+    """(user_id, k) -> events_30d, sessions_30d, sessions_7d [, active_next].
+
+    With ``label_days`` the same scan and shuffle also flag activity in
+    ``[d_k, d_k + label_days)`` for the label."""
+    rows = (events.filter(_time_range(grid, 30, label_days or 0))
             .selectExpr("user_id", "session_id", f"{grid.day_sql('event_time')} AS day")
-            .selectExpr("user_id", "session_id", "day", f"explode({_explode_back(grid, 'day', 30)}) AS k"))
+            .selectExpr("user_id", "session_id", "day", f"inline({_tagged_indices(grid, 30, label_days)})"))
+    in7 = _in_window(grid, "day", "k", 7)
     per_session = (rows.groupBy("user_id", "session_id", "k")
-                   .agg(F.expr("count(1) AS n"), F.expr(f"bool_or({_in_window(grid, 'day', 'k', 7)}) AS in7")))
-    return (per_session.groupBy("user_id", "k")
-            .agg(F.expr("sum(n) AS events_30d"),
-                 F.expr("count_if(session_id IS NOT NULL) AS sessions_30d"),
-                 F.expr("count_if(session_id IS NOT NULL AND in7) AS sessions_7d")))
+                   .agg(F.expr("count_if(f) AS n"), F.expr(f"bool_or(f AND {in7}) AS in7"),
+                        F.expr("bool_or(NOT f) AS nxt")))
+    aggs = [F.expr("sum(n) AS events_30d"),
+            F.expr("count_if(session_id IS NOT NULL AND n > 0) AS sessions_30d"),
+            F.expr("count_if(session_id IS NOT NULL AND in7) AS sessions_7d")]
+    if label_days is not None:
+        aggs.append(F.expr("bool_or(nxt) AS active_next"))
+    return per_session.groupBy("user_id", "k").agg(*aggs)
 
 
 def last_login_by_index(events: DataFrame, grid: Grid) -> DataFrame:
@@ -153,21 +175,27 @@ def last_login_by_index(events: DataFrame, grid: Grid) -> DataFrame:
     return carried.selectExpr("user_id", "explode(sequence(k0, k1)) AS k", "last_login")
 
 
-def billing_aggregates(billing: DataFrame, grid: Grid) -> DataFrame:
-    """(user_id, k) -> failed_payments_30d, total_spend_90d, refunds_30d."""
-    rows = (billing.filter(_time_range(grid, 90, 0))
+def billing_aggregates(billing: DataFrame, grid: Grid, label_days: int | None = None) -> DataFrame:
+    """(user_id, k) -> failed_payments_30d, total_spend_90d, refunds_30d [, paid_next].
+
+    With ``label_days`` successful payments in ``[d_k, d_k + label_days)`` are
+    flagged in the same pass."""
+    rows = (billing.filter(_time_range(grid, 90, label_days or 0))
             .selectExpr("user_id", "status", "amount", f"{grid.day_sql('event_time')} AS day")
-            .selectExpr("*", f"explode({_explode_back(grid, 'day', 90)}) AS k"))
+            .selectExpr("*", f"inline({_tagged_indices(grid, 90, label_days)})"))
     in30 = _in_window(grid, "day", "k", 30)
-    return (rows.groupBy("user_id", "k")
-            .agg(F.expr(f"count_if(status = 'failed' AND {in30}) AS failed_payments_30d"),
-                 F.expr("sum(CASE WHEN status = 'successful' THEN amount END) AS total_spend_90d"),
-                 F.expr(f"count_if(status = 'refunded' AND {in30}) AS refunds_30d")))
+    aggs = [F.expr(f"count_if(f AND status = 'failed' AND {in30}) AS failed_payments_30d"),
+            F.expr("sum(CASE WHEN f AND status = 'successful' THEN amount END) AS total_spend_90d"),
+            F.expr(f"count_if(f AND status = 'refunded' AND {in30}) AS refunds_30d")]
+    if label_days is not None:
+        aggs.append(F.expr("bool_or(NOT f AND status = 'successful') AS paid_next"))
+    return rows.groupBy("user_id", "k").agg(*aggs)
 
 
 def label_flags(events: DataFrame, billing: DataFrame, grid: Grid,
                 window_days: int = LABEL_WINDOW_DAYS) -> DataFrame:
-    """(user_id, k) pairs with activity or a successful payment in [d_k, d_k + 30d)."""
+    """(user_id, k) pairs with activity or a successful payment in [d_k, d_k + 30d)
+    (standalone form; the feature grid derives the label from its own passes)."""
     rng = _time_range(grid, 0, window_days)
     day = f"{grid.day_sql('event_time')} AS day"
     act = events.filter(rng).selectExpr("user_id", day)
@@ -231,14 +259,13 @@ def feature_grid(d: Domain, grid: Grid, features: Sequence[str] = S.FEATURE_COLU
         events = events.join(ids, "user_id", "left_semi")
         billing = billing.join(ids, "user_id", "left_semi")
     joined = base
-    if need & {"avg_sessions_7d", "sessions_30d", "events_30d"}:
-        joined = joined.join(activity_aggregates(events, grid), ["user_id", "k"], "left")
+    lab = label_days if with_label else None
+    if with_label or need & {"avg_sessions_7d", "sessions_30d", "events_30d"}:
+        joined = joined.join(activity_aggregates(events, grid, lab), ["user_id", "k"], "left")
     if "days_since_last_login" in need:
         joined = joined.join(last_login_by_index(events, grid), ["user_id", "k"], "left")
-    if need & {"failed_payments_30d", "total_spend_90d", "refunds_30d"}:
-        joined = joined.join(billing_aggregates(billing, grid), ["user_id", "k"], "left")
-    if with_label:
-        joined = joined.join(label_flags(events, billing, grid, label_days), ["user_id", "k"], "left")
+    if with_label or need & {"failed_payments_30d", "total_spend_90d", "refunds_30d"}:
+        joined = joined.join(billing_aggregates(billing, grid, lab), ["user_id", "k"], "left")
     if custom:
         joined = joined.join(custom_aggregates(Domain(users, events, billing), grid, custom),
                              ["user_id", "k"], "left")
@@ -248,7 +275,8 @@ def feature_grid(d: Domain, grid: Grid, features: Sequence[str] = S.FEATURE_COLU
         v = f"coalesce(`{s.name}`, {s.default!r})" if s.default is not None else f"`{s.name}`"
         cols.append(f"CAST({v} AS {s.dtype}) AS `{s.name}`")
     if with_label:
-        cols.append("CAST(CASE WHEN retained IS NULL THEN 1 ELSE 0 END AS INT) AS churned_30d")
+        cols.append("CAST(CASE WHEN coalesce(active_next, false) OR coalesce(paid_next, false) THEN 0 ELSE 1 END AS INT)"
+                    " AS churned_30d")
     return joined.selectExpr(*cols)
 
 
