@@ -120,17 +120,29 @@ def _before(grid: Grid) -> str:
     return f"event_time < TIMESTAMP_NTZ'{grid.last.isoformat()} 00:00:00'"
 
 
+def _range_or_empty(lo: str, hi: str, offset: int = 0) -> str:
+    off = f" + {offset}" if offset else ""
+    return f"CASE WHEN {lo} <= {hi} THEN sequence({lo}{off}, {hi}{off}) ELSE array() END"
+
+
 def _tagged_indices(grid: Grid, back_days: int, fwd_days: int | None) -> str:
-    """One array of (k, f) structs: f = true for the feature indices of a row
-    (window ``back_days`` before d_k), false for its label indices (the
-    ``fwd_days`` after d_k). One explode then serves features and label."""
-    back = (f"transform(coalesce({_explode_back(grid, 'day', back_days)}, array()), "
-            f"k -> named_struct('k', k, 'f', true))")
+    """Array of grid indices for one row: its feature indices k (window
+    ``back_days`` before d_k) and, with ``fwd_days``, its label indices encoded
+    as k + n. One explode serves features and label; plain array functions keep
+    the expression code-generated."""
+    lo_b = f"greatest({_floor_div('day', grid.step_days)} + 1, 0)"
+    hi_b = f"least({_floor_div(f'day + {back_days}', grid.step_days)}, {grid.n - 1})"
+    back = _range_or_empty(lo_b, hi_b)
     if fwd_days is None:
         return back
-    fwd = (f"transform(coalesce({_explode_forward(grid, 'day', fwd_days)}, array()), "
-           f"k -> named_struct('k', k, 'f', false))")
-    return f"concat({back}, {fwd})"
+    lo_f = f"greatest({_floor_div(f'day - {fwd_days}', grid.step_days)} + 1, 0)"
+    hi_f = f"least({_floor_div('day', grid.step_days)}, {grid.n - 1})"
+    return f"concat({back}, {_range_or_empty(lo_f, hi_f, grid.n)})"
+
+
+def _split_tag(grid: Grid) -> tuple[str, str]:
+    """(k, f) from an encoded index: f = feature index, else label index."""
+    return f"CAST(kk % {grid.n} AS INT) AS k", f"kk < {grid.n} AS f"
 
 
 def activity_aggregates(events: DataFrame, grid: Grid, label_days: int | None = None) -> DataFrame:
@@ -140,7 +152,8 @@ def activity_aggregates(events: DataFrame, grid: Grid, label_days: int | None =
     ``[d_k, d_k + label_days)`` for the label."""
     rows = (events.filter(_time_range(grid, 30, label_days or 0))
             .selectExpr("user_id", "session_id", f"{grid.day_sql('event_time')} AS day")
-            .selectExpr("user_id", "session_id", "day", f"inline({_tagged_indices(grid, 30, label_days)})"))
+            .selectExpr("user_id", "session_id", "day", f"explode({_tagged_indices(grid, 30, label_days)}) AS kk")
+            .selectExpr("user_id", "session_id", "day", *_split_tag(grid)))
     in7 = _in_window(grid, "day", "k", 7)
     per_session = (rows.groupBy("user_id", "session_id", "k")
                    .agg(F.expr("count_if(f) AS n"), F.expr(f"bool_or(f AND {in7}) AS in7"),
@@ -182,7 +195,8 @@ def billing_aggregates(billing: DataFrame, grid: Grid, label_days: int | None =
     flagged in the same pass."""
     rows = (billing.filter(_time_range(grid, 90, label_days or 0))
             .selectExpr("user_id", "status", "amount", f"{grid.day_sql('event_time')} AS day")
-            .selectExpr("*", f"inline({_tagged_indices(grid, 90, label_days)})"))
+            .selectExpr("*", f"explode({_tagged_indices(grid, 90, label_days)}) AS kk")
+            .selectExpr("user_id", "status", "amount", "day", *_split_tag(grid)))
     in30 = _in_window(grid, "day", "k", 30)
     aggs = [F.expr(f"count_if(f AND status = 'failed' AND {in30}) AS failed_payments_30d"),
             F.expr("sum(CASE WHEN f AND status = 'successful' THEN amount END) AS total_spend_90d"),
