@@ -57,6 +57,30 @@ def results_by_variant(results: DataFrame) -> DataFrame:
                  F.max("latency_ms").alias("max_latency")))
 
 
+def user_partials(log: DataFrame) -> DataFrame:
+    """Per user: count, sum and sum of squares of the probability, latency
+    sum / min / max. Combined map-side, so a user with a third of the log is
+    one row per task before any shuffle."""
+    return log.groupBy("user_id").agg(
+        F.expr("count(1) AS n"), F.expr("sum(churn_probability) AS s1"),
+        F.expr("sum(churn_probability * churn_probability) AS s2"),
+        F.expr("sum(latency_ms) AS ls"), F.expr("min(latency_ms) AS lmin"), F.expr("max(latency_ms) AS lmax"))
+
+
+def results_by_variant_from_partials(partials: DataFrame, assignments: DataFrame) -> DataFrame:
+    """``results_by_variant`` of (log joined to assignments on the user),
+    computed from per-user partials: the join sees one row per user."""
+    j = partials.join(assignments.select("user_id", "test_name", "variant"), "user_id", "inner")
+    g = j.groupBy("test_name", "variant").agg(
+        F.expr("sum(n) AS num_predictions"), F.expr("sum(s1) AS s1"), F.expr("sum(s2) AS s2"),
+        F.expr("sum(ls) AS ls"), F.expr("min(lmin) AS min_latency"), F.expr("max(lmax) AS max_latency"))
+    return g.selectExpr(
+        "test_name", "variant", "num_predictions", "s1 / num_predictions AS avg_probability",
+        "CASE WHEN num_predictions > 1 THEN sqrt(greatest(s2 - s1 * s1 / num_predictions, 0.0D)"
+        " / (num_predictions - 1)) END AS std_probability",
+        "ls / num_predictions AS avg_latency", "min_latency", "max_latency")
+
+
 def welch(stats: DataFrame) -> DataFrame:
     """One row per test: control vs variant side by side, t and Welch df.
 
@@ -103,7 +127,13 @@ def winner(w: DataFrame) -> DataFrame:
 
 
 def all_tests(results: DataFrame, exact: bool = True) -> DataFrame:
-    return winner(with_pvalue(welch(results_by_variant(results)), exact))
+    """Every test at once from raw result rows (test_name, variant, ...)."""
+    return analyse(results_by_variant(results), exact)
+
+
+def analyse(stats: DataFrame, exact: bool = True) -> DataFrame:
+    """Welch test, p-value and winner from per-variant statistics."""
+    return winner(with_pvalue(welch(stats), exact))
 
 
 def balance(assignments: DataFrame, tests: DataFrame) -> DataFrame:

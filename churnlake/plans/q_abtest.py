@@ -9,9 +9,8 @@ from churnlake.plans.registry import register
 from churnlake.sources.predictions import (
     EXISTING_BEFORE,
     ab_assignments,
-    ab_existing,
-    ab_results,
     ab_tests,
+    prediction_log,
 )
 from churnlake.sources.tables import mapping_a
 
@@ -95,15 +94,22 @@ def q_ab_variant_lookup(spark, sf_dir):
     return AB.variant_lookup(users, ab_assignments(spark, sf_dir), "exp-1")
 
 
+def variant_stats(spark, sf_dir):
+    """Per-variant statistics of the logged predictions under each user's
+    assignment, from per-user partials (the join sees one row per user)."""
+    return AB.results_by_variant_from_partials(AB.user_partials(prediction_log(spark, sf_dir)),
+                                               ab_assignments(spark, sf_dir))
+
+
 @register("ab_results", AB_SQL + "\nSELECT * FROM stats")
 def q_ab_results(spark, sf_dir):
-    return AB.results_by_variant(ab_results(spark, sf_dir))
+    return variant_stats(spark, sf_dir)
 
 
 @register("ab_welch", AB_SQL + "\nSELECT * FROM welch")
 def q_ab_welch(spark, sf_dir):
     """Control vs variant per test with Welch's t and degrees of freedom."""
-    return AB.welch(AB.results_by_variant(ab_results(spark, sf_dir)))
+    return AB.welch(variant_stats(spark, sf_dir))
 
 
 _EXACT_P = f"(CASE WHEN dof IS NULL THEN 1.0 ELSE {ST.t_two_sided_pvalue_sql('t_statistic', 'dof')} END)"
@@ -120,14 +126,14 @@ won AS (SELECT *, p_value < 0.05 AS significant,
 @register("ab_pvalue", _PW_SQL + "\nSELECT test_name, t_statistic, dof, p_value FROM pw")
 def q_ab_pvalue(spark, sf_dir):
     """Student-t two-sided p-value per test (vectorised UDF on one row per test)."""
-    w = AB.with_pvalue(AB.welch(AB.results_by_variant(ab_results(spark, sf_dir))))
+    w = AB.with_pvalue(AB.welch(variant_stats(spark, sf_dir)))
     return w.select("test_name", "t_statistic", "dof", "p_value")
 
 
 @register("ab_winner", _PW_SQL + "\nSELECT test_name, n_variants, t_statistic, dof, p_value, significant, winner, status"
           " FROM won")
 def q_ab_winner(spark, sf_dir):
-    w = AB.all_tests(ab_results(spark, sf_dir))
+    w = AB.analyse(variant_stats(spark, sf_dir))
     return w.select("test_name", "n_variants", "t_statistic", "dof", "p_value", "significant", "winner", "status")
 
 
@@ -144,14 +150,14 @@ SELECT test_name, n_variants, t_statistic, dof, p_value, p_value < 0.05 AS signi
 FROM pw""")
 def q_ab_winner_normal(spark, sf_dir):
     """Winner rule with the large-sample normal p-value (SQL-checkable form)."""
-    w = AB.all_tests(ab_results(spark, sf_dir), exact=False)
+    w = AB.analyse(variant_stats(spark, sf_dir), exact=False)
     return w.select("test_name", "n_variants", "t_statistic", "dof", "p_value", "significant", "winner", "status")
 
 
 @register("ab_all_tests", _PW_SQL + "\nSELECT * FROM won")
 def q_ab_all_tests(spark, sf_dir):
     """Statistics, Welch test, exact p-value and winner for every test at once."""
-    return AB.all_tests(ab_results(spark, sf_dir))
+    return AB.analyse(variant_stats(spark, sf_dir))
 
 
 @register("ab_balance", AB_SQL + """,

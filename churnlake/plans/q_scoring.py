@@ -34,7 +34,9 @@ def active_store(spark, sf_dir):
     """Weekly snapshots for users with any activity (the synced population)."""
     d = mapping_a(spark, sf_dir)
     active = d.user_events.select("user_id").distinct()
-    return FE.feature_grid(d, FE.make_grid(STORE_START_A, STORE_N_A, STORE_STEP_A), user_ids=active)
+    # the population is most users: restrict the (small) aggregated grid, not the fact tables
+    grid = FE.feature_grid(d, FE.make_grid(STORE_START_A, STORE_N_A, STORE_STEP_A))
+    return grid.join(active, "user_id", "left_semi")
 
 
 _FITTED: dict[tuple[str, str], SC.Scaler] = {}
