@@ -38,7 +38,7 @@ def erf(x: Column) -> Column:
 
 
 def normal_cdf(x: Column, mean: Column, std: Column) -> Column:
-    z = (x - mean) / (std * F.lit(math.sqrt(2.0)))
+    z = F.try_divide(x - mean, std * F.lit(math.sqrt(2.0)))  # degenerate std -> null
     return F.lit(0.5) * (F.lit(1.0) + erf(z))
 
 

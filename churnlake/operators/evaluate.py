@@ -65,7 +65,7 @@ def _rates(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     return df.select(*keep, "tp", "fp", "fn", "tn",
                      precision.alias("precision"), recall.alias("recall"),
                      F.try_divide(F.lit(2.0) * precision * recall, precision + recall).alias("f1"),
-                     ((tp + tn) / (tp + fp + fn + tn)).alias("accuracy"))
+                     F.try_divide(tp + tn, tp + fp + fn + tn).alias("accuracy"))
 
 
 def confusion(scored: DataFrame, threshold: float = 0.5, score: str = "churn_probability",

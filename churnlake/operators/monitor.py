@@ -144,8 +144,8 @@ def drift_ks(current: DataFrame, baseline: DataFrame, features: Sequence[str] =
     j = cum.join(n, "feature_name").join(baseline.select("feature_name", F.col("mean").alias("b_mean"),
                                                           F.col("std").alias("b_std")), "feature_name")
     phi = ST.normal_cdf(F.col("value"), F.col("b_mean"), F.col("b_std"))
-    hi = F.col("cum_c") / F.col("n")
-    lo = (F.col("cum_c") - F.col("c")) / F.col("n")
+    hi = F.try_divide(F.col("cum_c"), F.col("n"))
+    lo = F.try_divide(F.col("cum_c") - F.col("c"), F.col("n"))
     d = (j.withColumn("phi", phi)
          .groupBy("feature_name", "n")
          .agg(F.max(F.greatest(hi - F.col("phi"), F.col("phi") - lo)).alias("ks_statistic")))
@@ -162,8 +162,9 @@ def ks_two_sample(current: DataFrame, reference: DataFrame, features: Sequence[s
     tot = counts.groupBy("feature_name").agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2"))
     d = (cum.join(tot, "feature_name")
          .groupBy("feature_name", "n1", "n2")
-         .agg(F.max(F.abs(F.col("cum_c1") / F.col("n1") - F.col("cum_c2") / F.col("n2"))).alias("ks_statistic")))
-    n_eff = F.col("n1") * F.col("n2") / (F.col("n1") + F.col("n2"))
+         .agg(F.max(F.abs(F.try_divide(F.col("cum_c1"), F.col("n1")) - F.try_divide(F.col("cum_c2"), F.col("n2"))))
+              .alias("ks_statistic")))
+    n_eff = F.try_divide(F.col("n1") * F.col("n2"), F.col("n1") + F.col("n2"))
     return d.withColumn("p_value", ST.kolmogorov_pvalue(F.col("ks_statistic"), n_eff.cast("double")))
 
 
@@ -289,7 +290,7 @@ def live_precision(backfilled: DataFrame) -> DataFrame:
     return agg.select("model_version", "n", "tp", "fp", "fn",
                       F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
                       F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"),
-                      (F.col("correct") / F.col("n")).alias("accuracy"))
+                      F.try_divide(F.col("correct"), F.col("n")).alias("accuracy"))
 
 
 def psi(current: DataFrame, reference: DataFrame, features: Sequence[str] = S.MONITORED_FEATURES,
@@ -316,8 +317,8 @@ def psi(current: DataFrame, reference: DataFrame, features: Sequence[str] = S.MO
     j = grid.join(rb, ["feature_name", "bin"], "left").join(cb, ["feature_name", "bin"], "left").fillna(0, ["n_ref", "n_cur"])
     tot = j.groupBy("feature_name").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
     j = j.join(tot, "feature_name")
-    e = F.greatest(F.col("n_ref") / F.col("t_ref"), F.lit(floor))
-    a = F.greatest(F.col("n_cur") / F.col("t_cur"), F.lit(floor))
+    e = F.greatest(F.coalesce(F.try_divide(F.col("n_ref"), F.col("t_ref")), F.lit(0.0)), F.lit(floor))
+    a = F.greatest(F.coalesce(F.try_divide(F.col("n_cur"), F.col("t_cur")), F.lit(0.0)), F.lit(floor))
     out = j.groupBy("feature_name").agg(F.sum((a - e) * F.log(a / e)).alias("psi"))
     return out.withColumn("drift_detected", F.col("psi") > PSI_THRESHOLD)
 

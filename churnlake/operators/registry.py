@@ -72,8 +72,9 @@ def candidate_gate(versions: DataFrame) -> DataFrame:
     line_mean = F.avg("avg_probability").over(Window.partitionBy("model_name"))
     v = (v.withColumn("prev_version", F.lag("version").over(w))
          .withColumn("prev_auc", F.lag("auc").over(w))
-         .withColumn("drift_reason", F.abs(F.col("avg_probability") - line_mean) / F.abs(line_mean) * 100.0
-                     > DRIFT_SHIFT_PCT))
+         .withColumn("drift_reason", F.coalesce(
+             F.try_divide(F.abs(F.col("avg_probability") - line_mean), F.abs(line_mean)) * 100.0 > DRIFT_SHIFT_PCT,
+             F.lit(False))))
     gain = F.coalesce(F.col("auc"), F.lit(0.0)) - F.coalesce(F.col("prev_auc"), F.lit(0.0))
     accept = (F.col("prev_version").isNull() | (gain > AUC_GAIN)
               | ((gain >= AUC_TOLERANCE_WITH_DRIFT) & F.col("drift_reason")))

@@ -54,7 +54,7 @@ def validate_nulls(df: DataFrame, threshold: float = NULL_THRESHOLD) -> DataFram
     """(column_name, null_ratio, passed): a column fails if its null share
     exceeds ``1 - threshold``."""
     nc = null_counts(df)
-    ratio = F.col("null_count") / F.col("row_count")
+    ratio = F.try_divide(F.col("null_count"), F.col("row_count"))
     return nc.select("column_name", ratio.alias("null_ratio"),
                      (ratio <= F.lit(1 - threshold)).alias("passed"))
 
@@ -98,7 +98,7 @@ def validate_stability(df: DataFrame, features: Sequence[str] | None = None,
     agg = by_date.agg(*[F.stddev_samp(c).alias(f"{c}__std_of_means") for c in feats],
                       *[F.avg(c).alias(f"{c}__mean_of_means") for c in feats])
     out = _stack(agg, feats, ("std_of_means", "mean_of_means"))
-    cv = F.when(F.col("mean_of_means") > 0, F.col("std_of_means") / F.col("mean_of_means"))
+    cv = F.when(F.col("mean_of_means") > 0, F.try_divide(F.col("std_of_means"), F.col("mean_of_means")))
     return (out.withColumn("cv", cv)
             .withColumn("passed", F.coalesce(F.col("cv") <= F.lit(tolerance), F.lit(True))))
 

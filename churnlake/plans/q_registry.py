@@ -69,8 +69,8 @@ ver AS (
 verm AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2.0 * precision * recall / (precision + recall) END AS f1
          FROM ver),
 g0 AS (SELECT *, lag(version) OVER w AS prev_version, lag(auc) OVER w AS prev_auc,
-              abs(avg_probability - avg(avg_probability) OVER (PARTITION BY model_name))
-                / abs(avg(avg_probability) OVER (PARTITION BY model_name)) * 100.0 > 10.0 AS drift_reason
+              coalesce(abs(avg_probability - avg(avg_probability) OVER (PARTITION BY model_name))
+                / abs(avg(avg_probability) OVER (PARTITION BY model_name)) * 100.0 > 10.0, false) AS drift_reason
        FROM verm WINDOW w AS (PARTITION BY model_name ORDER BY training_date)),
 gate AS (SELECT model_name, version, training_date, auc, prev_version, prev_auc,
                 coalesce(auc, 0.0) - coalesce(prev_auc, 0.0) AS auc_improvement, drift_reason,

@@ -90,7 +90,7 @@ def mapping_a(spark: SparkSession, sf_dir: str) -> Domain:
     billing = (ev.filter("event_type IN ('purchase', 'error')")
                .selectExpr("CAST(user_id AS BIGINT) AS user_id", "value AS amount",
                            "CASE WHEN event_type = 'error' THEN 'failed' "
-                           "WHEN CAST(get_json_object(props, '$.k') AS INT) < 5 THEN 'refunded' "
+                           "WHEN try_cast(get_json_object(props, '$.k') AS INT) < 5 THEN 'refunded' "
                            "ELSE 'successful' END AS status",
                            "ts AS event_time"))
     return Domain(users, user_events, billing)

@@ -105,3 +105,18 @@ def test_hash_assignment_is_sticky_and_split(spark):
     assert both.count() == 20000
     kept = both.join(existing.select("user_id"), "user_id").filter(F.col("source") == "existing").count()
     assert kept == 10
+
+
+def test_ansi_safe_on_degenerate_inputs(spark):
+    """Spark 4 runs in ANSI mode: zero denominators must give nulls, not errors."""
+    from churnlake.operators import validate as V
+    empty = spark.createDataFrame([], "a double")
+    assert V.validate_nulls(empty).collect()[0]["null_ratio"] is None
+    base = spark.createDataFrame([("x", 1.0, 0.0)], "feature_name string, mean double, std double")
+    cur = spark.createDataFrame([(1.0,), (2.0,)], "x double")
+    r = M.drift_ks(cur, base, ("x",)).collect()[0]
+    assert r["ks_statistic"] is None
+    only_cur = M.ks_two_sample(cur, spark.createDataFrame([(None,)], "x double"), ("x",)).collect()
+    assert only_cur[0]["n2"] == 0
+    none = spark.createDataFrame([], "churn_probability double, churned_30d int")
+    assert EV.confusion(none).collect()[0]["accuracy"] is None
