@@ -19,18 +19,14 @@ from churnlake.functions.timefn import ts
 
 
 def write_snapshots(df: DataFrame, path: str, partition_by: Sequence[str] = ("feature_date",)) -> None:
-    """Write feature rows, replacing only the partitions present in ``df``."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        # Sorting inside each task keeps one open file per partition value and
-        # leaves the write parallel; repartitioning by the date would send a
-        # whole snapshot to one writer task.
-        (df.sortWithinPartitions(*partition_by).write.mode("overwrite")
-         .partitionBy(*partition_by).parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    """Write feature rows, replacing only the partitions present in ``df``
+    (per-write dynamic overwrite; the session configuration is not touched)."""
+    # Sorting inside each task keeps one open file per partition value and
+    # leaves the write parallel; repartitioning by the date would send a
+    # whole snapshot to one writer task.
+    (df.sortWithinPartitions(*partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
 
 
 def with_date_parts(df: DataFrame, col: str = "feature_date") -> DataFrame:
