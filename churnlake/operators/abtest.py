@@ -57,20 +57,22 @@ def results_by_variant(results: DataFrame) -> DataFrame:
                  F.max("latency_ms").alias("max_latency")))
 
 
-def user_partials(log: DataFrame) -> DataFrame:
+def user_partials(log: DataFrame, extra=()) -> DataFrame:
     """Per user: count, sum and sum of squares of the probability, latency
-    sum / min / max. Combined map-side, so a user with a third of the log is
-    one row per task before any shuffle."""
+    sum / min / max (plus ``extra`` aggregates). Combined map-side, so a user
+    with a third of the log is one row per task before any shuffle."""
     return log.groupBy("user_id").agg(
         F.expr("count(1) AS n"), F.expr("sum(churn_probability) AS s1"),
         F.expr("sum(churn_probability * churn_probability) AS s2"),
-        F.expr("sum(latency_ms) AS ls"), F.expr("min(latency_ms) AS lmin"), F.expr("max(latency_ms) AS lmax"))
+        F.expr("sum(latency_ms) AS ls"), F.expr("min(latency_ms) AS lmin"), F.expr("max(latency_ms) AS lmax"),
+        *extra)
 
 
 def results_by_variant_from_partials(partials: DataFrame, assignments: DataFrame) -> DataFrame:
     """``results_by_variant`` of (log joined to assignments on the user),
     computed from per-user partials: the join sees one row per user."""
-    j = partials.join(assignments.select("user_id", "test_name", "variant"), "user_id", "inner")
+    p = partials.select("user_id", "n", "s1", "s2", "ls", "lmin", "lmax")
+    j = p.join(assignments.select("user_id", "test_name", "variant"), "user_id", "inner")
     g = j.groupBy("test_name", "variant").agg(
         F.expr("sum(n) AS num_predictions"), F.expr("sum(s1) AS s1"), F.expr("sum(s2) AS s2"),
         F.expr("sum(ls) AS ls"), F.expr("min(lmin) AS min_latency"), F.expr("max(lmax) AS max_latency"))
@@ -84,15 +86,15 @@ def results_by_variant_from_partials(partials: DataFrame, assignments: DataFrame
 def welch(stats: DataFrame) -> DataFrame:
     """One row per test: control vs variant side by side, t and Welch df.
 
-    Guard (std 0 or null, n < 2): t = 0 and df null, which the p-value maps to 1.
-    A test without both variants gets ``n_variants < 2``."""
-    c = stats.filter(F.col("variant") == "control")
-    v = stats.filter(F.col("variant") == "variant")
+    The two variants are pivoted by one conditional aggregate per test (a single
+    pass over the statistics, no self join). Guard (std 0 or null, n < 2): t = 0
+    and df null, which the p-value maps to 1. A test without both variants gets
+    ``n_variants < 2``."""
     cols = ["num_predictions", "avg_probability", "std_probability", "avg_latency", "min_latency", "max_latency"]
-    cw = c.select("test_name", *[F.col(x).alias(f"control_{x}") for x in cols])
-    vw = v.select("test_name", *[F.col(x).alias(f"variant_{x}") for x in cols])
-    n_var = stats.groupBy("test_name").agg(F.expr("count(1) AS n_variants"))
-    j = n_var.join(cw, "test_name", "left").join(vw, "test_name", "left")
+    aggs = [F.expr("count(1) AS n_variants")]
+    for side in ("control", "variant"):
+        aggs += [F.expr(f"max(CASE WHEN variant = '{side}' THEN {x} END) AS {side}_{x}") for x in cols]
+    j = stats.groupBy("test_name").agg(*aggs)
     a = "(control_std_probability * control_std_probability / control_num_predictions)"
     b = "(variant_std_probability * variant_std_probability / variant_num_predictions)"
     ok = ("(n_variants >= 2 AND control_std_probability IS NOT NULL AND variant_std_probability IS NOT NULL "

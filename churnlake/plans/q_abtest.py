@@ -10,7 +10,7 @@ from churnlake.sources.predictions import (
     EXISTING_BEFORE,
     ab_assignments,
     ab_tests,
-    prediction_log,
+    ab_user_summary,
 )
 from churnlake.sources.tables import mapping_a
 
@@ -96,9 +96,10 @@ def q_ab_variant_lookup(spark, sf_dir):
 
 def variant_stats(spark, sf_dir):
     """Per-variant statistics of the logged predictions under each user's
-    assignment, from per-user partials (the join sees one row per user)."""
-    return AB.results_by_variant_from_partials(AB.user_partials(prediction_log(spark, sf_dir)),
-                                               ab_assignments(spark, sf_dir))
+    assignment, from per-user partials (the join sees one row per user); the
+    log is aggregated once and every A/B input derives from that."""
+    summary = ab_user_summary(spark, sf_dir)
+    return AB.results_by_variant_from_partials(summary, ab_assignments(spark, sf_dir, summary))
 
 
 @register("ab_results", AB_SQL + "\nSELECT * FROM stats")

@@ -68,13 +68,24 @@ def _test_name(user_id: F.Column) -> F.Column:
     return F.concat(F.lit("exp-"), (user_id % 3).cast("string"))
 
 
-def ab_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ab_user_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One aggregate of the log per user: first / last prediction time and the
+    sufficient statistics of the A/B analysis. Every A/B input below derives
+    from it (the experiment is a function of the user), so the log is scanned
+    and shuffled once; the partial aggregation runs map-side."""
+    from churnlake.operators.abtest import user_partials
+    log = prediction_log(spark, sf_dir)
+    return (user_partials(log, extra=[F.expr("min(prediction_time) AS first_seen"),
+                                      F.expr("max(prediction_time) AS last_seen")])
+            .withColumn("test_name", _test_name(F.col("user_id"))))
+
+
+def ab_tests(spark: SparkSession, sf_dir: str, summary: DataFrame | None = None) -> DataFrame:
     """One row per experiment seen in the log: split 0.3 for exp-1 else 0.5;
     exp-2 is completed (inactive), the others active."""
-    log = prediction_log(spark, sf_dir)
-    t = (log.select(_test_name(F.col("user_id")).alias("test_name"), "prediction_time")
-         .groupBy("test_name").agg(F.min("prediction_time").alias("start_date"),
-                                   F.max("prediction_time").alias("end_date")))
+    summary = summary if summary is not None else ab_user_summary(spark, sf_dir)
+    t = summary.groupBy("test_name").agg(F.min("first_seen").alias("start_date"),
+                                         F.max("last_seen").alias("end_date"))
     return t.select("test_name", F.lit("1.0").alias("control_version"), F.lit("2.0").alias("variant_version"),
                     F.when(F.col("test_name") == "exp-1", 0.3).otherwise(0.5).alias("traffic_split"),
                     "start_date", "end_date",
@@ -82,18 +93,17 @@ def ab_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("test_name") == "exp-2", "completed").otherwise("active").alias("status"))
 
 
-def ab_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ab_candidates(spark: SparkSession, sf_dir: str, summary: DataFrame | None = None) -> DataFrame:
     """(user_id, test_name, first_seen): every user of the log, in its experiment."""
-    log = prediction_log(spark, sf_dir)
-    return (log.groupBy("user_id").agg(F.min("prediction_time").alias("first_seen"))
-            .select("user_id", _test_name(F.col("user_id")).alias("test_name"), "first_seen"))
+    summary = summary if summary is not None else ab_user_summary(spark, sf_dir)
+    return summary.select("user_id", "test_name", "first_seen")
 
 
-def ab_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ab_existing(spark: SparkSession, sf_dir: str, summary: DataFrame | None = None) -> DataFrame:
     """Assignments already stored: users first seen before 2024-01-03, assigned
     by an earlier rule (variant iff bucket >= 5000)."""
     from churnlake.operators.abtest import hash_bucket
-    c = ab_candidates(spark, sf_dir).filter(F.col("first_seen") < F.lit(EXISTING_BEFORE).cast("timestamp_ntz"))
+    c = ab_candidates(spark, sf_dir, summary).filter(F.col("first_seen") < F.lit(EXISTING_BEFORE).cast("timestamp_ntz"))
     return c.select("user_id", "test_name",
                     F.when(hash_bucket(F.col("test_name"), F.col("user_id")) >= 5000, "variant")
                     .otherwise("control").alias("variant"),
@@ -101,9 +111,11 @@ def ab_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("first_seen").alias("assigned_at"))
 
 
-def ab_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ab_assignments(spark: SparkSession, sf_dir: str, summary: DataFrame | None = None) -> DataFrame:
     from churnlake.operators.abtest import sticky_assign
-    return sticky_assign(ab_candidates(spark, sf_dir), ab_existing(spark, sf_dir), ab_tests(spark, sf_dir))
+    summary = summary if summary is not None else ab_user_summary(spark, sf_dir)
+    return sticky_assign(ab_candidates(spark, sf_dir, summary), ab_existing(spark, sf_dir, summary),
+                         ab_tests(spark, sf_dir, summary))
 
 
 def ab_results(spark: SparkSession, sf_dir: str) -> DataFrame:
