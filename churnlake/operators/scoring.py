@@ -108,6 +108,19 @@ def latest_features(store: DataFrame) -> DataFrame:
             .select("user_id", *[F.col(f"_v.{c}").alias(c) for c in cols]))
 
 
+def sync_latest(store: DataFrame, snapshot_date, current: DataFrame | None = None) -> DataFrame:
+    """Offline -> online sync for one snapshot date (the date is a parameter,
+    never the clock). The snapshot partition is read with a partition filter;
+    an empty snapshot is an error rather than a silent no-op. With ``current``
+    (the latest table so far) newer vectors replace older ones per user."""
+    from churnlake.sources.store import snapshot_for_date
+
+    snap = snapshot_for_date(store, snapshot_date)
+    if snap.isEmpty():  # one row probed, not a count
+        raise ValueError(f"no feature snapshot for {snapshot_date}")
+    return latest_features(snap if current is None else current.unionByName(snap))
+
+
 def score_batch(requests: DataFrame, vectors: DataFrame, model: LogisticModel) -> DataFrame:
     """Requested ids -> probability, label and status; ids without a vector
     get an error row (status ``no_features``)."""

@@ -77,3 +77,15 @@ def test_degradation_insufficient_and_degraded(spark):
     assert r["status"] == "degraded" and abs(r["probability_change_pct"] - 20.0) < 1e-9
     r2 = M.performance_degradation(m.filter("metric_date > date'2024-01-10'"), "2024-01-31").collect()[0]
     assert r2["status"] == "insufficient_data" and not r2["degradation_detected"]
+
+
+def test_sync_latest_uses_the_date_and_rejects_empty(spark):
+    import pytest as _pt
+    rows = [(u, T(f"2024-01-{d:02d} 00:00:00"), float(d), d, 1, 1, 0, 1.0, 0, 0, 1, 10) for u in (1, 2) for d in (8, 15)]
+    store = spark.createDataFrame(rows, S.FEATURES)
+    first = SC.sync_latest(store, "2024-01-08")
+    assert {r["avg_sessions_7d"] for r in first.collect()} == {8.0}
+    both = SC.sync_latest(store, "2024-01-15", current=first)
+    assert {r["avg_sessions_7d"] for r in both.collect()} == {15.0}
+    with _pt.raises(ValueError):
+        SC.sync_latest(store, "2024-01-22")
