@@ -23,8 +23,8 @@ from churnlake.sources import schemas as S
 THRESHOLD = 0.5
 CACHE_TTL_HOURS = 24
 
-# The logistic weights of the reference scoring model used by the
-# registered jobs (standardised inputs, catalogue column order).
+# The logistic weights of the scoring model used by the registered
+# jobs (standardised inputs, catalogue column order).
 FIXED_WEIGHTS = {
     "avg_sessions_7d": -0.8,
     "sessions_30d": -0.5,
@@ -101,7 +101,8 @@ def scale_features(df: DataFrame, scaler: Scaler, features: Sequence[str] = S.FE
 
 def latest_features(store: DataFrame) -> DataFrame:
     """Newest vector per user (offline -> online sync): ``max_by`` over the
-    snapshot date, an aggregate that combines map-side (no sort per user)."""
+    snapshot date, an aggregate with a partial step per task before the
+    shuffle (no window over a user's rows)."""
     cols = [c for c in store.columns if c != "user_id"]
     packed = F.struct(*[F.col(c) for c in cols])
     return (store.groupBy("user_id").agg(F.max_by(packed, F.col("feature_date")).alias("_v"))
