@@ -145,18 +145,32 @@ def _split_tag(grid: Grid) -> tuple[str, str]:
     return f"CAST(kk % {grid.n} AS INT) AS k", f"kk < {grid.n} AS f"
 
 
-def activity_aggregates(events: DataFrame, grid: Grid, label_days: int | None = None) -> DataFrame:
+DENSE_FACTOR = 8
+
+
+def activity_aggregates(events: DataFrame, grid: Grid, label_days: int | None = None,
+                        day_preaggregate: bool | None = None) -> DataFrame:
     """(user_id, k) -> events_30d, sessions_30d, sessions_7d [, active_next].
 
     With ``label_days`` the same scan and shuffle also flag activity in
-    ``[d_k, d_k + label_days)`` for the label."""
+    ``[d_k, d_k + label_days)`` for the label. On dense grids (window / step
+    >= 8, e.g. daily snapshots) events are first counted per (user, session,
+    day) - exact, since every window is a whole number of days - so the explode
+    runs on day-level rows instead of raw events."""
+    fanout = min(grid.n, 30 // grid.step_days + 1)   # indices one event can reach
+    dense = fanout >= DENSE_FACTOR if day_preaggregate is None else day_preaggregate
     rows = (events.filter(_time_range(grid, 30, label_days or 0))
-            .selectExpr("user_id", "session_id", f"{grid.day_sql('event_time')} AS day")
-            .selectExpr("user_id", "session_id", "day", f"explode({_tagged_indices(grid, 30, label_days)}) AS kk")
-            .selectExpr("user_id", "session_id", "day", *_split_tag(grid)))
+            .selectExpr("user_id", "session_id", f"{grid.day_sql('event_time')} AS day"))
+    if dense:
+        rows = rows.groupBy("user_id", "session_id", "day").agg(F.expr("count(1) AS c"))
+    else:
+        rows = rows.selectExpr("*", "1 AS c")
+    rows = (rows.selectExpr("user_id", "session_id", "day", "c",
+                            f"explode({_tagged_indices(grid, 30, label_days)}) AS kk")
+            .selectExpr("user_id", "session_id", "day", "c", *_split_tag(grid)))
     in7 = _in_window(grid, "day", "k", 7)
     per_session = (rows.groupBy("user_id", "session_id", "k")
-                   .agg(F.expr("count_if(f) AS n"), F.expr(f"bool_or(f AND {in7}) AS in7"),
+                   .agg(F.expr("sum(CASE WHEN f THEN c ELSE 0 END) AS n"), F.expr(f"bool_or(f AND {in7}) AS in7"),
                         F.expr("bool_or(NOT f) AS nxt")))
     aggs = [F.expr("sum(n) AS events_30d"),
             F.expr("count_if(session_id IS NOT NULL AND n > 0) AS sessions_30d"),
@@ -249,11 +263,14 @@ def custom_aggregates(d: Domain, grid: Grid, specs: Sequence[FeatureSpec]) -> Da
 def feature_grid(d: Domain, grid: Grid, features: Sequence[str] = S.FEATURE_COLUMNS,
                  with_label: bool = False, existing_only: bool = False,
                  user_ids: DataFrame | None = None,
-                 custom: Sequence[FeatureSpec] = (), label_days: int = LABEL_WINDOW_DAYS) -> DataFrame:
+                 custom: Sequence[FeatureSpec] = (), label_days: int = LABEL_WINDOW_DAYS,
+                 day_preaggregate: bool | None = None) -> DataFrame:
     """Features (and optionally the label) for every user at every grid date.
 
     ``existing_only`` keeps only users who signed up before the date;
-    ``user_ids`` (a frame with ``user_id``) restricts the users by a semi join.
+    ``user_ids`` (a frame with ``user_id``) restricts the users by a semi join;
+    ``day_preaggregate`` forces (or disables) the day-level pre-aggregation of
+    activity that is chosen automatically for dense grids.
     """
     unknown = [f for f in features if f not in S.FEATURE_COLUMNS]
     if unknown:
@@ -275,7 +292,7 @@ def feature_grid(d: Domain, grid: Grid, features: Sequence[str] = S.FEATURE_COLU
     joined = base
     lab = label_days if with_label else None
     if with_label or need & {"avg_sessions_7d", "sessions_30d", "events_30d"}:
-        joined = joined.join(activity_aggregates(events, grid, lab), ["user_id", "k"], "left")
+        joined = joined.join(activity_aggregates(events, grid, lab, day_preaggregate), ["user_id", "k"], "left")
     if "days_since_last_login" in need:
         joined = joined.join(last_login_by_index(events, grid), ["user_id", "k"], "left")
     if with_label or need & {"failed_payments_30d", "total_spend_90d", "refunds_30d"}:
