@@ -202,19 +202,28 @@ def last_login_by_index(events: DataFrame, grid: Grid) -> DataFrame:
     return carried.selectExpr("user_id", "explode(sequence(k0, k1)) AS k", "last_login")
 
 
-def billing_aggregates(billing: DataFrame, grid: Grid, label_days: int | None = None) -> DataFrame:
+def billing_aggregates(billing: DataFrame, grid: Grid, label_days: int | None = None,
+                       day_preaggregate: bool | None = None) -> DataFrame:
     """(user_id, k) -> failed_payments_30d, total_spend_90d, refunds_30d [, paid_next].
 
     With ``label_days`` successful payments in ``[d_k, d_k + label_days)`` are
-    flagged in the same pass."""
+    flagged in the same pass. Dense grids first sum per (user, day, status)."""
+    fanout = min(grid.n, 90 // grid.step_days + 1)
+    dense = fanout >= DENSE_FACTOR if day_preaggregate is None else day_preaggregate
     rows = (billing.filter(_time_range(grid, 90, label_days or 0))
-            .selectExpr("user_id", "status", "amount", f"{grid.day_sql('event_time')} AS day")
-            .selectExpr("*", f"explode({_tagged_indices(grid, 90, label_days)}) AS kk")
-            .selectExpr("user_id", "status", "amount", "day", *_split_tag(grid)))
+            .selectExpr("user_id", "status", "amount", f"{grid.day_sql('event_time')} AS day"))
+    if dense:
+        rows = rows.groupBy("user_id", "status", "day").agg(F.expr("count(1) AS c"), F.expr("sum(amount) AS amount"))
+    else:
+        rows = rows.selectExpr("*", "1 AS c")
+    rows = (rows.selectExpr("*", f"explode({_tagged_indices(grid, 90, label_days)}) AS kk")
+            .selectExpr("user_id", "status", "amount", "c", "day", *_split_tag(grid)))
     in30 = _in_window(grid, "day", "k", 30)
-    aggs = [F.expr(f"count_if(f AND status = 'failed' AND {in30}) AS failed_payments_30d"),
+    aggs = [F.expr(f"CAST(coalesce(sum(CASE WHEN f AND status = 'failed' AND {in30} THEN c END), 0) AS BIGINT)"
+                   " AS failed_payments_30d"),
             F.expr("sum(CASE WHEN f AND status = 'successful' THEN amount END) AS total_spend_90d"),
-            F.expr(f"count_if(f AND status = 'refunded' AND {in30}) AS refunds_30d")]
+            F.expr(f"CAST(coalesce(sum(CASE WHEN f AND status = 'refunded' AND {in30} THEN c END), 0) AS BIGINT)"
+                   " AS refunds_30d")]
     if label_days is not None:
         aggs.append(F.expr("bool_or(NOT f AND status = 'successful') AS paid_next"))
     return rows.groupBy("user_id", "k").agg(*aggs)
@@ -296,7 +305,7 @@ def feature_grid(d: Domain, grid: Grid, features: Sequence[str] = S.FEATURE_COLU
     if "days_since_last_login" in need:
         joined = joined.join(last_login_by_index(events, grid), ["user_id", "k"], "left")
     if with_label or need & {"failed_payments_30d", "total_spend_90d", "refunds_30d"}:
-        joined = joined.join(billing_aggregates(billing, grid, lab), ["user_id", "k"], "left")
+        joined = joined.join(billing_aggregates(billing, grid, lab, day_preaggregate), ["user_id", "k"], "left")
     if custom:
         joined = joined.join(custom_aggregates(Domain(users, events, billing), grid, custom),
                              ["user_id", "k"], "left")
