@@ -80,3 +80,27 @@ def test_wallclock_round_trip(spark):
     df = spark.createDataFrame([(T("2024-03-10 02:30:00.123456"),)], "t timestamp_ntz")
     back = df.select(J.to_wallclock(J.to_instant(F.col("t"))).alias("b")).collect()[0]["b"]
     assert back == T("2024-03-10 02:30:00.123456")
+
+
+def test_chunked_sessionize_matches_naive_random(spark):
+    """Random timelines (gaps around the 30-minute limit, chunk edges): the
+    hour-chunked sessionizer equals the single-window definition."""
+    import random
+    from pyspark.sql import Window
+    rnd = random.Random(7)
+    rows = []
+    for u in range(5):
+        t = T("2024-01-01 00:00:00")
+        for _ in range(120):
+            step = rnd.choice([60, 600, 1799, 1800, 1801, 3600, 7200, 86400]) + rnd.random()
+            t = t + __import__("datetime").timedelta(seconds=step)
+            rows.append((u, t))
+    df = spark.createDataFrame(rows, "user_id long, event_time timestamp_ntz")
+    w = Window.partitionBy("user_id").orderBy("event_time")
+    gap = F.timestamp_diff("MICROSECOND", F.lag("event_time").over(w), F.col("event_time"))
+    naive = (df.withColumn("n", F.when(gap.isNull() | (gap > 1800 * 10**6), 1).otherwise(0))
+             .withColumn("session_number", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
+             .select("user_id", "event_time", "session_number"))
+    for chunk in ("HOUR", "DAY"):
+        got = J.sessionize(df, chunk=chunk)
+        assert naive.exceptAll(got).count() == 0 and got.exceptAll(naive).count() == 0
