@@ -123,8 +123,8 @@ def q_hourly_metrics_one_day(spark, sf_dir):
 
 
 _DAILY_SQL = _LOG_ONLY + f""",
-daily AS (SELECT metric_date, sum(total_predictions) AS total_predictions,
-                 sum(positive_predictions) AS positive_predictions, avg(avg_probability) AS avg_probability,
+daily AS (SELECT metric_date, CAST(sum(total_predictions) AS BIGINT) AS total_predictions,
+                 CAST(sum(positive_predictions) AS BIGINT) AS positive_predictions, avg(avg_probability) AS avg_probability,
                  avg(avg_latency_ms) AS avg_latency_ms, avg(cache_hit_rate) AS cache_hit_rate
           FROM hourly WHERE metric_date >= DATE '{AS_OF}' - INTERVAL 7 DAY GROUP BY metric_date)
 SELECT *, CASE WHEN total_predictions > 0 THEN 100.0 * positive_predictions / total_predictions ELSE 0.0 END
@@ -137,8 +137,8 @@ def q_daily_metrics(spark, sf_dir):
 
 
 @register("positive_rate", _LOG_ONLY + """
-SELECT metric_date, model_version, sum(positive_predictions) AS positive_predictions,
-       sum(total_predictions) AS total_predictions,
+SELECT metric_date, model_version, CAST(sum(positive_predictions) AS BIGINT) AS positive_predictions,
+       CAST(sum(total_predictions) AS BIGINT) AS total_predictions,
        CASE WHEN sum(total_predictions) > 0 THEN 100.0 * sum(positive_predictions) / sum(total_predictions)
             ELSE 0.0 END AS positive_rate
 FROM hourly GROUP BY ALL""")
@@ -150,8 +150,8 @@ def q_positive_rate(spark, sf_dir):
 
 
 @register("metrics_rollup", _LOG_ONLY + """
-SELECT metric_date, model_version, sum(total_predictions) AS total_predictions,
-       sum(positive_predictions) AS positive_predictions
+SELECT metric_date, model_version, CAST(sum(total_predictions) AS BIGINT) AS total_predictions,
+       CAST(sum(positive_predictions) AS BIGINT) AS positive_predictions
 FROM hourly GROUP BY ROLLUP (metric_date, model_version)""")
 def q_metrics_rollup(spark, sf_dir):
     return M.metrics_rollup(M.hourly_metrics(_log(spark, sf_dir)))
@@ -188,7 +188,7 @@ def q_metrics_upsert(spark, sf_dir):
 # --- features in the log, drift ----------------------------------------------------
 
 @register("prediction_features", PF_SQL + "\nSELECT prediction_id, user_id, prediction_time, model_version, "
-          + ", ".join(FEATS) + " FROM pf")
+          + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATS) + " FROM pf")
 def q_prediction_features(spark, sf_dir):
     """The log's feature JSON parsed into seven typed columns."""
     return M.prediction_features(_flog(spark, sf_dir))
@@ -248,7 +248,7 @@ u AS (SELECT feature_name, value, 1 AS c1, 0 AS c2 FROM lc_w UNION ALL SELECT fe
 cnt AS (SELECT feature_name, value, sum(c1) AS c1, sum(c2) AS c2 FROM u GROUP BY ALL),
 cum AS (SELECT *, sum(c1) OVER w AS cum1, sum(c2) OVER w AS cum2 FROM cnt
         WINDOW w AS (PARTITION BY feature_name ORDER BY value ROWS UNBOUNDED PRECEDING)),
-tot AS (SELECT feature_name, sum(c1) AS n1, sum(c2) AS n2 FROM cnt GROUP BY 1),
+tot AS (SELECT feature_name, CAST(sum(c1) AS BIGINT) AS n1, CAST(sum(c2) AS BIGINT) AS n2 FROM cnt GROUP BY 1),
 d AS (SELECT feature_name, n1, n2, max(abs(cum1 / n1 - cum2 / n2)) AS ks_statistic FROM cum JOIN tot USING (feature_name)
       GROUP BY ALL)
 SELECT feature_name, n1, n2, ks_statistic,

@@ -171,8 +171,8 @@ dr AS (SELECT count(*) FILTER (WHERE drift_detected) AS drift_count,
               coalesce(array_to_string(list_sort(list(feature_name) FILTER (WHERE drift_detected)), ','), '')
                 AS drifted_features FROM drep_w),
 signals AS (
-  SELECT CAST((dr.drift_count > 0) AS INTEGER) + CAST((degr.status = 'degraded') AS INTEGER)
-           + CAST(vol.volume_signal AS INTEGER) AS signals,
+  SELECT CAST(CAST((dr.drift_count > 0) AS INTEGER) + CAST((degr.status = 'degraded') AS INTEGER)
+           + CAST(vol.volume_signal AS INTEGER) AS BIGINT) AS signals,
          dr.drift_count, dr.drifted_features, degr.status = 'degraded' AS degradation_detected,
          vol.predictions_7d, vol.volume_signal
   FROM dr, degr, vol),

@@ -292,7 +292,7 @@ ts_ AS (SELECT sp.user_id, sp.feature_date, sp.churned_30d,
 c AS (SELECT churn_probability AS s, count(*) FILTER (WHERE churned_30d = 1) AS pos,
              count(*) FILTER (WHERE churned_30d = 0) AS neg FROM ts_ GROUP BY 1),
 cu AS (SELECT *, sum(neg) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) AS cum_neg FROM c)
-SELECT sum(pos) AS n_pos, sum(neg) AS n_neg,
+SELECT CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg,
        CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * ((cum_neg - neg) + 0.5 * neg)) / (sum(pos) * sum(neg)) END
          AS auc
 FROM cu""")

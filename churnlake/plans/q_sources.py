@@ -152,7 +152,8 @@ def q_store_rewrite_partition(spark, sf_dir):
 
 
 @register("store_day_partitions", STORE_SQL + """
-SELECT *, year(feature_date) AS year, month(feature_date) AS month, day(feature_date) AS day FROM snap""")
+SELECT *, CAST(year(feature_date) AS INTEGER) AS year, CAST(month(feature_date) AS INTEGER) AS month,
+       CAST(day(feature_date) AS INTEGER) AS day FROM snap""")
 def q_store_day_partitions(spark, sf_dir):
     """History partitioned by year / month / day."""
     grid = ST.with_date_parts(FE.feature_grid(mapping_a(spark, sf_dir),

@@ -49,6 +49,10 @@ def test_contract(spark):
     assert E.entry(spark).count() > 0
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+         "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
@@ -57,3 +61,6 @@ def test_query_matches_oracle(spark, con, key):
     cols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(cols)
     assert _rows(df.columns, got) == _rows(cols, cur.fetchall())
+    duck = {r[0]: str(r[1]) for r in con.execute(f"DESCRIBE SELECT * FROM ({ORACLE[key]}) q").fetchall()}
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == duck
