@@ -8,6 +8,8 @@
   ranges by approximate quantiles; offsets are summed over the (few) buckets and
   the running sum runs inside each (group, bucket), so no task ever receives a
   whole group.
+* ``exact_quantiles``: exact linear-interpolation quantiles per group from the
+  same prefix sums (no task holds a group's values).
 * ``t_two_sided_pvalue``: Student-t two-sided p-value through the regularised
   incomplete beta function (NumPy continued fraction) as a pandas UDF; it runs
   on one row per test.
