@@ -207,9 +207,10 @@ def billing_aggregates(billing: DataFrame, grid: Grid, label_days: int | None =
     """(user_id, k) -> failed_payments_30d, total_spend_90d, refunds_30d [, paid_next].
 
     With ``label_days`` successful payments in ``[d_k, d_k + label_days)`` are
-    flagged in the same pass. Dense grids first sum per (user, day, status)."""
-    fanout = min(grid.n, 90 // grid.step_days + 1)
-    dense = fanout >= DENSE_FACTOR if day_preaggregate is None else day_preaggregate
+    flagged in the same pass. Billing is sparse (about one row per user and
+    day), so a day-level pre-aggregation would add a shuffle without shrinking
+    the rows; it runs only when requested."""
+    dense = bool(day_preaggregate)
     rows = (billing.filter(_time_range(grid, 90, label_days or 0))
             .selectExpr("user_id", "status", "amount", f"{grid.day_sql('event_time')} AS day"))
     if dense:
