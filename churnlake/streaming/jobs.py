@@ -61,9 +61,22 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p)]
 
 
-def _run(writer, checkpoint: str):
-    q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
+def _run(writer, checkpoint: str, state_partitions: int | None = None):
+    """Start with ``availableNow`` and wait. A new checkpoint fixes the number of
+    state-store partitions from ``spark.sql.shuffle.partitions`` at its first
+    batch; it is set here to the cluster's parallelism (or ``state_partitions``)
+    for the start and restored afterwards, so stateful queries neither inherit
+    an unrelated batch setting nor run hundreds of tiny state tasks per batch."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
     return q
 
 
