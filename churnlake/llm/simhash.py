@@ -13,8 +13,7 @@ spanning forest of the links it found, never all pairs.
 
 from __future__ import annotations
 
-from functools import partial
-from itertools import combinations
+from itertools import combinations, repeat
 
 import numpy as np
 import pandas as pd
@@ -38,7 +37,7 @@ def fingerprint(data: bytes | None, k: int) -> int:
         shingles, n = [b" ".join(words)], 1
     else:
         shingles, n = map(b" ".join, zip(*(words[i:] for i in range(k)))), len(words) - k + 1
-    h = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=42), shingles), dtype="<u8", count=n)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), dtype="<u8", count=n)
     ones = np.zeros(_BITS, dtype=np.int64)
     for i in range(0, n, 65536):
         b = h[i:i + 65536].view(np.uint8).reshape(-1, 8)
