@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnlake.llm import simhash
+from churnlake.llm import bestfit, bitpack, simhash
 from churnlake.llm.common import table
 
 QUERIES = {}
 ORACLE = {}
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -25,3 +30,16 @@ def op4(spark, sf_dir):
     """Every document's fingerprint and near-duplicate component."""
     got = simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, radius=2)
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register("op3_bit_packing")
+def op3(spark, sf_dir):
+    """Every document's ids, written as bit-packed shards and read back."""
+    return bitpack.roundtrip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), "byte", end_id=2)
+
+
+@register("op10_best_fit_packing")
+def op10(spark, sf_dir):
+    """Every document's pieces and their places in sequences of 4096 tokens."""
+    return bestfit.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), "word", end_id=1,
+                        capacity=4096)
