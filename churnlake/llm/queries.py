@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnlake.llm import bestfit, bitpack, simhash
+from churnlake.llm import bestfit, bitpack, kn_quality, simhash
 from churnlake.llm.common import table
 
 QUERIES = {}
@@ -43,3 +43,9 @@ def op10(spark, sf_dir):
     """Every document's pieces and their places in sequences of 4096 tokens."""
     return bestfit.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), "word", end_id=1,
                         capacity=4096)
+
+
+@register("op6_kneser_ney_quality")
+def op6(spark, sf_dir):
+    """Every document's perplexity, its language's threshold and the decision."""
+    return kn_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
