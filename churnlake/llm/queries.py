@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnlake.llm import bestfit, bitpack, kn_quality, simhash
+from churnlake.llm import bestfit, bitpack, kn_quality, mixing, simhash
 from churnlake.llm.common import table
 
 QUERIES = {}
@@ -49,3 +49,10 @@ def op10(spark, sf_dir):
 def op6(spark, sf_dir):
     """Every document's perplexity, its language's threshold and the decision."""
     return kn_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op7_temperature_mixing")
+def op7(spark, sf_dir):
+    """The mixture of all sources: every document once at least, none of a small
+    source more than twice, in blocks of a million tokens."""
+    return mixing.schedule(table(spark, sf_dir, "documents"), repeat_limit=2.0)

@@ -6,19 +6,37 @@ written as Parquet and read again as the next stage's ``docs``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlake.llm import simhash
+from churnlake.llm import bestfit, kn_quality, mixing, simhash
 from churnlake.llm.common import materialise, table
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the n-gram model, trained on the labelled good documents
+    among ``docs``, finds no less fluent than their language's threshold."""
+    return kn_quality.keep_clean(docs, table(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (SimHash over three-word
     shingles, two bits): the one of the smallest doc_id."""
     return simhash.keep_one(docs, k=3, radius=2)
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in their mixing weights: every document once at least, documents
+    of small sources up to twice (a row for each time)."""
+    return mixing.mixed(docs, repeat_limit=2.0)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in sequences of 4096 tokens."""
+    return bestfit.pack(docs, public_tokenizers.path("word_bpe_49k.json"), "word", end_id=1, capacity=4096)
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("mix", mix), ("pack", pack)]
 
 #: Trained models, hash sketches and tokenizers have no SQL form.
 ORACLE_SQL = None
@@ -26,6 +44,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
