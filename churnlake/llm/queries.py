@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnlake.llm import bestfit, bitpack, kn_quality, mixing, simhash
+from churnlake.llm import bestfit, bitpack, kmeans_dedup, kn_quality, mixing, multi_index, simhash
 from churnlake.llm.common import table
 
 QUERIES = {}
@@ -56,3 +56,42 @@ def op7(spark, sf_dir):
     """The mixture of all sources: every document once at least, none of a small
     source more than twice, in blocks of a million tokens."""
     return mixing.schedule(table(spark, sf_dir, "documents"), repeat_limit=2.0)
+
+
+@register("op2_inverted_multi_index", """
+WITH e AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_cosine_similarity(q.v, c.v) AS score
+  FROM e AS q JOIN e AS c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""")
+def op2(spark, sf_dir):
+    """The five nearest entries of every vector whose id is divisible by 50."""
+    return multi_index.search(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
+@register("op5_spherical_kmeans_dedup", """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM e AS a JOIN e AS b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+r AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id""")
+def op5(spark, sf_dir):
+    """Every vector's links of cosine 0.98 within its label and its component."""
+    return kmeans_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least_cosine=0.98)
