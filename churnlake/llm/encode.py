@@ -21,7 +21,7 @@ SEGMENTS = {
     # white space only separates
     "word": re.compile(f"[^{_WS}]+"),
 }
-CACHE_SEGMENTS = 500_000  # a full cache is dropped; results do not depend on it
+CACHE_SEGMENTS = 400_000  # of two generations each; results do not depend on it
 CACHE_CHARS = 48          # longer segments hardly repeat
 
 
@@ -33,6 +33,7 @@ class Encoder:
         self.find = SEGMENTS[kind].findall
         self.special = [t.content for t in self.tk.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def vocab_size(self) -> int:
         return self.tk.get_vocab_size()
@@ -43,12 +44,16 @@ class Encoder:
             return b""
         if any(s in text for s in self.special):
             return np.array(self.tk.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        cache, segs = self.cache, self.find(text)
-        new = [s for s in set(segs) if s not in cache]
+        if len(self.cache) > CACHE_SEGMENTS:
+            self.before, self.cache = self.cache, {}
+        cache, segs, new = self.cache, self.find(text), []
+        for s in set(segs).difference(cache):
+            ids = self.before.get(s)
+            if ids is None:
+                new.append(s)
+            else:
+                cache[s] = ids
         if new:
-            if len(cache) > CACHE_SEGMENTS:
-                cache.clear()
-                new = list(set(segs))
             for s, e in zip(new, self.tk.encode_batch_fast(new, add_special_tokens=False)):
                 cache[s] = np.array(e.ids, dtype="<u4").tobytes()
         out = b"".join(map(cache.__getitem__, segs))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnlake.llm import bestfit, bitpack, kmeans_dedup, kn_quality, mixing, multi_index, simhash
+from churnlake.llm import bestfit, bitpack, kmeans_dedup, kn_quality, mixing, multi_index, simhash, token_trie
 from churnlake.llm.common import table
 
 QUERIES = {}
@@ -95,3 +95,9 @@ FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id""")
 def op5(spark, sf_dir):
     """Every vector's links of cosine 0.98 within its label and its component."""
     return kmeans_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least_cosine=0.98)
+
+
+@register("op9_trie_token_counts")
+def op9(spark, sf_dir):
+    """Every document's pre-tokens and tokens."""
+    return token_trie.token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
