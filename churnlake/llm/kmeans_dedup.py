@@ -152,7 +152,7 @@ def _linked(classes: DataFrame, least_cosine: float, block_rows: int, cell_rows:
     """``(a, b, n)``: counts of a home class (a = b) and spanning links (n = 0)."""
     n = classes.count()
     k = int(min(max_cells, max(1, -(-n // cell_rows))))
-    centroids = V.kmeans(V.sample(classes, SAMPLE_ROWS, "rep", "v"), k, 20, seed, spherical=True)
+    centroids = V.kmeans(V.sample(classes, n, SAMPLE_ROWS, "rep", "v"), k, 20, seed, spherical=True)
     reach = float(np.sqrt(max(0.0, 2 - 2 * least_cosine)))
     cells = _cells_of(centroids, reach)
     at = materialise(classes.withColumn("c", F.explode(cells("v")))

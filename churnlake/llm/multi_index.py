@@ -167,7 +167,7 @@ def search(embeddings: DataFrame, queries: str, k: int = 5, codes: int = CODES,
     few = e.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k + 1)
     entries = materialise(few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
                           .withColumn("row", F.monotonically_increasing_id()), "entries")
-    books = fit(V.sample(entries, SAMPLE_ROWS, "row", "v"), codes, k, target_recall, seed)
+    books = fit(V.sample(entries, entries.count(), SAMPLE_ROWS, "row", "v"), codes, k, target_recall, seed)
 
     @F.pandas_udf("code1 int, code2 int")
     def coded(s: pd.Series) -> pd.DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnlake.llm import bestfit, bitpack, kmeans_dedup, kn_quality, mixing, multi_index, simhash, token_trie
+from churnlake.llm import bestfit, bitpack, kmeans_dedup, kn_quality, mixing, multi_index, simhash, token_trie, url_gbt
 from churnlake.llm.common import table
 
 QUERIES = {}
@@ -101,3 +101,12 @@ def op5(spark, sf_dir):
 def op9(spark, sf_dir):
     """Every document's pre-tokens and tokens."""
     return token_trie.token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+@register("op8_url_boosted_trees")
+def op8(spark, sf_dir):
+    """Every page's verdict, by rule or by the trees."""
+    return url_gbt.judge(table(spark, sf_dir, "pages"), URL_RULES)

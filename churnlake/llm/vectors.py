@@ -26,10 +26,12 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def sample(df: DataFrame, rows: int, by: str, vec: str) -> np.ndarray:
-    """Unit vectors of the ``rows`` rows whose ids hash lowest: a bounded,
-    repeatable sample."""
-    got = df.orderBy(F.xxhash64(by), by).limit(rows).select(vec).toPandas()
+def sample(df: DataFrame, total: int, rows: int, by: str, vec: str) -> np.ndarray:
+    """Unit vectors of about ``rows`` of the ``total`` rows, those whose ids
+    hash lowest: a bounded, repeatable sample."""
+    share = int(min(1.0, rows / max(1, total)) * (1 << 30))
+    some = df.filter(F.pmod(F.xxhash64(by), F.lit(1 << 30)) < F.lit(share))
+    got = some.select(by, vec).limit(2 * rows).toPandas().sort_values(by)
     return unit(matrix(got[vec])) if len(got) else np.zeros((0, 0))
 
 
