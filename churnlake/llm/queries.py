@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnlake.llm import bestfit, bitpack, kmeans_dedup, kn_quality, mixing, multi_index, simhash, token_trie, url_gbt
+from churnlake.llm import bestfit, bitpack, kmeans_dedup, kn_quality, mixing, multi_index, simhash, token_trie, url_gbt, warc, warc_sql
 from churnlake.llm.common import table
 
 QUERIES = {}
@@ -62,8 +62,8 @@ def op7(spark, sf_dir):
 WITH e AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_cosine_similarity(q.v, c.v) AS score
   FROM e AS q JOIN e AS c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
@@ -79,8 +79,8 @@ def op2(spark, sf_dir):
 WITH RECURSIVE e AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 l AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM e AS a JOIN e AS b ON a.label = b.label AND a.vec_id <> b.vec_id
   WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
@@ -110,3 +110,12 @@ URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/"
 def op8(spark, sf_dir):
     """Every page's verdict, by rule or by the trees."""
     return url_gbt.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+WARC_DATE = "2024-01-01T00:00:00Z"
+
+
+@register("op1_warc_derivatives", warc_sql.sql(WARC_DATE))
+def op1(spark, sf_dir):
+    """The metadata and conversion record of every page's response."""
+    return warc.derive(warc.responses(table(spark, sf_dir, "pages"), WARC_DATE))
