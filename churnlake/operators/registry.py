@@ -1,10 +1,8 @@
 """Model registry reads and the retraining decision, set-based
 over all models at once.
 
-The registry is derived from the prediction log: every (model line, week) is a
-trained version whose offline metrics are measured against the users' actual
-next-day activity. Statuses and the promotion log follow the candidate gate.
-Windows here are partitioned by model line and hold one row per weekly version.
+Registry tables hold one row per version, so what is collected or windowed per
+model line here is as long as the line's list of versions.
 """
 
 from __future__ import annotations
@@ -14,12 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlake.functions.timefn import ts
-from churnlake.operators.evaluate import auc
 
 AUC_GAIN = 0.01
 AUC_TOLERANCE_WITH_DRIFT = -0.005
 DRIFT_SHIFT_PCT = 10.0
-HISTORY_K = 3
 
 # The legal status transitions of the registry.
 LEGAL_TRANSITIONS = (
@@ -33,29 +29,6 @@ LEGAL_TRANSITIONS = (
 METRICS_SCHEMA = T.StructType([T.StructField(c, T.DoubleType()) for c in ("auc", "precision", "recall", "f1")])
 
 
-def weekly_versions(scored: DataFrame) -> DataFrame:
-    """scored: (model_version, prediction_time, churn_probability, predicted_label,
-    actual_label). One registry row per (model line, week)."""
-    s = (scored.withColumn("model_name", F.concat(F.lit("churn-"), F.col("model_version")))
-         .withColumn("training_date", F.date_trunc("WEEK", F.col("prediction_time")).cast("timestamp_ntz")))
-    p, a = F.col("predicted_label"), F.col("actual_label")
-    counts = s.groupBy("model_name", "training_date").agg(
-        F.count(F.lit(1)).alias("training_samples"),
-        F.count_if((p == 1) & (a == 1)).alias("tp"), F.count_if((p == 1) & (a == 0)).alias("fp"),
-        F.count_if((p == 0) & (a == 1)).alias("fn"),
-        F.avg("churn_probability").alias("avg_probability"))
-    aucs = auc(s, score="churn_probability", label="actual_label", by=["model_name", "training_date"])
-    j = counts.join(aucs.select("model_name", "training_date", "auc"), ["model_name", "training_date"], "left")
-    prec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
-    rec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))
-    f1 = F.try_divide(F.lit(2.0) * prec * rec, prec + rec)
-    metrics = F.struct(F.col("auc").alias("auc"), prec.alias("precision"), rec.alias("recall"), f1.alias("f1"))
-    return j.select("model_name",
-                    F.concat(F.col("model_name"), F.lit("."), F.date_format("training_date", "yyyyMMdd")).alias("version"),
-                    "training_date", "training_samples", "avg_probability",
-                    F.to_json(metrics).alias("metrics_json"))
-
-
 def metrics_columns(versions: DataFrame) -> DataFrame:
     """metrics JSON -> typed columns (H4)."""
     m = F.from_json(F.col("metrics_json"), METRICS_SCHEMA)
@@ -64,22 +37,38 @@ def metrics_columns(versions: DataFrame) -> DataFrame:
 
 
 def candidate_gate(versions: DataFrame) -> DataFrame:
-    """Each weekly candidate vs the line's previous version: accept if it is the
-    first, or AUC gains > 0.01, or AUC loses < 0.005 while the week drifted
-    (mean probability off the line's mean by > 10 %)."""
+    """Each candidate against the version in production when it was trained, the
+    last accepted one of its line: accept if there is none, or AUC gains > 0.01,
+    or AUC loses at most 0.005 while the week drifted (mean probability off the
+    line's mean by > 10 %).
+
+    Acceptance depends on earlier acceptances, so a line's versions (one row a
+    week) are folded in order of training."""
     v = metrics_columns(versions).join(versions.select("version", "avg_probability"), "version")
-    w = Window.partitionBy("model_name").orderBy("training_date")
     line_mean = F.avg("avg_probability").over(Window.partitionBy("model_name"))
-    v = (v.withColumn("prev_version", F.lag("version").over(w))
-         .withColumn("prev_auc", F.lag("auc").over(w))
-         .withColumn("drift_reason", F.coalesce(
-             F.try_divide(F.abs(F.col("avg_probability") - line_mean), F.abs(line_mean)) * 100.0 > DRIFT_SHIFT_PCT,
-             F.lit(False))))
-    gain = F.coalesce(F.col("auc"), F.lit(0.0)) - F.coalesce(F.col("prev_auc"), F.lit(0.0))
-    accept = (F.col("prev_version").isNull() | (gain > AUC_GAIN)
-              | ((gain >= AUC_TOLERANCE_WITH_DRIFT) & F.col("drift_reason")))
-    return v.select("model_name", "version", "training_date", "auc", "prev_version", "prev_auc",
-                    gain.alias("auc_improvement"), "drift_reason", accept.alias("accepted"))
+    v = v.withColumn("drift_reason", F.coalesce(
+        F.try_divide(F.abs(F.col("avg_probability") - line_mean), F.abs(line_mean)) * 100.0 > DRIFT_SHIFT_PCT,
+        F.lit(False)))
+    lines = v.groupBy("model_name").agg(F.sort_array(F.collect_list(F.struct(
+        "training_date", "version", "auc", "precision", "recall", "drift_reason"))).alias("seen"))
+    gain = "coalesce(x.{0}, 0D) - coalesce(s.prod.{0}, 0D)"
+    prod = "struct<version:string,auc:double,precision:double,recall:double>"
+    row = ("struct<version:string,training_date:timestamp_ntz,auc:double,prod_version:string,prod_auc:double,"
+           "auc_improvement:double,precision_improvement:double,recall_improvement:double,drift_reason:boolean,"
+           "reason:string,accepted:boolean>")
+    reason = (f"CASE WHEN s.prod IS NULL THEN 'first model' WHEN {gain.format('auc')} > {AUC_GAIN}D THEN 'auc gain' "
+              f"WHEN {gain.format('auc')} >= {AUC_TOLERANCE_WITH_DRIFT}D AND x.drift_reason THEN 'drift' "
+              "ELSE 'no gain' END")
+    own = "named_struct('version', x.version, 'auc', x.auc, 'precision', x.precision, 'recall', x.recall)"
+    out = ("named_struct('version', x.version, 'training_date', x.training_date, 'auc', x.auc, "
+           "'prod_version', s.prod.version, 'prod_auc', s.prod.auc, "
+           + "".join(f"'{m}_improvement', {gain.format(m)}, " for m in ("auc", "precision", "recall"))
+           + f"'drift_reason', x.drift_reason, 'reason', {reason}, 'accepted', {reason} <> 'no gain')")
+    folded = lines.select("model_name", F.explode(F.expr(
+        f"aggregate(seen, named_struct('prod', CAST(NULL AS {prod}), 'rows', CAST(array() AS array<{row}>)), "
+        f"(s, x) -> named_struct('prod', CAST(CASE WHEN {reason} <> 'no gain' THEN {own} ELSE s.prod END AS {prod}), "
+        f"'rows', concat(s.rows, array(CAST({out} AS {row})))), s -> s.rows)")).alias("r"))
+    return folded.select("model_name", "r.*")
 
 
 def version_status(gate: DataFrame, as_of, staging_days: int = 7) -> DataFrame:
@@ -94,33 +83,10 @@ def version_status(gate: DataFrame, as_of, staging_days: int = 7) -> DataFrame:
     return g.withColumn("status", status).drop("_old_acc", "_rank")
 
 
-def promotions(status: DataFrame) -> DataFrame:
-    """The promotion log implied by the statuses, with timestamps."""
-    d = F.col("training_date")
-    day = lambda n: d + F.make_dt_interval(F.lit(n))
-    st = F.col("status")
-    steps = F.array(
-        F.struct(F.lit("candidate").alias("from_status"), F.lit("staging").alias("to_status"), day(1).alias("promoted_at"),
-                 (F.col("accepted")).alias("happened")),
-        F.struct(F.lit("candidate").alias("from_status"), F.lit("failed").alias("to_status"), day(1).alias("promoted_at"),
-                 (~F.col("accepted")).alias("happened")),
-        F.struct(F.lit("staging").alias("from_status"), F.lit("production").alias("to_status"), day(2).alias("promoted_at"),
-                 st.isin("production", "deprecated").alias("happened")),
-    )
-    base = status.select("model_name", "version", F.inline(steps)).filter("happened").drop("happened")
-    # deprecation happens when the next production version is promoted
-    prod = base.filter(F.col("to_status") == "production")
-    w = Window.partitionBy("model_name").orderBy("promoted_at")
-    dep = (prod.withColumn("next_at", F.lead("promoted_at").over(w))
-           .filter(F.col("next_at").isNotNull())
-           .select("model_name", "version", F.lit("production").alias("from_status"),
-                   F.lit("deprecated").alias("to_status"), F.col("next_at").alias("promoted_at")))
-    return base.unionByName(dep)
-
-
 def promotion_audit(log: DataFrame) -> DataFrame:
-    """Each logged transition with its legality and, for promotions to
-    production, the version it displaced."""
+    """Each transition of any promotion log (model_name, version, from_status,
+    to_status, promoted_at) with its legality and, for promotions to production,
+    the version it displaced. A transition to or from null is not legal."""
     spark = log.sparkSession
     legal = spark.createDataFrame([(a, b, True) for a, b in LEGAL_TRANSITIONS],
                                   "from_status string, to_status string, is_legal boolean")
@@ -141,7 +107,7 @@ def production_model(status: DataFrame, log: DataFrame) -> DataFrame:
     return top.join(cur, ["model_name", "version"], "inner")
 
 
-def model_history(status: DataFrame, k: int = HISTORY_K) -> DataFrame:
+def model_history(status: DataFrame, k: int) -> DataFrame:
     """Newest k versions per model line (a top-k report)."""
     w = Window.partitionBy("model_name").orderBy(F.col("training_date").desc(), F.col("version").desc())
     return (status.withColumn("recency", F.row_number().over(w)).filter(F.col("recency") <= k)

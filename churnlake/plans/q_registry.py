@@ -12,6 +12,7 @@ from churnlake.plans.q_abtest import TESTS_CTE
 from churnlake.plans.q_monitoring import _ALERTS_SQL, _degradation, _report
 from churnlake.plans.registry import register
 from churnlake.sources.predictions import AS_OF, ab_tests, prediction_log
+from churnlake.sources import registry_fixture as RF
 from churnlake.sources.tables import mapping_a
 
 LABEL_GRID_START = "2024-01-01"
@@ -29,7 +30,7 @@ def scored_log(spark, sf_dir):
 
 
 def versions(spark, sf_dir):
-    return R.weekly_versions(scored_log(spark, sf_dir))
+    return RF.weekly_versions(scored_log(spark, sf_dir))
 
 
 def status(spark, sf_dir):
@@ -37,7 +38,7 @@ def status(spark, sf_dir):
 
 
 def promo_log(spark, sf_dir):
-    return R.promotions(status(spark, sf_dir))
+    return RF.promotions(status(spark, sf_dir))
 
 
 def reg_body(snap: str) -> str:
@@ -68,15 +69,33 @@ ver AS (
   FROM cnt c LEFT JOIN aucs a USING (model_name, training_date)),
 verm AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2.0 * precision * recall / (precision + recall) END AS f1
          FROM ver),
-g0 AS (SELECT *, lag(version) OVER w AS prev_version, lag(auc) OVER w AS prev_auc,
+g0 AS (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY training_date) AS step,
               coalesce(abs(avg_probability - avg(avg_probability) OVER (PARTITION BY model_name))
                 / abs(avg(avg_probability) OVER (PARTITION BY model_name)) * 100.0 > 10.0, false) AS drift_reason
-       FROM verm WINDOW w AS (PARTITION BY model_name ORDER BY training_date)),
-gate AS (SELECT model_name, version, training_date, auc, prev_version, prev_auc,
-                coalesce(auc, 0.0) - coalesce(prev_auc, 0.0) AS auc_improvement, drift_reason,
-                prev_version IS NULL OR coalesce(auc, 0.0) - coalesce(prev_auc, 0.0) > 0.01
-                  OR (coalesce(auc, 0.0) - coalesce(prev_auc, 0.0) >= -0.005 AND drift_reason) AS accepted
-         FROM g0),
+       FROM verm),
+walk AS (
+  SELECT g.model_name, g.step, g.version, g.training_date, g.auc, NULL::VARCHAR AS prod_version,
+         NULL::DOUBLE AS prod_auc, coalesce(g.auc, 0.0) AS auc_improvement,
+         coalesce(g.precision, 0.0) AS precision_improvement, coalesce(g.recall, 0.0) AS recall_improvement,
+         g.drift_reason, 'first model' AS reason, true AS accepted,
+         g.version AS now_version, g.auc AS now_auc, g.precision AS now_precision, g.recall AS now_recall
+  FROM g0 g WHERE g.step = 1
+  UNION ALL
+  SELECT model_name, step, version, training_date, auc, prod_version, prod_auc, gain, pgain, rgain, drift_reason,
+         reason, reason <> 'no gain',
+         CASE WHEN reason <> 'no gain' THEN version ELSE prod_version END,
+         CASE WHEN reason <> 'no gain' THEN auc ELSE prod_auc END,
+         CASE WHEN reason <> 'no gain' THEN precision ELSE prod_precision END,
+         CASE WHEN reason <> 'no gain' THEN recall ELSE prod_recall END
+  FROM (SELECT *, CASE WHEN gain > 0.01 THEN 'auc gain' WHEN gain >= -0.005 AND drift_reason THEN 'drift'
+                       ELSE 'no gain' END AS reason
+        FROM (SELECT g.*, w.now_version AS prod_version, w.now_auc AS prod_auc, w.now_precision AS prod_precision,
+                     w.now_recall AS prod_recall, coalesce(g.auc, 0.0) - coalesce(w.now_auc, 0.0) AS gain,
+                     coalesce(g.precision, 0.0) - coalesce(w.now_precision, 0.0) AS pgain,
+                     coalesce(g.recall, 0.0) - coalesce(w.now_recall, 0.0) AS rgain
+              FROM walk w JOIN g0 g ON g.model_name = w.model_name AND g.step = w.step + 1))),
+gate AS (SELECT model_name, version, training_date, auc, prod_version, prod_auc, auc_improvement,
+                precision_improvement, recall_improvement, drift_reason, reason, accepted FROM walk),
 st0 AS (SELECT *, accepted AND NOT (training_date >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY) AS old_acc,
                training_date >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY AS recent FROM gate),
 st AS (SELECT * EXCLUDE (old_acc, recent, rk),
@@ -96,7 +115,7 @@ promo AS (SELECT * FROM base UNION ALL SELECT * FROM dep)"""
 
 
 REG_SQL = (O.grid_sql("A", LABEL_GRID_START, LABEL_GRID_DAYS, 1, features=(), with_label=True, label_days=1)
-           + ",\n" + O.PREDICTIONS_CTE + ",\n" + reg_body("snap"))
+           + ",\n" + O.PREDICTIONS_CTE + ",\n" + reg_body("snap")).replace("WITH", "WITH RECURSIVE", 1)
 
 
 @register("model_versions", REG_SQL + """
@@ -132,14 +151,18 @@ _LEGAL = ", ".join(f"('{a}', '{b}')" for a, b in R.LEGAL_TRANSITIONS)
 
 @register("promotion_audit", REG_SQL + f""",
 legal AS (SELECT * FROM (VALUES {_LEGAL}) v(from_status, to_status)),
+plog AS (SELECT * FROM promo UNION ALL
+         SELECT model_name, version, 'failed', 'production', promoted_at + INTERVAL 3 DAY FROM promo
+         WHERE to_status = 'failed'),
 disp AS (SELECT model_name, version, lag(version) OVER (PARTITION BY model_name ORDER BY promoted_at) AS displaced_version
-         FROM promo WHERE to_status = 'production')
+         FROM plog WHERE to_status = 'production')
 SELECT p.from_status, p.to_status, p.model_name, p.version, p.promoted_at,
        EXISTS (SELECT 1 FROM legal l WHERE l.from_status = p.from_status AND l.to_status = p.to_status) AS is_legal,
        CASE WHEN p.to_status = 'production' THEN d.displaced_version END AS displaced_version
-FROM promo p LEFT JOIN disp d USING (model_name, version)""")
+FROM plog p LEFT JOIN disp d USING (model_name, version)""")
 def q_promotion_audit(spark, sf_dir):
-    return R.promotion_audit(promo_log(spark, sf_dir))
+    """The audit of a log in which failed versions went to production."""
+    return R.promotion_audit(RF.with_skipped_steps(promo_log(spark, sf_dir)))
 
 
 @register("production_model", REG_SQL + """,
@@ -155,7 +178,7 @@ SELECT model_name, version, training_date, status, auc, recency FROM (
   SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY training_date DESC, version DESC) AS recency FROM st)
 WHERE recency <= 3""")
 def q_model_history(spark, sf_dir):
-    return R.model_history(status(spark, sf_dir)).withColumn("recency", F.col("recency").cast("long"))
+    return R.model_history(status(spark, sf_dir), k=3).withColumn("recency", F.col("recency").cast("long"))
 
 
 @register("staging_models", REG_SQL + """
@@ -186,7 +209,7 @@ def q_retraining_signals(spark, sf_dir):
     return R.retraining_signals(_report(spark, sf_dir), _degradation(spark, sf_dir), M.prediction_volume(log, AS_OF))
 
 
-_DASH_SQL = (_SIGNALS_SQL + ",\n"
+_DASH_SQL = (_SIGNALS_SQL.replace("WITH", "WITH RECURSIVE", 1) + ",\n"
              + O.grid_sql("A", LABEL_GRID_START, LABEL_GRID_DAYS, 1, features=(), with_label=True, label_days=1,
                           prefix="rg_", with_mapping=False)
              + ",\n" + reg_body("rg_snap") + ",\n" + TESTS_CTE + """
