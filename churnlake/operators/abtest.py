@@ -58,29 +58,35 @@ def results_by_variant(results: DataFrame) -> DataFrame:
 
 
 def user_partials(log: DataFrame, extra=()) -> DataFrame:
-    """Per user: count, sum and sum of squares of the probability, latency
-    sum / min / max (plus ``extra`` aggregates). Combined map-side, so a user
-    with a third of the log is one row per task before any shuffle."""
+    """Per user: count, mean and summed squared deviations (m2) of the
+    probability, latency sum / min / max (plus ``extra`` aggregates). Combined
+    map-side, so a user with a third of the log is one row per task before any
+    shuffle."""
     return log.groupBy("user_id").agg(
-        F.expr("count(1) AS n"), F.expr("sum(churn_probability) AS s1"),
-        F.expr("sum(churn_probability * churn_probability) AS s2"),
+        F.expr("count(1) AS n"), F.expr("count(churn_probability) AS np"), F.expr("avg(churn_probability) AS mean"),
+        F.expr("var_pop(churn_probability) * count(churn_probability) AS m2"),
         F.expr("sum(latency_ms) AS ls"), F.expr("min(latency_ms) AS lmin"), F.expr("max(latency_ms) AS lmax"),
         *extra)
 
 
 def results_by_variant_from_partials(partials: DataFrame, assignments: DataFrame) -> DataFrame:
     """``results_by_variant`` of (log joined to assignments on the user),
-    computed from per-user partials: the join sees one row per user."""
-    p = partials.select("user_id", "n", "s1", "s2", "ls", "lmin", "lmax")
+    computed from per-user partials: the join sees one row per user. Squared
+    deviations are merged around the variant's own mean, in a second step, so a
+    small spread around a large mean is not lost to cancellation."""
+    p = partials.select("user_id", "n", "np", "mean", "m2", "ls", "lmin", "lmax")
     j = p.join(assignments.select("user_id", "test_name", "variant"), "user_id", "inner")
-    g = j.groupBy("test_name", "variant").agg(
-        F.expr("sum(n) AS num_predictions"), F.expr("sum(s1) AS s1"), F.expr("sum(s2) AS s2"),
-        F.expr("sum(ls) AS ls"), F.expr("min(lmin) AS min_latency"), F.expr("max(lmax) AS max_latency"))
-    return g.selectExpr(
-        "test_name", "variant", "num_predictions", "s1 / num_predictions AS avg_probability",
-        "CASE WHEN num_predictions > 1 THEN sqrt(greatest(s2 - s1 * s1 / num_predictions, 0.0D)"
-        " / (num_predictions - 1)) END AS std_probability",
-        "ls / num_predictions AS avg_latency", "min_latency", "max_latency")
+    keys = ["test_name", "variant"]
+    g = j.groupBy(*keys).agg(
+        F.expr("sum(n) AS num_predictions"), F.expr("sum(np) AS known"), F.expr("sum(np * mean) / sum(np) AS avg_probability"),
+        F.expr("sum(ls) / sum(n) AS avg_latency"), F.expr("min(lmin) AS min_latency"),
+        F.expr("max(lmax) AS max_latency"))
+    spread = (j.join(g.select(*keys, "avg_probability"), keys).groupBy(*keys)
+              .agg(F.expr("sum(m2 + np * (mean - avg_probability) * (mean - avg_probability)) AS m2")))
+    return g.join(spread, keys).selectExpr(
+        *keys, "num_predictions", "avg_probability",
+        "CASE WHEN known > 1 THEN sqrt(m2 / (known - 1)) END AS std_probability",
+        "avg_latency", "min_latency", "max_latency")
 
 
 def welch(stats: DataFrame) -> DataFrame:

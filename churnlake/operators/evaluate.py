@@ -100,7 +100,7 @@ def prediction_histogram(scored: DataFrame, bins: int = 10, score: str = "churn_
                     (F.col("bin") / F.lit(float(bins))).alias("upper"), "n")
 
 
-def feature_importance(contributions: DataFrame, top: int = 5) -> DataFrame:
+def feature_importance(contributions: DataFrame, top: int) -> DataFrame:
     """Mean |contribution| per feature over all scored users, top-n."""
     return (contributions.groupBy("feature_name")
             .agg(F.avg(F.abs("contribution")).alias("mean_abs_contribution"))
@@ -125,10 +125,8 @@ def fit_logistic(train: DataFrame, features: Sequence[str] = S.FEATURE_COLUMNS,
     return Pipeline(stages=[asm, scl, lr]).fit(data)
 
 
-def model_coefficients(pipeline_model, features: Sequence[str] = S.FEATURE_COLUMNS) -> DataFrame:
+def model_coefficients(spark, pipeline_model, features: Sequence[str] = S.FEATURE_COLUMNS) -> DataFrame:
     """(term, coefficient) of a fitted pipeline: the 11 fitted parameters."""
-    from pyspark.sql import SparkSession
-
     lr = pipeline_model.stages[-1]
     rows = [("intercept", float(lr.intercept))] + [(f, float(w)) for f, w in zip(features, lr.coefficients)]
-    return SparkSession.getActiveSession().createDataFrame(rows, "term string, coefficient double")
+    return spark.createDataFrame(rows, "term string, coefficient double")

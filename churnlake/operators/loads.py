@@ -77,7 +77,7 @@ def domain_violations(d: Domain) -> DataFrame:
     billing = _violations("billing_events", d.billing_events, {
         "user_id_null": c("user_id").isNull(),
         "status_domain": ~F.coalesce(c("status").isin(*S.BILLING_STATUSES), F.lit(False)),
-        "amount_negative": c("amount") < 0,
+        "amount_negative": c("amount").isNull() | (c("amount") < 0),
         "event_time_null": c("event_time").isNull(),
     })
     return users.unionByName(events).unionByName(billing)

@@ -12,14 +12,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlake.functions import stats as ST
 from churnlake.functions.timefn import ts
 from churnlake.sources import schemas as S
-from churnlake.sources.store import upsert
+from churnlake.sources.store import upsert_table
 
 DRIFT_P = 0.05
 DRIFT_MEAN_CHANGE = 30.0
@@ -94,8 +94,9 @@ def prediction_features(log: DataFrame) -> DataFrame:
                       *[parsed[c].alias(c) for c in S.MONITORED_FEATURES])
 
 
-def recent_predictions(log: DataFrame, as_of, days: int = 7, limit: int | None = 5000) -> DataFrame:
-    """Predictions with features in the last ``days`` days; newest ``limit`` by id."""
+def recent_predictions(log: DataFrame, as_of, days: int = 7, limit: int | None = None) -> DataFrame:
+    """Predictions with features in the last ``days`` days: all of them, or with a
+    ``limit`` the newest by id."""
     lo = ts(str(as_of)[:10]) - F.make_dt_interval(F.lit(days))
     r = log.filter((F.col("prediction_time") >= lo) & (F.col("prediction_time") < ts(str(as_of)[:10]))
                    & F.col("features").isNotNull())
@@ -192,9 +193,10 @@ def drift_rows(report: DataFrame, check_date) -> DataFrame:
                          F.format_string("Mean change: %.1f%%", F.col("mean_change_pct")).alias("notes"))
 
 
-def drift_log(existing: DataFrame, new_rows: DataFrame) -> DataFrame:
-    """Full-row upsert keyed by (check_date, feature_name)."""
-    return upsert(existing, new_rows, ["check_date", "feature_name"])
+def drift_log(spark: SparkSession, path: str, new_rows: DataFrame) -> DataFrame:
+    """Full-row upsert into the stored drift log, keyed by (check_date,
+    feature_name); returns the table."""
+    return upsert_table(spark, path, new_rows, ["check_date", "feature_name"], "check_date")
 
 
 # --- degradation, alerts, report -----------------------------------------------

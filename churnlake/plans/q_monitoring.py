@@ -18,7 +18,8 @@ from churnlake.sources.predictions import (
     prediction_log_with_features,
     training_baseline_frame,
 )
-from churnlake.sources.store import upsert
+from churnlake.session import scratch_path
+from churnlake.sources.store import upsert_table, write_snapshots
 from churnlake.sources.tables import mapping_a
 
 FEATS = S.MONITORED_FEATURES
@@ -94,7 +95,7 @@ def _flog(spark, sf_dir):
 
 
 def _current(spark, sf_dir, as_of=AS_OF, days=7):
-    return M.prediction_features(M.recent_predictions(_flog(spark, sf_dir), as_of, days, limit=None))
+    return M.prediction_features(M.recent_predictions(_flog(spark, sf_dir), as_of, days))
 
 
 def _baseline(spark, sf_dir):
@@ -176,13 +177,15 @@ SELECT * FROM old o WHERE NOT EXISTS (
 
 @register("metrics_upsert", _UPSERT_SQL)
 def q_metrics_upsert(spark, sf_dir):
-    """A stale cache-only metrics table before 01-20, upserted with a full
-    recomputation from 01-15 on (key: date, hour, version)."""
+    """A stored, stale cache-only metrics table before 01-20, upserted with a full
+    recomputation from 01-15 on (key: date, hour, version) and read back."""
     log = _log(spark, sf_dir)
     old = M.hourly_metrics(log.filter(F.col("from_cache") & (F.col("prediction_time") < F.lit("2024-01-20")
                                                              .cast("timestamp_ntz"))))
     new = M.hourly_metrics(log).filter(F.col("metric_date") >= F.lit("2024-01-15").cast("date"))
-    return upsert(old, new, ["metric_date", "metric_hour", "model_version"])
+    path = scratch_path(spark, "metrics")
+    write_snapshots(old, path, ("metric_date",))
+    return upsert_table(spark, path, new, ["metric_date", "metric_hour", "model_version"], "metric_date")
 
 
 # --- features in the log, drift ----------------------------------------------------
@@ -196,10 +199,10 @@ def q_prediction_features(spark, sf_dir):
 
 @register("recent_predictions", PF_SQL + f"""
 SELECT prediction_id, user_id, churn_probability, prediction_time, model_version FROM pf
-WHERE {_recent_where(AS_OF, 7)} ORDER BY prediction_id DESC LIMIT 5000""")
+WHERE {_recent_where(AS_OF, 7)}""")
 def q_recent_predictions(spark, sf_dir):
-    """Newest 5000 predictions with features in the last 7 days (a top-k report)."""
-    return (M.recent_predictions(_flog(spark, sf_dir), AS_OF, 7, 5000)
+    """Every prediction with features in the last 7 days."""
+    return (M.recent_predictions(_flog(spark, sf_dir), AS_OF, 7)
             .select("prediction_id", "user_id", "churn_probability", "prediction_time", "model_version"))
 
 
@@ -224,7 +227,10 @@ def q_drift_ks(spark, sf_dir):
 
 @register("drift_mean_change", _DRIFT + "\nSELECT feature_name, baseline_mean, current_mean, mean_change_pct FROM rep_w")
 def q_drift_mean_change(spark, sf_dir):
-    return _report(spark, sf_dir).select("feature_name", "baseline_mean", "current_mean", "mean_change_pct")
+    base = _baseline(spark, sf_dir).select("feature_name", F.col("mean").alias("baseline_mean"))
+    return (M.drift_moments(_current(spark, sf_dir)).join(base, "feature_name")
+            .select("feature_name", "baseline_mean", "current_mean",
+                    M.drift_mean_change(F.col("current_mean"), F.col("baseline_mean")).alias("mean_change_pct")))
 
 
 _REPORT_COLS = ("feature_name", "n", "current_mean", "current_std", "min_value", "max_value", "baseline_mean",
@@ -281,8 +287,9 @@ def q_drift_log(spark, sf_dir):
     then the 7-day check for 01-31 replaces its day's rows."""
     old = (M.drift_rows(_report(spark, sf_dir, AS_OF, 3), AS_OF)
            .unionByName(M.drift_rows(_report(spark, sf_dir, "2024-01-24", 7), "2024-01-24")))
-    new = M.drift_rows(_report(spark, sf_dir, AS_OF, 7), AS_OF)
-    return M.drift_log(old, new)
+    path = scratch_path(spark, "drift-log")
+    M.drift_log(spark, path, old)
+    return M.drift_log(spark, path, M.drift_rows(_report(spark, sf_dir, AS_OF, 7), AS_OF))
 
 
 _DEGR_SQL = HOURLY_SQL + f""",

@@ -39,17 +39,10 @@ def active_store(spark, sf_dir):
     return grid.join(active, "user_id", "left_semi")
 
 
-_FITTED: dict[tuple[str, str], SC.Scaler] = {}
-
-
 def model(spark, sf_dir) -> SC.LogisticModel:
     """The scoring model: fixed weights over the standardiser fitted on the
-    training rows. The fitted parameters are a model artefact (20 numbers),
-    fitted once per application and data folder, as a loaded model would be."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITTED:
-        _FITTED[key] = SC.fit_scaler(training_baseline_frame(spark, sf_dir))
-    return SC.LogisticModel(_FITTED[key])
+    training rows (20 numbers). Fitted for each query: the fit is part of its work."""
+    return SC.LogisticModel(SC.fit_scaler(training_baseline_frame(spark, sf_dir)))
 
 
 def latest(spark, sf_dir):
@@ -357,7 +350,7 @@ def q_lr_fit(spark, sf_dir):
     """pyspark.ml logistic regression fitted on the train split; the 11 fitted
     parameters (solver-dependent, so checked by tolerance tests, not SQL)."""
     t = EV.temporal_split(training(spark, sf_dir), 6).filter(F.col("split") == "train")
-    return EV.model_coefficients(EV.fit_logistic(t, c=1.0, max_iter=100))
+    return EV.model_coefficients(spark, EV.fit_logistic(t, c=1.0, max_iter=100))
 
 
 @register("lr_eval_auc")

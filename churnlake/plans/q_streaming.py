@@ -1,7 +1,8 @@
 """Registered streaming queries. Each job lands its input (derived
 from the test tables) as day files in a fresh folder under the checkpoint root,
-runs the Structured Streaming query with ``availableNow`` and returns the sink
-as a batch DataFrame; the oracle is the batch result it must equal."""
+runs the Structured Streaming query with ``availableNow``, lands the rest, runs
+it again on the same sink and checkpoint, and returns the sink as a batch
+DataFrame; the oracle is the batch result it must equal."""
 
 from __future__ import annotations
 
@@ -17,62 +18,76 @@ from churnlake.sources.predictions import ab_existing, ab_tests, prediction_log
 from churnlake.sources.tables import mapping_a, read_table
 from churnlake.streaming import jobs as J
 
-LATE_BEFORE = "2024-01-16"
+HALF = "2024-01-16"
 DUP_FROM = "2024-01-20"
 
 
-def _landed_log(spark, sf_dir):
-    log = prediction_log(spark, sf_dir)
-    path = scratch_path(spark, "landing-log")
-    J.write_landing(log, path, F.to_date("prediction_time"))
-    return path, log.schema
+def _in_two_calls(spark, df, time_col, run):
+    """Rows before ``HALF`` land and are processed, then the others: the second
+    call goes on from the first one's sink and checkpoint."""
+    landing, sink, ckpt = (scratch_path(spark, f"stream-{x}") for x in ("landing", "sink", "checkpoint"))
+    cut = F.lit(HALF).cast("timestamp_ntz")
+    out = None
+    for half in (df.filter(F.col(time_col) < cut), df.filter(~(F.col(time_col) < cut))):
+        J.write_landing(half, landing, F.to_date(time_col))
+        out = run(landing, sink, ckpt)
+    return out
 
 
 @register("stream_ingest", "WITH " + O.PREDICTIONS_CTE + "\nSELECT *, CAST(NULL AS VARCHAR) AS features FROM predictions")
 def q_stream_ingest(spark, sf_dir):
     """File-source ingest of the prediction log into a parquet sink."""
-    path, schema = _landed_log(spark, sf_dir)
-    return J.ingest(spark, path, schema, scratch_path(spark, "ingest-sink"))
+    log = prediction_log(spark, sf_dir)
+    return _in_two_calls(spark, log, "prediction_time", lambda a, b, c: J.ingest(spark, a, log.schema, b, c))
 
 
 @register("stream_hourly_metrics", _LOG_ONLY + "\nSELECT * FROM hourly")
 def q_stream_hourly_metrics(spark, sf_dir):
     """Watermarked 1-hour windows per version, update mode into a changelog."""
-    path, schema = _landed_log(spark, sf_dir)
-    df, _ = J.streaming_hourly_metrics(spark, path, schema)
-    return df
+    log = prediction_log(spark, sf_dir)
+    return _in_two_calls(spark, log, "prediction_time", lambda a, b, c: J.streaming_hourly_metrics(
+        spark, a, log.schema, b, c, watermark="1 day"))
 
 
-@register("stream_late_events", _LOG_ONLY + f"\nSELECT * FROM hourly WHERE metric_date >= DATE '{LATE_BEFORE}'")
+@register("stream_late_events", _LOG_ONLY + f"""
+SELECT *, (SELECT count(*) FROM predictions WHERE prediction_time < TIMESTAMP '{HALF}') AS late_rows
+FROM hourly WHERE metric_date >= DATE '{HALF}'""")
 def q_stream_late_events(spark, sf_dir):
     """Predictions from before 01-16 land after the rest: with a 1-day
-    watermark they are late and dropped; the metrics cover the on-time days."""
+    watermark they are late; the metrics cover the on-time days, and the late
+    rows are counted."""
     log = prediction_log(spark, sf_dir)
-    cut = F.lit(LATE_BEFORE).cast("timestamp_ntz")
-    path = scratch_path(spark, "landing-late")
-    J.write_landing(log.filter(F.col("prediction_time") >= cut), path, F.to_date("prediction_time"))
-    df, _ = J.streaming_hourly_metrics(spark, path, log.schema, watermark="1 day", max_files=None,
-                                       late=log.filter(F.col("prediction_time") < cut))
-    return df
+    cut = F.lit(HALF).cast("timestamp_ntz")
+    landing, sink, ckpt = (scratch_path(spark, f"late-{x}") for x in ("landing", "sink", "checkpoint"))
+    df = None
+    for part in (log.filter(F.col("prediction_time") >= cut), log.filter(F.col("prediction_time") < cut)):
+        J.write_landing(part, landing, F.to_date("prediction_time"))
+        df = J.streaming_hourly_metrics(spark, landing, log.schema, sink, ckpt, watermark="1 day")
+    return df.withColumn("late_rows", F.lit(J.late_rows(spark, landing, log.schema, df)).cast("long"))
 
 
 @register("stream_latest_vectors", FIX_SQL + "\nSELECT * FROM latest")
 def q_stream_latest_vectors(spark, sf_dir):
-    """Snapshot files arrive one per trigger; the latest table is merged per batch."""
+    """Snapshots arrive in two deliveries; each is merged into the latest table."""
     store = active_store(spark, sf_dir)
-    path = scratch_path(spark, "landing-store")
-    J.write_landing(store, path, F.to_date("feature_date"))
-    return J.streaming_latest_vectors(spark, path, store.schema, max_files=1)
+    return _in_two_calls(spark, store, "feature_date", lambda a, b, c: J.streaming_latest_vectors(
+        spark, a, store.schema, b, c))
+
+
+def _third(batch):
+    """The fixture's candidates: user u takes part in test exp-(u % 3)."""
+    return (batch.groupBy("user_id").agg(F.min("prediction_time").alias("first_seen"))
+            .select("user_id", F.concat(F.lit("exp-"), (F.col("user_id") % 3).cast("string")).alias("test_name"),
+                    "first_seen"))
 
 
 @register("stream_ab_assign", AB_SQL + "\nSELECT user_id, test_name, variant, control_version, variant_version, source"
           " FROM assign")
 def q_stream_ab_assign(spark, sf_dir):
     """Sticky assignment applied to each micro-batch of the log."""
-    path, schema = _landed_log(spark, sf_dir)
-    existing = scratch_path(spark, "assign-existing")
-    ab_existing(spark, sf_dir).write.mode("overwrite").parquet(existing)
-    out = J.streaming_assign(spark, path, schema, ab_tests(spark, sf_dir), existing)
+    log = prediction_log(spark, sf_dir)
+    out = _in_two_calls(spark, log, "prediction_time", lambda a, b, c: J.streaming_assign(
+        spark, a, log.schema, ab_tests(spark, sf_dir), _third, ab_existing(spark, sf_dir), b, c))
     return out.select("user_id", "test_name", "variant", "control_version", "variant_version", "source")
 
 
@@ -82,9 +97,8 @@ def q_stream_sliding_activity(spark, sf_dir):
     """30-day windows sliding by a day per user; the window ending at d equals
     the events_30d feature at d."""
     ev = mapping_a(spark, sf_dir).user_events
-    path = scratch_path(spark, "landing-activity")
-    J.write_landing(ev, path, F.to_date("event_time"))
-    return J.streaming_sliding_counts(spark, path, ev.schema)
+    return _in_two_calls(spark, ev, "event_time", lambda a, b, c: J.streaming_sliding_counts(
+        spark, a, ev.schema, b, c, watermark="1 day"))
 
 
 def _activity(spark, sf_dir):
@@ -113,11 +127,11 @@ def q_sessionize(spark, sf_dir):
 
 @register("stream_sessions", _SESS_SQL + "\nSELECT user_id, session_start, session_end, events FROM sess")
 def q_stream_sessions(spark, sf_dir):
-    """session_window(30 minutes) on the stream, closed by a sentinel event."""
+    """session_window(30 minutes) on the stream: final sessions from the sink,
+    open ones from the rows that are in none."""
     ev = _activity(spark, sf_dir)
-    path = scratch_path(spark, "landing-sessions")
-    J.write_landing(ev, path, F.to_date("event_time"))
-    return J.streaming_sessions(spark, path, ev.schema)
+    return _in_two_calls(spark, ev, "event_time", lambda a, b, c: J.streaming_sessions(
+        spark, a, ev.schema, b, c)).drop("closed")
 
 
 @register("stream_dedupe", "WITH " + O.PREDICTIONS_CTE + "\nSELECT *, CAST(NULL AS VARCHAR) AS features FROM predictions")
@@ -125,10 +139,10 @@ def q_stream_dedupe(spark, sf_dir):
     """Days from 01-20 on are delivered twice; dropDuplicatesWithinWatermark on
     prediction_id restores the log."""
     log = prediction_log(spark, sf_dir)
-    path = scratch_path(spark, "landing-dupes")
-    J.write_landing(log, path, F.to_date("prediction_time"))
-    J.write_landing(log.filter(F.col("prediction_time") >= F.lit(DUP_FROM).cast("timestamp_ntz")),
-                    path, F.to_date("prediction_time"), name="copy")
-    return J.streaming_dedupe(spark, path, log.schema, ["prediction_id"])
-
-
+    landing, sink, ckpt = (scratch_path(spark, f"dupes-{x}") for x in ("landing", "sink", "checkpoint"))
+    again = log.filter(F.col("prediction_time") >= F.lit(DUP_FROM).cast("timestamp_ntz"))
+    out = None
+    for name, part in (("part", log), ("copy", again)):
+        J.write_landing(part, landing, F.to_date("prediction_time"), name=name)
+        out = J.streaming_dedupe(spark, landing, log.schema, ["prediction_id"], sink, ckpt)
+    return out

@@ -8,10 +8,10 @@ folder named by the session is always used.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def build_session(cpus: str | int = "*", shuffle_partitions: int = 8, app: str = "churnlake",
@@ -38,33 +38,26 @@ def build_session(cpus: str | int = "*", shuffle_partitions: int = 8, app: str =
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (tests, local runs)
-    a new temp folder is created and registered.
+    Read from ``spark.checkpoint.dir``. Where it is unset, a local session gets a
+    new temp folder; on a cluster, whose executors share no temp folder, that is
+    an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="churnlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique sub-folder of the checkpoint root for one job's output."""
-    root = checkpoint_root(spark)
-    base = root[len("file:"):] if root.startswith("file:") else root
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
-    import uuid
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """A new, unique sub-folder of the checkpoint root for one job's output, made
+    through the Hadoop FileSystem of its path."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    return path

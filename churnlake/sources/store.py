@@ -3,9 +3,9 @@
 * snapshots are written partitioned by ``feature_date`` with dynamic partition
   overwrite, so recomputing a date replaces exactly that partition (no duplicate
   appends) and reads by date or range are partition-pruned;
-* parquet has no MERGE: an upsert is a full outer join on the key with
-  ``coalesce(new, old)`` per column, written to a new version folder (a plan may
-  not read and overwrite the same path), only for the partitions it touches.
+* parquet has no MERGE: ``upsert_table`` joins the partitions that the new rows
+  touch, writes them to a folder of their own (a plan may not read and overwrite
+  one path) and only then replaces those partitions; others keep their files.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake.functions.timefn import ts
+from churnlake.session import scratch_path
 
 
 def write_snapshots(df: DataFrame, path: str, partition_by: Sequence[str] = ("feature_date",)) -> None:
@@ -66,3 +67,31 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     j = o.join(n, keys, "full")
     return j.select(*keys, *[F.when(F.col("_in_new"), F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}")).alias(c)
                              for c in values])
+
+
+def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], partition: str) -> DataFrame:
+    """Upsert ``new`` into the table at ``path``, which is partitioned by
+    ``partition``, one of ``keys``; returns the table.
+
+    Only the partitions with new rows are read and replaced. Their merged rows are
+    complete in a scratch folder before the table is touched, and dynamic
+    partition overwrite switches them when its job commits, so a lost executor or
+    a failed merge leaves the old rows."""
+    if partition not in keys:
+        raise ValueError("the partition column must be one of the keys")
+    touched = new.select(partition).distinct()
+    merged = new
+    if table_exists(spark, path):
+        old = spark.read.schema(new.schema).parquet(path).select(*new.columns)
+        merged = upsert(old.join(touched, partition, "left_semi"), new, keys)
+    staged = scratch_path(spark, "upsert")
+    merged.write.mode("overwrite").parquet(staged)
+    write_snapshots(spark.read.schema(merged.schema).parquet(staged), path, (partition,))
+    return spark.read.schema(new.schema).parquet(path).select(*new.columns)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder holds anything, through the Hadoop FileSystem."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.exists(folder)) and len(fs.listStatus(folder)) > 0

@@ -1,11 +1,11 @@
 """Structured Streaming forms of the ingest, metrics, store and assignment jobs
 (SURVEY §2.J), plus the batch sessionizer they are checked against.
 
-Every query reads a file source with an explicit schema, runs with
-``trigger(availableNow=True)`` and a checkpoint under the session's checkpoint
-root, and writes either a parquet sink or, through ``foreachBatch``, an
-idempotent changelog partitioned by batch id (a re-run batch overwrites its own
-partition). Readers fold the changelog with ``max_by(..., batch_id)``.
+Every job takes the folder it watches, its sink and its checkpoint, runs with
+``trigger(availableNow=True)`` until it has read all files, and can be called
+again with the same folders: it then reads only files that landed since. Parquet
+sinks commit through the checkpoint; ``foreachBatch`` sinks are idempotent, so a
+batch that is run again after a failure replaces what it wrote.
 
 Event time: the tables hold ``timestamp_ntz``; watermarks need ``timestamp``.
 The conversion goes through epoch microseconds so it does not depend on the
@@ -23,14 +23,15 @@ from pyspark.sql import types as T
 from churnlake.operators import abtest as AB
 from churnlake.operators.scoring import latest_features
 from churnlake.session import scratch_path
+from churnlake.sources.store import table_exists, write_snapshots
 
+SESSION_GAP_SECONDS = 1800
+USER_BUCKETS = 64  # partitions of the tables that are merged by user
 
 
 def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
 
-SESSION_GAP_SECONDS = 1800
-
 
 def to_instant(ntz: Column) -> Column:
     """timestamp_ntz (UTC wall clock) -> timestamp, zone independent."""
@@ -43,40 +44,20 @@ def to_wallclock(instant: Column) -> Column:
     return _epoch() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
-def _fs(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop FileSystem of the path (any scheme)."""
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def list_children(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return [st.getPath().getName() for st in fs.listStatus(p)]
-
-
-def _run(writer, checkpoint: str, state_partitions: int | None = None):
-    """Start with ``availableNow`` and wait. A new checkpoint fixes the number of
-    state-store partitions from ``spark.sql.shuffle.partitions`` at its first
-    batch; it is set here to the cluster's parallelism (or ``state_partitions``)
-    for the start and restored afterwards, so stateful queries neither inherit
-    an unrelated batch setting nor run hundreds of tiny state tasks per batch."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    n = state_partitions or spark.sparkContext.defaultParallelism
-    prev = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    try:
-        q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        q.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", prev)
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of its own for a streaming query. A new checkpoint fixes the
+    number of state-store partitions from the shuffle setting; it is sized to the
+    cluster's parallelism here, without touching the caller's session."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    return own
+
+
+def _run(writer, checkpoint: str):
+    """Process everything that has landed, then stop."""
+    q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
     return q
 
 
@@ -93,16 +74,22 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
     return r.parquet(path)
 
 
+def landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows below the watched folder, as a batch."""
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
 # --- J1 ingest ------------------------------------------------------------------------
 
-def ingest(spark: SparkSession, landing: str, schema: T.StructType, sink: str, max_files: int = 4) -> DataFrame:
+def ingest(spark: SparkSession, landing: str, schema: T.StructType, sink: str, checkpoint: str,
+           max_files: int | None = None) -> DataFrame:
     """File source -> parquet sink, exactly once through the checkpoint."""
-    s = read_stream(spark, landing, schema, max_files)
-    _run(s.writeStream.format("parquet").option("path", sink), scratch_path(spark, "ckpt-ingest"))
+    s = read_stream(stream_session(spark), landing, schema, max_files)
+    _run(s.writeStream.format("parquet").option("path", sink), checkpoint)
     return spark.read.schema(schema).parquet(sink)
 
 
-# --- changelog sink --------------------------------------------------------------------
+# --- sinks of foreachBatch ----------------------------------------------------------------
 
 def changelog_writer(path: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -120,6 +107,27 @@ def fold_changelog(spark: SparkSession, path: str, keys: Sequence[str]) -> DataF
             .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals]))
 
 
+def user_bucket(user_id: Column) -> Column:
+    return F.pmod(F.xxhash64(user_id), F.lit(USER_BUCKETS)).cast("int")
+
+
+def merge_by_user(spark: SparkSession, sink: str, rows: DataFrame,
+                  merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
+    """Merge ``rows`` into the table at ``sink``, which is partitioned by user
+    bucket. Only buckets that ``rows`` touch are read and replaced; their merged
+    rows are complete in a scratch folder before the table is touched."""
+    new = rows.withColumn("bucket", user_bucket(F.col("user_id")))
+    touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most USER_BUCKETS
+    if not touched:
+        return
+    old = None
+    if table_exists(spark, sink):
+        old = rows.sparkSession.read.parquet(sink).filter(F.col("bucket").isin(touched)).drop("bucket")
+    staged = scratch_path(spark, "merge")
+    merge(old, rows).withColumn("bucket", user_bucket(F.col("user_id"))).write.mode("overwrite").parquet(staged)
+    write_snapshots(rows.sparkSession.read.parquet(staged), sink, ("bucket",))
+
+
 # --- J2 / J3 hourly metrics on a stream ----------------------------------------------------
 
 def hourly_partials(stream: DataFrame, watermark: str) -> DataFrame:
@@ -147,102 +155,83 @@ def finish_hourly(partials: DataFrame) -> DataFrame:
                            (F.col("cache_hits") / n).alias("cache_hit_rate"))
 
 
-def streaming_hourly_metrics(spark: SparkSession, landing: str, schema: T.StructType, watermark: str = "31 days",
-                             max_files: int | None = 4, late: DataFrame | None = None) -> tuple[DataFrame, int]:
+def streaming_hourly_metrics(spark: SparkSession, landing: str, schema: T.StructType, sink: str, checkpoint: str,
+                             watermark: str = "31 days", max_files: int | None = None) -> DataFrame:
     """Update-mode windowed aggregation into a changelog; returns the folded
-    metrics table and the number of rows the watermark dropped as late.
-
-    ``late``: rows that land in the watched folder only after a first pass."""
-    out = scratch_path(spark, "hourly-changelog")
-    ckpt = scratch_path(spark, "ckpt-hourly")
-
-    def once():
-        return _run(hourly_partials(read_stream(spark, landing, schema, max_files), watermark)
-                    .writeStream.outputMode("update").foreachBatch(changelog_writer(out)), ckpt)
+    metrics table of all calls so far."""
+    own = stream_session(spark)
+    _run(hourly_partials(read_stream(own, landing, schema, max_files), watermark)
+         .writeStream.outputMode("update").foreachBatch(changelog_writer(sink)), checkpoint)
+    return finish_hourly(fold_changelog(spark, sink, ["hour_start", "model_version"]))
 
-    dropped = _dropped(once())
-    if late is not None:
-        late.write.mode("append").parquet(f"{landing}/late-arrivals")
-        dropped += _dropped(once())
-    return finish_hourly(fold_changelog(spark, out, ["hour_start", "model_version"])), dropped
 
-
-def _dropped(q) -> int:
-    total = 0
-    for p in q.recentProgress:
-        for op in p.get("stateOperators", []):
-            total += int(op.get("numRowsDroppedByWatermark", 0))
-    return total
+def late_rows(spark: SparkSession, landing: str, schema: T.StructType, metrics: DataFrame) -> int:
+    """Rows that landed but are in no metric because they were late: a count over
+    the tables, complete however many batches or calls there were."""
+    seen = metrics.agg(F.coalesce(F.sum("total_predictions"), F.lit(0)).alias("n")).first()["n"]
+    return landed(spark, landing, schema).count() - int(seen)
 
 
 # --- J4 latest vectors ------------------------------------------------------------------
 
-def streaming_latest_vectors(spark: SparkSession, landing: str, schema: T.StructType, max_files: int = 1) -> DataFrame:
-    """Each micro-batch of snapshot rows is reduced to the newest vector per user
-    and merged into the latest table; the merge is written as a new version
-    folder ``v=<batch_id>`` (a plan never reads and overwrites one path), and a
-    restarted query finds the current version by listing."""
-    root = scratch_path(spark, "latest-vectors")
+def streaming_latest_vectors(spark: SparkSession, landing: str, schema: T.StructType, sink: str, checkpoint: str,
+                             max_files: int | None = None) -> DataFrame:
+    """The newest vector of every user, merged per micro-batch into the user
+    buckets that the batch touches."""
 
-    def current(before: int | None = None) -> str | None:
-        ids = [int(n[2:]) for n in list_children(spark, root) if n.startswith("v=")]
-        ids = [i for i in ids if before is None or i < before]
-        return f"{root}/v={max(ids)}" if ids else None
+    def newest(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        return latest_features(new if old is None else old.select(*new.columns).unionByName(new))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        fresh = latest_features(batch)
-        cur = current(before=batch_id)
-        merged = fresh if cur is None else latest_features(spark.read.schema(schema).parquet(cur).unionByName(fresh))
-        merged.write.mode("overwrite").parquet(f"{root}/v={batch_id}")
+        merge_by_user(spark, sink, batch, newest)
 
-    _run(read_stream(spark, landing, schema, max_files).writeStream.foreachBatch(merge),
-         scratch_path(spark, "ckpt-latest"))
-    cur = current()
-    return spark.read.schema(schema).parquet(cur) if cur else None
+    _run(read_stream(stream_session(spark), landing, schema, max_files).writeStream.foreachBatch(merge), checkpoint)
+    return spark.read.parquet(sink).select(*schema.fieldNames())
 
 
 # --- J5 sticky assignment -----------------------------------------------------------------
 
 def streaming_assign(spark: SparkSession, landing: str, schema: T.StructType, tests: DataFrame,
-                     existing_path: str, max_files: int = 4) -> DataFrame:
-    """Per micro-batch: (user, test) pairs not yet stored are assigned by hash
-    bucket and appended; replays are idempotent (same hash, anti join)."""
-    out = scratch_path(spark, "assignments")
-    tests = tests.cache()
+                     candidates: Callable[[DataFrame], DataFrame], existing: DataFrame, sink: str, checkpoint: str,
+                     max_files: int | None = None) -> DataFrame:
+    """``candidates`` turns a micro-batch into (user_id, test_name, first_seen);
+    pairs not yet stored are assigned by hash bucket and merged into the table of
+    assignments, which the first call starts from ``existing``. Assignments never
+    change, so a repeated batch changes nothing."""
+    if not table_exists(spark, sink):
+        first = existing.withColumn("source", F.lit("existing"))
+        write_snapshots(first.withColumn("bucket", user_bucket(F.col("user_id"))), sink, ("bucket",))
+
+    columns = [*existing.columns, "source"]
+
+    def add(old: DataFrame, new: DataFrame) -> DataFrame:
+        fresh = new.join(old.select("user_id", "test_name"), ["user_id", "test_name"], "left_anti")
+        return (old.select(*columns).unionByName(
+            AB.assign_new(fresh, tests).withColumn("source", F.lit("new")).select(*columns)))
 
     def assign(batch: DataFrame, batch_id: int) -> None:
-        stored = spark.read.parquet(existing_path)
-        done = [n for n in list_children(spark, out) if n.startswith("batch_id=") and int(n[9:]) < batch_id]
-        if done:
-            prev = spark.read.option("basePath", out).parquet(*[f"{out}/{n}" for n in done])
-            stored = stored.unionByName(prev.drop("batch_id").select(*stored.columns))
-        cand = (batch.groupBy("user_id").agg(F.min("prediction_time").alias("first_seen"))
-                .select("user_id", F.concat(F.lit("exp-"), (F.col("user_id") % 3).cast("string")).alias("test_name"),
-                        "first_seen"))
-        fresh = cand.join(stored.select("user_id", "test_name"), ["user_id", "test_name"], "left_anti")
-        new = AB.assign_new(fresh, tests).withColumn("source", F.lit("new"))
-        changelog_writer(out)(new, batch_id)
-
-    _run(read_stream(spark, landing, schema, max_files).writeStream.foreachBatch(assign),
-         scratch_path(spark, "ckpt-assign"))
-    existing = spark.read.parquet(existing_path).withColumn("source", F.lit("existing"))
-    return existing.unionByName(spark.read.parquet(out).drop("batch_id").select(*existing.columns))
+        merge_by_user(spark, sink, candidates(batch), add)
+
+    _run(read_stream(stream_session(spark), landing, schema, max_files).writeStream.foreachBatch(assign), checkpoint)
+    return spark.read.parquet(sink).select(*existing.columns, "source")
 
 
 # --- J6 sliding activity -------------------------------------------------------------------
 
-def streaming_sliding_counts(spark: SparkSession, landing: str, schema: T.StructType, days: int = 30,
-                             watermark: str = "31 days", max_files: int | None = 4) -> DataFrame:
+def streaming_sliding_counts(spark: SparkSession, landing: str, schema: T.StructType, sink: str, checkpoint: str,
+                             days: int = 30, watermark: str = "31 days", max_files: int | None = None) -> DataFrame:
     """Events per user in sliding ``days``-day windows advancing daily; the
-    window ending at midnight d is the feature events_{days}d at d."""
-    out = scratch_path(spark, "sliding-changelog")
-    ev = read_stream(spark, landing, schema, max_files)
+    window ending at midnight d is the feature events_{days}d at d. The state
+    holds daily counts only; windows are summed from the stored days in batch."""
+    ev = read_stream(stream_session(spark), landing, schema, max_files)
     agg = (ev.withColumn("et", to_instant(F.col("event_time"))).withWatermark("et", watermark)
-           .groupBy("user_id", F.window("et", f"{days} days", "1 day").alias("w"))
-           .agg(F.count(F.lit(1)).alias("events"))
-           .select("user_id", to_wallclock(F.col("w.end")).alias("feature_date"), "events"))
-    _run(agg.writeStream.outputMode("update").foreachBatch(changelog_writer(out)), scratch_path(spark, "ckpt-sliding"))
-    return fold_changelog(spark, out, ["user_id", "feature_date"])
+           .groupBy("user_id", F.window("et", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("events"))
+           .select("user_id", to_wallclock(F.col("w.start")).alias("day"), "events"))
+    _run(agg.writeStream.outputMode("update").foreachBatch(changelog_writer(sink)), checkpoint)
+    daily = fold_changelog(spark, sink, ["user_id", "day"])
+    ends = F.transform(F.sequence(F.lit(1), F.lit(days)), lambda k: F.col("day") + F.make_dt_interval(k))
+    return (daily.select("user_id", "events", F.explode(ends).alias("feature_date"))
+            .groupBy("user_id", "feature_date").agg(F.sum("events").alias("events")))
 
 
 # --- J7 sessions ----------------------------------------------------------------------------
@@ -287,48 +276,43 @@ def sessions_table(sessionized: DataFrame, gap_seconds: int = SESSION_GAP_SECOND
                  F.count(F.lit(1)).alias("events")))
 
 
-SENTINEL_USER = -1
-
-
-def streaming_sessions(spark: SparkSession, landing: str, schema: T.StructType, gap: str = "30 minutes",
-                       watermark: str = "31 days", max_files: int | None = 4, close: bool = True) -> DataFrame:
-    """``session_window`` per user on the stream (start, end, events), append
-    mode. A session is final only once the watermark passes its end; with
-    ``close`` a sentinel event far in the future (user -1, removed from the
-    output) is landed after the data so that every real session is emitted."""
-    out = scratch_path(spark, "sessions-changelog")
-    ckpt = scratch_path(spark, "ckpt-sessions")
-
-    def once():
-        ev = read_stream(spark, landing, schema, max_files)
-        agg = (ev.withColumn("et", to_instant(F.col("event_time"))).withWatermark("et", watermark)
-               .groupBy("user_id", F.session_window("et", gap).alias("s"))
-               .agg(F.count(F.lit(1)).alias("events"))
-               .select("user_id", to_wallclock(F.col("s.start")).alias("session_start"),
-                       to_wallclock(F.col("s.end")).alias("session_end"), "events"))
-        return _run(agg.writeStream.outputMode("append").foreachBatch(changelog_writer(out)), ckpt)
-
-    once()
-    if close:
-        sentinel = spark.range(1).select(
-            *[(F.lit(SENTINEL_USER).cast(f.dataType) if f.name == "user_id" else
-               F.lit("2100-01-01 00:00:00").cast(f.dataType) if f.name == "event_time" else
-               F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
-        sentinel.write.mode("append").parquet(f"{landing}/sentinel")
-        once()
-    if not list_children(spark, out):
-        return None
-    return spark.read.parquet(out).drop("batch_id").filter(F.col("user_id") != SENTINEL_USER)
+def streaming_sessions(spark: SparkSession, landing: str, schema: T.StructType, sink: str, checkpoint: str,
+                       gap: str = "30 minutes", watermark: str = "2 hours", max_files: int | None = None) -> DataFrame:
+    """``session_window`` per user (start, end, events, closed).
+
+    Sessions whose end the watermark has passed are final and come from the sink.
+    Rows of sessions still open are sessionised in batch from the watched folder:
+    those in no final session, as far as their sessions end after the watermark;
+    what ends before it was late and stays out."""
+    ev = read_stream(stream_session(spark), landing, schema, max_files)
+    agg = (ev.withColumn("et", to_instant(F.col("event_time"))).withWatermark("et", watermark)
+           .groupBy("user_id", F.session_window("et", gap).alias("s"))
+           .agg(F.count(F.lit(1)).alias("events"))
+           .select("user_id", to_wallclock(F.col("s.start")).alias("session_start"),
+                   to_wallclock(F.col("s.end")).alias("session_end"), "events"))
+    q = _run(agg.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
+    mark = (q.lastProgress or {}).get("eventTime", {}).get("watermark")
+    closed = spark.read.schema("user_id long, session_start timestamp_ntz, session_end timestamp_ntz, events long"
+                               ).parquet(sink)
+    e = landed(spark, landing, schema).alias("e")
+    c = closed.alias("c")
+    left = e.join(c, (F.col("e.user_id") == F.col("c.user_id")) & (F.col("e.event_time") >= F.col("c.session_start"))
+                  & (F.col("e.event_time") < F.col("c.session_end")), "left_anti")
+    open_ = sessions_table(sessionize(left)).drop("session_number")
+    if mark:
+        open_ = open_.filter(F.col("session_end") > F.lit(mark.replace("T", " ").rstrip("Z")).cast("timestamp_ntz"))
+    return (closed.withColumn("closed", F.lit(True))
+            .unionByName(open_.withColumn("closed", F.lit(False)).select("user_id", "session_start", "session_end",
+                                                                         "events", "closed")))
 
 
 # --- J8 dedupe --------------------------------------------------------------------------------
 
-def streaming_dedupe(spark: SparkSession, landing: str, schema: T.StructType, keys: Sequence[str],
-                     watermark: str = "31 days", max_files: int | None = 4) -> DataFrame:
+def streaming_dedupe(spark: SparkSession, landing: str, schema: T.StructType, keys: Sequence[str], sink: str,
+                     checkpoint: str, watermark: str = "31 days", max_files: int | None = None) -> DataFrame:
     """Drop repeated keys that arrive within the watermark delay."""
-    sink = scratch_path(spark, "dedupe-sink")
-    ev = (read_stream(spark, landing, schema, max_files)
+    ev = (read_stream(stream_session(spark), landing, schema, max_files)
           .withColumn("_et", to_instant(F.col("prediction_time"))).withWatermark("_et", watermark)
           .dropDuplicatesWithinWatermark(list(keys)).drop("_et"))
-    _run(ev.writeStream.format("parquet").option("path", sink), scratch_path(spark, "ckpt-dedupe"))
+    _run(ev.writeStream.format("parquet").option("path", sink), checkpoint)
     return spark.read.schema(schema).parquet(sink)

@@ -89,3 +89,64 @@ def test_sync_latest_uses_the_date_and_rejects_empty(spark):
     assert {r["avg_sessions_7d"] for r in both.collect()} == {15.0}
     with _pt.raises(ValueError):
         SC.sync_latest(store, "2024-01-22")
+
+
+def test_recent_predictions_are_not_capped(spark):
+    from churnlake.operators import monitor as M
+    day = F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")
+    log = spark.range(6000).select(F.col("id").alias("prediction_id"), day.alias("prediction_time"),
+                                   F.lit("{}").alias("features"))
+    assert M.recent_predictions(log, "2024-01-31").count() == 6000
+    assert M.recent_predictions(log, "2024-01-31", limit=10).count() == 10
+
+
+def test_upsert_writes_only_touched_partitions(spark):
+    import glob
+    import tempfile
+
+    from churnlake.sources.store import upsert_table
+    path = tempfile.mkdtemp(prefix="upsert-") + "/t"
+    schema = "day int, k string, v double"
+    keys = ["day", "k"]
+    upsert_table(spark, path, spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0), (2, "b", 3.0)], schema), keys, "day")
+    before = {f for f in glob.glob(path + "/day=*/*.parquet")}
+    got = upsert_table(spark, path, spark.createDataFrame([(2, "b", 9.0), (2, "c", None), (3, "a", 5.0)], schema),
+                       keys, "day")
+    assert sorted(tuple(r) for r in got.select("day", "k").collect()) == [(1, "a"), (2, "a"), (2, "b"), (2, "c"), (3, "a")]
+    assert {(r["day"], r["k"]): r["v"] for r in got.collect()}[(2, "b")] == 9.0
+    after = {f for f in glob.glob(path + "/day=*/*.parquet")}
+    assert {f for f in before if "/day=1/" in f} <= after and not {f for f in before if "/day=2/" in f} & after
+
+
+def test_variance_of_a_small_spread(spark):
+    from churnlake.operators import abtest as AB
+    log = spark.range(200_000).select((F.col("id") % 500).alias("user_id"), F.lit(1.0).alias("latency_ms"),
+                                      (F.lit(0.5) + F.when(F.col("id") % 2 == 0, 1e-8).otherwise(-1e-8))
+                                      .alias("churn_probability"))
+    who = spark.range(500).select(F.col("id").alias("user_id"), F.lit("t").alias("test_name"),
+                                  F.lit("control").alias("variant"))
+    got = AB.results_by_variant_from_partials(AB.user_partials(log), who).first()
+    assert abs(got["std_probability"] / 1e-8 - 1) < 1e-5 and got["num_predictions"] == 200_000
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    import pytest
+
+    from churnlake.session import checkpoint_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError):
+        checkpoint_root(Session())

@@ -19,52 +19,112 @@ def _land(spark, rows, path, name="part"):
     return df
 
 
+def _folders():
+    return [tempfile.mkdtemp(prefix=p) for p in ("land-", "sink-", "ckpt-")]
+
+
+def _same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_stream_hourly_equals_batch_out_of_order(spark):
     rows = [_pred(i, f"2024-01-{1 + (i * 7) % 9:02d} {(i * 5) % 24:02d}:{i % 60:02d}:00", (i % 10) / 10) for i in range(300)]
-    path = tempfile.mkdtemp(prefix="land-")
-    df = _land(spark, rows, path)
-    got, dropped = J.streaming_hourly_metrics(spark, path, S.PREDICTIONS, watermark="31 days", max_files=2)
+    land, sink, ckpt = _folders()
+    df = _land(spark, rows[:200], land)
+    J.streaming_hourly_metrics(spark, land, S.PREDICTIONS, sink, ckpt, max_files=2)
+    df = df.unionByName(_land(spark, rows[200:], land, name="second"))
+    got = J.streaming_hourly_metrics(spark, land, S.PREDICTIONS, sink, ckpt, max_files=2)
     from churnlake.plans.registry import rounded
     want = rounded(M.hourly_metrics(df), 9)   # sums are added in another order: compare to 1e-9
-    got = rounded(got.select(want.columns), 9)
-    assert dropped == 0
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-
-
-def test_late_rows_are_dropped(spark):
-    on_time = [_pred(i, f"2024-01-20 {i % 24:02d}:00:00") for i in range(50)]
-    late = [_pred(100 + i, "2024-01-10 05:00:00") for i in range(7)]
-    path = tempfile.mkdtemp(prefix="land-")
-    _land(spark, on_time, path)
-    got, dropped = J.streaming_hourly_metrics(spark, path, S.PREDICTIONS, watermark="1 day", max_files=None,
-                                              late=spark.createDataFrame(late, S.PREDICTIONS))
-    assert dropped > 0
+    assert _same(rounded(got.select(want.columns), 9), want)
+    assert J.late_rows(spark, land, S.PREDICTIONS, got) == 0
+
+
+def test_late_rows_are_dropped_and_counted(spark):
+    land, sink, ckpt = _folders()
+    _land(spark, [_pred(i, f"2024-01-20 {i % 24:02d}:00:00") for i in range(50)], land)
+    J.streaming_hourly_metrics(spark, land, S.PREDICTIONS, sink, ckpt, watermark="1 day")
+    _land(spark, [_pred(100 + i, "2024-01-10 05:00:00") for i in range(7)], land)
+    got = J.streaming_hourly_metrics(spark, land, S.PREDICTIONS, sink, ckpt, watermark="1 day")
     assert got.filter(F.col("metric_date") == F.lit("2024-01-10").cast("date")).count() == 0
     assert got.agg(F.sum("total_predictions")).collect()[0][0] == 50
+    assert J.late_rows(spark, land, S.PREDICTIONS, got) == 7
+
+
+def test_ingest_goes_on_where_it_stopped(spark):
+    land, sink, ckpt = _folders()
+    _land(spark, [_pred(i, "2024-01-02 01:00:00") for i in range(20)], land)
+    assert J.ingest(spark, land, S.PREDICTIONS, sink, ckpt).count() == 20
+    assert J.ingest(spark, land, S.PREDICTIONS, sink, ckpt).count() == 20
+    _land(spark, [_pred(100 + i, "2024-01-03 01:00:00") for i in range(5)], land)
+    assert J.ingest(spark, land, S.PREDICTIONS, sink, ckpt).count() == 25
 
 
 def test_duplicates_within_watermark_are_dropped(spark):
     rows = [_pred(i, f"2024-01-{1 + i % 5:02d} 01:00:00") for i in range(40)]
-    path = tempfile.mkdtemp(prefix="land-")
-    _land(spark, rows, path)
-    _land(spark, rows[:15], path, name="copy")
-    out = J.streaming_dedupe(spark, path, S.PREDICTIONS, ["prediction_id"])
+    land, sink, ckpt = _folders()
+    _land(spark, rows, land)
+    J.streaming_dedupe(spark, land, S.PREDICTIONS, ["prediction_id"], sink, ckpt)
+    _land(spark, rows[:15], land, name="copy")
+    out = J.streaming_dedupe(spark, land, S.PREDICTIONS, ["prediction_id"], sink, ckpt)
     assert out.count() == 40 and out.select("prediction_id").distinct().count() == 40
 
 
+def test_latest_vectors_replace_only_touched_buckets(spark):
+    import glob
+    schema = "user_id long, feature_date timestamp_ntz, x double"
+    land, sink, ckpt = _folders()
+    row = lambda u, d, x: (u, T(f"2024-01-{d:02d} 00:00:00"), x)
+    first = spark.createDataFrame([row(u, 1, 1.0) for u in range(50)], schema)
+    J.write_landing(first, land, F.to_date("feature_date"))
+    J.streaming_latest_vectors(spark, land, first.schema, sink, ckpt)
+    files = set(glob.glob(sink + "/bucket=*/*.parquet"))
+    J.write_landing(spark.createDataFrame([row(3, 2, 9.0), row(3, 1, 0.0)], schema), land, F.to_date("feature_date"),
+                    name="second")
+    got = {r["user_id"]: r["x"] for r in J.streaming_latest_vectors(spark, land, first.schema, sink, ckpt).collect()}
+    assert got == {**{u: 1.0 for u in range(50)}, 3: 9.0}
+    gone = files - set(glob.glob(sink + "/bucket=*/*.parquet"))
+    assert len({f.split("/")[-2] for f in gone}) == 1
+
+
+def test_assignment_of_any_test_is_sticky_across_calls(spark):
+    land, sink, ckpt = _folders()
+    tests = spark.createDataFrame([("blue", 0.5, "active", "c", "v"), ("red", 0.5, "paused", "c", "v")],
+                                  "test_name string, traffic_split double, status string, control_version string, "
+                                  "variant_version string")
+    old = spark.createDataFrame([(1, "blue", "variant", "c", "v", T("2023-01-01 00:00:00"))],
+                                "user_id long, test_name string, variant string, control_version string, "
+                                "variant_version string, assigned_at timestamp_ntz")
+    who = lambda b: (b.groupBy("user_id").agg(F.min("prediction_time").alias("first_seen"))
+                     .withColumn("test_name", F.explode(F.array(F.lit("blue"), F.lit("red")))))
+    run = lambda: J.streaming_assign(spark, land, S.PREDICTIONS, tests, who, old, sink, ckpt)
+    _land(spark, [_pred(i, "2024-01-02 01:00:00") for i in range(4)], land)
+    first = run()
+    a = {(r["user_id"], r["test_name"]): (r["variant"], r["source"]) for r in first.collect()}
+    _land(spark, [_pred(i, "2024-01-03 01:00:00") for i in range(7)], land, name="second")
+    b = {(r["user_id"], r["test_name"]): (r["variant"], r["source"]) for r in run().collect()}
+    assert len(b) == 14 and a.items() <= b.items() and b[(1, "blue")] == ("variant", "existing")
+    assert all(v == "control" for (u, t), (v, _) in b.items() if t == "red")
+
+
 def test_stream_sessions_equal_batch(spark):
     ev = [(u, T(f"2024-01-0{1 + k // 5} {k % 5 * 4:02d}:{(u * 13) % 60:02d}:00")) for u in range(4) for k in range(25)]
     ev += [(0, T("2024-01-01 00:10:00")), (0, T("2024-01-01 00:40:00")),   # exactly 30 min: same session
            (2, T("2024-01-05 10:00:00")), (2, T("2024-01-05 10:30:00.5")),  # 30 min 0.5 s: new session
-           (1, T("2024-01-01 23:50:00")), (1, T("2024-01-02 00:05:00"))]   # crosses the hour/day chunk
+           (-1, T("2024-01-01 23:50:00")), (-1, T("2024-01-02 00:05:00"))]  # crosses the hour/day chunk
     df = spark.createDataFrame(ev, "user_id long, event_time timestamp_ntz")
     batch = J.sessions_table(J.sessionize(df))
-    path = tempfile.mkdtemp(prefix="land-")
-    J.write_landing(df, path, F.to_date("event_time"))
-    stream = J.streaming_sessions(spark, path, df.schema)
+    land, sink, ckpt = _folders()
+    cut = F.lit("2024-01-03 00:00:00").cast("timestamp_ntz")
     cols = ["user_id", "session_start", "session_end", "events"]
-    b = batch.select(cols)
-    assert b.exceptAll(stream.select(cols)).count() == 0 and stream.select(cols).exceptAll(b).count() == 0
+    for part in (df.filter(F.col("event_time") < cut), df.filter(F.col("event_time") >= cut)):
+        J.write_landing(part, land, F.to_date("event_time"))
+        stream = J.streaming_sessions(spark, land, df.schema, sink, ckpt)
+    assert stream.filter("closed").count() > 0 and stream.filter("not closed").count() > 0
+    assert _same(batch.select(cols), stream.select(cols))
+    # more events land later, as a sentinel in the far future would have prevented
+    J.write_landing(spark.createDataFrame([(9, T("2024-01-06 10:00:00"))], df.schema), land, F.to_date("event_time"))
+    assert J.streaming_sessions(spark, land, df.schema, sink, ckpt).count() == batch.count() + 1
     # the naive single-window form agrees with the chunked form
     from pyspark.sql import Window
     w = Window.partitionBy("user_id").orderBy("event_time")

@@ -26,6 +26,6 @@ def test_split_fit_and_auc_agree_with_spark_ml(spark):
     ours = EV.auc(scored).collect()[0]["auc"]
     assert abs(ours - spark_auc) < 1e-6
     assert ours > 0.5   # better than chance on next-month inactivity
-    coefs = EV.model_coefficients(pm).collect()
+    coefs = EV.model_coefficients(spark, pm).collect()
     assert len(coefs) == 11 and all(abs(r["coefficient"]) < 1e3 for r in coefs)
     t.unpersist()
