@@ -4,10 +4,10 @@
 * ``kolmogorov_pvalue``: asymptotic Kolmogorov distribution with Stephens'
   small-sample correction, a 100-term alternating series built with ``aggregate``.
 * ``running_totals``: exact distributed prefix sums per group over a sorted value
-  (the building block of KS, AUC and PSI). Values are first cut into ``buckets``
-  ranges by approximate quantiles; offsets are summed over the (few) buckets and
-  the running sum runs inside each (group, bucket), so no task ever receives a
-  whole group.
+  (the building block of KS, AUC and PSI). Values are first cut into ranges by
+  approximate quantiles, as many as there are shuffle partitions; offsets are
+  summed over the ranges and the running sum runs inside each (group, range), so
+  no task ever receives a whole group.
 * ``exact_quantiles``: exact linear-interpolation quantiles per group from the
   same prefix sums (no task holds a group's values).
 * ``t_two_sided_pvalue``: Student-t two-sided p-value through the regularised
@@ -78,21 +78,31 @@ def kolmogorov_pvalue_sql(d: str, n_eff: str) -> str:
             f"ELSE least(greatest({series}, 0.0), 1.0) END)")
 
 
+def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], spread: str) -> DataFrame:
+    """Join the one row per group of ``stats`` (without keys: its one row) to the
+    rows of ``df``. The rows of a group are dealt by a hash of ``spread`` over as
+    many salts as there are shuffle partitions, and ``stats`` is repeated for each
+    salt: a group is never one task, whichever join the planner picks, and there
+    is no constant key that the optimizer could fold into a nested loop."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return (df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(n)).cast("int"))
+            .join(salted, [*keys, "_salt"]).drop("_salt"))
+
+
 def running_totals(df: DataFrame, keys: Sequence[str], value: str, sums: Sequence[str],
-                   buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+                   buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
     """Add ``cum_<s>`` = sum of ``s`` over rows of the same group with value <= this one.
 
     ``df`` must be unique on ``keys + [value]`` (aggregate first). Exact result;
-    the quantile cut only decides how the work is split.
+    the quantile cut only decides how the work is split: by default each group
+    into as many pieces as the session has shuffle partitions.
     """
     keys = list(keys)
-    if not keys:
-        df = df.withColumn("_g", F.lit(0))
-        keys = ["_g"]
-    fractions = [i / buckets for i in range(1, buckets)]
+    n = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    fractions = [i / n for i in range(1, n)]
     bounds = df.groupBy(*keys).agg(F.percentile_approx(F.col(value).cast("double"), fractions, accuracy).alias("_bounds"))
-    # one row per group (<= the number of monitored features / tests): small by construction
-    b = (df.join(F.broadcast(bounds), keys)
+    b = (attach(df, bounds, keys, value)
          .withColumn("_bucket", F.size(F.filter("_bounds", lambda e: e < F.col(value).cast("double"))))
          .drop("_bounds"))
     tot = b.groupBy(*keys, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
@@ -102,12 +112,11 @@ def running_totals(df: DataFrame, keys: Sequence[str], value: str, sums: Sequenc
     out = b.join(off, [*keys, "_bucket"])
     for s in sums:
         out = out.withColumn(f"cum_{s}", F.sum(s).over(wv) + F.col(f"_o_{s}"))
-    out = out.drop("_bucket", *[f"_o_{s}" for s in sums])
-    return out.drop("_g") if keys == ["_g"] else out
+    return out.drop("_bucket", *[f"_o_{s}" for s in sums])
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    buckets: int = 64) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (as ``percentile`` /
     ``quantile_cont``) per group, one column ``q<i>`` per probability.
 
@@ -116,14 +125,11 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     cumulative count exceeds i, found with a filtered ``min`` (map-side combined).
     """
     keys = list(keys)
-    if not keys:
-        df = df.withColumn("_g", F.lit(0))
-        keys = ["_g"]
     x = F.col(value).cast("double")
     counts = df.filter(x.isNotNull()).groupBy(*keys, x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     cum = running_totals(counts, keys, "_v", ["_c"], buckets)
     n = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    j = cum.join(n, keys)
+    j = attach(cum, n, keys, "_v")
     aggs = []
     for i, p in enumerate(probs):
         pos = (F.col("_n") - 1) * F.lit(float(p))
@@ -132,9 +138,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
                  F.min(F.when(F.col("cum__c") > hi, F.col("_v"))).alias(f"_hi{i}"),
                  F.first(pos - lo).alias(f"_fr{i}")]
     agg = j.groupBy(*keys).agg(*aggs)
-    out = agg.select(*keys, *[(F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
-                              .alias(f"q{i}") for i in range(len(probs))])
-    return out.drop("_g") if keys == ["_g"] else out
+    return agg.select(*keys, *[(F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
+                               .alias(f"q{i}") for i in range(len(probs))])
 
 
 # --- Student t ---------------------------------------------------------------

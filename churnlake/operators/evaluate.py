@@ -87,9 +87,11 @@ def prediction_summary(scored: DataFrame, score: str = "churn_probability") -> D
     x = F.col(score)
     m = scored.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
                    F.min(x).alias("min"), F.max(x).alias("max"))
-    q = ST.exact_quantiles(scored.select(F.lit(1).alias("_k"), x.alias("_s")), ["_k"], "_s", [0.25, 0.5, 0.75])
-    j = m.withColumn("_k", F.lit(1)).join(q, "_k", "left")  # one row on each side, joined on a constant key
-    return j.selectExpr("count", "mean", "std", "min", "q0 AS p25", "q1 AS p50", "q2 AS p75", "max")
+    q = ST.exact_quantiles(scored.select(x.alias("_s")), [], "_s", [0.25, 0.5, 0.75])
+    # one row each, side by side
+    cols = ["count", "mean", "std", "min", "max", "q0", "q1", "q2"]
+    both = m.unionByName(q, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in cols])
+    return both.selectExpr("count", "mean", "std", "min", "q0 AS p25", "q1 AS p50", "q2 AS p75", "max")
 
 
 def prediction_histogram(scored: DataFrame, bins: int = 10, score: str = "churn_probability") -> DataFrame:

@@ -132,7 +132,7 @@ def drift_mean_change(current_mean: Column, baseline_mean: Column) -> Column:
 
 
 def drift_ks(current: DataFrame, baseline: DataFrame, features: Sequence[str] = S.MONITORED_FEATURES,
-             buckets: int = 64) -> DataFrame:
+             buckets: int | None = None) -> DataFrame:
     """Exact one-sample KS of the current values against N(baseline mean, std).
 
     D = max over distinct values x of max(F_n(x) - Phi(x), Phi(x) - F_n(x-)),
@@ -142,8 +142,9 @@ def drift_ks(current: DataFrame, baseline: DataFrame, features: Sequence[str] =
     counts = lf.groupBy("feature_name", "value").agg(F.count(F.lit(1)).alias("c"))
     cum = ST.running_totals(counts, ["feature_name"], "value", ["c"], buckets)
     n = lf.groupBy("feature_name").agg(F.count(F.lit(1)).alias("n"))
-    j = cum.join(n, "feature_name").join(baseline.select("feature_name", F.col("mean").alias("b_mean"),
-                                                          F.col("std").alias("b_std")), "feature_name")
+    of = n.join(baseline.select("feature_name", F.col("mean").alias("b_mean"), F.col("std").alias("b_std")),
+                "feature_name")
+    j = ST.attach(cum, of, ["feature_name"], "value")
     phi = ST.normal_cdf(F.col("value"), F.col("b_mean"), F.col("b_std"))
     hi = F.try_divide(F.col("cum_c"), F.col("n"))
     lo = F.try_divide(F.col("cum_c") - F.col("c"), F.col("n"))
@@ -154,14 +155,14 @@ def drift_ks(current: DataFrame, baseline: DataFrame, features: Sequence[str] =
 
 
 def ks_two_sample(current: DataFrame, reference: DataFrame, features: Sequence[str] = S.MONITORED_FEATURES,
-                  buckets: int = 64) -> DataFrame:
+                  buckets: int | None = None) -> DataFrame:
     """Two-sample KS per feature against actual baseline rows: max |F1 - F2|."""
     a = long_features(current, features).select("feature_name", "value", F.lit(1).alias("c1"), F.lit(0).alias("c2"))
     b = long_features(reference, features).select("feature_name", "value", F.lit(0).alias("c1"), F.lit(1).alias("c2"))
     counts = a.unionByName(b).groupBy("feature_name", "value").agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
     cum = ST.running_totals(counts, ["feature_name"], "value", ["c1", "c2"], buckets)
     tot = counts.groupBy("feature_name").agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2"))
-    d = (cum.join(tot, "feature_name")
+    d = (ST.attach(cum, tot, ["feature_name"], "value")
          .groupBy("feature_name", "n1", "n2")
          .agg(F.max(F.abs(F.try_divide(F.col("cum_c1"), F.col("n1")) - F.try_divide(F.col("cum_c2"), F.col("n2"))))
               .alias("ks_statistic")))
@@ -170,7 +171,7 @@ def ks_two_sample(current: DataFrame, reference: DataFrame, features: Sequence[s
 
 
 def drift_report(current: DataFrame, baseline: DataFrame, features: Sequence[str] = S.MONITORED_FEATURES,
-                 buckets: int = 64) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Per feature: moments, KS vs the baseline normal, mean change, flags.
 
     drift_detected = p < 0.05 or mean change > 30 %; drift_score = 100 * KS.

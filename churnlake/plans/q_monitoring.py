@@ -19,7 +19,7 @@ from churnlake.sources.predictions import (
     training_baseline_frame,
 )
 from churnlake.session import scratch_path
-from churnlake.sources.store import upsert_table, write_snapshots
+from churnlake.sources.store import stored, upsert_table, write_snapshots
 from churnlake.sources.tables import mapping_a
 
 FEATS = S.MONITORED_FEATURES
@@ -95,15 +95,15 @@ def _flog(spark, sf_dir):
 
 
 def _current(spark, sf_dir, as_of=AS_OF, days=7):
-    return M.prediction_features(M.recent_predictions(_flog(spark, sf_dir), as_of, days))
+    return stored(M.prediction_features(M.recent_predictions(_flog(spark, sf_dir), as_of, days)), "recent-features")
 
 
 def _baseline(spark, sf_dir):
-    return M.baseline_statistics(training_baseline_frame(spark, sf_dir))
+    return stored(M.baseline_statistics(training_baseline_frame(spark, sf_dir)), "baseline")
 
 
 def _report(spark, sf_dir, as_of=AS_OF, days=7):
-    return M.drift_report(_current(spark, sf_dir, as_of, days), _baseline(spark, sf_dir))
+    return stored(M.drift_report(_current(spark, sf_dir, as_of, days), _baseline(spark, sf_dir)), "drift-report")
 
 
 def _degradation(spark, sf_dir):
@@ -425,7 +425,7 @@ FROM s GROUP BY feature_name"""
 @register("psi", _psi_sql())
 def q_psi(spark, sf_dir):
     """PSI of last week's logged features against the training rows' deciles."""
-    return M.psi(_current(spark, sf_dir), training_baseline_frame(spark, sf_dir))
+    return M.psi(_current(spark, sf_dir), stored(training_baseline_frame(spark, sf_dir), "training-rows"))
 
 
 @register("zscore_drift", _DRIFT + """

@@ -13,6 +13,7 @@ from churnlake.plans.q_monitoring import _ALERTS_SQL, _degradation, _report
 from churnlake.plans.registry import register
 from churnlake.sources.predictions import AS_OF, ab_tests, prediction_log
 from churnlake.sources import registry_fixture as RF
+from churnlake.sources.store import stored
 from churnlake.sources.tables import mapping_a
 
 LABEL_GRID_START = "2024-01-01"
@@ -205,8 +206,11 @@ sig AS (SELECT *, signals >= 1 AS should_retrain FROM signals)"""
 @register("retraining_signals", _SIGNALS_SQL + "\nSELECT * FROM sig")
 def q_retraining_signals(spark, sf_dir):
     """Drift, degradation and volume signals and the retraining decision."""
-    log = prediction_log(spark, sf_dir)
-    return R.retraining_signals(_report(spark, sf_dir), _degradation(spark, sf_dir), M.prediction_volume(log, AS_OF))
+    return _signals(spark, sf_dir, _report(spark, sf_dir), _degradation(spark, sf_dir))
+
+
+def _signals(spark, sf_dir, report, degradation):
+    return R.retraining_signals(report, degradation, M.prediction_volume(prediction_log(spark, sf_dir), AS_OF))
 
 
 _DASH_SQL = (_SIGNALS_SQL.replace("WITH", "WITH RECURSIVE", 1) + ",\n"
@@ -223,6 +227,7 @@ SELECT (SELECT count(*) FROM st WHERE status = 'production') AS production_model
 @register("dashboard_summary", _DASH_SQL)
 def q_dashboard_summary(spark, sf_dir):
     """Production / staging counts, active tests, retraining flag, alert count."""
-    sig = q_retraining_signals(spark, sf_dir)
-    alerts = M.alerts(_report(spark, sf_dir), _degradation(spark, sf_dir))
-    return R.dashboard_summary(status(spark, sf_dir), ab_tests(spark, sf_dir), sig, alerts)
+    report, degradation = _report(spark, sf_dir), stored(_degradation(spark, sf_dir), "degradation")
+    sig = _signals(spark, sf_dir, report, degradation)
+    return R.dashboard_summary(stored(status(spark, sf_dir), "status"), ab_tests(spark, sf_dir), sig,
+                               M.alerts(report, degradation))

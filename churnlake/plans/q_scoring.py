@@ -21,6 +21,7 @@ from churnlake.plans.q_features import (
 from churnlake.plans.registry import register
 from churnlake.sources import schemas as S
 from churnlake.sources.predictions import training_baseline_frame
+from churnlake.sources.store import stored
 from churnlake.sources.tables import mapping_a, mapping_b
 
 FEATS = S.FEATURE_COLUMNS
@@ -259,14 +260,14 @@ def _scaled_cols(src: str = "sp") -> str:
           " FROM sp, tstats")
 def q_feature_scaling(spark, sf_dir):
     """Standardise with the train split's mean and sample std (StandardScaler)."""
-    t = EV.temporal_split(training(spark, sf_dir), 6)
+    t = EV.temporal_split(stored(training(spark, sf_dir), "training"), 6)
     scaler = SC.fit_scaler(t.filter(F.col("split") == "train"))
     return SC.scale_features(t.drop("churned_30d"), scaler).select("user_id", "feature_date", "split", *FEATS)
 
 
 def _test_scored(spark, sf_dir):
     """Test split scored by the fixed-weight model standardised on the train split."""
-    t = EV.temporal_split(training(spark, sf_dir), 6)
+    t = EV.temporal_split(stored(training(spark, sf_dir), "training"), 6)
     m = SC.LogisticModel(SC.fit_scaler(t.filter(F.col("split") == "train")))
     return t.filter(F.col("split") == "test").select("user_id", "feature_date", "churned_30d",
                                                        m.probability().alias("churn_probability"))
@@ -349,14 +350,14 @@ def q_prediction_distribution(spark, sf_dir):
 def q_lr_fit(spark, sf_dir):
     """pyspark.ml logistic regression fitted on the train split; the 11 fitted
     parameters (solver-dependent, so checked by tolerance tests, not SQL)."""
-    t = EV.temporal_split(training(spark, sf_dir), 6).filter(F.col("split") == "train")
+    t = EV.temporal_split(stored(training(spark, sf_dir), "training"), 6).filter(F.col("split") == "train")
     return EV.model_coefficients(spark, EV.fit_logistic(t, c=1.0, max_iter=100))
 
 
 @register("lr_eval_auc")
 def q_lr_eval_auc(spark, sf_dir):
     """AUC of the fitted pipeline on the test split."""
-    t = EV.temporal_split(training(spark, sf_dir), 6)
+    t = EV.temporal_split(stored(training(spark, sf_dir), "training"), 6)
     pm = EV.fit_logistic(t.filter(F.col("split") == "train"), c=1.0, max_iter=100)
     from pyspark.ml.functions import vector_to_array
     pred = pm.transform(t.filter(F.col("split") == "test").withColumn("churned_30d", F.col("churned_30d").cast("double")))

@@ -22,6 +22,7 @@ from churnlake.plans.q_features import (
 )
 from churnlake.plans.registry import register
 from churnlake.sources import schemas as S
+from churnlake.sources.store import stored
 from churnlake.sources.tables import Domain, mapping_a, mapping_b
 
 CUSTOM_COLS = ("avg_amount_90d", "max_amount_90d", "min_amount_90d", "billing_rows_30d",
@@ -184,7 +185,7 @@ SELECT check_name, passed, CAST(sum(CAST(passed AS INTEGER)) OVER () AS BIGINT)
 
 @register("validation_report", _TRAIN_CTE + _report_sql())
 def q_validation_report(spark, sf_dir):
-    t = _training(spark, sf_dir)
+    t = stored(_training(spark, sf_dir), "training")
     return V.validation_report(t.drop("churned_30d"), t.select("churned_30d"))
 
 

@@ -90,6 +90,14 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[
     return spark.read.schema(new.schema).parquet(path).select(*new.columns)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a scratch folder of the store and read back: what is
+    used several times (feature vectors, a baseline, a report) is computed once."""
+    path = f"{scratch_path(df.sparkSession, name)}/t"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether the folder holds anything, through the Hadoop FileSystem."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

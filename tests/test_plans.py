@@ -14,7 +14,8 @@ def _plan(df) -> str:
 
 
 @pytest.mark.parametrize("key", ["feature_snapshot_b", "training_dataset", "training_dataset_daily",
-                                 "hourly_metrics", "score_batch", "ab_all_tests", "drift_ks", "sessionize"])
+                                 "hourly_metrics", "score_batch", "ab_all_tests", "drift_ks", "sessionize", "eval_auc", "psi",
+                                 "prediction_summary"])
 def test_no_nested_loop_or_cartesian(spark, key):
     p = _plan(E.queries()[key](spark, SF))
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
