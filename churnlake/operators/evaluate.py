@@ -127,6 +127,26 @@ def fit_logistic(train: DataFrame, features: Sequence[str] = S.FEATURE_COLUMNS,
     return Pipeline(stages=[asm, scl, lr]).fit(data)
 
 
+def logistic_gradient(train: DataFrame, pipeline_model, label: str = "churned_30d",
+                      features: Sequence[str] = S.FEATURE_COLUMNS) -> DataFrame:
+    """(term, train_rows, gradient): the derivative of the penalised mean loss by
+    every fitted parameter over all training rows. A fit is right when all are
+    near zero, whatever solver made it."""
+    from pyspark.ml.functions import vector_to_array
+
+    lr = pipeline_model.stages[-1]
+    reg = lr.getRegParam()
+    z = vector_to_array("features")
+    scored = pipeline_model.transform(train.withColumn(label, F.col(label).cast("double")))
+    err = vector_to_array("probability")[1] - F.col(label)
+    names = ["intercept", *features]
+    slopes = [F.avg(err).alias("g0")] + [(F.avg(err * z[i]) + F.lit(reg * float(w))).alias(f"g{i + 1}")
+                                         for i, w in enumerate(lr.coefficients)]
+    row = scored.agg(F.count(F.lit(1)).alias("train_rows"), *slopes)
+    stack = ", ".join(f"'{n}', g{i}" for i, n in enumerate(names))
+    return row.selectExpr("train_rows", f"stack({len(names)}, {stack}) AS (term, gradient)")
+
+
 def model_coefficients(spark, pipeline_model, features: Sequence[str] = S.FEATURE_COLUMNS) -> DataFrame:
     """(term, coefficient) of a fitted pipeline: the 11 fitted parameters."""
     lr = pipeline_model.stages[-1]

@@ -29,3 +29,15 @@ def test_split_fit_and_auc_agree_with_spark_ml(spark):
     coefs = EV.model_coefficients(spark, pm).collect()
     assert len(coefs) == 11 and all(abs(r["coefficient"]) < 1e3 for r in coefs)
     t.unpersist()
+
+
+def test_gradient_shows_whether_a_fit_is_at_its_optimum(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(x := rnd.gauss(0, 1), rnd.gauss(0, 2), int(rnd.random() < (0.8 if x > 0 else 0.3))) for _ in range(400)]
+    df = spark.createDataFrame(rows, "a double, b double, churned_30d int")
+    for iters, right in ((200, True), (1, False)):
+        pm = EV.fit_logistic(df, features=("a", "b"), max_iter=iters)
+        g = EV.logistic_gradient(df, pm, features=("a", "b")).collect()
+        assert {r["term"] for r in g} == {"intercept", "a", "b"} and {r["train_rows"] for r in g} == {400}
+        assert (max(abs(r["gradient"]) for r in g) < 1e-4) == right
