@@ -16,34 +16,6 @@ def ts(value: str | _dt.date | _dt.datetime) -> Column:
     return F.lit(str(value)).cast(TimestampNTZType())
 
 
-def midnight(value: str | _dt.date | _dt.datetime) -> Column:
-    """Feature dates are truncated to midnight everywhere."""
-    return F.date_trunc("DAY", ts(value)).cast(TimestampNTZType())
-
-
-def days_ago(t: Column, days: int) -> Column:
-    return t - F.make_dt_interval(F.lit(days))
-
-
-def days_later(t: Column, days: int) -> Column:
-    return t + F.make_dt_interval(F.lit(days))
-
-
-def elapsed_days(start: Column, end: Column) -> Column:
-    """(end - start) in days, from complete seconds, as double."""
-    return F.timestamp_diff("SECOND", start, end) / F.lit(86400.0)
-
-
-def whole_days(start: Column, end: Column) -> Column:
-    """Elapsed days rounded half away from zero, as int (``::int`` semantics)."""
-    return F.round(elapsed_days(start, end)).cast("int")
-
-
-def day_index(t: Column, origin: Column) -> Column:
-    """Calendar-day number of ``t`` counted from the midnight ``origin``."""
-    return F.datediff(F.to_date(t), F.to_date(origin))
-
-
 def to_python_date(value) -> _dt.date:
     if isinstance(value, _dt.datetime):
         return value.date()

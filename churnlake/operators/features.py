@@ -96,13 +96,6 @@ def _explode_back(grid: Grid, day: str, window_days: int) -> str:
     return f"CASE WHEN {lo} <= {hi} THEN sequence({lo}, {hi}) END"
 
 
-def _explode_forward(grid: Grid, day: str, window_days: int) -> str:
-    """Grid indices k with ``d_k <= t < d_k + window`` (SQL text)."""
-    lo = f"greatest({_floor_div(f'{day} - {window_days}', grid.step_days)} + 1, 0)"
-    hi = f"least({_floor_div(day, grid.step_days)}, {grid.n - 1})"
-    return f"CASE WHEN {lo} <= {hi} THEN sequence({lo}, {hi}) END"
-
-
 def _in_window(grid: Grid, day: str, k: str, window_days: int) -> str:
     """Exploded row at index k lies inside the last ``window_days`` before d_k."""
     return f"({day} >= {k} * {grid.step_days} - {window_days})"
@@ -230,19 +223,6 @@ def billing_aggregates(billing: DataFrame, grid: Grid, label_days: int | None =
     return rows.groupBy("user_id", "k").agg(*aggs)
 
 
-def label_flags(events: DataFrame, billing: DataFrame, grid: Grid,
-                window_days: int = LABEL_WINDOW_DAYS) -> DataFrame:
-    """(user_id, k) pairs with activity or a successful payment in [d_k, d_k + 30d)
-    (standalone form; the feature grid derives the label from its own passes)."""
-    rng = _time_range(grid, 0, window_days)
-    day = f"{grid.day_sql('event_time')} AS day"
-    act = events.filter(rng).selectExpr("user_id", day)
-    paid = billing.filter(f"status = 'successful' AND {rng}").selectExpr("user_id", day)
-    return (act.unionByName(paid)
-            .selectExpr("user_id", f"explode({_explode_forward(grid, 'day', window_days)}) AS k")
-            .groupBy("user_id", "k").agg(F.expr("1 AS retained")))
-
-
 def custom_aggregates(d: Domain, grid: Grid, specs: Sequence[FeatureSpec]) -> DataFrame | None:
     """(user_id, k) -> one column per declared spec; one explode per source."""
     out = None
@@ -366,7 +346,7 @@ def training_summary(training: DataFrame) -> DataFrame:
                         F.count_distinct("feature_date").alias("n_dates"),
                         F.min("feature_date").alias("min_date"),
                         F.max("feature_date").alias("max_date"),
-                        F.round(F.avg("churned_30d"), 6).alias("churn_rate"))
+                        F.avg("churned_30d").alias("churn_rate"))
 
 
 def split_features_labels(training: DataFrame) -> tuple[DataFrame, DataFrame]:

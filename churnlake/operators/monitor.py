@@ -232,6 +232,7 @@ def performance_degradation(metrics: DataFrame, as_of, days: int = 7) -> DataFra
 
 def alerts(drift: DataFrame, degradation: DataFrame) -> DataFrame:
     """One warning per drifted feature, one critical alert on degradation."""
+    # The two message texts.
     warn = (drift.filter(F.col("drift_detected"))
             .select(F.lit("warning").alias("alert_level"),
                     F.format_string("Data drift detected in %s (%.1f%% change)", F.col("feature_name"),
@@ -373,7 +374,3 @@ def schema_drift(log: DataFrame, expected: Sequence[str] = S.FEATURE_COLUMNS) ->
     return j.select("prediction_date", "feature_name", "n_rows",
                     (F.col("n_rows") - F.coalesce(F.col("n_present"), F.lit(0))).alias("rows_missing"),
                     F.coalesce(F.col("n_null"), F.lit(0)).alias("rows_null"))
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -54,22 +54,19 @@ billing_events AS (
 MAPPING_SQL = {"A": MAPPING_A, "B": MAPPING_B}
 
 FEATURE_SQL = {
-    "avg_sessions_7d": "round(coalesce(a.s7, 0) / 7.0, 6)",
+    "avg_sessions_7d": "(coalesce(a.s7, 0) / 7.0)",
     "sessions_30d": "CAST(coalesce(a.s30, 0) AS BIGINT)",
     "days_since_last_login": ("coalesce(CAST(round(date_sub('second', l.last_login, g.feature_date) / 86400.0)"
                               " AS INTEGER), 9999)"),
     "events_30d": "CAST(coalesce(a.e30, 0) AS BIGINT)",
     "failed_payments_30d": "CAST(coalesce(b.f30, 0) AS BIGINT)",
-    "total_spend_90d": "round(coalesce(b.spend, 0.0), 6)",
+    "total_spend_90d": "CAST(coalesce(b.spend, 0.0) AS DOUBLE)",
     "refunds_30d": "CAST(coalesce(b.r30, 0) AS BIGINT)",
     "is_pro_plan": "CAST(CASE WHEN u.plan_type = 'pro' THEN 1 ELSE 0 END AS INTEGER)",
     "is_paid_plan": "CAST(CASE WHEN u.plan_type IN ('basic', 'pro') THEN 1 ELSE 0 END AS INTEGER)",
     "days_since_signup": "CAST(round(date_sub('second', u.signup_date, g.feature_date) / 86400.0) AS INTEGER)",
 }
 FEATURE_ORDER = tuple(FEATURE_SQL)
-# The same expressions without rounding, for frames that are aggregated further.
-FEATURE_SQL_RAW = dict(FEATURE_SQL, avg_sessions_7d="coalesce(a.s7, 0) / 7.0",
-                       total_spend_90d="CAST(coalesce(b.spend, 0.0) AS DOUBLE)")
 
 
 def dates_cte(start, n: int = 1, step_days: int = 7) -> str:
@@ -80,14 +77,13 @@ def dates_cte(start, n: int = 1, step_days: int = 7) -> str:
 
 def grid_sql(mapping: str, start, n: int = 1, step_days: int = 7, features=FEATURE_ORDER,
              with_label: bool = False, existing_only: bool = False, user_filter: str | None = None,
-             extra_ctes: str = "", raw: bool = False, prefix: str = "", with_mapping: bool = True,
+             extra_ctes: str = "", prefix: str = "", with_mapping: bool = True,
              label_days: int = 30) -> str:
     """CTE list ending in ``{prefix}snap``: features (+ label) per user and date.
 
     ``prefix`` renames the grid CTEs so that two grids can share one query;
     ``with_mapping=False`` leaves out the leading ``WITH <mapping>,``."""
-    exprs = FEATURE_SQL_RAW if raw else FEATURE_SQL
-    cols = ",\n         ".join(f"{exprs[f]} AS {f}" for f in features)
+    cols = ",\n         ".join(f"{FEATURE_SQL[f]} AS {f}" for f in features)
     if cols:
         cols = ",\n         " + cols
     label = ""

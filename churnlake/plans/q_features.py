@@ -97,7 +97,7 @@ def training_dataset_daily(spark, sf_dir):
 
 @register("training_summary", TRAINING_SQL + """
 SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_users, count(DISTINCT feature_date) AS n_dates,
-       min(feature_date) AS min_date, max(feature_date) AS max_date, round(avg(churned_30d), 6) AS churn_rate
+       min(feature_date) AS min_date, max(feature_date) AS max_date, (avg(churned_30d)) AS churn_rate
 FROM snap""")
 def training_summary(spark, sf_dir):
     return FE.training_summary(FE.training_dataset(mapping_b(spark, sf_dir), TRAIN_START_B,
@@ -135,8 +135,8 @@ ce AS (
   FROM dates g JOIN user_events e
     ON e.event_time >= g.feature_date - INTERVAL 14 DAY AND e.event_time < g.feature_date
   GROUP BY ALL)""") + """
-SELECT s.user_id, s.feature_date, round(cb.avg_amount_90d, 6) AS avg_amount_90d,
-       round(cb.max_amount_90d, 6) AS max_amount_90d, round(cb.min_amount_90d, 6) AS min_amount_90d,
+SELECT s.user_id, s.feature_date, (cb.avg_amount_90d) AS avg_amount_90d,
+       (cb.max_amount_90d) AS max_amount_90d, (cb.min_amount_90d) AS min_amount_90d,
        CAST(coalesce(cb.billing_rows_30d, 0) AS BIGINT) AS billing_rows_30d,
        CAST(coalesce(ce.active_days_14d, 0) AS BIGINT) AS active_days_14d,
        CAST(coalesce(ce.searches_7d, 0) AS BIGINT) AS searches_7d

@@ -29,11 +29,11 @@ OBS_DATE = "2024-01-20"
 
 _VEC = ", ".join(f"s.{c}" for c in FEATS)
 # predictions + the daily vectors (the log's feature JSON, already parsed)
-PF_SQL = (O.grid_sql("A", LOG_GRID_START, LOG_GRID_DAYS, 1, raw=True) + ",\n" + O.PREDICTIONS_CTE + f""",
+PF_SQL = (O.grid_sql("A", LOG_GRID_START, LOG_GRID_DAYS, 1) + ",\n" + O.PREDICTIONS_CTE + f""",
 pf AS (SELECT p.*, {_VEC} FROM predictions p
        LEFT JOIN snap s ON s.user_id = p.user_id AND s.feature_date = date_trunc('day', p.prediction_time))""")
 
-_BASE_SNAP = O.grid_sql("A", "2024-01-03", 3, 7, raw=True, prefix="bz_", with_mapping=False)
+_BASE_SNAP = O.grid_sql("A", "2024-01-03", 3, 7, prefix="bz_", with_mapping=False)
 
 
 def _recent_where(as_of: str, days: int, alias: str = "") -> str:

@@ -63,9 +63,9 @@ def cache(spark, sf_dir):
 
 # --- SQL fixtures -------------------------------------------------------------------
 
-_STORE = O.grid_sql("A", STORE_START_A, STORE_N_A, STORE_STEP_A, raw=True, prefix="st_",
+_STORE = O.grid_sql("A", STORE_START_A, STORE_N_A, STORE_STEP_A, prefix="st_",
                     user_filter="u.user_id IN (SELECT user_id FROM user_events)")
-_BASE = O.grid_sql("A", "2024-01-03", 3, 7, raw=True, prefix="bz_", with_mapping=False)
+_BASE = O.grid_sql("A", "2024-01-03", 3, 7, prefix="bz_", with_mapping=False)
 _STATS = ("stats AS (SELECT " + ", ".join(
     f"avg(CAST({c} AS DOUBLE)) AS {c}_m, stddev_samp(CAST({c} AS DOUBLE)) AS {c}_s" for c in FEATS) + " FROM bz_snap)")
 FIX_SQL = f"""{_STORE},
@@ -166,11 +166,11 @@ def q_features_from_json(spark, sf_dir):
     from pyspark.sql import types as T
 
     from churnlake.sources.tables import read_table
-    ev = read_table(spark, sf_dir, "events").select(F.col("event_id").cast("long").alias("event_id"),
-                                                     "props")
+    id_ = F.col("event_id").cast("long")
+    ev = read_table(spark, sf_dir, "events").select(id_.alias("user_id"), SC.cache_key(id_).alias("cache_key"),
+                                                     F.col("props").alias("features"))
     schema = T.StructType([T.StructField("avg_sessions_7d", T.DoubleType()), T.StructField("k", T.LongType())])
-    parsed = F.from_json(F.col("props"), schema, {"mode": "PERMISSIVE"})
-    return ev.select("event_id", parsed["avg_sessions_7d"].alias("avg_sessions_7d"), parsed["k"].alias("k"))
+    return SC.features_from_json(ev, schema).select(F.col("user_id").alias("event_id"), "avg_sessions_7d", "k")
 
 
 @register("lookup_batch", _CACHE_SQL + """
@@ -218,7 +218,7 @@ def q_default_features(spark, sf_dir):
 
 # --- training / evaluation on mapping B ------------------------------------------------
 
-_TRAIN_SQL = O.grid_sql("B", TRAIN_START_B, TRAIN_N_B, TRAIN_STEP_B, with_label=True, existing_only=True, raw=True)
+_TRAIN_SQL = O.grid_sql("B", TRAIN_START_B, TRAIN_N_B, TRAIN_STEP_B, with_label=True, existing_only=True)
 
 
 def training(spark, sf_dir):

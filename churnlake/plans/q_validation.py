@@ -92,7 +92,7 @@ def q_null_counts(spark, sf_dir):
 
 
 @register("validate_nulls", _profile_cte() + ",\nnc AS (" + _null_counts_sql(_PROFILE_COLS) + """)
-SELECT column_name, round(null_count / row_count, 6) AS null_ratio, null_count / row_count <= 1 - 0.95 AS passed
+SELECT column_name, (null_count / row_count) AS null_ratio, null_count / row_count <= 1 - 0.95 AS passed
 FROM nc""")
 def q_validate_nulls(spark, sf_dir):
     return V.validate_nulls(_profile_frame(spark, sf_dir))
@@ -135,8 +135,8 @@ def _stability_sql() -> str:
     return f""",
 bd AS (SELECT feature_date, {means} FROM frame GROUP BY feature_date),
 st AS ({rows})
-SELECT column_name, round(std_of_means, 6) AS std_of_means, round(mean_of_means, 6) AS mean_of_means,
-       round(CASE WHEN mean_of_means > 0 THEN std_of_means / mean_of_means END, 6) AS cv,
+SELECT column_name, (std_of_means) AS std_of_means, (mean_of_means) AS mean_of_means,
+       (CASE WHEN mean_of_means > 0 THEN std_of_means / mean_of_means END) AS cv,
        coalesce(CASE WHEN mean_of_means > 0 THEN std_of_means / mean_of_means END <= 0.5, true) AS passed
 FROM st"""
 
@@ -147,7 +147,7 @@ def q_validate_stability(spark, sf_dir):
 
 
 @register("validate_label_distribution", _TRAIN_CTE + """
-SELECT round(avg(churned_30d), 6) AS churn_rate, CAST(0.15 AS DOUBLE) AS expected_rate,
+SELECT (avg(churned_30d)) AS churn_rate, CAST(0.15 AS DOUBLE) AS expected_rate,
        avg(churned_30d) >= 0.05 AND avg(churned_30d) <= 0.95 AS passed FROM frame""")
 def q_validate_label_distribution(spark, sf_dir):
     return V.validate_label_distribution(_training(spark, sf_dir))
@@ -155,7 +155,7 @@ def q_validate_label_distribution(spark, sf_dir):
 
 @register("label_counts", _TRAIN_CTE + """
 SELECT count(*) FILTER (WHERE churned_30d = 1) AS churned, count(*) FILTER (WHERE churned_30d = 0) AS retained,
-       round(avg(churned_30d), 6) AS churn_rate FROM frame""")
+       (avg(churned_30d)) AS churn_rate FROM frame""")
 def q_label_counts(spark, sf_dir):
     return V.label_counts(_training(spark, sf_dir))
 
@@ -191,10 +191,10 @@ def q_validation_report(spark, sf_dir):
 
 def _describe_sql() -> str:
     rows = "\nUNION ALL ".join(
-        f"SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS count, round(avg({c}), 6) AS mean, "
-        f"round(stddev_samp({c}), 6) AS std, round(CAST(min({c}) AS DOUBLE), 6) AS min, "
-        f"round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, "
-        f"round(quantile_cont({c}, 0.75), 6) AS p75, round(CAST(max({c}) AS DOUBLE), 6) AS max FROM frame"
+        f"SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS count, (avg({c})) AS mean, "
+        f"(stddev_samp({c})) AS std, (CAST(min({c}) AS DOUBLE)) AS min, "
+        f"(quantile_cont({c}, 0.25)) AS p25, (quantile_cont({c}, 0.5)) AS p50, "
+        f"(quantile_cont({c}, 0.75)) AS p75, (CAST(max({c}) AS DOUBLE)) AS max FROM frame"
         for c in S.FEATURE_COLUMNS)
     return "\n" + rows
 

@@ -116,12 +116,3 @@ def ab_assignments(spark: SparkSession, sf_dir: str, summary: DataFrame | None =
     summary = summary if summary is not None else ab_user_summary(spark, sf_dir)
     return sticky_assign(ab_candidates(spark, sf_dir, summary), ab_existing(spark, sf_dir, summary),
                          ab_tests(spark, sf_dir, summary))
-
-
-def ab_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ab_test_results: every logged prediction under its user's variant."""
-    log = prediction_log(spark, sf_dir).select("user_id", "churn_probability", "latency_ms",
-                                                 F.col("prediction_time").alias("recorded_at"))
-    a = ab_assignments(spark, sf_dir).select("user_id", "test_name", "variant")
-    return log.join(a, "user_id", "inner").select("user_id", "test_name", "variant", "churn_probability",
-                                                  "latency_ms", "recorded_at")

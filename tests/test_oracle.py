@@ -24,7 +24,7 @@ KEYS = sorted(ORACLE) if os.environ.get("CHURNLAKE_FULL_ORACLE") else DEFAULT
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6)
+        return "nan" if math.isnan(v) else v
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
