@@ -51,11 +51,35 @@ def op6(spark, sf_dir):
     return kn_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@register("op7_temperature_mixing")
+@register("op7_temperature_mixing", r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ \t\n\x0b\f\r]+')), 0) + 1 AS t FROM documents),
+s AS (SELECT source, sum(t)::BIGINT AS tokens FROM d GROUP BY source),
+-- passes of the smallest source are (top / tokens) ** (1 - alpha) when the largest is read once
+a AS (
+  SELECT max(tokens) AS top,
+    CASE WHEN max(tokens) = min(tokens) THEN 0.0
+         ELSE greatest(0.0, 1.0 - ln(2.0) / ln(max(tokens)::DOUBLE / min(tokens))) END::DOUBLE AS alpha FROM s),
+w AS (SELECT source, tokens, top, exp(alpha * ln(tokens / top::DOUBLE)) AS part FROM s, a),
+m AS (
+  SELECT source, tokens, part / sum(part) OVER () AS weight, floor(part * top + 1e-6)::BIGINT AS budget FROM w),
+u AS (
+  SELECT d.doc_id, d.source, d.t, m.tokens, m.weight, m.budget, unnest(range(0, m.budget // m.tokens + 1)) AS pass
+  FROM d JOIN m ON d.source IS NOT DISTINCT FROM m.source),
+h AS (
+  SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '/' || pass || '/7'), 1, 15))::BIGINT AS h FROM u),
+p AS (
+  SELECT *, pass * tokens + sum(t) OVER (PARTITION BY source, pass ORDER BY h, t ROWS UNBOUNDED PRECEDING) - t
+    AS start FROM h),
+k AS (SELECT *, floor(start / (1e6 * weight))::BIGINT AS block FROM p WHERE start < budget)
+SELECT doc_id, source, pass::INTEGER AS pass, t AS n_tokens, round(weight, 9) AS weight, block,
+  (row_number() OVER (PARTITION BY block ORDER BY h, source NULLS FIRST, pass, t) - 1)::INTEGER AS position
+FROM k""")
 def op7(spark, sf_dir):
     """The mixture of all sources: every document once at least, none of a small
     source more than twice, in blocks of a million tokens."""
-    return mixing.schedule(table(spark, sf_dir, "documents"), repeat_limit=2.0)
+    return (mixing.schedule(table(spark, sf_dir, "documents"), repeat_limit=2.0)
+            .withColumn("weight", F.round("weight", 9)))
 
 
 @register("op2_inverted_multi_index", """
