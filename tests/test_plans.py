@@ -23,7 +23,9 @@ def test_no_nested_loop_or_cartesian(spark, key):
 
 def test_time_bounds_reach_the_scan(spark):
     df = E.queries()["feature_snapshot_b"](spark, SF)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # scans are printed with all their filters
     p = df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     # the 30-day activity window and the 90-day billing window are pushed down
     assert "GreaterThanOrEqual(l_shipdate,1998-05-02T00:00)" in p
     assert "LessThan(l_shipdate,1998-06-01T00:00)" in p
