@@ -21,7 +21,9 @@ SEGMENTS = {
     # white space only separates
     "word": re.compile(f"[^{_WS}]+"),
 }
-CACHE_SEGMENTS = 400_000  # of two generations each; results do not depend on it
+# marks that may join an ASCII letter into one character, differently by case
+_MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
+CACHE_SEGMENTS = 600_000  # of two generations each; results do not depend on it
 CACHE_CHARS = 48          # longer segments hardly repeat
 
 
@@ -31,6 +33,12 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tk = Tokenizer.from_file(path)
         self.find = SEGMENTS[kind].findall
+        self.kind = kind
+        # a word of letters ends, or with its blank begins, at a token known by its mark
+        mark = (lambda t: t.endswith("</w>")) if kind == "word" else (lambda t: t.startswith("\u0120"))
+        self.marked = np.array([mark(self.tk.id_to_token(i) or "") for i in range(self.tk.get_vocab_size())])
+        self.point = {c: np.array(self.tk.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes() for c in ".,"}
+        self.separator = self.tk.encode("\n" if kind == "byte" else "|", add_special_tokens=False).ids[0]
         self.special = [t.content for t in self.tk.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -44,23 +52,78 @@ class Encoder:
             return b""
         if any(s in text for s in self.special):
             return np.array(self.tk.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if self.kind == "word" and (text.isascii() or not _MARKS.search(text)):
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # A-Z only
         if len(self.cache) > CACHE_SEGMENTS:
             self.before, self.cache = self.cache, {}
-        cache, segs, new = self.cache, self.find(text), []
-        for s in set(segs).difference(cache):
-            ids = self.before.get(s)
+        cache, segs = self.cache, self.find(text)
+        parts = list(map(cache.get, segs))
+        if None in parts:
+            at = [i for i, p in enumerate(parts) if p is None]
+            new = {segs[i] for i in at}
+            self._learn(new)
+            for i in at:
+                parts[i] = cache[segs[i]]
+            for s in new:
+                if len(s) > CACHE_CHARS:
+                    del cache[s]
+        return b"".join(parts)
+
+    def _learn(self, new: set[str]) -> None:
+        """Fill the cache. A comma or full stop after a letter that ends a segment
+        is a pre-token of its own, so the segment's ids are those of its word and
+        of the point. Words of letters are encoded in one text and cut at their
+        marks, most other segments in one text with separators."""
+        cache, before = self.cache, self.before
+        todo, pointed = set(), []
+        for s in new:
+            ids = before.get(s)
+            if ids is None and s[-1] in ".," and s[-2:-1].lower().isalpha():
+                pointed.append(s)
+                s = s[:-1]
+                if s in cache:
+                    continue
+                ids = before.get(s)
             if ids is None:
-                new.append(s)
+                todo.add(s)
             else:
                 cache[s] = ids
-        if new:
-            for s, e in zip(new, self.tk.encode_batch_fast(new, add_special_tokens=False)):
-                cache[s] = np.array(e.ids, dtype="<u4").tobytes()
-        out = b"".join(map(cache.__getitem__, segs))
-        for s in new:
-            if len(s) > CACHE_CHARS:
-                del cache[s]
-        return out
+        byte = self.kind == "byte"
+        words = [s for s in todo if (s[1:].isalpha() and s[0] == " " if byte else s.isalpha())]
+        self._cut_at_marks(words, byte)
+        rest = [s for s in todo if s not in cache]
+        # a line feed stands alone before a blank or a word, a bar between blanks
+        self._cut_at_separators([s for s in rest if not s.isspace() and (byte or "|" not in s)], byte)
+        odd = [s for s in rest if s not in cache]
+        for s, e in zip(odd, self.tk.encode_batch_fast(odd, add_special_tokens=False)):
+            cache[s] = np.array(e.ids, dtype="<u4").tobytes()
+        for s in pointed:
+            cache[s] = cache[s[:-1]] + self.point[s[-1]]
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tk.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _store(self, segs: list[str], ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        data = ids.tobytes()
+        for s, a, b in zip(segs, (4 * begin).tolist(), (4 * end).tolist()):
+            self.cache[s] = data[a:b]
+
+    def _cut_at_marks(self, words: list[str], byte: bool) -> None:
+        if not words:
+            return
+        ids = self._ids(("" if byte else " ").join(words))
+        at = np.flatnonzero(self.marked[ids])
+        cut = np.append(at, len(ids)) if byte else np.append(0, at + 1)
+        if len(cut) == len(words) + 1:  # else a letter's lower case holds a mark that parts the word
+            self._store(words, ids, cut[:-1], cut[1:])
+
+    def _cut_at_separators(self, segs: list[str], byte: bool) -> None:
+        if not segs:
+            return
+        ids = self._ids(("\n" if byte else " | ").join(segs))
+        at = np.flatnonzero(ids == self.separator)
+        if len(at) == len(segs) - 1:
+            self._store(segs, ids, np.append(0, at + 1), np.append(at, len(ids)))
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
