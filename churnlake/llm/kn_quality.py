@@ -9,6 +9,10 @@ context's distribution, so a language has at most SYMBOLS**(ORDER - 1) rows of
 the longest contexts (64 MB): scoring broadcasts the rows of as many languages
 at a time as fit ``BROADCAST_BYTES`` and goes through the rest in further turns.
 
+Thresholds come from perplexities of trusted documents that the scoring model
+has not seen: the trusted text is counted in two halves, and the model of either
+half scores the other one. The sum of both counts gives the final model.
+
 Characters rather than words because a word model's joins move every word
 position of the corpus (measured in the README), and because the table's size
 is bounded by construction.
@@ -35,6 +39,7 @@ BROADCAST_IDS = 1_000_000
 _CHUNK = 1_000_000
 _PAD = ORDER - 1
 _ROW_BYTES = 4 * SYMBOLS
+_HALF = "\x01"  # between a language and the number of its half
 
 
 def _language(lang: str) -> F.Column:
@@ -171,10 +176,10 @@ def _discounts(c: DataFrame) -> DataFrame:
     return q.select(*out)
 
 
-def train(docs: DataFrame, chars: dict[str, list[int]]) -> DataFrame:
-    """``docs(lang, text)`` -> ``(lang, order, ctx, p)``: the distribution after
+def train(grams: DataFrame) -> DataFrame:
+    """``grams(lang, code, n)`` -> ``(lang, order, ctx, p)``: the distribution after
     every context seen in the text, for contexts of 0 to ORDER - 1 symbols."""
-    counts = {ORDER: materialise(ngram_counts(docs, chars), "ngrams")}
+    counts = {ORDER: grams}
     for order in range(ORDER, 1, -1):
         counts[order - 1] = _lower(counts[order], order)
     uniform = F.array(*[F.lit(0.0 if s == 0 else 1.0 / (SYMBOLS - 1)) for s in range(SYMBOLS)])
@@ -183,7 +188,8 @@ def train(docs: DataFrame, chars: dict[str, list[int]]) -> DataFrame:
         c = counts[order].select("lang", (F.col("code") / F.lit(SYMBOLS)).cast("int").alias("ctx"),
                                  (F.col("code") % F.lit(SYMBOLS)).cast("int").alias("sym"), "n")
         d = F.expr("case when n = 1 then d1 when n = 2 then d2 else d3 end")
-        seen = (c.join(_discounts(c), "lang").withColumn("d", d).groupBy("lang", "ctx")
+        # one row a language; a shuffled join would leave each language in one task
+        seen = (c.join(F.broadcast(_discounts(c)), "lang").withColumn("d", d).groupBy("lang", "ctx")
                 .agg(F.sum("n").alias("total"), F.sum("d").alias("held"),
                      F.map_from_entries(F.collect_list(F.struct("sym", (F.col("n") - F.col("d")).alias("v"))))
                      .alias("own")))  # a context has at most SYMBOLS entries
@@ -316,7 +322,7 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     negative log-likelihoods, in steps of a thousandth."""
     some = scored.filter("n > 0")
     mean = some.groupBy("lang").agg((F.sum("nll") / F.sum("n")).alias("mean"))
-    steps = (some.join(mean, "lang")
+    steps = (some.join(F.broadcast(mean), "lang")  # one row a language
              .select("lang", F.ceil(_adjusted("nll", "n", "mean") * F.lit(1000)).alias("step"))
              .groupBy("lang", "step").agg(F.count(F.lit(1)).alias("k")))
     w = Window.partitionBy("lang").orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -333,12 +339,23 @@ def _adjusted(nll: str, n: str, mean: str) -> F.Column:
     return (F.col(nll) + F.lit(PRIOR_CHARS) * F.col(mean)) / (F.col(n) + F.lit(PRIOR_CHARS))
 
 
-def _trained(docs: DataFrame, labels: DataFrame, doc_id: str, lang: str, text: str):
+def fit(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc_id: str = "doc_id",
+        lang: str = "lang", text: str = "text") -> tuple[dict[str, list[int]], DataFrame, DataFrame]:
+    """Alphabets, model and thresholds of the trusted documents."""
     good = trusted(docs.select(F.col(doc_id).alias("doc_id"), _language(lang).alias("lang"),
-                               F.coalesce(F.col(text), F.lit("")).alias("text")), labels).select("lang", "text")
-    chars = alphabets(good)
+                               F.coalesce(F.col(text), F.lit("")).alias("text")), labels)
+    good = good.withColumn("half", F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)))
+    chars = alphabets(good.select("lang", "text"))
     good = good.filter(F.col("lang").isin(list(chars)))
-    return good, chars, train(good, chars)
+    halves = {f"{x}{_HALF}{h}": c for x, c in chars.items() for h in (0, 1)}
+    named = lambda h: F.concat("lang", F.lit(_HALF), h.cast("string"))
+    grams = materialise(ngram_counts(good.select(named(F.col("half")).alias("lang"), "text"), halves), "ngrams")
+    every = (grams.select(F.expr("left(lang, length(lang) - 2)").alias("lang"), "code", "n")
+             .groupBy("lang", "code").agg(F.sum("n").alias("n")))
+    model = train(materialise(every, "ngrams"))
+    other = good.select(F.col("lang").alias("of"), named(F.lit(1) - F.col("half")).alias("lang"), "text")
+    s = materialise(score(other, train(grams), halves, "s").select(F.col("of").alias("lang"), "s.nll", "s.n"), "scores")
+    return chars, model, thresholds(s, quantile)
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc_id: str = "doc_id",
@@ -346,15 +363,14 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc
     """One row per document: ``doc_id, lang, perplexity, threshold, kept``.
 
     Perplexity is per character; ``kept`` compares the adjusted perplexity with
-    the threshold of the language. Documents without characters or of a language
-    without trusted text have no perplexity and are kept: nothing speaks against
-    them. A null language is a language of its own; repeated rows stay. An empty
-    table gives no rows; other columns are not read."""
-    _, chars, model = _trained(docs, labels, doc_id, lang, text)
+    the threshold of the language. Documents without characters, of a language
+    without trusted text or with too little to hold some out have nothing against
+    them and are kept. A null language is a language of its own; repeated rows
+    stay. An empty table gives no rows; other columns are not read."""
+    chars, model, limits = fit(docs, labels, quantile, doc_id, lang, text)
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    s = materialise(score(d, model, chars, "s").select("doc_id", "lang", "s.nll", "s.n"), "scores")
-    limits = thresholds(trusted(s, labels).select(_language("lang").alias("lang"), "nll", "n"), quantile)
-    limits = limits.select(F.col("lang").alias("of"), "mean", "limit")
+    s = score(d, model, chars, "s").select("doc_id", "lang", "s.nll", "s.n")
+    limits = F.broadcast(limits.select(F.col("lang").alias("of"), "mean", "limit"))  # one row a language
     got = s.join(limits, _language("lang") == F.col("of"), "left")
     known = F.col("n") > 0
     return got.select("doc_id", "lang", F.when(known, F.exp(F.col("nll") / F.col("n"))).alias("perplexity"),
@@ -367,13 +383,11 @@ def keep_clean(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, d
                lang: str = "lang", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that ``classify`` keeps; texts go
     through the scorer in place and are not shuffled."""
-    good, chars, model = _trained(docs, labels, doc_id, lang, text)
-    s = materialise(score(good, model, chars, "s").select("lang", "s.nll", "s.n"), "scores")
-    limits = {r["lang"]: (r["mean"], r["limit"]) for r in thresholds(s, quantile).collect()}  # one row a language
-    out = fresh(docs, "quality")
+    chars, model, limits = fit(docs, labels, quantile, doc_id, lang, text)
+    out, of, mean, limit = (fresh(docs, c) for c in ("quality", "quality_of", "quality_mean", "quality_limit"))
     got = score(docs, model, chars, out, lang, text)
-    ok = F.lit(True)
-    for x, (mean, limit) in limits.items():
-        adjusted = ((F.col(f"{out}.nll") + F.lit(PRIOR_CHARS * mean)) / (F.col(f"{out}.n") + F.lit(PRIOR_CHARS)))
-        ok = F.when(_language(lang) == F.lit(x), (F.col(f"{out}.n") == 0) | (adjusted <= F.lit(limit))).otherwise(ok)
-    return got.filter(ok).drop(out)
+    got = got.withColumns({out + "_nll": F.col(f"{out}.nll"), out + "_n": F.col(f"{out}.n")})
+    got = got.join(F.broadcast(limits.select("lang", "mean", "limit").toDF(of, mean, limit)),
+                   _language(lang) == F.col(of), "left")
+    ok = (F.col(out + "_n") == 0) | (_adjusted(out + "_nll", out + "_n", mean) <= F.col(limit))
+    return got.filter(F.coalesce(ok, F.lit(True))).select(*[F.col(f"`{c}`") for c in docs.columns])
