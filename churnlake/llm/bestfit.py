@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from churnlake.llm.common import buckets_for, materialise, prefix_sums
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_BUCKET_ROWS = 20_000
+_BUCKET_ROWS = 2048
 
 
 class CapacityTree:

@@ -23,7 +23,7 @@ from churnlake.llm.common import buckets_for, fresh, materialise, prefix_sums
 _GRID = 16      # intervals of a round
 _ROUNDS = 10    # the exponent is found to one part in 16**10
 _HASH_MAX = 1 << 60
-_BUCKET_ROWS = 20_000
+_BUCKET_ROWS = 2048
 BLOCK_TOKENS = 1_000_000
 
 
