@@ -21,10 +21,10 @@ CRLF = "\r\n"
 HTTP_HEADERS = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 # Patterns are in the common part of Java's and RE2's syntax.
-DROPPED = [r"(?is)<script\b[^>]*>.*?</script[^>]*>", r"(?is)<style\b[^>]*>.*?</style[^>]*>",
-           r"(?is)<noscript\b[^>]*>.*?</noscript[^>]*>", r"(?is)<template\b[^>]*>.*?</template[^>]*>",
-           r"(?s)<!--.*?-->"]
-HEAD = r"(?is)<head\b[^>]*>.*?</head[^>]*>"
+DROPPED = "|".join([r"<script\b[^>]*>.*?</script[^>]*>", r"<style\b[^>]*>.*?</style[^>]*>",
+                    r"<noscript\b[^>]*>.*?</noscript[^>]*>", r"<template\b[^>]*>.*?</template[^>]*>", r"<!--.*?-->"])
+UNSEEN = r"(?is)<head\b[^>]*>.*?</head[^>]*>|" + DROPPED
+DROPPED = "(?is)" + DROPPED
 BLOCK = (r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|"
          r"h[1-6]|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|tr|ul)(?:[ \t\r\n\f/][^>]*)?>")
 TAG = r"</?[a-zA-Z][^>]*>|<![^>]*>|<\?[^>]*>"
@@ -40,15 +40,17 @@ ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&a
             ("&mdash;", "—"), ("&amp;", "&")]
 
 
-def digest(body: Column) -> Column:
-    """``sha1:`` and the base-32 SHA-1 of the UTF-8 bytes."""
-    h = F.sha1(F.encode(body, "UTF-8"))
+def with_digest(df: DataFrame, out: str, body: Column) -> DataFrame:
+    """``df`` with ``out``: ``sha1:`` and the base-32 SHA-1 of the UTF-8 bytes. The
+    hash is a column of its own first, so that it is computed once."""
+    h = F.col(out + "_hex")
     letters = []
     for i in range(8):  # 20 bits, four letters, at a time
         v = F.conv(F.substring(h, 1 + 5 * i, 5), 16, 10).cast("int")
         letters += [F.substring(F.lit(_BASE32), F.shiftright(v, s).bitwiseAND(F.lit(31)) + F.lit(1), F.lit(1))
                     for s in (15, 10, 5, 0)]
-    return F.concat(F.lit("sha1:"), *letters)
+    return (df.withColumn(out + "_hex", F.sha1(F.encode(body, "UTF-8")))
+            .withColumn(out, F.concat(F.lit("sha1:"), *letters)).drop(out + "_hex"))
 
 
 def record_id(*parts: Column) -> Column:
@@ -69,13 +71,13 @@ def responses(pages: DataFrame, date: str, page_id: str = "page_id", url: str =
     records of the same id."""
     p = pages.select(F.col(page_id).alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("target_uri"),
                      F.coalesce(F.col(html), F.lit("")).alias("payload"))
-    p = p.withColumn("payload_digest", digest(F.col("payload")))
+    p = with_digest(p, "payload_digest", F.col("payload"))
     http = F.concat(F.lit(HTTP_HEADERS + CRLF + "Content-Length: "), _bytes(F.col("payload")).cast("string"))
-    return (p.withColumn("http_headers", http)
-            .withColumn("record_id", record_id(F.lit("response"), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
-                                               F.col("target_uri"), F.col("payload_digest")))
-            .withColumn("date", F.lit(date))
-            .withColumn("block_digest", digest(F.concat("http_headers", F.lit(CRLF * 2), "payload"))))
+    p = (p.withColumn("http_headers", http)
+         .withColumn("record_id", record_id(F.lit("response"), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
+                                            F.col("target_uri"), F.col("payload_digest")))
+         .withColumn("date", F.lit(date)))
+    return with_digest(p, "block_digest", F.concat("http_headers", F.lit(CRLF * 2), "payload"))
 
 
 def _decoded(s: Column) -> Column:
@@ -86,13 +88,12 @@ def _decoded(s: Column) -> Column:
 
 def plain_text(html: Column) -> Column:
     """Visible text: a line for each block element, entities decoded."""
-    t = html
-    for d in DROPPED:
-        t = F.regexp_replace(t, d, " ")
-    t = F.regexp_replace(F.regexp_replace(t, HEAD, " "), r"[\r\n]+", " ")
+    t = F.regexp_replace(html, UNSEEN, " ")
+    for c in "\r\n":
+        t = F.replace(t, F.lit(c), F.lit(" "))
     t = F.regexp_replace(F.regexp_replace(t, BLOCK, "\n"), TAG, "")
     t = F.regexp_replace(F.regexp_replace(_decoded(t), BLANKS, " "), LINES, "\n")
-    return F.regexp_replace(t, r"^[ \n]+|[ \n]+$", "")
+    return F.btrim(t, F.lit(" \n"))
 
 
 def _field(s: Column) -> Column:
@@ -100,19 +101,18 @@ def _field(s: Column) -> Column:
     return F.trim(F.regexp_replace(_decoded(s), r"[ \t\r\n\f]+", " "))
 
 
-def fields(html: Column) -> Column:
-    """The metadata record's body; fields without a value are left out."""
-    t = html
-    for d in DROPPED:
-        t = F.regexp_replace(t, d, " ")
-    lines = []
-    for name, pattern in (("title", TITLE), ("language", LANG), ("charset", CHARSET)):
-        v = _field(F.regexp_extract(t, pattern, 1))
-        lines.append(F.when(v != "", F.concat(F.lit(name + ": "), v, F.lit(CRLF))).otherwise(F.lit("")))
-    links = F.regexp_extract_all(t, F.lit(LINK), F.lit(1))
-    text = _decoded(F.array_join(links, CRLF + "outlink: "))
-    lines.append(F.when(F.size(links) > 0, F.concat(F.lit("outlink: "), text, F.lit(CRLF))).otherwise(F.lit("")))
-    return F.concat(*lines)
+def with_fields(df: DataFrame, html: str, out: str) -> DataFrame:
+    """``df`` with the metadata record's body; fields without a value are left
+    out. Found values are columns of their own first, each searched for once."""
+    clean = df.withColumn("m_clean", F.regexp_replace(F.col(html), DROPPED, " "))
+    found = {"title": TITLE, "language": LANG, "charset": CHARSET}
+    d = clean.withColumns({"m_" + k: _field(F.regexp_extract("m_clean", v, 1)) for k, v in found.items()}
+                          | {"m_links": F.regexp_extract_all("m_clean", F.lit(LINK), F.lit(1))})
+    lines = [F.when(F.col("m_" + k) != "", F.concat(F.lit(k + ": "), F.col("m_" + k), F.lit(CRLF))).otherwise(F.lit(""))
+             for k in found]
+    links = _decoded(F.array_join("m_links", CRLF + "outlink: "))
+    lines.append(F.when(F.size("m_links") > 0, F.concat(F.lit("outlink: "), links, F.lit(CRLF))).otherwise(F.lit("")))
+    return d.withColumn(out, F.concat(*lines)).drop("m_clean", "m_links", *["m_" + k for k in found])
 
 
 def derive(records: DataFrame) -> DataFrame:
@@ -121,21 +121,21 @@ def derive(records: DataFrame) -> DataFrame:
     source_payload_digest, source_block_digest, source_headers, body``.
 
     An empty page gives records with empty bodies. An empty table gives none."""
-    both = records.select(
-        "page_id", "record_id", "target_uri", "date", "http_headers", "payload_digest", "block_digest",
-        F.explode(F.array(
-            F.struct(F.lit("metadata").alias("kind"), F.lit("application/warc-fields").alias("type"),
-                     fields(F.col("payload")).alias("body")),
-            F.struct(F.lit("conversion").alias("kind"), F.lit("text/plain").alias("type"),
-                     plain_text(F.col("payload")).alias("body")))).alias("r"))
-    body = F.col("r.body")
+    r = with_fields(records.select("page_id", "record_id", "target_uri", "date", "http_headers", "payload_digest",
+                                   "block_digest", "payload"), "payload", "fields")
+    r = r.withColumn("text", plain_text(F.col("payload"))).drop("payload")
+    both = r.select("*", F.explode(F.array(
+        F.struct(F.lit("metadata").alias("kind"), F.lit("application/warc-fields").alias("type"),
+                 F.col("fields").alias("body")),
+        F.struct(F.lit("conversion").alias("kind"), F.lit("text/plain").alias("type"),
+                 F.col("text").alias("body")))).alias("r")).withColumn("body", F.col("r.body"))
+    both = with_digest(both, "body_digest", F.col("body"))
     return both.select(
         "page_id", F.col("r.kind").alias("record_type"),
         record_id(F.col("r.kind"), F.col("record_id")).alias("record_id"), F.col("record_id").alias("refers_to"),
-        "target_uri", "date", F.col("r.type").alias("content_type"), _bytes(body).alias("content_length"),
-        digest(body).alias("block_digest"), F.col("payload_digest").alias("source_payload_digest"),
-        F.col("block_digest").alias("source_block_digest"), F.col("http_headers").alias("source_headers"),
-        body.alias("body"))
+        "target_uri", "date", F.col("r.type").alias("content_type"), _bytes(F.col("body")).alias("content_length"),
+        F.col("body_digest").alias("block_digest"), F.col("payload_digest").alias("source_payload_digest"),
+        F.col("block_digest").alias("source_block_digest"), F.col("http_headers").alias("source_headers"), "body")
 
 
 def response_text(records: DataFrame) -> Column:

@@ -42,16 +42,14 @@ _NL, _CRLF = "chr(10)", "chr(13) || chr(10)"
 
 
 def _clean(x: str) -> str:
-    for d in W.DROPPED:
-        x = _sub(x, d, "' '")
-    return x
+    return _sub(x, W.DROPPED, "' '")
 
 
 def _text(x: str) -> str:
-    t = _sub(_sub(x, W.HEAD, "' '"), r"[\r\n]+", "' '")
+    t = f"replace(replace({_sub(x, W.UNSEEN, _q(' '))}, chr(13), ' '), chr(10), ' ')"
     t = _sub(_sub(t, W.BLOCK, _NL), W.TAG, "''")
     t = _sub(_sub(_decoded(t), W.BLANKS, "' '"), W.LINES, _NL)
-    return _sub(t, r"^[ \n]+|[ \n]+$", "''")
+    return f"trim({t}, ' ' || {_NL})"
 
 
 def _fields(x: str) -> str:
@@ -79,7 +77,7 @@ r AS (
 b AS (
   SELECT *, 'metadata' AS kind, 'application/warc-fields' AS type, {_fields('clean')} AS body FROM r
   UNION ALL
-  SELECT *, 'conversion', 'text/plain', {_text('clean')} FROM r)
+  SELECT *, 'conversion', 'text/plain', {_text('payload')} FROM r)
 SELECT page_id, kind AS record_type, {_uuid("kind || '|' || id")} AS record_id, id AS refers_to, target_uri,
   {_q(date)} AS date, type AS content_type, strlen(body)::BIGINT AS content_length, {_digest('body')} AS block_digest,
   payload_digest AS source_payload_digest, block AS source_block_digest, http AS source_headers, body
