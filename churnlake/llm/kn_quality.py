@@ -215,17 +215,14 @@ def train(grams: DataFrame) -> DataFrame:
 class Scorer:
     """One language's table: the row of the longest seen suffix of every context."""
 
-    def __init__(self, chars: list[int], rows: list[tuple[int, int, bytes]]):
-        self.lut = _lut(chars)
-        with np.errstate(divide="ignore"):
-            p = np.frombuffer(b"".join(r[2] for r in rows), "<f4").reshape(len(rows), SYMBOLS)
-            self.nll = -np.log(np.maximum(p, np.float32(1e-30))).ravel()
-        every = np.arange(SYMBOLS ** _PAD)
+    def __init__(self, chars: list[int], orders: np.ndarray, contexts: np.ndarray, nll: np.ndarray):
+        self.lut, self.nll = _lut(chars), nll
+        every = np.arange(SYMBOLS ** _PAD, dtype=np.int32)
         self.row = np.zeros(len(every), np.int32)
         for order in range(1, ORDER + 1):
-            at = [(i, r[1]) for i, r in enumerate(rows) if r[0] == order]
+            at = np.flatnonzero(orders == order)
             own = np.full(SYMBOLS ** (order - 1), -1, np.int32)
-            own[[c for _, c in at]] = [i for i, _ in at]
+            own[contexts[at]] = at
             got = own[every % len(own)]
             self.row = np.where(got >= 0, got, self.row)
 
@@ -265,11 +262,16 @@ def _broadcast(spark, model: DataFrame, langs: list[str], chars: dict[str, list[
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(p, pa.binary())],
                                              ["lang", "order", "ctx", "p"])
 
-    tables: dict[str, tuple] = {x: (chars[x], []) for x in langs}
+    rows_of: dict[str, list] = {x: [] for x in langs}
     rows = model.filter(F.col("lang").isin(langs)).mapInArrow(flat, "lang string, order int, ctx int, p binary")
     for r in rows.collect():  # at most BROADCAST_BYTES, or one language's bounded table
-        tables[r["lang"]][1].append((r["order"], r["ctx"], bytes(r["p"])))
-    return spark.sparkContext.broadcast((uuid.uuid4().hex, {k: (c, sorted(v)) for k, (c, v) in tables.items()}))
+        rows_of[r["lang"]].append((r["order"], r["ctx"], bytes(r["p"])))
+    tables = {}
+    for x, got in rows_of.items():
+        p = np.frombuffer(b"".join(r[2] for r in got), "<f4")
+        tables[x] = (chars[x], np.array([r[0] for r in got], np.int32), np.array([r[1] for r in got], np.int32),
+                     -np.log(np.maximum(p, np.float32(1e-30))))
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, tables))
 
 
 def _scored(docs: DataFrame, tables, out: str, lang: str, text: str) -> DataFrame:
@@ -291,10 +293,10 @@ _SCORERS: dict[str, dict[str, Scorer]] = {}
 
 def _scorers(tables) -> dict[str, Scorer]:
     """The worker's tables of a broadcast, made once."""
-    name, rows_of = tables.value
+    name, arrays = tables.value
     if name not in _SCORERS:
         _SCORERS.clear()
-        _SCORERS[name] = {k: Scorer(c, rows) for k, (c, rows) in rows_of.items()}
+        _SCORERS[name] = {k: Scorer(*x) for k, x in arrays.items()}
     return _SCORERS[name]
 
 
