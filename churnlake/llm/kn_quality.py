@@ -32,7 +32,8 @@ from churnlake.llm.common import fresh, materialise
 
 SYMBOLS = 64              # 0: before the text, 1: any other character
 ORDER = 4
-QUANTILE = 0.999          # of the trusted documents of a language
+QUANTILE = 0.99           # of the trusted documents of a language
+POOLED_DOCS = 100         # weight, in documents, of all languages' quantile in one language's limit
 PRIOR_CHARS = 64          # a document counts as having so many more average characters
 BROADCAST_BYTES = 128 << 20
 BROADCAST_IDS = 1_000_000
@@ -320,19 +321,31 @@ def score(docs: DataFrame, model: DataFrame, chars: dict[str, list[int]], out: s
 
 def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """``scored(lang, nll, n)`` of trusted documents -> ``(lang, mean, limit)``:
-    the language's mean and the quantile of its documents' adjusted mean
-    negative log-likelihoods, in steps of a thousandth."""
+    the language's mean, and that plus the quantile of its documents' differences
+    from it (adjusted mean negative log-likelihoods, in steps of a thousandth).
+    The quantile of all languages counts as ``POOLED_DOCS`` further documents, so
+    a few odd documents do not set the limit of a small language."""
     some = scored.filter("n > 0")
     mean = some.groupBy("lang").agg((F.sum("nll") / F.sum("n")).alias("mean"))
     steps = (some.join(F.broadcast(mean), "lang")  # one row a language
-             .select("lang", F.ceil(_adjusted("nll", "n", "mean") * F.lit(1000)).alias("step"))
+             .select("lang", F.ceil((_adjusted("nll", "n", "mean") - F.col("mean")) * F.lit(1000)).alias("step"))
              .groupBy("lang", "step").agg(F.count(F.lit(1)).alias("k")))
-    w = Window.partitionBy("lang").orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = Window.partitionBy("lang")
-    cut = (steps.withColumn("upto", F.sum("k").over(w)).withColumn("all", F.sum("k").over(total))
-           .filter(F.col("upto") >= F.col("all") * F.lit(quantile))
-           .groupBy("lang").agg((F.min("step") / F.lit(1000.0)).alias("limit")))
-    return mean.join(cut, "lang")
+    own = _cut(steps, ["lang"], quantile).withColumnsRenamed({"cut": "own", "all": "docs"})
+    every = _cut(steps.groupBy("step").agg(F.sum("k").alias("k")), [], quantile).select(F.col("cut").alias("every"))
+    weight = F.lit(POOLED_DOCS)
+    return (mean.join(own, "lang").crossJoin(F.broadcast(every))  # one row
+            .select("lang", "mean", (F.col("mean") + (F.col("docs") * F.col("own") + weight * F.col("every"))
+                                     / (F.col("docs") + weight) / F.lit(1000.0)).alias("limit")))
+
+
+def _cut(steps: DataFrame, by: list[str], quantile: float) -> DataFrame:
+    """``steps(*by, step, k)`` -> ``(*by, cut, all)``: the step at the quantile. It is
+    below the last document's whenever there are two or more."""
+    w = Window.partitionBy(*by).orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = Window.partitionBy(*by)
+    return (steps.withColumn("upto", F.sum("k").over(w)).withColumn("all", F.sum("k").over(total))
+            .filter(F.col("upto") > F.floor((F.col("all") - 1) * F.lit(quantile)))
+            .groupBy(*by, "all").agg(F.min("step").alias("cut")))
 
 
 def _adjusted(nll: str, n: str, mean: str) -> F.Column:

@@ -242,6 +242,26 @@ def test_classifier_without_labels_or_documents(spark):
     assert kn_quality.keep_clean(nothing(spark, DOCS), labels).count() == 0
 
 
+def test_threshold_of_a_small_language_is_not_its_worst_document(spark):
+    rows = [("large", 1000.0 + i % 200, 1000) for i in range(2000)] + [("small", 1000.0 + 4 * i, 1000) for i in range(50)]
+    limits = lambda r: {x["lang"]: x["limit"] for x in kn_quality.thresholds(
+        spark.createDataFrame(r, "lang string, nll double, n long")).collect()}
+    a, b = limits(rows), limits(rows + [("small", 9000.0, 1000)])
+    assert b["small"] < 1.5 and abs(b["small"] - a["small"]) < 0.2
+    assert abs(a["large"] - 1.198) < 0.01 and abs(b["large"] - a["large"]) < 0.01
+
+
+def test_labelled_junk_of_the_test_tables_is_rejected(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
+    got = kn_quality.classify(docs, labels.filter(~held)).join(labels.filter(held), "doc_id")
+    kept = {(r["quality"], r["toxic"]): (r["k"], r["n"]) for r in got.groupBy("quality", "toxic").agg(
+        F.count_if("kept").alias("k"), F.count(F.lit(1)).alias("n")).collect()}
+    clean, junk = kept[1, 0], [sum(x) for x in zip(*[v for k, v in kept.items() if k[0] == 0])]
+    assert clean[0] >= 0.95 * clean[1] and clean[1] >= 40
+    assert junk[0] <= 0.15 * junk[1] and junk[1] >= 5, (clean, junk)
+
+
 # ---- URL filter -----------------------------------------------------------------------------
 
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
