@@ -41,3 +41,10 @@ def test_gradient_shows_whether_a_fit_is_at_its_optimum(spark):
         g = EV.logistic_gradient(df, pm, features=("a", "b")).collect()
         assert {r["term"] for r in g} == {"intercept", "a", "b"} and {r["train_rows"] for r in g} == {400}
         assert (max(abs(r["gradient"]) for r in g) < 1e-4) == right
+
+
+def test_auc_of_the_fitted_model_is_a_query(spark, sf001):
+    import __spark_entry__ as E
+    flag, full = (E.queries()[k](spark, sf001).first() for k in ("lr_eval_auc", "lr_test_auc"))
+    assert (full["n_pos"], full["n_neg"]) == (flag["n_pos"], flag["n_neg"])
+    assert 0.5 < full["auc"] < 1 and flag["better_than_chance"]
