@@ -1,21 +1,19 @@
-"""Quality classifier: an interpolated modified Kneser-Ney model of characters.
+"""Quality classifier: interpolated modified Kneser-Ney models of characters.
 
-Each language has its own model, trained on all of its trusted text. Symbols are
-the ``SYMBOLS - 2`` most frequent characters of that text, one symbol for all
-other characters and one for the text's start. Counts live in tables sharded by
-(language, n-gram); joins of each order's counts with the discounts, the context
-totals and the next lower order give the probabilities. A table row holds one
-context's distribution, so a language has at most SYMBOLS**(ORDER - 1) rows of
-the longest contexts (64 MB): scoring broadcasts the rows of as many languages
-at a time as fit ``BROADCAST_BYTES`` and goes through the rest in further turns.
+Each language has its own model, trained on all of its trusted text.
+``classify`` and ``keep_clean`` use the model of all characters in kn_sharded.py,
+whose tables grow with the text and are joined with the documents' n-grams.
 
 Thresholds come from perplexities of trusted documents that the scoring model
 has not seen: the trusted text is counted in two halves, and the model of either
 half scores the other one. The sum of both counts gives the final model.
 
-Characters rather than words because a word model's joins move every word
-position of the corpus (measured in the README), and because the table's size
-is bounded by construction.
+``fit`` and ``score`` are the form for few languages of small alphabets: symbols
+are the ``SYMBOLS - 2`` most frequent characters, one for all others and one for
+the text's start; a table row holds one context's distribution, so a language has
+at most SYMBOLS**(ORDER - 1) rows of the longest contexts (64 MB). Its scoring
+broadcasts the rows of as many languages at a time as fit ``BROADCAST_BYTES`` and
+goes through the rest in further turns. No registered query uses it.
 """
 
 from __future__ import annotations
@@ -28,7 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlake.llm import kn_sharded
 from churnlake.llm.common import fresh, materialise
+from churnlake.llm.kn_sharded import discounts
 
 SYMBOLS = 64              # 0: before the text, 1: any other character
 ORDER = 4
@@ -164,19 +164,6 @@ def _lower(c: DataFrame, order: int) -> DataFrame:
             .select("lang", "code", F.when(starts, F.col("raw")).otherwise(F.col("kinds")).alias("n")))
 
 
-def _discounts(c: DataFrame) -> DataFrame:
-    """The three discounts of a language and order, from its counts of counts."""
-    n = [F.count_if(F.col("n") == k).cast("double") for k in (1, 2, 3, 4)]
-    q = c.groupBy("lang").agg(*[x.alias(f"n{i + 1}") for i, x in enumerate(n)])
-    y = F.expr("try_divide(n1, n1 + 2 * n2)")
-    out = ["lang"]
-    for k in (1, 2, 3):
-        d = F.lit(float(k)) - F.lit(k + 1.0) * y * F.expr(f"try_divide(n{k + 1}, n{k})")
-        # too little text for an estimate: half of what is counted
-        out.append(F.least(F.greatest(F.coalesce(d, F.lit(k / 2.0)), F.lit(0.05)), F.lit(k - 0.05)).alias(f"d{k}"))
-    return q.select(*out)
-
-
 def train(grams: DataFrame) -> DataFrame:
     """``grams(lang, code, n)`` -> ``(lang, order, ctx, p)``: the distribution after
     every context seen in the text, for contexts of 0 to ORDER - 1 symbols."""
@@ -190,7 +177,7 @@ def train(grams: DataFrame) -> DataFrame:
                                  (F.col("code") % F.lit(SYMBOLS)).cast("int").alias("sym"), "n")
         d = F.expr("case when n = 1 then d1 when n = 2 then d2 else d3 end")
         # one row a language; a shuffled join would leave each language in one task
-        seen = (c.join(F.broadcast(_discounts(c)), "lang").withColumn("d", d).groupBy("lang", "ctx")
+        seen = (c.join(F.broadcast(discounts(c)), "lang").withColumn("d", d).groupBy("lang", "ctx")
                 .agg(F.sum("n").alias("total"), F.sum("d").alias("held"),
                      F.map_from_entries(F.collect_list(F.struct("sym", (F.col("n") - F.col("d")).alias("v"))))
                      .alias("own")))  # a context has at most SYMBOLS entries
@@ -373,6 +360,23 @@ def fit(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc_id:
     return chars, model, thresholds(s, quantile)
 
 
+def fit_sharded(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc_id: str = "doc_id",
+                lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Model of all characters (kn_sharded.py) and thresholds of the trusted documents."""
+    good = trusted(docs.select(F.col(doc_id).alias("doc_id"), _language(lang).alias("lang"),
+                               F.coalesce(F.col(text), F.lit("")).alias("text")), labels)
+    good = good.withColumn("half", F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)))
+    named = lambda h: F.concat("lang", F.lit(_HALF), h.cast("string"))
+    grams = materialise(kn_sharded.ngram_counts(good.select(named(F.col("half")).alias("lang"), "text")), "ngrams")
+    every = (grams.select(F.expr("left(lang, length(lang) - 2)").alias("lang"), "ctx", "sym", "n")
+             .groupBy("lang", "ctx", "sym").agg(F.sum("n").alias("n")))
+    model = kn_sharded.train(materialise(every, "ngrams"))
+    other = good.select("doc_id", F.col("lang").alias("of"), named(F.lit(1) - F.col("half")).alias("lang"), "text")
+    s = kn_sharded.score(other, kn_sharded.train(grams), "s")
+    s = materialise(s.select(F.col("of").alias("lang"), F.col("s_nll").alias("nll"), F.col("s_n").alias("n")), "scores")
+    return model, thresholds(s, quantile)
+
+
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc_id: str = "doc_id",
              lang: str = "lang", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, lang, perplexity, threshold, kept``.
@@ -382,9 +386,10 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc
     without trusted text or with too little to hold some out have nothing against
     them and are kept. A null language is a language of its own; repeated rows
     stay. An empty table gives no rows; other columns are not read."""
-    chars, model, limits = fit(docs, labels, quantile, doc_id, lang, text)
+    model, limits = fit_sharded(docs, labels, quantile, doc_id, lang, text)
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    s = score(d, model, chars, "s").select("doc_id", "lang", "s.nll", "s.n")
+    s = (kn_sharded.score(d, model, "s")
+         .select("doc_id", "lang", F.col("s_nll").alias("nll"), F.col("s_n").alias("n")))
     limits = F.broadcast(limits.select(F.col("lang").alias("of"), "mean", "limit"))  # one row a language
     got = s.join(limits, _language("lang") == F.col("of"), "left")
     known = F.col("n") > 0
@@ -396,12 +401,10 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc
 
 def keep_clean(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc_id: str = "doc_id",
                lang: str = "lang", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that ``classify`` keeps; texts go
-    through the scorer in place and are not shuffled."""
-    chars, model, limits = fit(docs, labels, quantile, doc_id, lang, text)
+    """The rows of ``docs``, all columns, that ``classify`` keeps."""
+    model, limits = fit_sharded(docs, labels, quantile, doc_id, lang, text)
     out, of, mean, limit = (fresh(docs, c) for c in ("quality", "quality_of", "quality_mean", "quality_limit"))
-    got = score(docs, model, chars, out, lang, text)
-    got = got.withColumns({out + "_nll": F.col(f"{out}.nll"), out + "_n": F.col(f"{out}.n")})
+    got = kn_sharded.score(docs, model, out, doc_id, lang, text)
     got = got.join(F.broadcast(limits.select("lang", "mean", "limit").toDF(of, mean, limit)),
                    _language(lang) == F.col(of), "left")
     ok = (F.col(out + "_n") == 0) | (_adjusted(out + "_nll", out + "_n", mean) <= F.col(limit))

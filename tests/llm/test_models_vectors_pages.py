@@ -10,7 +10,7 @@ import pytest
 from edge import CLASH, DOCS, EXTRA, documents, nothing, words
 from pyspark.sql import functions as F
 
-from churnlake.llm import kmeans_dedup, kn_quality, multi_index, url_gbt, warc
+from churnlake.llm import kmeans_dedup, kn_quality, kn_sharded, multi_index, url_gbt, warc
 from churnlake.llm import vectors as V
 
 VECS = "vec_id long, embedding array<float>, label int, " + CLASH
@@ -262,6 +262,72 @@ def test_labelled_junk_of_the_test_tables_is_rejected(spark):
     assert junk[0] <= 0.15 * junk[1] and junk[1] >= 5, (clean, junk)
 
 
+def plain_p(texts):
+    """Interpolated modified Kneser-Ney of all characters: (context, character) -> probability."""
+    top = Counter()
+    for t in texts:
+        s = "\0\0\0" + t
+        top.update(s[i:i + 4] for i in range(len(t)))
+    levels = {4: top}
+    for n in (3, 2, 1):
+        low = Counter()
+        for g, c in levels[n + 1].items():
+            low[g[1:]] += c if n > 1 and g[1] == "\0" else 1
+        levels[n] = low
+    cut, total, held = {}, Counter(), Counter()
+    for n, level in levels.items():
+        cc = Counter(level.values())
+        y = cc[1] / (cc[1] + 2 * cc[2]) if cc[1] + 2 * cc[2] else None
+        cut[n] = [min(max(k - (k + 1) * y * cc[k + 1] / cc[k] if y is not None and cc[k] else k / 2, 0.05), k - 0.05)
+                  for k in (1, 2, 3)]
+        for g, c in level.items():
+            total[n, g[:-1]] += c
+            held[n, g[:-1]] += cut[n][min(c, 3) - 1]
+
+    def p(ctx, ch):
+        n = len(ctx) + 1
+        low = p(ctx[1:], ch) if ctx else 1 / (len(levels[1]) + 1)
+        if not total[n, ctx]:
+            return low
+        c = levels[n].get(ctx + ch, 0)
+        return ((c - cut[n][min(c, 3) - 1] if c else 0) + held[n, ctx] * low) / total[n, ctx]
+
+    return p
+
+
+def test_sharded_model_equals_a_plain_one_of_all_characters(spark, monkeypatch):
+    monkeypatch.setattr(kn_sharded, "_CHUNK", 100)  # texts are cut and joined at many places
+    monkeypatch.setattr(kn_sharded, "_HELD", 300)
+    monkeypatch.setattr(kn_sharded, "LOT_CHARS", 500)
+    signs = [chr(0x4e00 + i) for i in range(300)]
+    r = np.random.default_rng(3)
+    pairs = [signs[2 * i] + signs[2 * i + 1] for i in range(150)]
+    fluent = lambda n: "".join(pairs[i] for i in r.integers(0, 150, n))
+    texts = {"zh": [fluent(80) for _ in range(25)], "": [words(99, 20), "a\U0001f600b"]}
+    rows = [(i, t, g or None) for g in texts for i, t in enumerate(texts[g])]
+    schema = "doc_id long, text string, lang string"
+    good = spark.createDataFrame(rows, schema)
+    model = kn_sharded.train(kn_sharded.ngram_counts(good.select("lang", "text")).fillna("", ["lang"]))
+    straight = fluent(80)
+    mixed = "".join(straight[i] for i in r.permutation(len(straight)))
+    more = good.unionByName(spark.createDataFrame(
+        [(90, straight, "zh"), (91, mixed, "zh"), (92, "QQ a\0\u65e5", None), (93, "hello", "xx"), (94, None, "zh"),
+         (95, "", "zh"), (95, "", "zh")], schema))
+    got = kn_sharded.score(more, model, "s").collect()
+    assert len(got) == more.count()
+    plain = {g: plain_p(t) for g, t in texts.items()}
+    for x in got:
+        text, g = (x["text"] or "").replace("\0", "\1"), x["lang"] or ""
+        if not text or g not in plain:
+            assert (x["s_nll"], x["s_n"]) == (0, 0)
+            continue
+        s = "\0\0\0" + text
+        want = -sum(math.log(plain[g](s[i:i + 3], s[i + 3])) for i in range(len(text)))
+        assert x["s_nll"] == pytest.approx(want, rel=1e-9) and x["s_n"] == len(text)
+    per = {x["doc_id"]: x["s_nll"] / x["s_n"] for x in got if x["doc_id"] in (90, 91)}
+    assert per[91] > 1.5 * per[90]  # with one symbol for all but 62 characters the two are alike
+
+
 # ---- URL filter -----------------------------------------------------------------------------
 
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
