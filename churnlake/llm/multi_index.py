@@ -107,6 +107,7 @@ def _probe(books: Codebooks, counts: np.ndarray, enough: int):
                 cells: dict[int, list[int]] = {}
                 for a, b in traverse(d1[i], d2[i], counts, enough):
                     cells.setdefault(a, []).append(b)
+                v = np.asarray(v, np.float64)
                 rows += [(row, v, a, bs) for a, bs in cells.items()]
             yield pd.DataFrame(rows, columns=["row", "v", "code1", "wanted"])
     return run
@@ -187,7 +188,7 @@ def search(embeddings: DataFrame, queries: str, k: int = 5, codes: int = CODES,
     vectors = asked.select("row").distinct().join(entries.select("row", "v"), "row")
     lots = int(max(1, -(-asked.select("row").distinct().count() // QUERY_ROWS)))
     walked = vectors.mapInPandas(_probe(books, counts, enough),
-                                 "row long, v array<float>, code1 int, wanted array<int>")
+                                 "row long, v array<double>, code1 int, wanted array<int>")
     keys = ["code1", "block", "lot"]
     sent = (walked.join(F.broadcast(by_code), "code1")
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -94,6 +94,15 @@ def test_search_is_exact_when_it_passes_every_cell(spark):
         assert np.allclose([s for _, s in got[q]], [s for _, s in want[q]], atol=1e-12)
 
 
+def test_search_keeps_double_precision(spark):
+    x = np.random.default_rng(8).normal(size=(60, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = multi_index.search(df, "vec_id % 6 = 0", k=3).collect()
+    assert len(got) == 30
+    for q in got:
+        assert abs(q["score"] - cosine(x[q["query_id"]], x[q["vec_id"]])) < 1e-12
+
+
 def test_search_recall_with_cells(spark):
     r = np.random.default_rng(3)
     x = r.normal(size=(4000, 16)).astype(np.float32)
