@@ -93,8 +93,10 @@ def weights(totals: DataFrame, alpha: float, budget: float | None = None) -> Dat
     total = budget if budget is not None else s["top"] * z
     out = totals.select("src", "docs", "tokens", (F.col("tokens") / F.lit(float(s["all"]))).alias("share"),
                         (part / F.lit(z)).alias("weight"))
-    # a whole pass less a rounding error is a whole pass
-    return (out.withColumn("budget", F.floor(F.col("weight") * F.lit(float(total)) + F.lit(1e-6)).cast("long"))
+    # a whole pass less a rounding error, which grows with the tokens, is a whole pass
+    share = F.col("weight") * F.lit(float(total))
+    tokens_ = F.floor(share + F.greatest(F.lit(1e-6), share * F.lit(1e-14))).cast("long")
+    return (out.withColumn("budget", tokens_ if budget is not None else F.greatest(tokens_, F.col("tokens")))
             .withColumn("passes", F.floor(F.col("budget") / F.col("tokens")).cast("int")))
 
 

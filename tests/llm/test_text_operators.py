@@ -346,6 +346,15 @@ def test_budget_below_the_corpus_takes_heads_of_permutations(spark, docs):
     assert len(got) < docs.count()
 
 
+def test_budgets_of_large_sources_reach_a_whole_pass(spark):
+    r = random.Random(4)
+    for _ in range(3):
+        rows = [((f"s{i}",), 10, r.randint(10**12, 9 * 10**13)) for i in range(40)]
+        totals = spark.createDataFrame(rows, "src struct<name: string>, docs long, tokens long")
+        for alpha in (0.3, 1.0):
+            assert mixing.weights(totals, alpha).filter("budget < tokens or passes < 1").count() == 0
+
+
 def test_mixed_rows_are_the_scheduled_ones(spark, docs):
     got = mixing.mixed(docs, repeat_limit=2.0)
     assert got.columns == docs.columns
