@@ -4,10 +4,9 @@
 * ``kolmogorov_pvalue``: asymptotic Kolmogorov distribution with Stephens'
   small-sample correction, a 100-term alternating series built with ``aggregate``.
 * ``running_totals``: exact distributed prefix sums per group over a sorted value
-  (the building block of KS, AUC and PSI). Values are first cut into ranges by
-  approximate quantiles, as many as there are shuffle partitions; offsets are
-  summed over the ranges and the running sum runs inside each (group, range), so
-  no task ever receives a whole group.
+  (the building block of KS, AUC and PSI). Rows are range-partitioned on (group,
+  value); offsets are summed over the partitions' totals and the running sum runs
+  inside each (group, partition), so no task ever receives a whole group.
 * ``exact_quantiles``: exact linear-interpolation quantiles per group from the
   same prefix sums (no task holds a group's values).
 * ``t_two_sided_pvalue``: Student-t two-sided p-value through the regularised
@@ -26,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlake.sources.store import stored
+
 # Abramowitz & Stegun 7.1.26 coefficients.
 AS_P = 0.3275911
 AS_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
@@ -90,29 +91,32 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], spread: str) ->
             .join(salted, [*keys, "_salt"]).drop("_salt"))
 
 
-def running_totals(df: DataFrame, keys: Sequence[str], value: str, sums: Sequence[str],
-                   buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
+def running_totals(df: DataFrame, keys: Sequence[str], value: str | Sequence[str], sums: Sequence[str],
+                   buckets: int | None = None) -> DataFrame:
     """Add ``cum_<s>`` = sum of ``s`` over rows of the same group with value <= this one.
 
-    ``df`` must be unique on ``keys + [value]`` (aggregate first). Exact result;
-    the quantile cut only decides how the work is split: by default each group
-    into as many pieces as the session has shuffle partitions.
+    ``df`` must be unique on ``keys + value`` (aggregate first); of rows that are
+    not, each counts those before it in some order. Rows are dealt by
+    ``repartitionByRange(keys, value)``, so a large group lies in many partitions
+    and small ones share one. The dealt rows are stored once, since the range
+    bounds come from a sample and the two readings below must see the same ones.
+    Each partition's totals of a group (as many rows as partitions, plus one a
+    group) give the offsets; the running sum runs inside (group, partition).
+    No row looks at the bounds, and no task receives a whole group. The number of
+    partitions (``buckets``, by default the session's) changes no result.
     """
-    keys = list(keys)
+    keys, order = list(keys), [value] if isinstance(value, str) else list(value)
     n = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    fractions = [i / n for i in range(1, n)]
-    bounds = df.groupBy(*keys).agg(F.percentile_approx(F.col(value).cast("double"), fractions, accuracy).alias("_bounds"))
-    b = (attach(df, bounds, keys, value)
-         .withColumn("_bucket", F.size(F.filter("_bounds", lambda e: e < F.col(value).cast("double"))))
-         .drop("_bounds"))
-    tot = b.groupBy(*keys, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    wb = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*keys, "_bucket", *[F.coalesce(F.sum(f"_t_{s}").over(wb), F.lit(0)).alias(f"_o_{s}") for s in sums])
-    wv = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    out = b.join(off, [*keys, "_bucket"])
+    dealt = stored(df.repartitionByRange(n, *keys, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+    tot = dealt.groupBy(*keys, "_part").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    # without keys there is one row per partition
+    wb = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(*keys, "_part", *[F.coalesce(F.sum(f"_t_{s}").over(wb), F.lit(0)).alias(f"_o_{s}") for s in sums])
+    wv = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = dealt.join(off, [*keys, "_part"])
     for s in sums:
         out = out.withColumn(f"cum_{s}", F.sum(s).over(wv) + F.col(f"_o_{s}"))
-    return out.drop("_bucket", *[f"_o_{s}" for s in sums])
+    return out.drop("_part", *[f"_o_{s}" for s in sums])
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
