@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnlake.llm import bestfit, bitpack, kmeans_dedup, kn_quality, mixing, multi_index, simhash, token_trie, url_gbt, warc, warc_sql
+from churnlake.llm import bestfit, bitpack, kmeans_dedup, kn_quality, mixing, multi_index, simhash, target_sampling, token_trie, url_gbt, warc, warc_sql
 from churnlake.llm.common import table
 
 QUERIES = {}
@@ -143,3 +143,50 @@ WARC_DATE = "2024-01-01T00:00:00Z"
 def op1(spark, sf_dir):
     """The metadata and conversion record of every page's response."""
     return warc.derive(warc.responses(table(spark, sf_dir, "pages"), WARC_DATE))
+
+
+CRC_TABLE = """list_transform(range(0, 256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+
+def crc32_sql(value: str, table: str) -> str:
+    """CRC-32 of a string's UTF-8 bytes, with CRC_TABLE's column."""
+    code = f"hex(encode({value}))"
+    byte = f"list_transform(range(0, len({code}) // 2), lambda i: ('0x' || substr({code}, (2 * i + 1)::INT, 2))::BIGINT)"
+    return (f"xor(list_reduce([4294967295::BIGINT] || {byte}, "
+            f"lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+@register("op11_target_resampling", rf"""
+WITH k AS (SELECT {CRC_TABLE} AS crc),
+x AS (
+  SELECT 's' AS side, doc_id AS id, row_number() OVER () AS row, text FROM documents
+  UNION ALL SELECT 't', item_id, row_number() OVER (), text FROM benchmark),
+u AS (
+  SELECT side, id, row, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM x),
+v AS (SELECT w, {crc32_sql("w", "crc")} % 10000 AS bucket FROM (SELECT DISTINCT w FROM u), k),
+f AS (SELECT u.side, u.id, u.row, v.bucket FROM u JOIN v USING (w)),
+n AS (SELECT bucket, count(*) FILTER (side = 's') AS s, count(*) FILTER (side = 't') AS t FROM f GROUP BY bucket),
+a AS (SELECT sum(s)::DOUBLE AS ss, sum(t)::DOUBLE AS tt FROM n),
+g AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (ss + 10000) / ((s + 1)::DOUBLE * (tt + 10000))))::BIGINT AS gain
+  FROM n, a),
+d AS (SELECT id, row, count(*) AS n, sum(gain)::BIGINT AS weight FROM f JOIN g USING (bucket) WHERE side = 's' GROUP BY ALL),
+h AS (
+  SELECT x.id AS doc_id, coalesce(d.n, 0) AS n_features, coalesce(d.weight, 0) AS weight,
+    ('0x' || substr(sha256('2024:' || coalesce(x.id::VARCHAR, '')), 1, 8))::BIGINT AS h
+  FROM x LEFT JOIN d USING (row, id) WHERE x.side = 's'),
+c AS (
+  SELECT doc_id, n_features, weight,
+    weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM h),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS place,
+    count(*) FILTER (n_features >= 20) OVER () AS fit FROM c)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score,
+  CASE WHEN n_features >= 20 AND place <= 10 * fit // 100 THEN place END AS rank
+FROM r""")
+def op11(spark, sf_dir):
+    """Every document's weight towards the benchmark's words, and the drawn tenth."""
+    return target_sampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
