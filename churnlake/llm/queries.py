@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnlake.llm import bestfit, bitpack, kmeans_dedup, kn_quality, mixing, multi_index, simhash, target_sampling, token_trie, url_gbt, warc, warc_sql
+from churnlake.llm import bestfit, bitpack, kmeans_dedup, kn_quality, mixing, multi_index, simhash, substring, target_sampling, token_trie, url_gbt, warc, warc_sql
 from churnlake.llm.common import table
 
 QUERIES = {}
@@ -190,3 +190,28 @@ FROM r""")
 def op11(spark, sf_dir):
     """Every document's weight towards the benchmark's words, and the drawn tenth."""
     return target_sampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op12_fm_substring_dedup", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(text, '[^ \t\n\x0b\f\r]+') AS w FROM documents),
+x AS (SELECT row, doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+s AS (
+  SELECT row, doc_id, i, word, count(*) OVER o AS n, array_to_string(list(word) OVER o, ' ') AS seq
+  FROM x WINDOW o AS (PARTITION BY row ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+m AS (SELECT seq, min(doc_id) AS first FROM s WHERE n = 13 GROUP BY seq),
+j AS (
+  SELECT s.row, s.i, s.word, s.n = 13 AND coalesce(m.first < s.doc_id, false) AS again
+  FROM s LEFT JOIN m ON m.seq = s.seq AND s.n = 13),
+r AS (
+  SELECT row, i, word, bool_or(again) OVER (PARTITION BY row ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+  FROM j),
+a AS (
+  SELECT row, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+    coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS kept FROM r GROUP BY row)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN a USING (row)""")
+def op12(spark, sf_dir):
+    """Every document without the passages of 13 words and more that a smaller doc_id holds."""
+    return substring.dedupe(table(spark, sf_dir, "documents"), length=13)
