@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnlake.llm import bestfit, bitpack, kmeans_dedup, kn_quality, mixing, multi_index, simhash, substring, target_sampling, token_trie, url_gbt, warc, warc_sql
+from churnlake.llm import bestfit, bitpack, kmeans_dedup, kn_quality, mixing, multi_index, prefix_trie, simhash, substring, target_sampling, token_trie, url_gbt, warc, warc_sql
 from churnlake.llm.common import table
 
 QUERIES = {}
@@ -215,3 +215,44 @@ FROM d LEFT JOIN a USING (row)""")
 def op12(spark, sf_dir):
     """Every document without the passages of 13 words and more that a smaller doc_id holds."""
     return substring.dedupe(table(spark, sf_dir, "documents"), length=13)
+
+
+@register("op13_conversation_trie", rf"""
+WITH k AS (SELECT {CRC_TABLE} AS crc),
+o AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+v AS (
+  SELECT c, c - ((c % 20) + 20) % 20 AS base, {crc32_sql("c::VARCHAR", "crc")} % 4 AS h
+  FROM (SELECT DISTINCT c FROM o), k),
+q AS (
+  SELECT v.c, 0 AS part, o.pos, o.role, o.text FROM v JOIN o ON o.c = v.base AND o.pos < v.h
+  UNION ALL SELECT v.c, 1, o.pos, o.role, o.text FROM v JOIN o ON o.c = v.c AND o.pos >= v.h),
+t AS (SELECT c, role, text, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS p FROM q),
+x AS (
+  SELECT c, p, text, array_to_string(list(sha256(length(role) || ':' || role || text)) OVER (PARTITION BY c ORDER BY p
+    ROWS UNBOUNDED PRECEDING), '') AS name FROM t
+  UNION ALL SELECT c, 0, '', '' FROM v),
+n AS (
+  SELECT p, name, min(c) AS id, count(*) AS n_convs,
+    (count(*) - 1) * len(regexp_extract_all(any_value(text), '[^ \t\n\x0b\f\r]+')) AS saved FROM x GROUP BY p, name),
+m AS (SELECT n.id AS node, n.p AS depth, x.c, x.p FROM n JOIN x ON x.p = n.p AND x.name = n.name),
+-- the nodes' smallest members' nodes one turn up, and all their nodes up to their own depth
+par AS (SELECT n.id, n.p, m.node AS parent FROM n JOIN m ON m.c = n.id AND m.p = n.p - 1),
+ch AS (SELECT parent AS id, p - 1 AS p, count(*) AS n_children FROM par GROUP BY ALL),
+f AS (SELECT n.*, coalesce(ch.n_children, 0) AS n_children FROM n LEFT JOIN ch ON ch.id = n.id AND ch.p = n.p),
+s AS (
+  SELECT m.node AS id, m.depth AS p, sum(f.saved) AS saved_tokens, count(*) FILTER (f.n_children = 0) AS n_leaves
+  FROM f JOIN m ON m.c = f.id AND m.p <= f.p GROUP BY ALL),
+l AS (SELECT c, max(p) AS p FROM x GROUP BY c),
+e AS (
+  SELECT m.node AS id, m.depth AS p, string_agg(m.c::VARCHAR, ',' ORDER BY m.c) AS ends
+  FROM l JOIN m ON m.c = l.c AND m.p = l.p GROUP BY ALL)
+SELECT f.id AS conv_id, f.p::BIGINT AS depth, par.parent AS parent_conv_id, f.n_convs, f.n_children::BIGINT AS n_children,
+  s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(e.ends, '')) AS ends_sha256
+FROM f JOIN s ON s.id = f.id AND s.p = f.p LEFT JOIN par ON par.id = f.id AND par.p = f.p
+LEFT JOIN e ON e.id = f.id AND e.p = f.p""")
+def op13(spark, sf_dir):
+    """Every node of the trie of the rebuilt conversations."""
+    return prefix_trie.branched_trie(table(spark, sf_dir, "conversations"))
