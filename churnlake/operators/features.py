@@ -1,26 +1,26 @@
 """Point-in-time features and the forward-looking churn label.
 
 One plan computes any number of snapshot dates ``d_k = start + k * step`` days
-(k = 0 .. n-1) in a single pass:
-
-* windowed features (``d_k - W <= t < d_k``): every fact row is exploded only to
-  the grid indices k it can affect (at most ``W / step + 1`` of them), and the
-  result is an ordinary equi-aggregate on ``(user_id, k)``. No calendar x events
-  range join, no nested loop; partial aggregation runs map-side, so a user that
-  owns a third of all rows still becomes one row per map task.
-* distinct sessions are counted after a first aggregate on ``(user, session, k)``
-  instead of several ``COUNT(DISTINCT CASE ...)`` (which Catalyst expands).
-* last login needs unbounded history: logins are bucketed by the first grid index
-  they reach, then a running max over at most n rows per user carries them forward.
+(k = 0 .. n-1) in a single pass, by difference arrays:
+
+* a fact counts in a window of every date from a first grid index to a last one.
+  It adds +x at the first and -x after the last; a running sum over the user's
+  indices gives the value at every date. That is two rows a fact and window,
+  however long the window and however fine the grid; there is no calendar x
+  events join and no explode of facts over dates;
+* distinct sessions: the days of a session cover indices that may overlap. Each
+  day adds only those that the session's day before did not cover, so a session
+  counts once;
+* last login needs unbounded history: a login is a value at the first index it
+  reaches, and a running max carries it on. ``login_state`` (the last login of
+  each user up to a date) replaces the history before that date;
 * the label (no activity and no successful payment in ``[d_k, d_k + 30d)``) is the
-  same explode in the other direction, done in the same pass: each row is
-  exploded once to tagged (k, feature|label) pairs, so a fact table is scanned
-  and shuffled once for its features and the label together.
-
-All aggregates are keyed ``(user_id, k)``, so they join the users x grid frame
-co-partitioned; each fact table is aggregated to one row per key *before* any
-join, which also removes the fan-out of joining two fact tables on the user.
-Dates are truncated to midnight; all times are ``timestamp_ntz``.
+  same difference array in the other direction.
+
+The changes of all facts are united with one empty row per user and date and
+summed by (user, k), map-side first, so a user that owns a third of all rows is a
+few rows per task; the running sums then see at most n rows per user. Facts are
+never joined. Dates are truncated to midnight; all times are ``timestamp_ntz``.
 """
 
 from __future__ import annotations
@@ -89,18 +89,6 @@ def _floor_div(x: str, step: int) -> str:
     return f"CAST(floor(({x}) / {float(step)}D) AS INT)"
 
 
-def _explode_back(grid: Grid, day: str, window_days: int) -> str:
-    """Grid indices k with ``d_k - window <= t < d_k`` (SQL text)."""
-    lo = f"greatest({_floor_div(day, grid.step_days)} + 1, 0)"
-    hi = f"least({_floor_div(f'{day} + {window_days}', grid.step_days)}, {grid.n - 1})"
-    return f"CASE WHEN {lo} <= {hi} THEN sequence({lo}, {hi}) END"
-
-
-def _in_window(grid: Grid, day: str, k: str, window_days: int) -> str:
-    """Exploded row at index k lies inside the last ``window_days`` before d_k."""
-    return f"({day} >= {k} * {grid.step_days} - {window_days})"
-
-
 def _time_range(grid: Grid, before_first: int, after_last: int) -> str:
     """Scan bounds ``d_0 - before_first <= event_time < d_last + after_last``,
     pushed to the parquet scan."""
@@ -113,182 +101,237 @@ def _before(grid: Grid) -> str:
     return f"event_time < TIMESTAMP_NTZ'{grid.last.isoformat()} 00:00:00'"
 
 
-def _range_or_empty(lo: str, hi: str, offset: int = 0) -> str:
-    off = f" + {offset}" if offset else ""
-    return f"CASE WHEN {lo} <= {hi} THEN sequence({lo}{off}, {hi}{off}) ELSE array() END"
-
-
-def _tagged_indices(grid: Grid, back_days: int, fwd_days: int | None) -> str:
-    """Array of grid indices for one row: its feature indices k (window
-    ``back_days`` before d_k) and, with ``fwd_days``, its label indices encoded
-    as k + n. One explode serves features and label; plain array functions keep
-    the expression code-generated."""
-    lo_b = f"greatest({_floor_div('day', grid.step_days)} + 1, 0)"
-    hi_b = f"least({_floor_div(f'day + {back_days}', grid.step_days)}, {grid.n - 1})"
-    back = _range_or_empty(lo_b, hi_b)
-    if fwd_days is None:
-        return back
-    lo_f = f"greatest({_floor_div(f'day - {fwd_days}', grid.step_days)} + 1, 0)"
-    hi_f = f"least({_floor_div('day', grid.step_days)}, {grid.n - 1})"
-    return f"concat({back}, {_range_or_empty(lo_f, hi_f, grid.n)})"
-
-
-def _split_tag(grid: Grid) -> tuple[str, str]:
-    """(k, f) from an encoded index: f = feature index, else label index."""
-    return f"CAST(kk % {grid.n} AS INT) AS k", f"kk < {grid.n} AS f"
-
-
-DENSE_FACTOR = 8
-
-
-def activity_aggregates(events: DataFrame, grid: Grid, label_days: int | None = None,
-                        day_preaggregate: bool | None = None) -> DataFrame:
-    """(user_id, k) -> events_30d, sessions_30d, sessions_7d [, active_next].
-
-    With ``label_days`` the same scan and shuffle also flag activity in
-    ``[d_k, d_k + label_days)`` for the label. On dense grids (window / step
-    >= 8, e.g. daily snapshots) events are first counted per (user, session,
-    day) - exact, since every window is a whole number of days - so the explode
-    runs on day-level rows instead of raw events."""
-    fanout = min(grid.n, 30 // grid.step_days + 1)   # indices one event can reach
-    dense = fanout >= DENSE_FACTOR if day_preaggregate is None else day_preaggregate
-    rows = (events.filter(_time_range(grid, 30, label_days or 0))
-            .selectExpr("user_id", "session_id", f"{grid.day_sql('event_time')} AS day"))
-    if dense:
-        rows = rows.groupBy("user_id", "session_id", "day").agg(F.expr("count(1) AS c"))
-    else:
-        rows = rows.selectExpr("*", "1 AS c")
-    rows = (rows.selectExpr("user_id", "session_id", "day", "c",
-                            f"explode({_tagged_indices(grid, 30, label_days)}) AS kk")
-            .selectExpr("user_id", "session_id", "day", "c", *_split_tag(grid)))
-    in7 = _in_window(grid, "day", "k", 7)
-    per_session = (rows.groupBy("user_id", "session_id", "k")
-                   .agg(F.expr("sum(CASE WHEN f THEN c ELSE 0 END) AS n"), F.expr(f"bool_or(f AND {in7}) AS in7"),
-                        F.expr("bool_or(NOT f) AS nxt")))
-    aggs = [F.expr("sum(n) AS events_30d"),
-            F.expr("count_if(session_id IS NOT NULL AND n > 0) AS sessions_30d"),
-            F.expr("count_if(session_id IS NOT NULL AND in7) AS sessions_7d")]
+def _back(grid: Grid, day: str, window_days: int) -> tuple[str, str]:
+    """First and last grid index k with ``d_k - window <= t < d_k`` (SQL text)."""
+    return (f"greatest({_floor_div(day, grid.step_days)} + 1, 0)",
+            f"least({_floor_div(f'{day} + {window_days}', grid.step_days)}, {grid.n - 1})")
+
+
+def _forward(grid: Grid, day: str, window_days: int) -> tuple[str, str]:
+    """First and last grid index k with ``d_k <= t < d_k + window`` (SQL text)."""
+    return (f"greatest({_floor_div(f'{day} - {window_days}', grid.step_days)} + 1, 0)",
+            f"least({_floor_div(day, grid.step_days)}, {grid.n - 1})")
+
+
+def _uncovered(grid: Grid, lo: str, window_days: int) -> str:
+    """``lo``, or the index after those of the day ``last`` (null: none) if that is later."""
+    return f"CASE WHEN last IS NULL THEN {lo} ELSE greatest({lo}, {_back(grid, 'last', window_days)[1]} + 1) END"
+
+
+def _change(lo: str, hi: str, values: dict[str, str], when: str = "true") -> list[tuple[str, dict[str, str]]]:
+    """+x at ``lo`` and -x after ``hi``; nothing where lo > hi."""
+    on = f"{lo} <= {hi} AND ({when})"
+    return [(f"CASE WHEN {on} THEN {lo} END", values),
+            (f"CASE WHEN {on} THEN {hi} + 1 END", {c: f"-({x})" for c, x in values.items()})]
+
+
+def _change_rows(rows: DataFrame, grid: Grid, changes: Sequence[tuple[str, dict[str, str]]],
+                 types: dict[str, str]) -> DataFrame:
+    """``user_id, k`` and the changes of every measure of ``types`` there; changes
+    after the last date are left out. The changes of a row are put into one array
+    and combined before the shuffle by the group sum that follows."""
+    structs = ", ".join("named_struct('k', " + k + "".join(
+        f", '{c}', CAST({values.get(c, '0')} AS {t})" for c, t in types.items()) + ")" for k, values in changes)
+    return rows.selectExpr("user_id", f"inline(array({structs}))").filter(f"k IS NOT NULL AND k < {grid.n}")
+
+
+#: Amounts are summed as whole millionths, exactly: a running sum of doubles would
+#: leave a rest where payments enter and leave the window.
+_MICROS = "CAST(round(amount * 1000000D) AS BIGINT)"
+
+
+def activity_changes(events: DataFrame, grid: Grid, label_days: int | None = None) -> DataFrame:
+    """(user_id, k) changes of events_30d, sessions_30d, sessions_7d [, active_next].
+
+    Events are first counted per (user, session, day), exact since every window is
+    a whole number of days; a session's days are then read in order, so that each
+    adds the indices that the day before did not cover."""
+    types = {"events_30d": "BIGINT", "sessions_30d": "BIGINT", "sessions_7d": "BIGINT"}
+    if grid.n == 1:  # one index: a session is one row, no day comes before another
+        per = (events.filter(_time_range(grid, 30, label_days or 0))
+               .selectExpr("user_id", "session_id", f"{grid.day_sql('event_time')} AS day").groupBy("user_id", "session_id"))
+        n = {w: f"count_if(day >= -{w} AND day < 0)" for w in (7, 30)}
+        aggs = [f"{n[30]} AS events_30d", *[f"CASE WHEN session_id IS NOT NULL AND {n[w]} > 0 THEN 1L ELSE 0L END"
+                                            f" AS sessions_{w}d" for w in (30, 7)]]
+        if label_days is not None:
+            aggs.append("count_if(day >= 0) AS active_next")
+        return per.agg(*[F.expr(a) for a in aggs]).drop("session_id").withColumn("k", F.lit(0))
+    daily = (events.filter(_time_range(grid, 30, label_days or 0))
+             .selectExpr("user_id", "session_id", f"{grid.day_sql('event_time')} AS day")
+             .groupBy("user_id", "session_id", "day").agg(F.expr("count(1) AS c")))
+    before = "lag(day) OVER (PARTITION BY user_id, session_id ORDER BY day)"
+    daily = daily.selectExpr("*", f"{before} AS last")
+    changes = _change(*_back(grid, "day", 30), {"events_30d": "c"})
+    for w in (30, 7):
+        lo, hi = _back(grid, "day", w)
+        changes += _change(_uncovered(grid, lo, w), hi, {f"sessions_{w}d": "1"}, "session_id IS NOT NULL")
     if label_days is not None:
-        aggs.append(F.expr("bool_or(nxt) AS active_next"))
-    return per_session.groupBy("user_id", "k").agg(*aggs)
+        types["active_next"] = "BIGINT"
+        changes += _change(*_forward(grid, "day", label_days), {"active_next": "c"})
+    return _change_rows(daily, grid, changes, types)
 
 
-def last_login_by_index(events: DataFrame, grid: Grid) -> DataFrame:
-    """(user_id, k) -> last login time strictly before d_k, for every k it exists.
-
-    Logins are bucketed by the first index they reach; a running max over the
-    (at most n) buckets of a user is then spread over the indices up to the next
-    bucket. Unbounded history, but at most n rows per user after the first step.
-    """
-    logins = events.filter(f"event_type = 'login' AND {_before(grid)}")
-    if grid.n == 1:  # one date: a plain per-user max, no carry-forward needed
-        return logins.groupBy("user_id").agg(F.expr("0 AS k"), F.expr("max(event_time) AS last_login"))
-    first_k = f"greatest({_floor_div(grid.day_sql('event_time'), grid.step_days)} + 1, 0)"
-    buckets = (logins
-               .groupBy("user_id", F.expr(first_k).alias("k0"))
-               .agg(F.expr("max(event_time) AS bucket_last")))
-    w = "PARTITION BY user_id ORDER BY k0"
-    carried = buckets.selectExpr(
-        "user_id", "k0",
-        f"max(bucket_last) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_login",
-        f"coalesce(lead(k0) OVER ({w}) - 1, {grid.n - 1}) AS k1")
-    return carried.selectExpr("user_id", "explode(sequence(k0, k1)) AS k", "last_login")
-
-
-def billing_aggregates(billing: DataFrame, grid: Grid, label_days: int | None = None,
-                       day_preaggregate: bool | None = None) -> DataFrame:
-    """(user_id, k) -> failed_payments_30d, total_spend_90d, refunds_30d [, paid_next].
-
-    With ``label_days`` successful payments in ``[d_k, d_k + label_days)`` are
-    flagged in the same pass. Billing is sparse (about one row per user and
-    day), so a day-level pre-aggregation would add a shuffle without shrinking
-    the rows; it runs only when requested."""
-    dense = bool(day_preaggregate)
+def billing_changes(billing: DataFrame, grid: Grid, label_days: int | None = None) -> DataFrame:
+    """(user_id, k) changes of failed_payments_30d, spend_micros_90d, refunds_30d [, paid_next]."""
+    types = {"failed_payments_30d": "BIGINT", "spend_micros_90d": "BIGINT", "refunds_30d": "BIGINT"}
     rows = (billing.filter(_time_range(grid, 90, label_days or 0))
             .selectExpr("user_id", "status", "amount", f"{grid.day_sql('event_time')} AS day"))
-    if dense:
-        rows = rows.groupBy("user_id", "status", "day").agg(F.expr("count(1) AS c"), F.expr("sum(amount) AS amount"))
-    else:
-        rows = rows.selectExpr("*", "1 AS c")
-    rows = (rows.selectExpr("*", f"explode({_tagged_indices(grid, 90, label_days)}) AS kk")
-            .selectExpr("user_id", "status", "amount", "c", "day", *_split_tag(grid)))
-    in30 = _in_window(grid, "day", "k", 30)
-    aggs = [F.expr(f"CAST(coalesce(sum(CASE WHEN f AND status = 'failed' AND {in30} THEN c END), 0) AS BIGINT)"
-                   " AS failed_payments_30d"),
-            F.expr("sum(CASE WHEN f AND status = 'successful' THEN amount END) AS total_spend_90d"),
-            F.expr(f"CAST(coalesce(sum(CASE WHEN f AND status = 'refunded' AND {in30} THEN c END), 0) AS BIGINT)"
-                   " AS refunds_30d")]
+    month, quarter = _back(grid, "day", 30), _back(grid, "day", 90)
+    changes = (_change(*month, {"failed_payments_30d": "CASE WHEN status = 'failed' THEN 1 ELSE 0 END",
+                                "refunds_30d": "CASE WHEN status = 'refunded' THEN 1 ELSE 0 END"},
+                       "status IN ('failed', 'refunded')")
+               + _change(*quarter, {"spend_micros_90d": f"coalesce({_MICROS}, 0)"}, "status = 'successful'"))
     if label_days is not None:
-        aggs.append(F.expr("bool_or(NOT f AND status = 'successful') AS paid_next"))
-    return rows.groupBy("user_id", "k").agg(*aggs)
+        types["paid_next"] = "BIGINT"
+        changes += _change(*_forward(grid, "day", label_days), {"paid_next": "1"}, "status = 'successful'")
+    return _change_rows(rows, grid, changes, types)
+
 
+def login_values(events: DataFrame, grid: Grid, state: DataFrame | None = None, state_date=None) -> DataFrame:
+    """(user_id, k, last_login): the last login that reaches index k first.
 
-def custom_aggregates(d: Domain, grid: Grid, specs: Sequence[FeatureSpec]) -> DataFrame | None:
-    """(user_id, k) -> one column per declared spec; one explode per source."""
-    out = None
+    With ``state`` (user_id, last_login: each user's last login before
+    ``state_date``) only logins from that date on are read; the state is a value
+    at index 0. The state must not be newer than the first snapshot."""
+    logins = events.filter(f"event_type = 'login' AND {_before(grid)}")
+    if state is not None:
+        since = to_python_date(state_date)
+        if since > grid.start:
+            raise ValueError(f"state of {since} is newer than the first snapshot {grid.start}")
+        logins = logins.filter(f"event_time >= TIMESTAMP_NTZ'{since.isoformat()} 00:00:00'")
+    first_k = f"greatest({_floor_div(grid.day_sql('event_time'), grid.step_days)} + 1, 0)"
+    rows = logins.selectExpr("user_id", f"{first_k} AS k", "event_time AS last_login")
+    if state is not None:
+        rows = rows.unionByName(state.selectExpr("user_id", "0 AS k", "last_login"))
+    return rows
+
+
+def on_grid(users: DataFrame, grid: Grid, parts: Sequence[DataFrame]) -> DataFrame:
+    """Users x grid with the running values of all ``parts`` (``user_id, k`` and
+    changes; a column ``last_login`` or ``max_*`` runs as a maximum). Users are
+    joined at the end by their id alone, which is how the running rows already lie."""
+    out = users.selectExpr("user_id", f"explode(sequence(0, {grid.n - 1})) AS k", "true AS wanted")
+    values: list[str] = []
+    for p in parts:
+        values += [c for c in p.columns if c not in ("user_id", "k")]
+        out = out.unionByName(p, allowMissingColumns=True)
+    if not values:
+        return users.selectExpr("*", f"explode(sequence(0, {grid.n - 1})) AS k")
+    run = {c: "max" if c == "last_login" or c.startswith("max_") else "sum" for c in values}
+    out = out.groupBy("user_id", "k").agg(F.expr("bool_or(wanted) AS wanted"),
+                                          *[F.expr(f"{f}({c}) AS {c}") for c, f in run.items()])
+    if grid.n > 1:
+        w = "OVER (PARTITION BY user_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        out = out.selectExpr("user_id", "k", "wanted", *[f"{f}({c}) {w} AS {c}" for c, f in run.items()])
+    return out.filter("wanted").drop("wanted").join(users, "user_id")
+
+
+def custom_changes(source: DataFrame, grid: Grid, specs: Sequence[FeatureSpec]) -> list[DataFrame]:
+    """Changes or running values of the declared features of one fact table.
+
+    Sums, counts and averages are difference arrays over the rows. Distinct counts
+    are difference arrays over (user, value, day), where a day adds the indices
+    that the value's day before did not cover. Extremes cannot be taken back: they
+    are exact per (user, day) first and those days, not the rows, go to their
+    indices (``at_index``)."""
+    rows = (source.filter(_time_range(grid, max(s.window_days for s in specs), 0))
+            .withColumn("day", F.expr(grid.day_sql("event_time"))))
+    out, types, changes = [], {}, []
+    for i, s in enumerate(specs):
+        rows = rows.withColumn(f"_on{i}", s.predicate() if s.predicate is not None else F.lit(True))
+        rows = rows.withColumn(f"_x{i}", F.when(F.col(f"_on{i}"), F.col(s.column) if s.column else F.lit(1)))
+    for i, s in enumerate(specs):
+        lo, hi = _back(grid, "day", s.window_days)
+        if s.agg in ("count", "sum", "avg"):
+            types[f"n_{s.name}"] = "BIGINT"
+            values = {f"n_{s.name}": "1"}
+            if s.agg != "count":
+                types[f"s_{s.name}"] = "DECIMAL(38, 6)"
+                values[f"s_{s.name}"] = f"CAST(_x{i} AS DECIMAL(28, 6))"
+            changes += _change(lo, hi, values, f"_x{i} IS NOT NULL")
+        elif s.agg == "count_distinct":
+            days = rows.filter(F.col(f"_x{i}").isNotNull()).select("user_id", F.col(f"_x{i}").alias("v"), "day").distinct()
+            days = days.selectExpr("*", "lag(day) OVER (PARTITION BY user_id, v ORDER BY day) AS last")
+            fresh = _uncovered(grid, lo, s.window_days)
+            out.append(_change_rows(days, grid, _change(fresh, hi, {f"n_{s.name}": "1"}), {f"n_{s.name}": "BIGINT"}))
+    if changes:
+        out.insert(0, _change_rows(rows, grid, changes, types))
+    return out
+
+
+def at_index(source: DataFrame, grid: Grid, specs: Sequence[FeatureSpec]) -> DataFrame:
+    """(user_id, k) -> the declared maxima and minima, from daily extremes."""
+    widest = max(s.window_days for s in specs)
+    rows = source.filter(_time_range(grid, widest, 0)).withColumn("day", F.expr(grid.day_sql("event_time")))
+    pick = {"max": F.max, "min": F.min}
+    value = {s.name: F.col(s.column) if s.predicate is None else F.when(s.predicate(), F.col(s.column)) for s in specs}
+    daily = rows.groupBy("user_id", "day").agg(*[pick[s.agg](value[s.name]).alias(s.name) for s in specs])
+    lo, hi = _back(grid, "day", widest)
+    spread = daily.filter(f"{lo} <= {hi}").selectExpr("*", f"explode(sequence({lo}, {hi})) AS k")
+    return spread.groupBy("user_id", "k").agg(*[
+        pick[s.agg](F.when(F.expr(f"day >= k * {grid.step_days} - {s.window_days}"), F.col(s.name))).alias(s.name)
+        for s in specs])
+
+
+def custom_aggregates(d: Domain, grid: Grid, specs: Sequence[FeatureSpec], users: DataFrame) -> DataFrame:
+    """(user_id, k) -> one column per declared spec, for every user and date."""
+    parts, extremes = [], []
+    for s in specs:
+        if s.agg not in AGGREGATIONS:
+            raise ValueError(f"unknown aggregation {s.agg!r}")
     for source, frame in (("events", d.user_events), ("billing", d.billing_events)):
         mine = [s for s in specs if s.source == source]
-        if not mine:
-            continue
-        widest = max(s.window_days for s in mine)
-        rows = (frame.filter(_time_range(grid, widest, 0))
-                .withColumn("day", F.expr(grid.day_sql("event_time")))
-                .withColumn("k", F.expr(f"explode({_explode_back(grid, 'day', widest)})")))
-        aggs = []
-        for s in mine:
-            if s.agg not in AGGREGATIONS:
-                raise ValueError(f"unknown aggregation {s.agg!r}")
-            keep = F.expr(_in_window(grid, "day", "k", s.window_days))
-            if s.predicate is not None:
-                keep = keep & s.predicate()
-            val = F.when(keep, F.col(s.column) if s.column else F.lit(1))
-            fn = {"count": F.count, "count_distinct": F.count_distinct, "sum": F.sum,
-                  "avg": F.avg, "max": F.max, "min": F.min}[s.agg]
-            aggs.append(fn(val).alias(s.name))
-        agg = rows.groupBy("user_id", "k").agg(*aggs)
-        out = agg if out is None else out.join(agg, ["user_id", "k"], "full")
-    return out
+        if sums := [s for s in mine if s.agg not in ("max", "min")]:
+            parts += custom_changes(frame, grid, sums)
+        if ends := [s for s in mine if s.agg in ("max", "min")]:
+            extremes.append(at_index(frame, grid, ends))
+    out = on_grid(users.select("user_id").distinct(), grid, parts)
+    for e in extremes:
+        out = out.join(e, ["user_id", "k"], "left")
+    cols = []
+    for s in specs:
+        v = {"count": f"n_{s.name}", "count_distinct": f"n_{s.name}",
+             "sum": f"CASE WHEN n_{s.name} > 0 THEN s_{s.name} END",
+             "avg": f"CAST(s_{s.name} AS DOUBLE) / nullif(n_{s.name}, 0)"}.get(s.agg, f"`{s.name}`")
+        cols.append(f"{v} AS `{s.name}`")
+    return out.selectExpr("user_id", "k", *cols)
 
 
 def feature_grid(d: Domain, grid: Grid, features: Sequence[str] = S.FEATURE_COLUMNS,
                  with_label: bool = False, existing_only: bool = False,
                  user_ids: DataFrame | None = None,
                  custom: Sequence[FeatureSpec] = (), label_days: int = LABEL_WINDOW_DAYS,
-                 day_preaggregate: bool | None = None) -> DataFrame:
+                 login_state: tuple[DataFrame, object] | None = None) -> DataFrame:
     """Features (and optionally the label) for every user at every grid date.
 
     ``existing_only`` keeps only users who signed up before the date;
     ``user_ids`` (a frame with ``user_id``) restricts the users by a semi join;
-    ``day_preaggregate`` forces (or disables) the day-level pre-aggregation of
-    activity that is chosen automatically for dense grids.
+    ``login_state`` = (state, date) replaces the logins before that date
+    (``login_values``), so only newer ones are read. A user without an id has no
+    vector.
     """
     unknown = [f for f in features if f not in S.FEATURE_COLUMNS]
     if unknown:
         raise ValueError(f"unknown features: {unknown}")
     users = d.users.select("user_id", "plan_type", "signup_date")
-    if user_ids is not None:
-        users = users.join(user_ids.select("user_id"), "user_id", "left_semi")
-    base = users.selectExpr("*", f"explode(sequence(0, {grid.n - 1})) AS k")
-    base = base.selectExpr("*", f"{grid.date_of_sql('k')} AS feature_date")
-    if existing_only:
-        base = base.filter("signup_date < feature_date")
-
     need = set(features)
     events, billing = d.user_events, d.billing_events
     if user_ids is not None:
         ids = user_ids.select("user_id")
-        events = events.join(ids, "user_id", "left_semi")
-        billing = billing.join(ids, "user_id", "left_semi")
-    joined = base
+        users, events, billing = (f.join(ids, "user_id", "left_semi") for f in (users, events, billing))
+    parts = []
     lab = label_days if with_label else None
     if with_label or need & {"avg_sessions_7d", "sessions_30d", "events_30d"}:
-        joined = joined.join(activity_aggregates(events, grid, lab, day_preaggregate), ["user_id", "k"], "left")
+        parts.append(activity_changes(events, grid, lab))
     if "days_since_last_login" in need:
-        joined = joined.join(last_login_by_index(events, grid), ["user_id", "k"], "left")
+        parts.append(login_values(events, grid, *(login_state or ())))
     if with_label or need & {"failed_payments_30d", "total_spend_90d", "refunds_30d"}:
-        joined = joined.join(billing_aggregates(billing, grid, lab, day_preaggregate), ["user_id", "k"], "left")
+        parts.append(billing_changes(billing, grid, lab))
+    joined = on_grid(users, grid, parts).selectExpr("*", f"{grid.date_of_sql('k')} AS feature_date")
+    if existing_only:
+        joined = joined.filter("signup_date < feature_date")
     if custom:
-        joined = joined.join(custom_aggregates(Domain(users, events, billing), grid, custom),
+        joined = joined.join(custom_aggregates(Domain(users, events, billing), grid, custom, users),
                              ["user_id", "k"], "left")
 
     cols = ["user_id", "feature_date"] + [f"{FEATURE_EXPR[f]} AS {f}" for f in S.FEATURE_COLUMNS if f in need]
@@ -296,7 +339,7 @@ def feature_grid(d: Domain, grid: Grid, features: Sequence[str] = S.FEATURE_COLU
         v = f"coalesce(`{s.name}`, {s.default!r})" if s.default is not None else f"`{s.name}`"
         cols.append(f"CAST({v} AS {s.dtype}) AS `{s.name}`")
     if with_label:
-        cols.append("CAST(CASE WHEN coalesce(active_next, false) OR coalesce(paid_next, false) THEN 0 ELSE 1 END AS INT)"
+        cols.append("CAST(CASE WHEN coalesce(active_next, 0) > 0 OR coalesce(paid_next, 0) > 0 THEN 0 ELSE 1 END AS INT)"
                     " AS churned_30d")
     return joined.selectExpr(*cols)
 
@@ -309,7 +352,7 @@ FEATURE_EXPR = {
                               f"{NEVER_LOGGED_IN})"),
     "events_30d": "CAST(coalesce(events_30d, 0) AS BIGINT)",
     "failed_payments_30d": "CAST(coalesce(failed_payments_30d, 0) AS BIGINT)",
-    "total_spend_90d": "CAST(coalesce(total_spend_90d, 0.0D) AS DOUBLE)",
+    "total_spend_90d": "coalesce(spend_micros_90d, 0) / 1000000D",
     "refunds_30d": "CAST(coalesce(refunds_30d, 0) AS BIGINT)",
     "is_pro_plan": "CAST(CASE WHEN plan_type = 'pro' THEN 1 ELSE 0 END AS INT)",
     "is_paid_plan": "CAST(CASE WHEN plan_type IN ('basic', 'pro') THEN 1 ELSE 0 END AS INT)",
