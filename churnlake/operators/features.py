@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlake.functions.timefn import to_python_date
+from churnlake.operators.distinct import distinct_ids, id_bitmaps, merged
 from churnlake.sources import schemas as S
 from churnlake.sources.tables import Domain
 
@@ -383,13 +384,23 @@ def churn_labels(d: Domain, feature_date, user_ids: DataFrame | None = None) ->
 
 
 def training_summary(training: DataFrame) -> DataFrame:
-    """Shape, date range and churn rate of a training set (one row)."""
-    return training.agg(F.count(F.lit(1)).alias("n_rows"),
-                        F.count_distinct("user_id").alias("n_users"),
-                        F.count_distinct("feature_date").alias("n_dates"),
-                        F.min("feature_date").alias("min_date"),
-                        F.max("feature_date").alias("max_date"),
-                        F.avg("churned_30d").alias("churn_rate"))
+    """Shape, date range and churn rate of a training set (one row), from one
+    aggregate per (date, bucket of users) with the users as bitmaps."""
+    parts = id_bitmaps(training, ["feature_date"], "user_id", F.count(F.lit(1)).alias("n_rows"),
+                       F.sum("churned_30d").alias("churned"), F.count("churned_30d").alias("labelled"))
+    users = merged(parts, [], F.sum("n_rows").alias("n_rows"), F.sum("churned").alias("churned"),
+                   F.sum("labelled").alias("labelled"), F.min("feature_date").alias("min_date"),
+                   F.max("feature_date").alias("max_date"))
+    total = distinct_ids(users, [], "n_users", F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+                         F.sum("churned").alias("churned"), F.sum("labelled").alias("labelled"),
+                         F.min("min_date").alias("min_date"), F.max("max_date").alias("max_date"))
+    # one row per date is counted and set beside the one row of the total
+    dates = parts.groupBy("feature_date").agg(F.count(F.lit(1)).alias("buckets")).agg(
+        F.count("feature_date").alias("n_dates"))
+    both = total.unionByName(dates, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in (
+        "n_rows", "n_users", "n_dates", "min_date", "max_date", "churned", "labelled")])
+    return both.select("n_rows", F.coalesce("n_users", F.lit(0)).alias("n_users"), "n_dates", "min_date", "max_date",
+                       F.try_divide("churned", "labelled").alias("churn_rate"))
 
 
 def split_features_labels(training: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -96,5 +96,6 @@ def load_all() -> None:
         q_scoring,
         q_sources,
         q_streaming,
+        q_time,
         q_validation,
     )
