@@ -59,43 +59,46 @@ class FMIndex:
     """
 
     def __init__(self, text: np.ndarray, depth: int, value: np.ndarray):
-        n, self.depth, self.n = len(text), depth, len(text)
-
-        def ahead(rank: np.ndarray, k: int) -> np.ndarray:
-            out = np.zeros(n, dtype=np.int64)
-            out[:max(0, n - k)] = rank[k:]
-            return out
-
-        power, size, rank, done = text.astype(np.int64), 1, None, 0
-        while True:  # ranks by 1, 2, 4 .. symbols; those in depth's binary form make up its rank
-            if depth & size:
-                rank = power if rank is None else _dense(ahead(rank, size) + power * (int(rank.max()) + 1))
-                done += size
-            if done == depth:
-                break
-            power = _dense(power * (int(power.max()) + 1) + ahead(power, size))
-            size *= 2
-        self.sa = np.argsort(rank, kind="stable")
-        symbols = int(text.max()) + 1
-        self.wavelet = WaveletMatrix(text[self.sa - 1], symbols)
-        self.first = np.cumsum(np.append(0, np.bincount(text, minlength=symbols)[:-1]))
-        self.symbols = symbols
-        # shared leading symbols of neighbouring suffixes, up to depth
-        padded = np.concatenate([text, np.zeros(depth, dtype=text.dtype)])
-        lcp = np.zeros(max(0, n - 1), dtype=np.uint16)
-        i = np.arange(n - 1)
-        for k in range(depth):
-            i = i[padded[self.sa[i] + k] == padded[self.sa[i + 1] + k]]
-            lcp[i] += 1
-        self.lcp = lcp
+        self.text, self.depth, self.n = text.astype(np.int64), depth, len(text)
+        self.symbols = int(text.max()) + 1
         self._groups: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        key, shorter = self._key(depth)
+        self.sa = np.argsort(key, kind="stable")
+        self._bound(depth, key)
+        if shorter is not None:
+            self._bound(depth - 1, shorter)
+        self.wavelet = WaveletMatrix(text[self.sa - 1], self.symbols)
+        self.first = np.cumsum(np.append(0, np.bincount(text, minlength=self.symbols)[:-1]))
         self._least = np.minimum.reduceat(value[self.sa], self.groups(depth)[1][:-1])
 
+    def _ahead(self, rank: np.ndarray, k: int) -> np.ndarray:
+        out = np.zeros(self.n, dtype=np.int64)
+        out[:max(0, self.n - k)] = rank[k:]
+        return out
+
+    def _key(self, d: int) -> tuple[np.ndarray, np.ndarray | None]:
+        """Numbers that order all suffixes by their first ``d`` symbols, and those
+        of ``d - 1`` symbols if they were made on the way."""
+        if self.symbols ** d < 2 ** 62:  # d symbols fit into one number
+            key = np.zeros(self.n, dtype=np.int64)
+            for k in range(d):
+                key = key * self.symbols + self._ahead(self.text, k)
+            return key, None
+        if d % 2:
+            rank = _dense(self._key(d - 1)[0])
+            return rank * self.symbols + self._ahead(self.text, d - 1), rank
+        rank = _dense(self._key(d // 2)[0])
+        return rank * (int(rank.max()) + 1) + self._ahead(rank, d // 2), None
+
+    def _bound(self, d: int, key: np.ndarray) -> None:
+        order = key[self.sa]
+        new = np.append(True, order[1:] != order[:-1])
+        self._groups[d] = (np.cumsum(new, dtype=np.int32) - 1, np.append(np.flatnonzero(new), self.n))
+
     def groups(self, d: int) -> tuple[np.ndarray, np.ndarray]:
         """Each suffix's group among those that share ``d`` symbols, and the groups' bounds."""
         if d not in self._groups:
-            new = np.append(True, self.lcp < d)
-            self._groups[d] = (np.cumsum(new, dtype=np.int32) - 1, np.append(np.flatnonzero(new), self.n))
+            self._bound(d, self._key(d)[0] if d else np.zeros(self.n, dtype=np.int64))
         return self._groups[d]
 
     def least(self, lo: np.ndarray) -> np.ndarray:
@@ -127,8 +130,8 @@ class FMIndex:
             todo = todo[known]
             while len(todo):
                 s = c[todo]
-                ends = self.first[np.tile(s, 2)] + self.wavelet.rank(np.tile(s, 2), np.concatenate([lo[todo], hi[todo]]))
-                a, b = ends[:len(todo)], ends[len(todo):]
+                ends = self.wavelet.rank(np.tile(s, 2), np.concatenate([lo[todo], hi[todo]]))
+                a, b = self.first[s] + ends[:len(todo)], self.first[s] + ends[len(todo):]
                 ok = a < b
                 done = todo[ok]
                 lo[done], hi[done] = a[ok], b[ok]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from churnlake.llm.common import materialise
 from churnlake.llm.fm_index import FMIndex
-from churnlake.llm.words import WHITE, InternTable, Piece, pieces, xxh64
+from churnlake.llm.words import WHITE, Piece, joined, pieces, span_hash
 
 GRAM = 4
 SHARD_RUNS = 50_000
@@ -60,7 +60,7 @@ def _sliding_min(g: np.ndarray, k: int) -> np.ndarray:
 
 def windows(p: Piece, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First words (indices into the piece) of its windows, their anchors, and all words' hashes."""
-    h = xxh64(p.data, p.start, p.end)
+    h = span_hash(p.data, p.start, p.end)
     k = min(GRAM, length)
     anchor = _sliding_min(_chained(h, k), length - k + 1).view(np.int64)
     stop = np.searchsorted(p.row, p.row, side="right")
@@ -108,9 +108,9 @@ def _runs(p: Piece, length: int, wanted: np.ndarray, hot: np.ndarray):
     return key, first[begin], count + length - 1
 
 
-def _digest(text: pa.Scalar) -> int:
+def _digest(text: bytes) -> int:
     """Tells apart the texts of one doc_id."""
-    h = xxhash.xxh64_intdigest(text.as_py().encode("utf-8", "surrogatepass"), seed=42)
+    h = xxhash.xxh64_intdigest(text, seed=42)
     return h - (1 << 64) if h >> 63 else h
 
 
@@ -129,14 +129,15 @@ def asks(docs: DataFrame, length: int) -> DataFrame:
             texts = col["text"].filter(pa.array(has))
             ids = col["doc_id"].to_numpy(zero_copy_only=False)[has]
             part = col["part"].to_numpy(zero_copy_only=False)[has]
-            digest = [_digest(t) for t in texts]
+            digest = [_digest(t) for t in texts.cast(pa.binary()).to_pylist()]
             met: dict[bytes, tuple[int, list[tuple[int, int]]]] = {}
             for p in pieces(texts, WHITE, overlap=length - 1):
                 key, at, size = _runs(p, length, wanted, hot)
-                body = p.data.tobytes()
-                a, z = p.start[at].tolist(), p.end[at + size - 1].tolist()
+                data, start, end = joined(p)
+                body = data.tobytes()
+                a, z = start[at].tolist(), end[at + size - 1].tolist()
                 for k, x, y, r, n in zip(key.tolist(), a, z, p.row[at].tolist(), p.number[at].tolist()):
-                    run_words = b" ".join(body[x:y].split())
+                    run_words = body[x:y]
                     own = met.get(run_words)
                     if own is None:
                         met[run_words] = own = (k, [])
@@ -180,17 +181,32 @@ def first_holders(texts: list[bytes], holder: np.ndarray, length: int) -> tuple[
     smallest document that holds the window beginning at each word (the largest
     long where no window begins), and the runs' first words in that array."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
-    p = next(iter(pieces(pa.array([data.tobytes()], pa.large_binary()), WHITE, size=len(data) + 1)))
-    table = InternTable()
-    ids = table.add(p.data, p.start, p.end, xxh64(p.data, p.start, p.end)) + 1
     ends = np.flatnonzero(data == 0x0A)
-    n = np.diff(np.append(0, np.searchsorted(p.start, ends)))
+    stop = np.flatnonzero((data == 0x0A) | (data == 0x20)) + 1  # a word and the one byte after it
+    n = np.diff(np.append(0, np.searchsorted(stop, ends + 1, side="right")))
+    body = np.where(data == 0x0A, np.uint8(0x20), data)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(stop), [
+        None, pa.py_buffer(np.append(0, stop).astype(np.int64)), pa.py_buffer(body)])
+    ids = words.dictionary_encode().indices.to_numpy() + 1
     start = np.cumsum(n + 1) - (n + 1)
-    text = np.zeros(int(n.sum()) + len(n), dtype=np.int64)
+    owner = np.repeat(np.arange(len(n)), n + 1)
+    text = np.zeros(len(owner), dtype=np.int64)
     text[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n)] = ids
-    index = FMIndex(text, length, np.repeat(holder, n + 1))
-    matched, row = index.matching_statistics(text, start, n)
-    return np.where(matched == length, index.least(row), np.int64(2**63 - 1)), start
+    begins = np.arange(len(text)) + length <= (start + n)[owner]
+    first = np.where(begins, holder[owner], np.int64(2**63 - 1))
+    # a run all of whose windows' hashes are met once here holds no other run's window
+    at = np.flatnonzero(begins)
+    _, of, met = np.unique(_chained(text.astype(np.uint64), length)[at], return_inverse=True, return_counts=True)
+    shared = np.zeros(len(n), dtype=bool)
+    shared[owner[at[met[of] > 1]]] = True
+    if shared.any():
+        into = shared[owner]
+        text, n = text[into], n[shared]
+        index = FMIndex(np.unique(text, return_inverse=True)[1], length, holder[owner][into])
+        begin = np.cumsum(n + 1) - (n + 1)
+        matched, row = index.matching_statistics(index.text, begin, n)
+        first[into] = np.where(matched == length, index.least(row), np.int64(2**63 - 1))
+    return first, start
 
 
 def repeats(rows: pa.Table, length: int) -> pa.Table:
@@ -223,13 +239,17 @@ def repeats(rows: pa.Table, length: int) -> pa.Table:
                      "spans": pa.array([f for f in found if f is not None], pa.list_(pa.int64()))})
 
 
-def _kept(text: bytes, spans: list[int]) -> tuple[int, int, str]:
-    """Words, removed words, and the SHA-256 of the kept ones joined by blanks."""
+def _kept(text: bytes, spans: list[int], with_text: bool) -> tuple:
+    """Words, removed words, the SHA-256 of the kept ones joined by blanks, and on
+    request those themselves."""
     words = text.split()
-    n = len(words)
-    for a, b in reversed(list(zip(spans[0::2], spans[1::2]))):
-        del words[a:b]
-    return n, n - len(words), hashlib.sha256(b" ".join(words)).hexdigest()
+    n, at, parts = len(words), 0, []
+    for a, b in zip(spans[0::2], spans[1::2]):
+        parts += words[at:a]
+        at = b
+    kept = b" ".join(parts + words[at:] if spans else words)
+    got = (n, n - (len(parts) + n - at), hashlib.sha256(kept).hexdigest())
+    return (*got, kept.decode("utf-8", "surrogatepass")) if with_text else got
 
 
 def dedupe(docs: DataFrame, length: int = 13, with_text: bool = False) -> DataFrame:
@@ -268,14 +288,13 @@ def dedupe(docs: DataFrame, length: int = 13, with_text: bool = False) -> DataFr
     def run(batches):
         for b in batches:
             out = []
-            for d, _, t, found in zip(*(b.column(i) for i in range(4))):
+            for d, text, found in zip(b.column(0).to_pylist(), b.column(2).cast(pa.binary()), b.column(3)):
+                text = text.as_py() or b""
                 spans: list[int] = []
-                if found.is_valid and t.is_valid:
-                    own = _digest(t)
+                if found.is_valid:
+                    own = _digest(text)
                     spans = _merged([x for f in found.as_py() if f["digest"] == own for x in f["spans"]])
-                text = (t.as_py() or "").encode("utf-8", "surrogatepass")
-                got = _kept(text, spans)
-                out.append((d.as_py(), *got, *([_kept_text(text, spans)] if with_text else [])))
+                out.append((d, *_kept(text, spans, with_text)))
             cols = list(zip(*out)) or [[]] * (5 if with_text else 4)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
@@ -284,9 +303,3 @@ def dedupe(docs: DataFrame, length: int = 13, with_text: bool = False) -> DataFr
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if with_text else "")
     return base.join(found, ["doc_id", "part"], "left").select("doc_id", "part", "text", "found").mapInArrow(run, schema)
 
-
-def _kept_text(text: bytes, spans: list[int]) -> str:
-    words = text.split()
-    for a, b in reversed(list(zip(spans[0::2], spans[1::2]))):
-        del words[a:b]
-    return b" ".join(words).decode("utf-8", "surrogatepass")

@@ -23,23 +23,13 @@ from pyspark.sql import functions as F
 
 from churnlake.functions.stats import running_totals
 from churnlake.llm.common import materialise
-from churnlake.llm.words import NOT_ALNUM, InternTable, Piece, pieces, xxh64
-
-
-def _joined(p: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The piece's words with one space after each: bytes, starts, ends."""
-    n = p.end - p.start + 1
-    end = np.cumsum(n)
-    at = np.repeat(p.start - (end - n), n) + np.arange(int(end[-1]) if len(end) else 0)
-    data = np.append(p.data, np.uint8(0x20))[np.minimum(at, len(p.data))]
-    data[end - 1] = 0x20
-    return data, end - n, end - 1
+from churnlake.llm.words import NOT_ALNUM, InternTable, Piece, joined, pieces, xxh64
 
 
 def grams(p: Piece, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes, starts, ends and rows of all runs of 1 to ``longest`` words; the last
     words of a cut text are left to its next piece, which begins with them."""
-    data, start, end = (p.data, p.start, p.end) if longest == 1 else _joined(p)
+    data, start, end = (p.data, p.start, p.end) if longest == 1 else joined(p)
     stop = np.searchsorted(p.row, p.row, side="right")  # end of the word's text in this piece
     go_on = np.array([r for r, last in zip(p.texts, p.last) if not last], dtype=np.int64)
     first = np.flatnonzero(np.arange(len(start)) < stop - np.where(np.isin(p.row, go_on), longest - 1, 0))

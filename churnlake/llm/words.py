@@ -126,6 +126,41 @@ def pieces(col: pa.Array, parts: np.ndarray, lower: bool = False, overlap: int =
         yield made()
 
 
+def joined(p: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The piece's words with one blank after each: bytes, starts, ends."""
+    n = p.end - p.start + 1
+    end = np.cumsum(n)
+    at = np.repeat(p.start - (end - n), n) + np.arange(int(end[-1]) if len(end) else 0)
+    data = np.append(p.data, np.uint8(0x20))[np.minimum(at, len(p.data))]
+    data[end - 1] = 0x20
+    return data, end - n, end - 1
+
+
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
+_LANES_UP_TO = 256
+
+
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span for choosing places, eight bytes a step; spans of
+    over 256 bytes go to the library whole."""
+    data = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    h = (end - start).astype(np.uint64) * _MIX[0]
+    i, at, left = slice(None), start, end - start
+    long = np.flatnonzero(left > _LANES_UP_TO)
+    while True:
+        keep = np.uint64(64) - np.uint64(8) * np.minimum(left, 8).astype(np.uint64)
+        x = (_lane(data, at) << keep) * _MIX[1]
+        h[i] = ((h[i] ^ x ^ (x >> np.uint64(29))) * _MIX[0])
+        more = np.flatnonzero((left > 8) & (end[i] - start[i] <= _LANES_UP_TO))
+        if not len(more):
+            break
+        i = more if isinstance(i, slice) else i[more]
+        at, left = at[more] + 8, left[more] - 8
+    for k in long.tolist():
+        h[k] = xxhash.xxh64_intdigest(data[start[k]:end[k]].tobytes())
+    return h ^ (h >> np.uint64(32))
+
+
 # XXH64's fixed values
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (
     11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
