@@ -100,13 +100,27 @@ def scale_features(df: DataFrame, scaler: Scaler, features: Sequence[str] = S.FE
 
 
 def latest_features(store: DataFrame) -> DataFrame:
-    """Newest vector per user (offline -> online sync): ``max_by`` over the
-    snapshot date, an aggregate with a partial step per task before the
-    shuffle (no window over a user's rows)."""
-    cols = [c for c in store.columns if c != "user_id"]
-    packed = F.struct(*[F.col(c) for c in cols])
-    return (store.groupBy("user_id").agg(F.max_by(packed, F.col("feature_date")).alias("_v"))
-            .select("user_id", *[F.col(f"_v.{c}").alias(c) for c in cols]))
+    """Newest vector per user (offline -> online sync): each column is picked by the
+    latest snapshot date in one hash aggregate, with a partial step per task before
+    the shuffle (no window over a user's rows, no sort). Needs one row per user and
+    date."""
+    cols = [c for c in store.columns if c not in ("user_id", "feature_date")]
+    got = store.groupBy("user_id").agg(F.max("feature_date").alias("feature_date"),
+                                       *[F.max_by(c, "feature_date").alias(c) for c in cols])
+    return got.select(*store.columns)
+
+
+def latest_of(current: DataFrame, new: DataFrame) -> DataFrame:
+    """Merge of two tables of one vector per user: the newer one stays, ``current``
+    on equal dates. A full join on the user, which bucketed tables answer without a
+    shuffle (``store.write_bucketed``)."""
+    cols = [c for c in current.columns if c != "user_id"]
+    a = current.select("user_id", F.struct(*cols).alias("_a"))
+    b = new.select("user_id", F.struct(*[F.col(c) for c in cols]).alias("_b"))
+    newer = F.col("_a").isNull() | (F.col("_b.feature_date") > F.col("_a.feature_date"))
+    pick = F.when(newer, F.col("_b")).otherwise(F.col("_a")).alias("_v")
+    return a.join(b, "user_id", "full").select("user_id", pick).select(
+        "user_id", *[F.col(f"_v.{c}").alias(c) for c in cols]).select(*current.columns)
 
 
 def sync_latest(store: DataFrame, snapshot_date, current: DataFrame | None = None) -> DataFrame:

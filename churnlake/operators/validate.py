@@ -76,6 +76,21 @@ def validate_ranges(df: DataFrame, rules: dict = RANGE_RULES) -> DataFrame:
     return out.withColumn("passed", F.col("violations") == 0)
 
 
+def audit_checks(columns: Sequence[str], threshold: float = NULL_THRESHOLD, rules: dict = RANGE_RULES,
+                 label: str = "churned_30d") -> dict:
+    """The row checks of a feature frame for ``store.write_audited``: nulls beyond
+    ``1 - threshold`` of a column, values outside their range, labels that are
+    neither 0 nor 1."""
+    out = {f"null_{c}": (F.col(c).isNull(), 1 - threshold) for c in columns}
+    for c in (c for c in rules if c in columns):
+        lo, hi = rules[c]
+        bad = F.col(c) < F.lit(float(lo))
+        out[f"range_{c}"] = (bad if hi == INF else bad | (F.col(c) > F.lit(float(hi))), 0.0)
+    if label in columns:
+        out["label"] = (F.col(label).isNull() | ~F.col(label).isin(0, 1), 0.0)
+    return out
+
+
 def duplicate_users(df: DataFrame, keys: Sequence[str] = ("user_id", "feature_date")) -> DataFrame:
     """Keys that appear more than once, with their multiplicity."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from churnlake.plans import oracle_sql as O
 from churnlake.plans.q_abtest import AB_SQL
-from churnlake.plans.q_monitoring import _LOG_ONLY
+from churnlake.plans.q_monitoring import _LOG_ONLY, _OBS_SQL, _observations
 from churnlake.plans.q_scoring import FIX_SQL, active_store
 from churnlake.plans.registry import register
 from churnlake.session import scratch_path
@@ -74,11 +74,10 @@ def q_stream_latest_vectors(spark, sf_dir):
         spark, a, store.schema, b, c))
 
 
-def _third(batch):
+def _third(log):
     """The fixture's candidates: user u takes part in test exp-(u % 3)."""
-    return (batch.groupBy("user_id").agg(F.min("prediction_time").alias("first_seen"))
-            .select("user_id", F.concat(F.lit("exp-"), (F.col("user_id") % 3).cast("string")).alias("test_name"),
-                    "first_seen"))
+    return log.select("user_id", F.concat(F.lit("exp-"), (F.col("user_id") % 3).cast("string")).alias("test_name"),
+                      F.col("prediction_time").alias("first_seen"))
 
 
 @register("stream_ab_assign", AB_SQL + "\nSELECT user_id, test_name, variant, control_version, variant_version, source"
@@ -146,3 +145,15 @@ def q_stream_dedupe(spark, sf_dir):
         J.write_landing(part, landing, F.to_date("prediction_time"), name=name)
         out = J.streaming_dedupe(spark, landing, log.schema, ["prediction_id"], sink, ckpt)
     return out
+
+
+@register("stream_outcomes", _OBS_SQL + "\nSELECT * FROM bf")
+def q_stream_outcomes(spark, sf_dir):
+    """Predictions joined on the stream with the outcomes of their users within 30
+    days, in two deliveries of the log; equals the batch backfill."""
+    log, seen = prediction_log(spark, sf_dir), _observations(spark, sf_dir)
+    outcomes = scratch_path(spark, "stream-outcomes")
+    J.write_landing(seen, outcomes, F.to_date("observed_at"))
+    got = _in_two_calls(spark, log, "prediction_time", lambda a, b, c: J.streaming_outcomes(
+        spark, a, log.schema, outcomes, seen.schema, b, c, watermark="31 days"))
+    return got.drop("features")

@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from churnlake.operators import distinct as D
+from churnlake.operators import features as FE
+from churnlake.operators import scoring as SC
 from churnlake.operators import state as ST
 from churnlake.operators import timejoin as TJ
+from churnlake.operators import validate as V
 from churnlake.plans import oracle_sql as O
 from churnlake.plans.q_features import STORE_N_A, STORE_START_A, STORE_STEP_A
 from churnlake.plans.q_scoring import FIX_SQL, active_store
 from churnlake.plans.q_streaming import _SESS_SQL, _activity
 from churnlake.plans.registry import register
 from churnlake.session import scratch_path
+from churnlake.sources import store as SR
 from churnlake.sources.predictions import prediction_log
 from churnlake.sources.tables import mapping_a
 from churnlake.streaming import jobs as J
@@ -65,3 +70,35 @@ def q_distinct_users_rollup(spark, sf_dir):
     """Distinct users and predictions by day and version, by day and in total, from one aggregate."""
     log = prediction_log(spark, sf_dir).select(F.to_date("prediction_time").alias("day"), "model_version", "user_id")
     return D.rollup_ids(log, ["day", "model_version"], "user_id", "n_users")
+
+
+@register("audited_publish", O.grid_sql("A", STORE_START_A, 2, STORE_STEP_A) + """,
+good AS (SELECT * FROM snap WHERE feature_date = (SELECT max(feature_date) FROM snap))
+SELECT *, (SELECT count(*) FROM snap WHERE feature_date = (SELECT min(feature_date) FROM snap)
+           AND days_since_signup < 0) AS refused FROM good""")
+def q_audited_publish(spark, sf_dir):
+    """Two snapshots are staged and audited. The first holds users before their
+    signup, which the range rule refuses, so nothing of it reaches the store;
+    ``refused`` has the number of its bad rows. The second is published."""
+    path, refused = scratch_path(spark, "audited"), 0
+    for date in _CHAIN[:2]:
+        snap = FE.feature_snapshot(mapping_a(spark, sf_dir), str(date))
+        try:
+            SR.write_audited(snap, path, V.audit_checks(snap.columns), unique=("user_id", "feature_date"))
+        except SR.AuditFailed as e:
+            refused += e.failures.get("range_days_since_signup", 0)
+    return SR.read_store(spark, path).select(*snap.columns).withColumn("refused", F.lit(refused).cast("long"))
+
+
+@register("bucketed_latest", FIX_SQL + "\nSELECT * FROM latest")
+def q_bucketed_latest(spark, sf_dir):
+    """The latest vectors merged week by week in tables bucketed by user: no join
+    moves a row."""
+    store = SR.stored(active_store(spark, sf_dir), "store")
+    name = f"latest_{uuid.uuid4().hex}"  # tables of this run alone
+    weeks = [SR.write_bucketed(SR.snapshot_for_date(store, str(date)), f"{name}_{k}", "user_id", 8)
+             for k, date in enumerate(_CHAIN)]
+    out = weeks[0]
+    for k, week in enumerate(weeks[1:], 1):
+        out = SR.write_bucketed(SC.latest_of(out, week), f"{name}_upto_{k}", "user_id", 8, dealt=True)
+    return out

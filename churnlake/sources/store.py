@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake.functions.timefn import ts
@@ -69,6 +69,11 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
                              for c in values])
 
 
+def _one_of(column: str, values: Sequence) -> Column:
+    known = F.col(column).isin([v for v in values if v is not None])
+    return known | F.col(column).isNull() if None in values else known
+
+
 def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], partition: str) -> DataFrame:
     """Upsert ``new`` into the table at ``path``, which is partitioned by
     ``partition``, one of ``keys``; returns the table.
@@ -79,17 +84,69 @@ def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[
     a failed merge leaves the old rows."""
     if partition not in keys:
         raise ValueError("the partition column must be one of the keys")
-    touched = new.select(partition).distinct()
     merged = new
     if table_exists(spark, path):
+        # the values bound the read by a partition filter, which a join would not;
+        # they are the new rows' days (or other coarse parts), not their keys
+        touched = [r[0] for r in new.select(partition).distinct().collect()]
         old = spark.read.schema(new.schema).parquet(path).select(*new.columns)
-        merged = upsert(old.join(touched, partition, "left_semi"), new, keys)
+        merged = upsert(old.filter(_one_of(partition, touched)), new, keys)
     staged = scratch_path(spark, "upsert")
     merged.write.mode("overwrite").parquet(staged)
     write_snapshots(spark.read.schema(merged.schema).parquet(staged), path, (partition,))
     return spark.read.schema(new.schema).parquet(path).select(*new.columns)
 
 
+class AuditFailed(ValueError):
+    """A staged table that did not pass its checks; ``failures`` says which."""
+
+    def __init__(self, failures: dict):
+        super().__init__(f"audit failed: {failures}")
+        self.failures = failures
+
+
+def write_audited(df: DataFrame, path: str, checks: dict[str, tuple[Column, float]], partition_by: Sequence[str] = (
+        "feature_date",), unique: Sequence[str] = (), least_rows: int = 1) -> dict:
+    """Write, audit, publish. ``df`` is written to a scratch folder while its checks
+    are counted as observed metrics of that same pass; only a table that passes
+    replaces its partitions at ``path``. Returns the metrics, or raises
+    ``AuditFailed`` and leaves ``path`` as it was.
+
+    ``checks``: name -> (condition of a bad row, largest share of bad rows).
+    ``unique``: key columns that must not repeat, counted over those columns of the
+    staged table, since an observed metric cannot group. ``least_rows``: an empty
+    table publishes nothing."""
+    seen = Observation("audit")
+    metrics = [F.count(F.lit(1)).alias("rows"), *[F.count_if(bad).alias(name) for name, (bad, _) in checks.items()]]
+    staged = f"{scratch_path(df.sparkSession, 'audit')}/t"
+    df.observe(seen, *metrics).write.parquet(staged)
+    table = df.sparkSession.read.schema(df.schema).parquet(staged)
+    got = {k: v or 0 for k, v in seen.get.items()}
+    failures = {name: got[name] for name, (_, share) in checks.items() if got[name] > share * got["rows"]}
+    if got["rows"] < least_rows:
+        failures["rows"] = got["rows"]
+    if unique:
+        again = table.groupBy(*unique).agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") - 1)).first()[0] or 0
+        got["duplicates"] = again
+        if again:
+            failures["duplicates"] = again
+    if failures:
+        raise AuditFailed(failures)
+    write_snapshots(table, path, partition_by)
+    return got
+
+
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, dealt: bool = False) -> DataFrame:
+    """``df`` as a catalog table of ``buckets`` files by a hash of ``key``, stored in
+    the shared folder. Tables of the same number of buckets are joined by the key
+    without a shuffle. Rows are dealt to their buckets first, so that a bucket is
+    one file; a join of such tables has its rows there already (``dealt``)."""
+    rows = df if dealt else df.repartition(buckets, key)
+    (rows.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+     .option("path", f"{scratch_path(df.sparkSession, name)}/t").saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to a scratch folder of the store and read back: what is
     used several times (feature vectors, a baseline, a report) is computed once."""

@@ -21,12 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlake.operators import abtest as AB
-from churnlake.operators.scoring import latest_features
-from churnlake.session import scratch_path
-from churnlake.sources.store import table_exists, write_snapshots
+from churnlake.operators.timejoin import interval_join
+from churnlake.streaming.stateful import first_rows, newest_rows, with_rocksdb
 
 SESSION_GAP_SECONDS = 1800
-USER_BUCKETS = 64  # partitions of the tables that are merged by user
+COMPACT_AFTER = 8  # batches of a changelog before they are folded into its base
 
 
 def _epoch() -> Column:
@@ -89,43 +88,62 @@ def ingest(spark: SparkSession, landing: str, schema: T.StructType, sink: str, c
     return spark.read.schema(schema).parquet(sink)
 
 
-# --- sinks of foreachBatch ----------------------------------------------------------------
+# --- changelogs -----------------------------------------------------------------------------
 
 def changelog_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """Writes each micro-batch's changed rows to a folder of its own; a batch that
+    is run again replaces it."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+        batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
     return write
 
 
-def fold_changelog(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Latest version of every key across all batches (map-side combined)."""
-    log = spark.read.option("basePath", path).parquet(path)
-    vals = [c for c in log.columns if c not in (*keys, "batch_id")]
-    packed = F.struct(*[F.col(c) for c in vals])
-    return (log.groupBy(*keys).agg(F.max_by(packed, F.col("batch_id")).alias("_v"))
-            .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals]))
-
-
-def user_bucket(user_id: Column) -> Column:
-    return F.pmod(F.xxhash64(user_id), F.lit(USER_BUCKETS)).cast("int")
-
-
-def merge_by_user(spark: SparkSession, sink: str, rows: DataFrame,
-                  merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
-    """Merge ``rows`` into the table at ``sink``, which is partitioned by user
-    bucket. Only buckets that ``rows`` touch are read and replaced; their merged
-    rows are complete in a scratch folder before the table is touched."""
-    new = rows.withColumn("bucket", user_bucket(F.col("user_id")))
-    touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most USER_BUCKETS
-    if not touched:
-        return
-    old = None
-    if table_exists(spark, sink):
-        old = rows.sparkSession.read.parquet(sink).filter(F.col("bucket").isin(touched)).drop("bucket")
-    staged = scratch_path(spark, "merge")
-    merge(old, rows).withColumn("bucket", user_bucket(F.col("user_id"))).write.mode("overwrite").parquet(staged)
-    write_snapshots(rows.sparkSession.read.parquet(staged), sink, ("bucket",))
+def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the complete folders ``path/prefix=N``, ascending."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    made = [n for n in names if n.startswith(f"{prefix}=")]
+    done = [n for n in made if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    return sorted(int(n.split("=")[1]) for n in done)
+
+
+def read_changelog(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """The latest version of every key: the newest base and the batches after it.
+    Each column is picked by the largest batch number, in one hash aggregate that
+    combines map-side."""
+    bases = _numbered(spark, f"{path}/base", "upto")
+    upto = bases[-1] if bases else -1
+    reads = [(f"{path}/base/upto={upto}", -1)] if bases else []
+    reads += [(f"{path}/changes/batch_id={n}", n) for n in _numbered(spark, f"{path}/changes", "batch_id") if n > upto]
+    log = None
+    for folder, n in reads:
+        part = spark.read.schema(schema).parquet(folder).withColumn("_batch", F.lit(n).cast("long"))
+        log = part if log is None else log.unionByName(part)
+    if log is None:
+        return spark.createDataFrame([], schema)
+    vals = [c for c in schema.fieldNames() if c not in keys]
+    return log.groupBy(*keys).agg(*[F.max_by(c, "_batch").alias(c) for c in vals]).select(*schema.fieldNames())
+
+
+def compact_changelog(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
+                      after: int = COMPACT_AFTER) -> None:
+    """Fold the changelog into a new base once ``after`` batches follow the last
+    one, so that a read never goes back to the first batch. Readers take a base
+    when it is complete; the batches stay as they are."""
+    bases, batches = _numbered(spark, f"{path}/base", "upto"), _numbered(spark, f"{path}/changes", "batch_id")
+    new = [n for n in batches if n > (bases[-1] if bases else -1)]
+    if len(new) >= after:
+        read_changelog(spark, path, schema, keys).write.mode("overwrite").parquet(f"{path}/base/upto={new[-1]}")
+
+
+def _run_changelog(spark: SparkSession, changes: DataFrame, path: str, checkpoint: str, keys: Sequence[str]) -> DataFrame:
+    """Run an update-mode query into the changelog at ``path`` and read its state."""
+    _run(changes.writeStream.outputMode("update").foreachBatch(changelog_writer(path)), checkpoint)
+    compact_changelog(spark, path, changes.schema, keys)
+    return read_changelog(spark, path, changes.schema, keys)
 
 
 # --- J2 / J3 hourly metrics on a stream ----------------------------------------------------
@@ -160,9 +178,8 @@ def streaming_hourly_metrics(spark: SparkSession, landing: str, schema: T.Struct
     """Update-mode windowed aggregation into a changelog; returns the folded
     metrics table of all calls so far."""
     own = stream_session(spark)
-    _run(hourly_partials(read_stream(own, landing, schema, max_files), watermark)
-         .writeStream.outputMode("update").foreachBatch(changelog_writer(sink)), checkpoint)
-    return finish_hourly(fold_changelog(spark, sink, ["hour_start", "model_version"]))
+    return finish_hourly(_run_changelog(spark, hourly_partials(read_stream(own, landing, schema, max_files), watermark),
+                                        sink, checkpoint, ["hour_start", "model_version"]))
 
 
 def late_rows(spark: SparkSession, landing: str, schema: T.StructType, metrics: DataFrame) -> int:
@@ -175,18 +192,22 @@ def late_rows(spark: SparkSession, landing: str, schema: T.StructType, metrics:
 # --- J4 latest vectors ------------------------------------------------------------------
 
 def streaming_latest_vectors(spark: SparkSession, landing: str, schema: T.StructType, sink: str, checkpoint: str,
-                             max_files: int | None = None) -> DataFrame:
-    """The newest vector of every user, merged per micro-batch into the user
-    buckets that the batch touches."""
-
-    def newest(old: DataFrame | None, new: DataFrame) -> DataFrame:
-        return latest_features(new if old is None else old.select(*new.columns).unionByName(new))
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_by_user(spark, sink, batch, newest)
-
-    _run(read_stream(stream_session(spark), landing, schema, max_files).writeStream.foreachBatch(merge), checkpoint)
-    return spark.read.parquet(sink).select(*schema.fieldNames())
+                             max_files: int | None = None, ttl_hours: int | None = None,
+                             watermark: str = "0 seconds") -> DataFrame:
+    """The newest vector of every user. A vector is per-user state; a micro-batch
+    touches the users it holds and adds those that changed to the changelog. With
+    ``ttl_hours`` a vector expires that long after its date by the stream's clock
+    (an event-time timer), and the user is gone until a newer one lands."""
+    own = with_rocksdb(stream_session(spark))
+    order, clock = "_order", "_ms"
+    s = (read_stream(own, landing, schema, max_files).withColumn("_et", to_instant(F.col("feature_date")))
+         .withWatermark("_et", watermark)
+         .withColumns({order: F.unix_micros("_et"), clock: F.unix_millis("_et")}))
+    plain = s.drop("feature_date")  # the state holds the date as its number
+    changes = newest_rows(plain, "user_id", order, clock, "_et", None if ttl_hours is None else ttl_hours * 3_600_000)
+    log = _run_changelog(spark, changes, sink, checkpoint, ["user_id"])
+    date = to_wallclock(F.timestamp_micros(F.col(order))).alias("feature_date")
+    return log.filter(~F.col("expired")).select(*[date if c == "feature_date" else F.col(c) for c in schema.fieldNames()])
 
 
 # --- J5 sticky assignment -----------------------------------------------------------------
@@ -194,26 +215,23 @@ def streaming_latest_vectors(spark: SparkSession, landing: str, schema: T.Struct
 def streaming_assign(spark: SparkSession, landing: str, schema: T.StructType, tests: DataFrame,
                      candidates: Callable[[DataFrame], DataFrame], existing: DataFrame, sink: str, checkpoint: str,
                      max_files: int | None = None) -> DataFrame:
-    """``candidates`` turns a micro-batch into (user_id, test_name, first_seen);
-    pairs not yet stored are assigned by hash bucket and merged into the table of
-    assignments, which the first call starts from ``existing``. Assignments never
-    change, so a repeated batch changes nothing."""
-    if not table_exists(spark, sink):
-        first = existing.withColumn("source", F.lit("existing"))
-        write_snapshots(first.withColumn("bucket", user_bucket(F.col("user_id"))), sink, ("bucket",))
-
-    columns = [*existing.columns, "source"]
-
-    def add(old: DataFrame, new: DataFrame) -> DataFrame:
-        fresh = new.join(old.select("user_id", "test_name"), ["user_id", "test_name"], "left_anti")
-        return (old.select(*columns).unionByName(
-            AB.assign_new(fresh, tests).withColumn("source", F.lit("new")).select(*columns)))
-
-    def assign(batch: DataFrame, batch_id: int) -> None:
-        merge_by_user(spark, sink, candidates(batch), add)
-
-    _run(read_stream(stream_session(spark), landing, schema, max_files).writeStream.foreachBatch(assign), checkpoint)
-    return spark.read.parquet(sink).select(*existing.columns, "source")
+    """``candidates`` maps log rows to (user_id, test_name, first_seen), without
+    aggregating them. A pair is assigned by hash bucket the first time it is met; that
+    it has been met is state per pair, which starts from ``existing``. Assignments
+    never change, so the sink only grows."""
+    own = with_rocksdb(stream_session(spark))
+    t = spark.createDataFrame(tests.collect(), tests.schema)  # one row per experiment, as of the call
+    new = AB.assign_new(candidates(read_stream(own, landing, schema, max_files)), t)
+    at = F.timestamp_diff("MICROSECOND", _epoch(), F.col("assigned_at")).alias("_at")
+    named = new.select(*[c for c in new.columns if c != "assigned_at"], at)
+    known = spark.createDataFrame([], "user_id long, test_name string").unionByName(existing.select("user_id", "test_name"))
+    _run(first_rows(named, ["user_id", "test_name"], "_at", known).writeStream.outputMode("update")
+         .foreachBatch(changelog_writer(sink)), checkpoint)
+    got = read_changelog(spark, sink, named.schema, ["user_id", "test_name"]).withColumn(
+        "assigned_at", to_wallclock(F.timestamp_micros(F.col("_at"))))
+    columns = existing.columns
+    return (existing.withColumn("source", F.lit("existing"))
+            .unionByName(got.select(*columns).withColumn("source", F.lit("new"))).select(*columns, "source"))
 
 
 # --- J6 sliding activity -------------------------------------------------------------------
@@ -227,8 +245,7 @@ def streaming_sliding_counts(spark: SparkSession, landing: str, schema: T.Struct
     agg = (ev.withColumn("et", to_instant(F.col("event_time"))).withWatermark("et", watermark)
            .groupBy("user_id", F.window("et", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("events"))
            .select("user_id", to_wallclock(F.col("w.start")).alias("day"), "events"))
-    _run(agg.writeStream.outputMode("update").foreachBatch(changelog_writer(sink)), checkpoint)
-    daily = fold_changelog(spark, sink, ["user_id", "day"])
+    daily = _run_changelog(spark, agg, sink, checkpoint, ["user_id", "day"])
     ends = F.transform(F.sequence(F.lit(1), F.lit(days)), lambda k: F.col("day") + F.make_dt_interval(k))
     return (daily.select("user_id", "events", F.explode(ends).alias("feature_date"))
             .groupBy("user_id", "feature_date").agg(F.sum("events").alias("events")))
@@ -294,10 +311,9 @@ def streaming_sessions(spark: SparkSession, landing: str, schema: T.StructType,
     mark = (q.lastProgress or {}).get("eventTime", {}).get("watermark")
     closed = spark.read.schema("user_id long, session_start timestamp_ntz, session_end timestamp_ntz, events long"
                                ).parquet(sink)
-    e = landed(spark, landing, schema).alias("e")
-    c = closed.alias("c")
-    left = e.join(c, (F.col("e.user_id") == F.col("c.user_id")) & (F.col("e.event_time") >= F.col("c.session_start"))
-                  & (F.col("e.event_time") < F.col("c.session_end")), "left_anti")
+    # an equi-join on (user, hour): a busy user's events meet the sessions of their hour only
+    left = interval_join(landed(spark, landing, schema), closed.drop("events"), ["user_id"], "event_time",
+                         "session_start", "session_end", 3600, "left_anti")
     open_ = sessions_table(sessionize(left)).drop("session_number")
     if mark:
         open_ = open_.filter(F.col("session_end") > F.lit(mark.replace("T", " ").rstrip("Z")).cast("timestamp_ntz"))
@@ -316,3 +332,33 @@ def streaming_dedupe(spark: SparkSession, landing: str, schema: T.StructType, ke
           .dropDuplicatesWithinWatermark(list(keys)).drop("_et"))
     _run(ev.writeStream.format("parquet").option("path", sink), checkpoint)
     return spark.read.schema(schema).parquet(sink)
+
+
+# --- outcomes ---------------------------------------------------------------------------------
+
+def streaming_outcomes(spark: SparkSession, log_landing: str, log_schema: T.StructType, outcome_landing: str,
+                       outcome_schema: T.StructType, sink: str, checkpoint: str, window_days: int = 30,
+                       watermark: str = "1 day", max_files: int | None = None) -> DataFrame:
+    """Predictions joined with the outcomes that arrive up to ``window_days`` later:
+    a stream-stream interval join under two watermarks, left outer. A prediction is
+    state until its outcome comes or the watermark says that none can come; then it
+    goes to the sink, once, and out of the state. Returns the log so far as
+    ``outcome_backfill`` does: rows of the sink, and those still waiting, unmarked.
+
+    Outcomes are (user_id, observed_at, actual_churned), at most one per user."""
+    own = stream_session(spark)
+    log = (read_stream(own, log_landing, log_schema, max_files)
+           .withColumn("_pt", to_instant(F.col("prediction_time"))).withWatermark("_pt", watermark))
+    seen = (read_stream(own, outcome_landing, outcome_schema, max_files)
+            .select(F.col("user_id").alias("_user"), "actual_churned", to_instant(F.col("observed_at")).alias("_ot"))
+            .withWatermark("_ot", watermark))
+    due = F.expr(f"user_id = _user AND _ot >= _pt AND _ot <= _pt + INTERVAL '{int(window_days)}' DAY")
+    hit = F.col("_user").isNotNull() & ~F.col("is_monitored")
+    keep = [c for c in log_schema.fieldNames() if c != "is_monitored"]
+    joined = log.join(seen, due, "leftOuter").select(
+        *keep, (F.col("is_monitored") | hit).alias("is_monitored"),
+        F.when(hit, F.col("actual_churned")).cast("int").alias("actual_label"))
+    _run(joined.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
+    done = spark.read.schema(joined.schema).parquet(sink)
+    waiting = landed(spark, log_landing, log_schema).join(done.select("prediction_id"), "prediction_id", "left_anti")
+    return done.unionByName(waiting.select(*keep, "is_monitored", F.lit(None).cast("int").alias("actual_label")))

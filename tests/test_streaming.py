@@ -70,21 +70,80 @@ def test_duplicates_within_watermark_are_dropped(spark):
     assert out.count() == 40 and out.select("prediction_id").distinct().count() == 40
 
 
-def test_latest_vectors_replace_only_touched_buckets(spark):
-    import glob
-    schema = "user_id long, feature_date timestamp_ntz, x double"
+def test_latest_vectors_are_state_and_only_changes_are_written(spark):
+    schema = "user_id long, feature_date timestamp_ntz, x double, n int"
     land, sink, ckpt = _folders()
-    row = lambda u, d, x: (u, T(f"2024-01-{d:02d} 00:00:00"), x)
+    row = lambda u, d, x: (u, T(f"2024-01-{d:02d} 00:00:00"), x, None if u % 2 else u)
     first = spark.createDataFrame([row(u, 1, 1.0) for u in range(50)], schema)
     J.write_landing(first, land, F.to_date("feature_date"))
     J.streaming_latest_vectors(spark, land, first.schema, sink, ckpt)
-    files = set(glob.glob(sink + "/bucket=*/*.parquet"))
-    J.write_landing(spark.createDataFrame([row(3, 2, 9.0), row(3, 1, 0.0)], schema), land, F.to_date("feature_date"),
-                    name="second")
-    got = {r["user_id"]: r["x"] for r in J.streaming_latest_vectors(spark, land, first.schema, sink, ckpt).collect()}
-    assert got == {**{u: 1.0 for u in range(50)}, 3: 9.0}
-    gone = files - set(glob.glob(sink + "/bucket=*/*.parquet"))
-    assert len({f.split("/")[-2] for f in gone}) == 1
+    before = J._numbered(spark, f"{sink}/changes", "batch_id")
+    more = [row(3, 2, 9.0), row(3, 1, 0.0), row(4, 1, 5.0), row(60, 3, None)]
+    J.write_landing(spark.createDataFrame(more, schema), land, F.to_date("feature_date"), name="second")
+    got = J.streaming_latest_vectors(spark, land, first.schema, sink, ckpt)
+    assert got.columns == first.columns
+    assert {tuple(r) for r in got.collect()} == {row(u, 1, 1.0) for u in range(50) if u != 3} | {row(3, 2, 9.0), row(60, 3, None)}
+    new = [n for n in J._numbered(spark, f"{sink}/changes", "batch_id") if n not in before]
+    changed = [r["user_id"] for n in new for r in spark.read.parquet(f"{sink}/changes/batch_id={n}").collect()]
+    assert sorted(changed) == [3, 60]  # of one batch a user is one row; what did not change is not written
+
+
+def test_vectors_expire_by_the_streams_clock(spark):
+    schema = "user_id long, feature_date timestamp_ntz, x double"
+    land, sink, ckpt = _folders()
+    day = lambda u, d: (u, T(f"2024-01-{d:02d} 00:00:00"), float(d))
+    # the clock is three days behind the newest row; a vector expires two days after its date
+    deliveries = [[day(1, 1), day(2, 1), day(3, 5)], [day(2, 4)], [day(4, 5), day(5, 7)], [day(6, 11), day(3, 2)]]
+    want = [{1, 2, 3}, {1, 2, 3}, {2, 3, 4, 5}, {5, 6}]
+    for i, (rows, left) in enumerate(zip(deliveries, want)):
+        df = spark.createDataFrame(rows, schema)
+        J.write_landing(df, land, F.to_date("feature_date"), name=f"d{i}")
+        got = J.streaming_latest_vectors(spark, land, df.schema, sink, ckpt, ttl_hours=48,
+                                         watermark="3 days")
+        assert {r["user_id"] for r in got.collect()} == left, i
+
+
+def test_changelog_is_folded_into_a_base(spark):
+    land, sink, ckpt = _folders()
+    rows = [_pred(i, f"2024-01-{1 + i % 9:02d} {i % 24:02d}:00:00", (i % 10) / 10) for i in range(200)]
+    df = _land(spark, rows, land)
+    got = J.streaming_hourly_metrics(spark, land, S.PREDICTIONS, sink, ckpt, max_files=1)
+    bases = J._numbered(spark, f"{sink}/base", "upto")
+    assert len(J._numbered(spark, f"{sink}/changes", "batch_id")) >= J.COMPACT_AFTER and len(bases) == 1
+    from churnlake.plans.registry import rounded
+    want = rounded(M.hourly_metrics(df))
+    assert _same(rounded(got.select(want.columns)), want)
+    df = df.unionByName(_land(spark, [_pred(900, "2024-01-09 01:00:00")], land, name="second"))
+    got = J.streaming_hourly_metrics(spark, land, S.PREDICTIONS, sink, ckpt)
+    assert J._numbered(spark, f"{sink}/base", "upto") == bases
+    assert _same(rounded(got.select(want.columns)), rounded(M.hourly_metrics(df)))
+
+
+def test_outcomes_join_within_thirty_days_and_leave_the_state(spark):
+    log_land, sink, ckpt = _folders()
+    seen_land = tempfile.mkdtemp(prefix="seen-")
+    seen_schema = "user_id long, observed_at timestamp_ntz, actual_churned int"
+    log = [_pred(i, f"2024-01-{1 + i % 28:02d} 0{i % 9}:00:00") for i in range(120)]
+    seen = [(1, T("2024-01-25 00:00:00"), 1), (2, T("2024-01-10 00:00:00"), 0), (3, T("2024-02-20 00:00:00"), 1)]
+    run = lambda: J.streaming_outcomes(spark, log_land, S.PREDICTIONS, seen_land, obs.schema, sink, ckpt)
+    df = _land(spark, log, log_land)
+    obs = spark.createDataFrame(seen, seen_schema)
+    J.write_landing(obs, seen_land, F.to_date("observed_at"))
+    got = run()
+    want = M.outcome_backfill(df, obs)
+    assert _same(got.select(want.columns), want)
+    # later rows on both streams move the watermarks past the window: what waited is final
+    late = [_pred(500, "2024-05-01 00:00:00"), _pred(501, "2024-05-03 00:00:00")]
+    df = df.unionByName(_land(spark, late[:1], log_land, name="second"))
+    extra = spark.createDataFrame([(6, T("2024-05-01 00:00:00"), 0)], seen_schema)
+    J.write_landing(extra, seen_land, F.to_date("observed_at"), name="second")
+    run()
+    df = df.unionByName(_land(spark, late[1:], log_land, name="third"))
+    obs = obs.unionByName(extra)
+    got = run()
+    want = M.outcome_backfill(df, obs)
+    assert _same(got.select(want.columns), want)
+    assert spark.read.parquet(sink).count() >= 120  # the old ones are in the sink, not in the state
 
 
 def test_assignment_of_any_test_is_sticky_across_calls(spark):
@@ -95,8 +154,8 @@ def test_assignment_of_any_test_is_sticky_across_calls(spark):
     old = spark.createDataFrame([(1, "blue", "variant", "c", "v", T("2023-01-01 00:00:00"))],
                                 "user_id long, test_name string, variant string, control_version string, "
                                 "variant_version string, assigned_at timestamp_ntz")
-    who = lambda b: (b.groupBy("user_id").agg(F.min("prediction_time").alias("first_seen"))
-                     .withColumn("test_name", F.explode(F.array(F.lit("blue"), F.lit("red")))))
+    who = lambda b: b.select("user_id", F.col("prediction_time").alias("first_seen"),
+                             F.explode(F.array(F.lit("blue"), F.lit("red"))).alias("test_name"))
     run = lambda: J.streaming_assign(spark, land, S.PREDICTIONS, tests, who, old, sink, ckpt)
     _land(spark, [_pred(i, "2024-01-02 01:00:00") for i in range(4)], land)
     first = run()
