@@ -127,6 +127,19 @@ def fit_logistic(train: DataFrame, features: Sequence[str] = S.FEATURE_COLUMNS,
     return Pipeline(stages=[asm, scl, lr]).fit(data)
 
 
+def save_model(pipeline_model, path: str) -> str:
+    """Write a fitted pipeline with Spark's own ML writer (a folder that all
+    executors and later sessions can read)."""
+    pipeline_model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str):
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel.load(path)
+
+
 def logistic_gradient(train: DataFrame, pipeline_model, label: str = "churned_30d",
                       features: Sequence[str] = S.FEATURE_COLUMNS) -> DataFrame:
     """(term, train_rows, gradient): the derivative of the penalised mean loss by

@@ -136,6 +136,17 @@ def sync_latest(store: DataFrame, snapshot_date, current: DataFrame | None = Non
     return latest_features(snap if current is None else current.unionByName(snap))
 
 
+def model_of(pipeline_model, threshold: float = THRESHOLD) -> LogisticModel:
+    """A fitted pipeline (assembler, standardiser, logistic regression; see
+    ``evaluate.fit_logistic``) as the model that scoring and explanation use: its
+    scaler and coefficients become one column expression over the vectors, so
+    scoring needs no assembled vectors and no pass over them by the pipeline."""
+    asm, scl, lr = pipeline_model.stages
+    names = asm.getInputCols()
+    scaler = Scaler({f: float(m) for f, m in zip(names, scl.mean)}, {f: float(x) for f, x in zip(names, scl.std)})
+    return LogisticModel(scaler, {f: float(w) for f, w in zip(names, lr.coefficients)}, float(lr.intercept), threshold)
+
+
 def score_batch(requests: DataFrame, vectors: DataFrame, model: LogisticModel) -> DataFrame:
     """Requested ids -> probability, label and status; ids without a vector
     get an error row (status ``no_features``)."""

@@ -19,6 +19,7 @@ from churnlake.plans.q_features import (
     TRAIN_STEP_B,
 )
 from churnlake.plans.registry import register
+from churnlake.session import scratch_path
 from churnlake.sources import schemas as S
 from churnlake.sources.predictions import training_baseline_frame
 from churnlake.sources.store import stored
@@ -390,3 +391,16 @@ def _test_auc(spark, sf_dir):
     scored_ = pred.select(vector_to_array("probability")[1].alias("churn_probability"),
                           F.col("churned_30d").cast("int").alias("churned_30d"))
     return EV.auc(scored_)
+
+
+@register("score_fitted")
+def q_score_fitted(spark, sf_dir):
+    """The pipeline fitted on the train split is saved, loaded and scores every user
+    from the latest training vector (solver-dependent digits, so no SQL; tested
+    against a Newton fit of the same rows)."""
+    t = stored(training(spark, sf_dir), "training")
+    train = EV.temporal_split(t, 6).filter(F.col("split") == "train")
+    path = EV.save_model(EV.fit_logistic(train, c=1.0, max_iter=200), f"{scratch_path(spark, 'model')}/m")
+    model_ = SC.model_of(EV.load_model(path))
+    users = mapping_b(spark, sf_dir).users
+    return SC.score_batch(users, SC.latest_features(t.drop("churned_30d")), model_)
