@@ -209,8 +209,8 @@ def keep_one(docs: DataFrame, k: int = 3, radius: int = 2, doc_id: str = "doc_id
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("best"))
             .select(F.col("best.doc_id").alias("doc_id"), F.col("best.text_hash").alias("text_hash")).distinct())
     best = materialise(best, "kept")
-    a, b = fresh(docs, "kept_id"), fresh(docs, "kept_hash")
+    a, b, c = fresh(docs, "kept_id"), fresh(docs, "text_key"), fresh(docs, "kept_key")
     marked = docs.withColumn(b, key[1])
-    best = best.withColumnsRenamed({"doc_id": a, "text_hash": b + "_r"})
-    hit = marked.join(best, F.col(doc_id).eqNullSafe(F.col(a)) & (F.col(b) == F.col(b + "_r")))
+    best = best.withColumnsRenamed({"doc_id": a, "text_hash": c})
+    hit = marked.join(best, F.col(doc_id).eqNullSafe(F.col(a)) & (F.col(b) == F.col(c)))
     return hit.dropDuplicates([doc_id, b]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 from test_text_operators import components_of, naive_best_fit, slow_fingerprint
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
@@ -80,3 +81,34 @@ def test_stages_in_turn(spark):
     for r in got:
         used[r["sequence_id"]] += r["length"]
     assert sorted(4096 - u for u in used.values()) == naive_best_fit([k[3] for k in want.elements()], 4096)
+
+
+CLASHES = ("quality string, quality_nll double, quality_n long, lot string, limit_of string, limit_mean double, "
+           "kept_id string, kept_hash string, kept_hash_r string, text_key long, kept_key int, fp string, pass long, "
+           "bucket string, start double, component string, rank string, weight string")
+
+
+def test_stages_with_clashing_columns_nulls_and_nothing(spark, tmp_path, monkeypatch):
+    """Every stage on documents whose extra columns have the stages' own names, with
+    null ids, texts, languages and sources, empty and repeated rows, and on none."""
+    text = "the quick brown fox jumps over the lazy dog and runs away from all the others"
+    rows = [(1, text, "en", "a"), (1, text, "en", "a"), (2, text + " x", "en", "b"), (None, text, None, None),
+            (3, None, "en", "a"), (4, "", None, "b"), (5, "other words " * 3000, "de", None), (None, None, None, None)]
+    rows += [(10 + i, f"{text} number {i} " * (1 + i % 3), "en", "ab"[i % 2]) for i in range(20)]
+    names = [c.split()[0] for c in CLASHES.split(", ")]
+    base = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn(
+        "n_chars", F.length("text").cast("long"))
+    extra = spark.createDataFrame([(None,) * len(names)], CLASHES)
+    docs = base.crossJoin(extra)
+    labels = spark.createDataFrame([(10 + i, 1, 0) for i in range(20)] + [(None, None, None), (2, 0, 1)],
+                                   "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for frame in (docs, docs.limit(0)):
+        now = materialise(frame, "edge")
+        for name, stage in P.STAGES:
+            out = materialise(stage(spark, now, str(tmp_path)), f"edge-{name}")
+            if name != "pack":
+                assert out.columns == docs.columns
+                assert out.count() >= 1 if frame is docs else out.count() == 0
+                now = out
+        assert (out.count() >= now.count()) if frame is docs else out.count() == 0
