@@ -5,7 +5,10 @@ rule decides. URLs that a rule decides are the labelled examples: lexical
 features of a bounded sample of them train the trees, which judge every URL
 without a rule. Suffix statistics (how often, and how often blocked, a host's
 last label and its last two labels are among all labelled URLs) are counted over
-all rows. Everything is column expressions, aggregates and joins.
+all rows. A rule labels all URLs of its suffix, so a suffix would tell the trees the
+label itself: while fitting, a URL's statistics leave out all URLs of its own rule,
+and half of what is left is hidden at random, as a URL without a rule often has a
+suffix that no rule has met. Everything is column expressions, aggregates and joins.
 """
 
 from __future__ import annotations
@@ -79,18 +82,38 @@ def _suffixes(df: DataFrame, host_col: str, prefix: str) -> DataFrame:
     return df.withColumns({prefix + "tld": F.substring_index(h, ".", -1), prefix + "site": F.substring_index(h, ".", -2)})
 
 
-def suffix_statistics(labelled: DataFrame, key: str, verdict: str) -> DataFrame:
-    """``(key, share, blocked)``: share of all labelled URLs (logarithm of one
-    plus their number) and smoothed share of the blocked ones among them."""
-    return labelled.groupBy(key).agg(
-        F.log1p(F.count(F.lit(1)).cast("double")).alias("share"),
-        ((F.count_if(F.col(verdict) == "block") + F.lit(1.0)) / (F.count(F.lit(1)) + F.lit(2.0))).alias("blocked"))
+def suffix_counts(labelled: DataFrame, key: str, verdict: str, by: str) -> DataFrame:
+    """``(key, by, n, blocked)``: labelled URLs of a suffix and rule, and blocked ones."""
+    return labelled.groupBy(key, by).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(verdict) == "block").alias("blocked"))
 
 
-def _with_suffixes(df: DataFrame, stats: dict[str, DataFrame], prefix: str) -> DataFrame:
-    for name, s in stats.items():
+def _statistics(n: Column, blocked: Column) -> tuple[Column, Column]:
+    """Logarithm of one plus the URLs' number, and the smoothed share of blocked ones."""
+    return F.log1p(n.cast("double")), (blocked + F.lit(1.0)) / (n + F.lit(2.0))
+
+
+def _out_of_rule(df: DataFrame, counts: dict[str, DataFrame], by: str, prefix: str, hidden: Column) -> DataFrame:
+    """``df``, rows with a rule, with each suffix's statistics over other rules' URLs;
+    none of them where ``hidden``."""
+    for name, c in counts.items():
+        k = prefix + name
+        own = c.toDF(k + "_of", k + "_by", k + "_n", k + "_b")
+        every = c.groupBy(k).agg(F.sum("n"), F.sum("blocked")).toDF(k + "_all", k + "_sn", k + "_sb")
+        df = (df.join(own, (F.col(k) == F.col(k + "_of")) & (F.col(by) == F.col(k + "_by")))
+              .join(every, F.col(k) == F.col(k + "_all")))
+        share, blocked = _statistics(*[F.when(hidden, F.lit(0)).otherwise(F.col(f"{k}_s{x}") - F.col(f"{k}_{x}"))
+                                       for x in "nb"])
+        df = df.withColumns({k + "_share": share, k + "_blocked": blocked}).drop(
+            *[f"{k}_{x}" for x in ("of", "by", "n", "b", "all", "sn", "sb")])
+    return df
+
+
+def _with_suffixes(df: DataFrame, counts: dict[str, DataFrame], prefix: str) -> DataFrame:
+    """``df`` with each suffix's statistics over all labelled URLs."""
+    for name, c in counts.items():
         k = prefix + name
-        s = s.toDF(k + "_of", k + "_share", k + "_blocked")
+        share, blocked = _statistics(F.sum("n"), F.sum("blocked"))
+        s = c.groupBy(k).agg(share, blocked).toDF(k + "_of", k + "_share", k + "_blocked")
         df = (df.join(s, F.col(k) == F.col(k + "_of"), "left").drop(k + "_of")
               .withColumns({k + "_share": F.coalesce(k + "_share", F.lit(0.0)),
                             k + "_blocked": F.coalesce(k + "_blocked", F.lit(0.5))}))
@@ -110,7 +133,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], page_id: str = "page_i
     d = d.withColumn("host", host(F.col("url"))).withColumn("path", path(F.col("url")))
     name, verdict = rule(F.col("host"), F.col("path"), rules)
     d = _suffixes(d.withColumn("rule", name).withColumn("ruled", verdict), "host", "f_")
-    labelled = d.filter("ruled is not null").select("page_id", "url", "host", "path", "f_tld", "f_site", "ruled")
+    labelled = d.filter("ruled is not null").select("page_id", "url", "host", "path", "f_tld", "f_site", "rule", "ruled")
     sizes = {r["ruled"]: r["count"] for r in labelled.groupBy("ruled").count().collect()}  # allow, block
     kinds = sorted(sizes)
     columns = ["page_id", "host", "path", "rule"]
@@ -118,7 +141,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], page_id: str = "page_i
         only = kinds[0] if kinds else "allow"
         return d.select(*columns, F.coalesce("ruled", F.lit(only)).alias("verdict"),
                         F.lit(None).cast("double").alias("score"))
-    stats = {k: materialise(suffix_statistics(labelled, "f_" + k, "ruled"), k) for k in ("tld", "site")}
+    counts = {k: materialise(suffix_counts(labelled, "f_" + k, "ruled", "rule"), k) for k in ("tld", "site")}
     # the bound is on the fit only; the statistics above are of all rows
     place = F.pmod(F.xxhash64("page_id", "url", F.lit(seed)), F.lit(1 << 30))
     share = F.lit(0)
@@ -127,12 +150,13 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], page_id: str = "page_i
     some = labelled.filter(place < share)
     names = ["f_" + x for x in LEXICAL + SUFFIX]
     vec = VectorAssembler(inputCols=names, outputCol="f_vec")
-    sample = features(_with_suffixes(some, stats, "f_"), "url", "host", "path", "f_")
+    hidden = F.pmod(F.xxhash64("url", "page_id", F.lit(seed + 1)), F.lit(2)) == 0
+    sample = features(_out_of_rule(some, counts, "rule", "f_", hidden), "url", "host", "path", "f_")
     sample = sample.withColumn("f_y", (F.col("ruled") == "block").cast("double")).select(*names, "f_y")
     sample = materialise(sample, "url_sample")
     model = GBTClassifier(featuresCol="f_vec", labelCol="f_y", maxIter=trees, maxDepth=depth, seed=seed)
     model = model.fit(vec.transform(sample).select("f_vec", "f_y").coalesce(8))
-    every = features(_with_suffixes(d, stats, "f_"), "url", "host", "path", "f_")
+    every = features(_with_suffixes(d, counts, "f_"), "url", "host", "path", "f_")
     got = model.transform(vec.transform(every))
     block = vector_to_array("probability")[1]
     return got.select(*columns,
