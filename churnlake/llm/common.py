@@ -24,10 +24,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fresh(df: DataFrame, name: str) -> str:
-    """A column name not in ``df`` (extra input columns may clash with ours)."""
+def release(spark: SparkSession) -> None:
+    """Have the shuffle files of finished jobs deleted. Spark's cleaner does that once
+    the driver's JVM has collected what refers to them, which may be long after."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def fresh(df: DataFrame, name: str, *endings: str) -> str:
+    """A column name that is not in ``df``, nor is it with any of ``endings`` (extra
+    input columns may clash with ours)."""
     taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
+    while any((name + e).lower() in taken for e in ("", *endings)):
         name += "_"
     return name
 

@@ -7,39 +7,20 @@ whose tables grow with the text and are joined with the documents' n-grams.
 Thresholds come from perplexities of trusted documents that the scoring model
 has not seen: the trusted text is counted in two halves, and the model of either
 half scores the other one. The sum of both counts gives the final model.
-
-``fit`` and ``score`` are the form for few languages of small alphabets: symbols
-are the ``SYMBOLS - 2`` most frequent characters, one for all others and one for
-the text's start; a table row holds one context's distribution, so a language has
-at most SYMBOLS**(ORDER - 1) rows of the longest contexts (64 MB). Its scoring
-broadcasts the rows of as many languages at a time as fit ``BROADCAST_BYTES`` and
-goes through the rest in further turns. No registered query uses it.
 """
 
 from __future__ import annotations
 
-import uuid
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlake.llm import kn_sharded
 from churnlake.llm.common import fresh, materialise
-from churnlake.llm.kn_sharded import discounts
 
-SYMBOLS = 64              # 0: before the text, 1: any other character
-ORDER = 4
 QUANTILE = 0.99           # of the trusted documents of a language
 POOLED_DOCS = 100         # weight, in documents, of all languages' quantile in one language's limit
 PRIOR_CHARS = 64          # a document counts as having so many more average characters
-BROADCAST_BYTES = 128 << 20
 BROADCAST_IDS = 1_000_000
-_CHUNK = 1_000_000
-_PAD = ORDER - 1
-_ROW_BYTES = 4 * SYMBOLS
 _HALF = "\x01"  # between a language and the number of its half
 
 
@@ -54,256 +35,6 @@ def trusted(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id") -> DataF
     return docs.join(ids, F.col(doc_id) == F.col("_trusted"), "left_semi")
 
 
-# ---- symbols --------------------------------------------------------------------------------
-
-def _lots(texts):
-    """(context, body, document number) items in lots of about ``_CHUNK`` characters."""
-    lot, size = [], 0
-    for i, t in enumerate(texts):
-        t = t.replace("\0", "\1") if t and "\0" in t else t or ""
-        for at in range(0, len(t), _CHUNK):
-            lot.append((t[at - _PAD:at] if at else "\0" * _PAD, t[at:at + _CHUNK], i))
-            size += len(lot[-1][1])
-            if size >= _CHUNK:
-                yield lot
-                lot, size = [], 0
-    if lot:
-        yield lot
-
-
-def _coded(lot, lut: np.ndarray):
-    """Context code and next symbol of every position; which positions count; item starts."""
-    joined = "".join(c + b for c, b, _ in lot).encode("utf-32-le", "replace")
-    s = lut[np.frombuffer(joined, "<u4")].astype(np.int32)
-    starts = np.zeros(len(lot), np.int64)
-    np.cumsum([len(b) + _PAD for _, b, _ in lot[:-1]], out=starts[1:])
-    body = np.ones(len(s), bool)
-    for k in range(_PAD):
-        body[starts + k] = False
-    ctx = np.zeros(len(s), np.int32)
-    for k in range(_PAD):
-        ctx[_PAD:] = ctx[_PAD:] * SYMBOLS + s[k:len(s) - _PAD + k]
-    return ctx, s, body, starts
-
-
-def _lut(chars: list[int]) -> np.ndarray:
-    lut = np.ones(0x110000, np.uint8)
-    lut[chars] = np.arange(2, 2 + len(chars), dtype=np.uint8)
-    lut[0] = 0
-    return lut
-
-
-def _by_language(batch):
-    langs = batch.column(0).to_pylist()
-    texts = batch.column(1)
-    for lang in dict.fromkeys(langs):
-        where = [i for i, x in enumerate(langs) if x == lang]
-        yield lang, where, (texts[i].as_py() for i in where)
-
-
-def alphabets(docs: DataFrame) -> dict[str, list[int]]:
-    """``docs(lang, text)`` -> the most frequent characters of each language."""
-
-    def run(batches):
-        for b in batches:
-            langs, chars, ns = [], [], []
-            for lang, _, texts in _by_language(b):
-                for lot in _lots(texts):
-                    n = np.bincount(np.frombuffer("".join(x[1] for x in lot).encode("utf-32-le", "replace"), "<u4"))
-                    at = np.flatnonzero(n)
-                    langs += [lang] * len(at)
-                    chars += at.tolist()
-                    ns += n[at].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(chars, pa.int32()),
-                                              pa.array(ns, pa.int64())], ["lang", "ch", "n"])
-
-    n = docs.mapInArrow(run, "lang string, ch int, n long").groupBy("lang", "ch").agg(F.sum("n").alias("n"))
-    w = Window.partitionBy("lang").orderBy(F.desc("n"), "ch")
-    top = n.filter("ch > 1").withColumn("r", F.row_number().over(w)).filter(F.col("r") <= SYMBOLS - 2)
-    out: dict[str, list[int]] = {}
-    for r in sorted(top.collect(), key=lambda r: (r["lang"], r["r"])):  # at most SYMBOLS - 2 rows a language
-        out.setdefault(r["lang"], []).append(r["ch"])
-    return out
-
-
-# ---- training -------------------------------------------------------------------------------
-
-def ngram_counts(docs: DataFrame, chars: dict[str, list[int]]) -> DataFrame:
-    """``docs(lang, text)`` -> ``(lang, code, n)``: n-grams of the highest order over all text."""
-
-    def run(batches):
-        luts, acc = {k: _lut(v) for k, v in chars.items()}, {}
-        for b in batches:
-            for lang, _, texts in _by_language(b):
-                for lot in _lots(texts):
-                    ctx, s, body, _ = _coded(lot, luts[lang])
-                    u, n = np.unique(ctx[body] * SYMBOLS + s[body], return_counts=True)
-                    acc.setdefault(lang, []).append((u, n))
-                    if len(acc[lang]) >= 32:
-                        acc[lang] = [_merged(acc[lang])]
-        for lang, lots in acc.items():
-            u, n = _merged(lots)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(u), pa.string()), pa.array(u, pa.int32()),
-                                              pa.array(n, pa.int64())], ["lang", "code", "n"])
-
-    return (docs.mapInArrow(run, "lang string, code int, n long")
-            .groupBy("lang", "code").agg(F.sum("n").alias("n")))
-
-
-def _merged(lots):
-    u, at = np.unique(np.concatenate([x for x, _ in lots]), return_inverse=True)
-    return u, np.bincount(at, weights=np.concatenate([n for _, n in lots]), minlength=len(u)).astype(np.int64)
-
-
-def _lower(c: DataFrame, order: int) -> DataFrame:
-    """Continuation counts of one order lower: how many symbols precede an n-gram.
-    Nothing can precede the start, so n-grams that begin there keep their counts."""
-    low = c.select("lang", (F.col("code") % F.lit(SYMBOLS ** (order - 1))).cast("int").alias("code"), "n")
-    starts = F.col("code") < F.lit(SYMBOLS ** (order - 2)) if order > 2 else F.lit(False)
-    return (low.groupBy("lang", "code").agg(F.sum("n").alias("raw"), F.count(F.lit(1)).alias("kinds"))
-            .select("lang", "code", F.when(starts, F.col("raw")).otherwise(F.col("kinds")).alias("n")))
-
-
-def train(grams: DataFrame) -> DataFrame:
-    """``grams(lang, code, n)`` -> ``(lang, order, ctx, p)``: the distribution after
-    every context seen in the text, for contexts of 0 to ORDER - 1 symbols."""
-    counts = {ORDER: grams}
-    for order in range(ORDER, 1, -1):
-        counts[order - 1] = _lower(counts[order], order)
-    uniform = F.array(*[F.lit(0.0 if s == 0 else 1.0 / (SYMBOLS - 1)) for s in range(SYMBOLS)])
-    below, levels = None, []
-    for order in range(1, ORDER + 1):
-        c = counts[order].select("lang", (F.col("code") / F.lit(SYMBOLS)).cast("int").alias("ctx"),
-                                 (F.col("code") % F.lit(SYMBOLS)).cast("int").alias("sym"), "n")
-        d = F.expr("case when n = 1 then d1 when n = 2 then d2 else d3 end")
-        # one row a language; a shuffled join would leave each language in one task
-        seen = (c.join(F.broadcast(discounts(c)), "lang").withColumn("d", d).groupBy("lang", "ctx")
-                .agg(F.sum("n").alias("total"), F.sum("d").alias("held"),
-                     F.map_from_entries(F.collect_list(F.struct("sym", (F.col("n") - F.col("d")).alias("v"))))
-                     .alias("own")))  # a context has at most SYMBOLS entries
-        if below is None:
-            at = seen.withColumn("low", uniform)
-        else:
-            at = (seen.withColumn("shorter", (F.col("ctx") % F.lit(SYMBOLS ** max(0, order - 2))).cast("int"))
-                  .join(below.select("lang", F.col("ctx").alias("shorter"), F.col("p").alias("low")),
-                        ["lang", "shorter"]))
-        below = materialise(at.select(
-            "lang", F.lit(order).alias("order"), "ctx",
-            F.expr(f"transform(sequence(0, {SYMBOLS - 1}), i -> (coalesce(own[i], 0D) + held * low[i]) / total)")
-            .alias("p")), f"order{order}")
-        levels.append(below)
-    out = levels[0]
-    for x in levels[1:]:
-        out = out.unionByName(x)
-    return out
-
-
-# ---- scoring --------------------------------------------------------------------------------
-
-class Scorer:
-    """One language's table: the row of the longest seen suffix of every context."""
-
-    def __init__(self, chars: list[int], orders: np.ndarray, contexts: np.ndarray, nll: np.ndarray):
-        self.lut, self.nll = _lut(chars), nll
-        every = np.arange(SYMBOLS ** _PAD, dtype=np.int32)
-        self.row = np.zeros(len(every), np.int32)
-        for order in range(1, ORDER + 1):
-            at = np.flatnonzero(orders == order)
-            own = np.full(SYMBOLS ** (order - 1), -1, np.int32)
-            own[contexts[at]] = at
-            got = own[every % len(own)]
-            self.row = np.where(got >= 0, got, self.row)
-
-    def score(self, texts, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-        """Negative log-likelihood and number of characters of each text."""
-        nll, n = np.zeros(n_docs), np.zeros(n_docs, np.int64)
-        for lot in _lots(texts):
-            ctx, s, body, starts = _coded(lot, self.lut)
-            v = self.nll[self.row[ctx] * SYMBOLS + s]
-            v[~body] = 0
-            doc = [i for _, _, i in lot]
-            np.add.at(nll, doc, np.add.reduceat(v, starts, dtype=np.float64))
-            np.add.at(n, doc, [len(b) for _, b, _ in lot])
-        return nll, n
-
-
-def _turns(spark, model: DataFrame, chars: dict[str, list[int]]):
-    """Lots of languages whose tables fit the broadcast together."""
-    size = {r["lang"]: r["n"] * _ROW_BYTES for r in model.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    turn, left = [], 0
-    for lang in sorted(size):
-        if turn and size[lang] > left:
-            yield turn
-            turn = []
-        if not turn:
-            left = BROADCAST_BYTES
-        turn.append(lang)
-        left -= size[lang]
-    if turn:
-        yield turn
-
-
-def _broadcast(spark, model: DataFrame, langs: list[str], chars: dict[str, list[int]]):
-    def flat(batches):
-        for b in batches:
-            p = [np.array(x, "<f4").tobytes() for x in b.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(p, pa.binary())],
-                                             ["lang", "order", "ctx", "p"])
-
-    rows_of: dict[str, list] = {x: [] for x in langs}
-    rows = model.filter(F.col("lang").isin(langs)).mapInArrow(flat, "lang string, order int, ctx int, p binary")
-    for r in rows.collect():  # at most BROADCAST_BYTES, or one language's bounded table
-        rows_of[r["lang"]].append((r["order"], r["ctx"], bytes(r["p"])))
-    tables = {}
-    for x, got in rows_of.items():
-        p = np.frombuffer(b"".join(r[2] for r in got), "<f4")
-        tables[x] = (chars[x], np.array([r[0] for r in got], np.int32), np.array([r[1] for r in got], np.int32),
-                     -np.log(np.maximum(p, np.float32(1e-30))))
-    return spark.sparkContext.broadcast((uuid.uuid4().hex, tables))
-
-
-def _scored(docs: DataFrame, tables, out: str, lang: str, text: str) -> DataFrame:
-    @F.pandas_udf("nll double, n long")
-    def score(langs: pd.Series, texts: pd.Series) -> pd.DataFrame:
-        nll, n = np.zeros(len(langs)), np.zeros(len(langs), np.int64)
-        own = _scorers(tables)
-        for x in langs.unique():
-            if x in own:
-                at = np.flatnonzero((langs == x).to_numpy())
-                nll[at], n[at] = own[x].score((texts.iloc[i] for i in at), len(at))
-        return pd.DataFrame({"nll": nll, "n": n})
-
-    return docs.withColumn(out, score(_language(lang), F.coalesce(F.col(text), F.lit(""))))
-
-
-_SCORERS: dict[str, dict[str, Scorer]] = {}
-
-
-def _scorers(tables) -> dict[str, Scorer]:
-    """The worker's tables of a broadcast, made once."""
-    name, arrays = tables.value
-    if name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[name] = {k: Scorer(*x) for k, x in arrays.items()}
-    return _SCORERS[name]
-
-
-def score(docs: DataFrame, model: DataFrame, chars: dict[str, list[int]], out: str,
-          lang: str = "lang", text: str = "text") -> DataFrame:
-    """``docs`` with ``out``, a struct of nll and n. Empty and null texts and
-    languages without a model have n = 0."""
-    spark = docs.sparkSession
-    turns = list(_turns(spark, model, chars))
-    if len(turns) <= 1:
-        return _scored(docs, _broadcast(spark, model, turns[0] if turns else [], chars), out, lang, text)
-    known = [x for t in turns for x in t]
-    got = _scored(docs.filter(~_language(lang).isin(known)), _broadcast(spark, model, [], chars), out, lang, text)
-    for t in turns:
-        got = got.unionByName(_scored(docs.filter(_language(lang).isin(t)), _broadcast(spark, model, t, chars),
-                                      out, lang, text))
-    return got
-
-
 # ---- thresholds and decisions ---------------------------------------------------------------
 
 def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -314,7 +45,7 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     a few odd documents do not set the limit of a small language."""
     some = scored.filter("n > 0")
     mean = some.groupBy("lang").agg((F.sum("nll") / F.sum("n")).alias("mean"))
-    steps = (some.join(F.broadcast(mean), "lang")  # one row a language
+    steps = (some.join(mean, "lang")
              .select("lang", F.ceil((_adjusted("nll", "n", "mean") - F.col("mean")) * F.lit(1000)).alias("step"))
              .groupBy("lang", "step").agg(F.count(F.lit(1)).alias("k")))
     own = _cut(steps, ["lang"], quantile).withColumnsRenamed({"cut": "own", "all": "docs"})
@@ -342,26 +73,7 @@ def _adjusted(nll: str, n: str, mean: str) -> F.Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc_id: str = "doc_id",
-        lang: str = "lang", text: str = "text") -> tuple[dict[str, list[int]], DataFrame, DataFrame]:
-    """Alphabets, model and thresholds of the trusted documents."""
-    good = trusted(docs.select(F.col(doc_id).alias("doc_id"), _language(lang).alias("lang"),
-                               F.coalesce(F.col(text), F.lit("")).alias("text")), labels)
-    good = good.withColumn("half", F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)))
-    chars = alphabets(good.select("lang", "text"))
-    good = good.filter(F.col("lang").isin(list(chars)))
-    halves = {f"{x}{_HALF}{h}": c for x, c in chars.items() for h in (0, 1)}
-    named = lambda h: F.concat("lang", F.lit(_HALF), h.cast("string"))
-    grams = materialise(ngram_counts(good.select(named(F.col("half")).alias("lang"), "text"), halves), "ngrams")
-    every = (grams.select(F.expr("left(lang, length(lang) - 2)").alias("lang"), "code", "n")
-             .groupBy("lang", "code").agg(F.sum("n").alias("n")))
-    model = train(materialise(every, "ngrams"))
-    other = good.select(F.col("lang").alias("of"), named(F.lit(1) - F.col("half")).alias("lang"), "text")
-    s = materialise(score(other, train(grams), halves, "s").select(F.col("of").alias("lang"), "s.nll", "s.n"), "scores")
-    return chars, model, thresholds(s, quantile)
-
-
-def fit_sharded(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc_id: str = "doc_id",
-                lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
+                lang: str = "lang", text: str = "text") -> tuple[list[DataFrame], DataFrame]:
     """Model of all characters (kn_sharded.py) and thresholds of the trusted documents."""
     good = trusted(docs.select(F.col(doc_id).alias("doc_id"), _language(lang).alias("lang"),
                                F.coalesce(F.col(text), F.lit("")).alias("text")), labels)
@@ -384,13 +96,13 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc
     Perplexity is per character; ``kept`` compares the adjusted perplexity with
     the threshold of the language. Documents without characters, of a language
     without trusted text or with too little to hold some out have nothing against
-    them and are kept. A null language is a language of its own; repeated rows
+    them and are kept. A null language counts as the empty one; repeated rows
     stay. An empty table gives no rows; other columns are not read."""
-    model, limits = fit_sharded(docs, labels, quantile, doc_id, lang, text)
+    model, limits = fit(docs, labels, quantile, doc_id, lang, text)
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     s = (kn_sharded.score(d, model, "s")
          .select("doc_id", "lang", F.col("s_nll").alias("nll"), F.col("s_n").alias("n")))
-    limits = F.broadcast(limits.select(F.col("lang").alias("of"), "mean", "limit"))  # one row a language
+    limits = limits.select(F.col("lang").alias("of"), "mean", "limit")
     got = s.join(limits, _language("lang") == F.col("of"), "left")
     known = F.col("n") > 0
     return got.select("doc_id", "lang", F.when(known, F.exp(F.col("nll") / F.col("n"))).alias("perplexity"),
@@ -402,10 +114,11 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc
 def keep_clean(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc_id: str = "doc_id",
                lang: str = "lang", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that ``classify`` keeps."""
-    model, limits = fit_sharded(docs, labels, quantile, doc_id, lang, text)
-    out, of, mean, limit = (fresh(docs, c) for c in ("quality", "quality_of", "quality_mean", "quality_limit"))
+    model, limits = fit(docs, labels, quantile, doc_id, lang, text)
+    out = fresh(docs, "quality", "_nll", "_n")
+    of, mean, limit = (fresh(docs, c) for c in ("limit_of", "limit_mean", "limit_at"))
     got = kn_sharded.score(docs, model, out, doc_id, lang, text)
-    got = got.join(F.broadcast(limits.select("lang", "mean", "limit").toDF(of, mean, limit)),
+    got = got.join(limits.select("lang", "mean", "limit").toDF(of, mean, limit),
                    _language(lang) == F.col(of), "left")
     ok = (F.col(out + "_n") == 0) | (_adjusted(out + "_nll", out + "_n", mean) <= F.col(limit))
     return got.filter(F.coalesce(ok, F.lit(True))).select(*[F.col(f"`{c}`") for c in docs.columns])

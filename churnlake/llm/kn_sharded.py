@@ -6,11 +6,14 @@ context of up to three symbols is one long of 21 bits a symbol. A table row hold
 the probability of an n-gram, or, with ``sym`` -1, what a context leaves to the
 next lower order.
 
-Scoring deals documents into lots of about ``LOT_CHARS`` characters. A lot asks for
-each distinct n-gram and context of its texts once; a join on (language, order,
-context, symbol) answers from the table's shards, and a co-group brings the answers
-to the lot's documents. A key meets one row of a lot at most, so a frequent n-gram
-is no hot key; nothing of the table passes through the driver.
+Scoring deals documents into lots of about ``LOT_CHARS`` characters, as many as the
+text needs and no more. A lot asks for each distinct n-gram of its texts, numbered
+in order. The distinct n-grams of all lots are answered level by level: each order
+takes its own probability where the table has one, else what its context leaves
+times the lower order's, and lower orders have ever fewer distinct n-grams. One
+probability per n-gram goes back to the lot, where a co-group adds up its texts.
+An n-gram meets a lot once, so a frequent one is no hot key; nothing of the table
+passes through the driver.
 """
 
 from __future__ import annotations
@@ -21,16 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import fresh, materialise, parallelism
+from churnlake.llm.common import fresh, materialise, release
 
-ORDER = 4
+ORDER = 4                  # pairs of pairs, in _distinct
 BITS = 21                  # a code point
 CONTEXT = -1               # ``sym`` of a context's row
-LOT_CHARS = 8_000_000
+LOT_CHARS = 20_000_000
 _CHUNK = 1_000_000
 _HELD = 2_000_000          # n-grams that a counting task holds before it sends them on
 _PAD = ORDER - 1
-_ENTRY = "lang string, order int, ctx long, sym int"
+_TABLE = 1 << 24           # values up to which a table numbers them
 
 
 # ---- n-grams --------------------------------------------------------------------------------
@@ -50,32 +53,36 @@ def _lots(texts):
         yield lot
 
 
+def _renumbered(values: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different values below ``top``, ascending, and each value's place among them."""
+    if top > _TABLE:
+        return np.unique(values, return_inverse=True)
+    met = np.zeros(top, bool)
+    met[values] = True
+    kinds = np.flatnonzero(met)
+    place = np.zeros(top, np.int32)
+    place[kinds] = np.arange(len(kinds), dtype=np.int32)
+    return kinds, place[values]
+
+
 def _distinct(lot):
     """Contexts and symbols of a lot's distinct n-grams, which of them each body
-    position ends, and the item it belongs to."""
-    s = np.frombuffer("".join(c + b for c, b, _ in lot).encode("utf-32-le", "replace"), "<u4").astype(np.int64)
+    position ends, and the item it belongs to. Pairs of symbols are numbered
+    first, then pairs of pairs, by tables where those are small."""
+    s = np.frombuffer("".join(c + b for c, b, _ in lot).encode("utf-32-le", "replace"), "<u4").astype(np.int32)
     size = np.array([len(b) for _, b, _ in lot])
-    item = np.repeat(np.arange(len(lot)), size)
+    item = np.repeat(np.arange(len(lot), dtype=np.int32), size)
     at = np.arange(size.sum()) + (item + 1) * _PAD
-    chars = np.flatnonzero(np.bincount(s))
-    code = np.zeros(chars[-1] + 1, np.int64)
-    code[chars] = np.arange(len(chars))
-    d, key, top = code[s], np.zeros(len(at), np.int64), 1
-    for k in range(_PAD, -1, -1):
-        if top * len(chars) >= 1 << 62:  # number the n-grams so far
-            key = np.unique(key, return_inverse=True)[1].astype(np.int64)
-            top = int(key.max()) + 1
-        key, top = key * len(chars) + d[at - k], top * len(chars)
-    _, first, which = np.unique(key, return_index=True, return_inverse=True)
-    end, ctx = at[first], np.zeros(len(first), np.int64)
-    for k in range(_PAD, 0, -1):
-        ctx = (ctx << BITS) | s[end - k]
-    return ctx, s[end], which, item
-
-
-def _short(ctx, order: int):
-    """The context of an n-gram of so many symbols, from a longer one."""
-    return ctx & ((1 << (BITS * (order - 1))) - 1)
+    chars, code = _renumbered(s, 1 << BITS)
+    n = len(chars)
+    pairs, pair = _renumbered(code[:-1].astype(np.int64) * n + code[1:], n * n)  # of every two neighbours
+    m = len(pairs)
+    grams, which = _renumbered(pair[at - 3].astype(np.int64) * m + pair[at - 1], m * m)
+    first, last = pairs[grams // m], pairs[grams % m]
+    ctx = chars[first // n].astype(np.int64)
+    for x in (first % n, last // n):
+        ctx = (ctx << BITS) | chars[x]
+    return ctx, chars[last % n], which, item
 
 
 def _by_language(langs, texts):
@@ -142,116 +149,149 @@ def discounts(c: DataFrame) -> DataFrame:
     return q.select(*out)
 
 
-def train(grams: DataFrame) -> DataFrame:
-    """``grams(lang, ctx, sym, n)`` -> ``(lang, order, ctx, sym, v)``. Order 0 has one
-    row a language, the even share of its characters and one more for all others."""
+def train(grams: DataFrame) -> list[DataFrame]:
+    """``grams(lang, ctx, sym, n)`` -> a table ``(lang, ctx, sym, v)`` per order. Order
+    0 has one row a language, the even share of its characters and one more for all
+    others."""
     counts = {ORDER: grams}
     for order in range(ORDER, 1, -1):
         counts[order - 1] = materialise(_lower(counts[order], order), f"counts{order - 1}")
     out = counts[1].groupBy("lang").agg((F.lit(1.0) / (F.count(F.lit(1)) + F.lit(1))).alias("v"))
-    out = materialise(out.select("lang", F.lit(0).alias("order"), F.lit(0).cast("long").alias("ctx"),
-                                 F.lit(CONTEXT).alias("sym"), "v"), "order0")
-    below = out.select("lang", F.col("v").alias("low"))
+    levels = [materialise(out.select("lang", F.lit(0).cast("long").alias("ctx"), F.lit(CONTEXT).alias("sym"), "v"),
+                          "order0")]
+    below = levels[0].select("lang", F.col("v").alias("low"))
     d = F.expr("case when n = 1 then d1 when n = 2 then d2 else d3 end")
     for order in range(1, ORDER + 1):
         c = counts[order]
-        c = c.join(F.broadcast(discounts(c)), "lang").select("lang", "ctx", "sym", "n", d.alias("d"))  # one row a language
+        c = c.join(discounts(c), "lang").select("lang", "ctx", "sym", "n", d.alias("d"))
         sums = c.groupBy("lang", "ctx").agg(F.sum("n").alias("total"), F.sum("d").alias("held"))
         c = c.join(sums, ["lang", "ctx"])
         if order == 1:
-            c = c.join(F.broadcast(below), "lang")  # one row a language
+            c = c.join(below, "lang")
         else:
             c = c.withColumn("short", _column_short(order - 1)).join(below, ["lang", "short", "sym"])
-        own = c.select("lang", F.lit(order).alias("order"), "ctx", "sym",
+        own = c.select("lang", "ctx", "sym",
                        ((F.col("n") - F.col("d") + F.col("held") * F.col("low")) / F.col("total")).alias("v"))
-        left = sums.select("lang", F.lit(order).alias("order"), "ctx", F.lit(CONTEXT).alias("sym"),
+        left = sums.select("lang", "ctx", F.lit(CONTEXT).alias("sym"),
                            (F.col("held") / F.col("total")).alias("v"))
         level = materialise(own.unionByName(left), f"order{order}")
         below = level.filter(F.col("sym") != CONTEXT).select("lang", F.col("ctx").alias("short"), "sym",
                                                              F.col("v").alias("low"))
-        out = out.unionByName(level)
-    return out
+        levels.append(level)
+    return levels
 
 
 # ---- scoring --------------------------------------------------------------------------------
 
-def _asked(ctx: np.ndarray, sym: np.ndarray):
-    """(order, context, symbol) of everything that distinct n-grams need."""
-    yield 0, np.zeros(1, np.int64), np.full(1, CONTEXT)
+def _lot_grams(langs, texts):
+    """Of each language of a lot, in order of name: the distinct n-grams in order,
+    and for its parts which of them each position ends, each position's item and
+    the items' (row, characters)."""
+    for lang, rows, own in sorted(_by_language(langs, texts), key=lambda x: x[0]):
+        parts = [(*_distinct(p), [(rows[i], len(b)) for _, b, i in p]) for p in _lots(own)]
+        if parts:
+            ctx, sym = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+            order = np.lexsort((sym, ctx))
+            c, g = ctx[order], sym[order]
+            new = np.append(True, (c[1:] != c[:-1]) | (g[1:] != g[:-1]))
+            place = np.empty(len(order), np.int32)
+            place[order] = np.cumsum(new) - 1
+            cuts = np.cumsum([len(p[0]) for p in parts])[:-1]
+            yield lang, c[new], g[new], [(w[p[2]], p[3], p[4]) for w, p in zip(np.split(place, cuts), parts)]
+
+
+def _answered(asked: DataFrame, model: list[DataFrame]) -> DataFrame:
+    """``asked(lang, ctx, sym)``, distinct, with ``v``: the probability of each n-gram."""
+    grams = {ORDER: asked}
+    for order in range(ORDER - 1, 0, -1):
+        grams[order] = materialise(
+            grams[order + 1].select("lang", _column_short(order).alias("ctx"), "sym").distinct(), f"asked{order}")
+    low = model[0].select("lang", F.col("v").alias("low"))
     for order in range(1, ORDER + 1):
-        g = pd.DataFrame({"ctx": _short(ctx, order), "sym": sym}).drop_duplicates()
-        c = g["ctx"].drop_duplicates().to_numpy()
-        yield order, np.concatenate([g["ctx"], c]), np.concatenate([g["sym"], np.full(len(c), CONTEXT)])
-
-
-class Answers:
-    """What a lot was told of one language."""
-
-    def __init__(self, order: np.ndarray, ctx: np.ndarray, sym: np.ndarray, v: np.ndarray):
-        self.even = v[order == 0][0]
-        self.levels = []
-        for k in range(1, ORDER + 1):
-            c, g = (order == k) & (sym == CONTEXT), (order == k) & (sym != CONTEXT)
-            contexts = pd.Index(ctx[c])
-            key = (contexts.get_indexer(ctx[g]).astype(np.int64) << BITS) | sym[g]
-            self.levels.append((contexts, v[c], pd.Index(key), v[g]))
-
-    def p(self, ctx: np.ndarray, sym: np.ndarray) -> np.ndarray:
-        p = np.full(len(ctx), self.even)
-        for k, (contexts, left, grams, own) in enumerate(self.levels, 1):
-            row = contexts.get_indexer(_short(ctx, k)).astype(np.int64)
-            known = row >= 0
-            if not known.any():
-                break
-            p[known] *= left[row[known]]
-            at = grams.get_indexer(np.where(known, (row << BITS) | sym, -1))
-            p[at >= 0] = own[at[at >= 0]]
-        return p
-
-
-def score(docs: DataFrame, model: DataFrame, out: str, doc_id: str = "doc_id", lang: str = "lang",
+        own = model[order].filter(F.col("sym") != CONTEXT).select("lang", "ctx", "sym", F.col("v").alias("own"))
+        left = model[order].filter(F.col("sym") == CONTEXT).select("lang", "ctx", F.col("v").alias("left"))
+        g = grams[order].join(own, ["lang", "ctx", "sym"], "left").join(left, ["lang", "ctx"], "left")
+        if order == 1:
+            g = g.join(low, "lang")  # languages without a model end here
+        else:
+            g = g.withColumn("short", _column_short(order - 1)).join(low, ["lang", "short", "sym"])
+        v = F.coalesce("own", F.coalesce("left", F.lit(1.0)) * F.col("low"))
+        g = materialise(g.select("lang", "ctx", "sym", v.alias("v")), f"answered{order}")
+        low = g.select("lang", F.col("ctx").alias("short"), "sym", F.col("v").alias("low"))
+    return g
+
+
+def _packed(dealt: DataFrame, lot: str) -> DataFrame:
+    """``lot, rows``: the rows of each lot in a batch, compressed together, which
+    moves about half of what single rows would."""
+
+    def run(batches):
+        for b in batches:
+            lots = b.column(b.num_columns - 1).to_numpy()
+            rows = b.drop_columns(lot)
+            order = np.argsort(lots, kind="stable")
+            cut = np.flatnonzero(np.append(True, np.diff(lots[order]) != 0))
+            for own in np.split(order, cut[1:]):
+                if len(own):
+                    sink = pa.BufferOutputStream()
+                    some = rows.take(pa.array(own))
+                    with pa.ipc.new_stream(sink, some.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                        w.write_batch(some)
+                    yield pa.RecordBatch.from_arrays([pa.array([int(lots[own[0]])], pa.int32()),
+                                                      pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                                     ["lot", "rows"])
+
+    return dealt.mapInArrow(run, "lot int, rows binary")
+
+
+def _unpacked(packed: pa.Table) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in packed.column("rows")])
+
+
+def score(docs: DataFrame, model: list[DataFrame], out: str, doc_id: str = "doc_id", lang: str = "lang",
           text: str = "text") -> DataFrame:
     """``docs`` with ``out``_nll (negative log-likelihood) and ``out``_n (characters).
-    Empty and null texts and languages without a model have n = 0."""
+    Empty and null texts and languages without a model have n = 0; a null language
+    counts as the empty one. Very long texts are cut into overlapping parts."""
     lot = fresh(docs, "lot")
     chars = docs.agg(F.sum(F.length(text)).alias("n")).first()["n"] or 0
-    lots = max(parallelism(docs), -(-chars // LOT_CHARS))
-    dealt = docs.withColumn(lot, F.pmod(F.xxhash64(doc_id, text), F.lit(lots)).cast("int"))
-    columns, fields = docs.columns, [*docs.columns, f"{out}_nll", f"{out}_n"]
-
-    def ask(t: pa.Table) -> pa.Table:
-        tables = []
-        for x, _, texts in _by_language(t.column(lang), t.column(text)):
-            grams = [pd.DataFrame(dict(zip(("ctx", "sym"), _distinct(part)[:2]))) for part in _lots(texts)]
-            if not grams:
-                continue
-            g = pd.concat(grams).drop_duplicates()
-            for order, ctx, sym in _asked(g["ctx"].to_numpy(), g["sym"].to_numpy()):
-                tables.append(pa.table([pa.repeat(x, len(ctx)), pa.repeat(pa.scalar(order, pa.int32()), len(ctx)),
-                                        pa.array(ctx, pa.int64()), pa.array(sym, pa.int32())],
-                                       ["lang", "order", "ctx", "sym"]))
-        own = pa.repeat(t.column(lot)[0], sum(len(y) for y in tables))
-        empty = pa.schema([("lang", pa.string()), ("order", pa.int32()), ("ctx", pa.int64()), ("sym", pa.int32())])
-        return pa.concat_tables(tables or [empty.empty_table()]).append_column("lot", own)
-
-    def answer(t: pa.Table, told: pa.Table) -> pa.Table:
+    lots = max(1, -(-chars // LOT_CHARS))
+    # equal rows of different input partitions go to different lots
+    place = F.pmod(F.xxhash64(doc_id, text, F.spark_partition_id()), F.lit(lots)).cast("int")
+    dealt = _packed(docs.withColumn(lot, place), lot)
+    fields = [*docs.columns, f"{out}_nll", f"{out}_n"]
+    kinds = [("lang", pa.string()), ("ctx", pa.int64()), ("sym", pa.int32()), ("nr", pa.int32()), ("lot", pa.int32())]
+
+    def ask(packed: pa.Table) -> pa.Table:
+        t, tables, n = _unpacked(packed), [], 0
+        for x, ctx, sym, _ in _lot_grams(t.column(lang), t.column(text)):
+            nr = np.arange(n, n + len(ctx), dtype=np.int32)
+            n += len(ctx)
+            tables.append(pa.table([pa.repeat(x, len(ctx)), pa.array(ctx), pa.array(sym, pa.int32()), pa.array(nr),
+                                    pa.repeat(packed.column("lot")[0], len(ctx))], schema=pa.schema(kinds)))
+        return pa.concat_tables(tables or [pa.schema(kinds).empty_table()])
+
+    def answer(packed: pa.Table, told: pa.Table) -> pa.Table:
+        t = _unpacked(packed)
         nll, n = np.zeros(len(t)), np.zeros(len(t), np.int64)
-        order, ctx, sym, v = (told.column(c).to_numpy() for c in ("order", "ctx", "sym", "v"))
-        codes = told.column("lang").combine_chunks().dictionary_encode()
-        code, names = codes.indices.to_numpy(), {x: i for i, x in enumerate(codes.dictionary.to_pylist())}
-        for x, rows, texts in _by_language(t.column(lang), t.column(text)):
-            if x not in names:
-                continue
-            mine = code == names[x]
-            told_of = Answers(order[mine], ctx[mine], sym[mine], v[mine])
-            for part in _lots(texts):
-                c, s, which, item = _distinct(part)
-                doc = np.array([rows[i] for _, _, i in part])
-                np.add.at(nll, doc, np.bincount(item, -np.log(told_of.p(c, s))[which], len(part)))
-                np.add.at(n, doc, [len(b) for _, b, _ in part])
-        return pa.Table.from_arrays([*(t.column(c) for c in columns), pa.array(nll), pa.array(n)], names=fields)
-
-    asks = dealt.groupBy(lot).applyInArrow(ask, _ENTRY + ", lot int")
-    told = asks.join(model, ["lang", "order", "ctx", "sym"]).select("lot", "lang", "order", "ctx", "sym", "v")
+        every = list(_lot_grams(t.column(lang), t.column(text)))
+        cost = np.full(sum(len(c) for _, c, _, _ in every), np.nan)
+        cost[told.column("nr").to_numpy()] = -np.log(told.column("v").to_numpy())
+        at = 0
+        for _, ctx, _, parts in every:
+            own, at = cost[at:at + len(ctx)], at + len(ctx)
+            if len(own) and np.isnan(own[0]):
+                continue  # no model of this language
+            for which, item, items in parts:
+                doc = np.array([r for r, _ in items])
+                np.add.at(nll, doc, np.bincount(item, own[which], len(items)))
+                np.add.at(n, doc, [k for _, k in items])
+        return pa.Table.from_arrays([*t.columns, pa.array(nll), pa.array(n)], names=fields)
+
+    asks = materialise(dealt.groupBy("lot").applyInArrow(ask, "lang string, ctx long, sym int, nr int, lot int"), "asked")
+    release(docs.sparkSession)  # the texts that were dealt for asking
+    probability = _answered(materialise(asks.select("lang", "ctx", "sym").distinct(), f"asked{ORDER}"), model)
+    told = asks.join(probability, ["lang", "ctx", "sym"]).select("lot", "nr", "v")
     schema = docs.withColumns({f"{out}_nll": F.lit(0.0), f"{out}_n": F.lit(0).cast("long")}).schema
-    return dealt.groupBy(lot).cogroup(told.groupBy("lot")).applyInArrow(answer, schema)
+    release(docs.sparkSession)
+    return dealt.groupBy("lot").cogroup(told.groupBy("lot")).applyInArrow(answer, schema)
