@@ -26,13 +26,11 @@ from pyspark.sql import functions as F
 
 from churnlake.llm import vectors as V
 from churnlake.llm.common import materialise, parallelism
-from churnlake.llm.kmeans_dedup import _groups
 
 SAMPLE_ROWS = 16_384
 CODES = 128
 LEAST_ENTRIES = 1000
 BLOCK_ROWS = 4096
-QUERY_ROWS = 4096
 _TRIALS = 256
 
 
@@ -113,16 +111,34 @@ def _probe(books: Codebooks, counts: np.ndarray, enough: int):
     return run
 
 
+def _blocks(frames):
+    """(entries, queries) of each (code, block): its entries, which are at most a
+    block and come first, with the queries that follow them, a batch at a time."""
+    key, held, entries = None, [], None
+    for f in frames:
+        if not len(f):
+            continue
+        code, block, asks = f["code1"].to_numpy(), f["block"].to_numpy(), f["asks"].to_numpy()
+        cut = np.flatnonzero((code[1:] != code[:-1]) | (block[1:] != block[:-1]) | (asks[1:] != asks[:-1])) + 1
+        for lo, hi in zip([0, *cut], [*cut, len(f)]):
+            part = f.iloc[lo:hi]
+            if (code[lo], block[lo]) != key:
+                key, held, entries = (code[lo], block[lo]), [], None
+            if not asks[lo]:
+                held.append(part)
+            elif held:
+                entries = pd.concat(held) if entries is None else entries
+                yield entries, part
+
+
 def _rerank(k: int):
     """The ``k`` nearest ids of a block for each query vector sent to it."""
 
     def run(frames):
-        for g in _groups(frames, ["code1", "block", "lot"]):
-            asks = g["wanted"].notna()
-            q, e = g[asks], g[~asks]
-            if not len(q) or not len(e):
-                continue
-            y, code2, ids = V.unit(V.matrix(e["v"])), e["code2"].to_numpy(), e["ids"].to_numpy()
+        of, y, code2, ids = None, None, None, None
+        for e, q in _blocks(frames):
+            if e is not of:
+                of, y, code2, ids = e, V.unit(V.matrix(e["v"])), e["code2"].to_numpy(), e["ids"].to_numpy()
             rows, found, scores = [], [], []
             for at in range(0, len(q), 256):
                 p = q.iloc[at:at + 256]
@@ -186,21 +202,19 @@ def search(embeddings: DataFrame, queries: str, k: int = 5, codes: int = CODES,
     asked = materialise(e.withColumnRenamed("id", "vec_id").filter(queries)
                         .join(entries.select("v", "row"), "v").select("vec_id", "row"), "asked")
     vectors = asked.select("row").distinct().join(entries.select("row", "v"), "row")
-    lots = int(max(1, -(-asked.select("row").distinct().count() // QUERY_ROWS)))
     walked = vectors.mapInPandas(_probe(books, counts, enough),
                                  "row long, v array<double>, code1 int, wanted array<int>")
-    keys = ["code1", "block", "lot"]
+    # an entry is sent once, to its block; a block's queries stream past it
+    keys = ["code1", "block"]
     sent = (walked.join(F.broadcast(by_code), "code1")
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("code1", "block", F.pmod(F.xxhash64("row"), F.lit(lots)).cast("int").alias("lot"), "row",
-                    F.col("v").cast("array<double>").alias("v"), "wanted", F.lit(None).cast("int").alias("code2"),
-                    F.lit(None).cast("array<long>").alias("ids")))
+            .select(*keys, F.lit(True).alias("asks"), "row", F.col("v").cast("array<double>").alias("v"), "wanted",
+                    F.lit(None).cast("int").alias("code2"), F.lit(None).cast("array<long>").alias("ids")))
     held = (cells.join(F.broadcast(by_code), "code1")
-            .withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
-            .select("code1", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int").alias("block"), "lot", "row",
-                    F.col("v").cast("array<double>").alias("v"), F.lit(None).cast("array<int>").alias("wanted"),
-                    "code2", "ids"))
-    near = (sent.unionByName(held).repartition(parallelism(e), *keys).sortWithinPartitions(*keys)
+            .select("code1", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int").alias("block"),
+                    F.lit(False).alias("asks"), "row", F.col("v").cast("array<double>").alias("v"),
+                    F.lit(None).cast("array<int>").alias("wanted"), "code2", "ids"))
+    near = (sent.unionByName(held).repartition(parallelism(e), *keys).sortWithinPartitions(*keys, "asks")
             .mapInPandas(_rerank(k + 1), "row long, vec_id long, score double"))
     order = [F.desc("score"), F.asc("vec_id")]
     best = (near.withColumn("r", F.row_number().over(Window.partitionBy("row").orderBy(*order)))
