@@ -112,8 +112,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, kind: str, end_id: int, capacit
         step = 4 * capacity
         for b in batches:
             out = ([], [], [], [], [])
-            for d, t in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = enc.encode(t.as_py()) + end
+            for d, ids in zip(b.column(0).to_pylist(), enc.encode_all(b.column(1))):
+                ids += end
                 for n, at in enumerate(range(0, len(ids), step)):
                     cut = ids[at:at + step]
                     for col, v in zip(out, (d, n, at // 4, len(cut) // 4, zlib.crc32(cut))):

@@ -131,8 +131,8 @@ def write(docs: DataFrame, root: str, tokenizer_path: str, kind: str, end_id: in
         names, lengths, parts = [], [], []
         for b in batches:
             lot = []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = enc.encode(t.as_py()) + end
+            for i, ids in zip(b.column(0).to_pylist(), enc.encode_all(b.column(1))):
+                ids += end
                 names.append(i)
                 lengths.append(len(ids) // 4)
                 lot.append(ids)

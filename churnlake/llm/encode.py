@@ -1,9 +1,12 @@
 """Exact encoding with a ``tokenizers`` file, pre-token by pre-token.
 
 Both public vocabularies used here merge bytes only inside white-space separated
-segments, so the ids of a text are the ids of its segments in a row. A worker
-keeps the ids of the segments it has met; each is encoded once by the library.
-Texts that hold a special token's string go to the library whole.
+segments, so the ids of a text are the ids of its segments in a row. The texts of
+a batch are cut into segments by NumPy, numbered by Arrow's dictionary, and each
+distinct segment is looked up once; a worker keeps the ids of the segments it has
+met, each encoded once by the library. Texts with blanks or marks beyond ASCII are
+cut by the patterns below one by one; texts that hold a special token's string go
+to the library whole.
 """
 
 from __future__ import annotations
@@ -12,6 +15,9 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+
+from churnlake.llm.words import LOWER, WHITE, spans, views
 
 # Unicode White_Space, the class that the vocabularies' patterns call \s
 _WS = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -23,8 +29,14 @@ SEGMENTS = {
 }
 # marks that may join an ASCII letter into one character, differently by case
 _MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
-CACHE_SEGMENTS = 600_000  # of two generations each; results do not depend on it
+CACHE_SEGMENTS = 400_000  # of two generations each; results do not depend on it
 CACHE_CHARS = 48          # longer segments hardly repeat
+_CHUNK_BYTES = 8 << 20
+# UTF-8 of blanks and marks beyond ASCII, and the bytes that may begin one
+_ODD = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|"
+                  rb"[\xcc\xcd]|\xe1\xaa[\xb0-\xbf]|\xe1\xab|\xe1\xb7|\xe2\x83[\x90-\xbf]|\xef\xb8[\xa0-\xaf]")
+_MAYBE_ODD = np.zeros(256, dtype=bool)
+_MAYBE_ODD[[0xC2, 0xCC, 0xCD, 0xE1, 0xE2, 0xE3, 0xEF]] = True
 
 
 class Encoder:
@@ -40,6 +52,7 @@ class Encoder:
         self.point = {c: np.array(self.tk.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes() for c in ".,"}
         self.separator = self.tk.encode("\n" if kind == "byte" else "|", add_special_tokens=False).ids[0]
         self.special = [t.content for t in self.tk.get_added_tokens_decoder().values()]
+        self.special_bytes = [s.encode() for s in self.special]
         self.cache: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
@@ -54,20 +67,92 @@ class Encoder:
             return np.array(self.tk.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if self.kind == "word" and (text.isascii() or not _MARKS.search(text)):
             text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # A-Z only
+        segs = self.find(text)
+        own = list(dict.fromkeys(segs))
+        return b"".join(map(dict(zip(own, self._looked_up(own))).get, segs))
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """``encode`` of every text of a column."""
+        out: list[bytes] = [b""] * len(texts)
+        chunk, held = [], 0
+        for i, t in enumerate(views(texts)):
+            if not len(t):
+                continue
+            if len(t) > _CHUNK_BYTES or self._is_odd(t):
+                out[i] = self.encode(t.tobytes().decode())
+                continue
+            if held + len(t) > _CHUNK_BYTES:
+                self._encode_chunk(chunk, out)
+                chunk, held = [], 0
+            chunk.append((i, t))
+            held += len(t)
+        if chunk:
+            self._encode_chunk(chunk, out)
+        return out
+
+    def _is_odd(self, t: np.ndarray) -> bool:
+        body = t.tobytes()
+        return (any(s in body for s in self.special_bytes)
+                or bool(_MAYBE_ODD[t].any()) and _ODD.search(body) is not None)
+
+    def _encode_chunk(self, chunk: list[tuple[int, np.ndarray]], out: list[bytes]) -> None:
+        line = np.full(1, 0x0A, dtype=np.uint8)  # ends each text, and is no part of it
+        data = np.concatenate([x for _, t in chunk for x in (t, line)])
+        stop = np.cumsum([len(t) + 1 for _, t in chunk]) - 1
+        if self.kind == "word":
+            data = LOWER[data]
+        start, end = spans(data, WHITE)
+        cut = np.zeros(len(data) + 1, dtype=bool)
+        cut[-1] = cut[0] = cut[end] = cut[stop] = cut[stop + 1] = True
+        if self.kind == "word":
+            cut[start] = True
+        else:  # a blank goes with the word, another last white space stands alone
+            inner = start[(start > 0) & ~np.isin(start - 1, stop)]
+            cut[start[(start == 0) | np.isin(start - 1, stop)]] = True
+            cut[inner - 1] = True
+            cut[inner[data[inner - 1] != 0x20]] = True
+        at = np.flatnonzero(cut)
+        items = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data))
+        named = items.dictionary_encode()
+        which = named.indices.to_numpy()
+        first = at[:-1]
+        if self.kind == "word":
+            kept = np.zeros(len(data), dtype=bool)
+            kept[start] = True
+        else:
+            kept = np.ones(len(data), dtype=bool)
+            kept[stop] = False
+        kept = kept[first]
+        which, text = which[kept], np.searchsorted(stop, first[kept])
+        used, which = np.unique(which, return_inverse=True) if self.kind == "word" else (None, which)
+        values = named.dictionary if used is None else named.dictionary.take(pa.array(used))
+        parts = self._looked_up(values.to_pylist())
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        flat = np.frombuffer(b"".join(parts), "<u4")
+        n = size[which]
+        begin = (np.cumsum(size) - size)[which]
+        before = np.cumsum(n) - n
+        ids = flat[np.repeat(begin - before, n) + np.arange(int(n.sum()))]
+        ends = np.cumsum(np.bincount(text, weights=n, minlength=len(chunk)).astype(np.int64)).tolist()
+        body, a = ids.tobytes(), 0
+        for (i, _), b in zip(chunk, ends):
+            out[i], a = body[4 * a:4 * b], b
+
+    def _looked_up(self, segs: list[str]) -> list[bytes]:
+        """The ids of each distinct segment."""
         if len(self.cache) > CACHE_SEGMENTS:
             self.before, self.cache = self.cache, {}
-        cache, segs = self.cache, self.find(text)
-        parts = list(map(cache.get, segs))
-        if None in parts:
-            at = [i for i, p in enumerate(parts) if p is None]
+        parts = list(map(self.cache.get, segs))
+        at = [i for i, p in enumerate(parts) if p is None]
+        if at:
             new = {segs[i] for i in at}
             self._learn(new)
             for i in at:
-                parts[i] = cache[segs[i]]
+                parts[i] = self.cache[segs[i]]
             for s in new:
                 if len(s) > CACHE_CHARS:
-                    del cache[s]
-        return b"".join(parts)
+                    del self.cache[s]
+        return parts
 
     def _learn(self, new: set[str]) -> None:
         """Fill the cache. A comma or full stop after a letter that ends a segment

@@ -29,8 +29,8 @@ def separators(*ranges: tuple[int, int]) -> np.ndarray:
 WHITE = separators((0x20, 0x20), (0x09, 0x0D))
 #: [^\x00-\x2F\x3A-\x60\x7B-\x7F]+, of texts in ASCII lower case
 NOT_ALNUM = separators((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A"):ord("Z") + 1] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A"):ord("Z") + 1] += 32
 
 
 @dataclass
@@ -48,7 +48,7 @@ class Piece:
     last: list[bool]
 
 
-def _views(col: pa.Array) -> Iterator[np.ndarray]:
+def views(col: pa.Array) -> Iterator[np.ndarray]:
     """Each text's bytes (null: none)."""
     data = col.cast(pa.large_binary())
     offsets = np.frombuffer(data.buffers()[1], dtype=np.int64)[data.offset:data.offset + len(data) + 1]
@@ -58,7 +58,7 @@ def _views(col: pa.Array) -> Iterator[np.ndarray]:
         yield body[a:b] if v else body[:0]
 
 
-def _spans(data: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spans(data: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = ~parts[data]
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     if len(data) and inside[0]:
@@ -85,7 +85,7 @@ def _cut(text: np.ndarray, parts: np.ndarray, overlap: int, size: int) -> Iterat
             if end >= len(text):
                 yield text[at:], first, True
                 return
-        a, _ = _spans(text[at:end], parts)
+        a, _ = spans(text[at:end], parts)
         if len(a) <= overlap:
             size *= 2
             continue
@@ -106,8 +106,8 @@ def pieces(col: pa.Array, parts: np.ndarray, lower: bool = False, overlap: int =
         blocks = [x for _, t, _, _ in chunk for x in (t, gap)]
         data = np.concatenate(blocks)
         if lower:
-            data = _LOWER[data]
-        start, end = _spans(data, parts)
+            data = LOWER[data]
+        start, end = spans(data, parts)
         ends = np.cumsum([len(t) + 1 for _, t, _, _ in chunk])
         of = np.searchsorted(ends, start, side="right")
         lead = np.searchsorted(of, np.arange(len(chunk)))  # each text's first word here
@@ -115,7 +115,7 @@ def pieces(col: pa.Array, parts: np.ndarray, lower: bool = False, overlap: int =
         rows = [r for r, _, _, _ in chunk]
         return Piece(data, start, end, np.array(rows)[of], number, rows, [x for _, _, _, x in chunk])
 
-    for r, text in enumerate(_views(col)):
+    for r, text in enumerate(views(col)):
         for part, first, last in (_cut(text, parts, overlap, size) if len(text) > size else [(text, 0, True)]):
             if chunk and held + len(part) > size:
                 yield made()

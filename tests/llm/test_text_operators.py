@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from edge import DOCS, documents, nothing
@@ -132,7 +133,13 @@ def test_components_of_a_long_path_and_a_star(spark):
                max_size=80))
 def test_encoder_equals_the_library(path, kind, text):
     e = ENCODERS.setdefault(path, Encoder(path, kind))
-    assert np.frombuffer(e.encode(text), "<u4").tolist() == e.tk.encode(text, add_special_tokens=False).ids
+    want = e.tk.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(e.encode(text), "<u4").tolist() == want
+    # in a batch, before and after texts of all kinds, cached and not
+    batch = [text, None, "a  b\n", text, "", "\n\n x\t", "Stra\u00dfe \u00a0z", text + " ", " ", "<|endoftext|>" + text]
+    got = e.encode_all(pa.array(batch, pa.string()))
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [
+        e.tk.encode(t or "", add_special_tokens=False).ids for t in batch]
 
 
 ENCODERS: dict[str, Encoder] = {}
