@@ -110,7 +110,7 @@ def feature_importance(contributions: DataFrame, top: int) -> DataFrame:
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str] = S.FEATURE_COLUMNS, label: str = "churned_30d",
-                 c: float = 1.0, max_iter: int = 100):
+                 c: float = 1.0, max_iter: int = 100, tol: float = 1e-10):
     """pyspark.ml pipeline: VectorAssembler -> StandardScaler -> LogisticRegression.
 
     scikit-learn's C maps to an L2 ``regParam = 1 / (C * n)``; n is one count."""
@@ -121,7 +121,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str] = S.FEATURE_COLUMNS,
     n = train.count()
     asm = VectorAssembler(inputCols=list(features), outputCol="_raw")
     scl = StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True)
-    lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
+    lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, tol=tol,
                             regParam=1.0 / (c * max(n, 1)), elasticNetParam=0.0)
     data = train.withColumn(label, F.col(label).cast("double"))
     return Pipeline(stages=[asm, scl, lr]).fit(data)

@@ -169,3 +169,41 @@ def long_sql(frame: str, features) -> str:
     return "\n  UNION ALL ".join(
         f"SELECT '{c}' AS feature_name, CAST({c} AS DOUBLE) AS value FROM {frame} "
         f"WHERE {c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE))" for c in features)
+
+
+def newton_sql(rows: str, label: str, columns, steps: int = 12, prefix: str = "nw") -> str:
+    """CTEs that fit a logistic regression in plain SQL: Newton steps on the mean loss
+    of ``rows`` (standardised ``columns`` and ``label``) with an L2 penalty of 1/n on
+    all but the intercept. The last one, ``{prefix}_w``, is one row of w0, w1 ...
+
+    A step sums gradient and Hessian over all rows and solves by elimination, one CTE
+    for each pivot."""
+    m = len(columns) + 1
+    z = ["1.0", *columns]
+    score = " + ".join(f"w.w{i} * {x}" for i, x in enumerate(z))
+    out = [f"{prefix}_0 AS MATERIALIZED (SELECT " + ", ".join(f"0.0::DOUBLE AS w{i}" for i in range(m)) + ")",
+           f"{prefix}_n AS MATERIALIZED (SELECT count(*)::DOUBLE AS n FROM {rows})"]
+    for t in range(steps):
+        e = f"{prefix}_{t}"
+        w = ", ".join(f"w.w{i}" for i in range(m))
+        out.append(f"{e}_p AS MATERIALIZED (SELECT r.*, 1.0 / (1.0 + exp(-({score}))) AS p_ FROM {rows} r, {e} w)")
+        sums = [f"avg((p_ - {label}) * {x}) AS g{i}" for i, x in enumerate(z)]
+        sums += [f"avg(p_ * (1 - p_) * {z[i]} * {z[j]}) AS h{i}_{j}" for i in range(m) for j in range(i, m)]
+        out.append(f"{e}_s AS MATERIALIZED (SELECT {', '.join(sums)} FROM {e}_p)")
+        ridge = lambda i, v: f" + {v} / n" if i else ""
+        cols = [f"g{i}{ridge(i, f'w{i}')} AS g{i}" for i in range(m)]
+        cols += [f"h{i}_{j}{ridge(i, '1.0') if i == j else ''} AS h{i}_{j}" for i in range(m) for j in range(i, m)]
+        out.append(f"{e}_e0 AS MATERIALIZED (SELECT {', '.join(cols)}, {w} FROM {e}_s, {prefix}_n, {e} w)")
+        for k in range(m - 1):
+            new = {f"g{i}": f"g{i} - h{k}_{i} * g{k} / h{k}_{k}" for i in range(k + 1, m)}
+            new |= {f"h{i}_{j}": f"h{i}_{j} - h{k}_{i} * h{k}_{j} / h{k}_{k}" for i in range(k + 1, m) for j in range(i, m)}
+            repl = ", ".join(f"{v} AS {c}" for c, v in new.items())
+            out.append(f"{e}_e{k + 1} AS MATERIALIZED (SELECT * REPLACE ({repl}) FROM {e}_e{k})")
+        at = f"{e}_e{m - 1}"
+        for k in range(m - 1, -1, -1):
+            back = "".join(f" - h{k}_{j} * x{j}" for j in range(k + 1, m))
+            out.append(f"{e}_x{k} AS MATERIALIZED (SELECT *, (g{k}{back}) / h{k}_{k} AS x{k} FROM {at})")
+            at = f"{e}_x{k}"
+        name = f"{prefix}_w" if t == steps - 1 else f"{prefix}_{t + 1}"
+        out.append(f"{name} AS MATERIALIZED (SELECT " + ", ".join(f"w{i} - x{i} AS w{i}" for i in range(m)) + f" FROM {at})")
+    return ",\n".join(out)

@@ -361,31 +361,49 @@ def q_lr_fit(spark, sf_dir):
     return g.select("term", "train_rows", (F.abs("gradient") < F.lit(1e-4)).alias("at_optimum"))
 
 
-@register("lr_coefficients")
+# the same fit in plain SQL, by Newton steps over the train rows; solvers agree to four decimals
+_FIT_SQL = _SPLIT_SQL + f""",
+{_TSTATS},
+tr AS MATERIALIZED (SELECT sp.user_id, CAST(sp.churned_30d AS DOUBLE) AS y_, {_scaled_cols()}
+                    FROM sp, tstats WHERE split = 'train'),
+{O.newton_sql("tr", "y_", FEATS, 8)}"""
+_FIT_SCORE = "1.0 / (1.0 + exp(-(w.w0" + "".join(
+    f" + w.w{i} * CASE WHEN tstats.{c}_s > 0 THEN (CAST(v.{c} AS DOUBLE) - tstats.{c}_m) / tstats.{c}_s ELSE 0.0 END"
+    for i, c in enumerate(FEATS, 1)) + ")))"
+_FIT_AUC = _FIT_SQL + f""",
+fs AS (SELECT v.churned_30d, {_FIT_SCORE} AS s FROM sp v, tstats, nw_w w WHERE v.split = 'test'),
+c AS (SELECT s, count(*) FILTER (WHERE churned_30d = 1) AS pos, count(*) FILTER (WHERE churned_30d = 0) AS neg
+      FROM fs GROUP BY 1),
+cu AS (SELECT *, sum(neg) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) AS cum_neg FROM c),
+au AS (SELECT CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg,
+              sum(pos * ((cum_neg - neg) + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc FROM cu)"""
+
+
+@register("lr_coefficients", _FIT_SQL + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{t}' AS term, round(w{i}, 4) AS coefficient FROM nw_w" for i, t in enumerate(("intercept", *FEATS))))
 def q_lr_coefficients(spark, sf_dir):
-    """The 11 fitted parameters (solver-dependent digits, so no SQL)."""
+    """The 11 fitted parameters, to the four decimals on which solvers agree."""
     t = EV.temporal_split(stored(training(spark, sf_dir), "training"), 6).filter(F.col("split") == "train")
-    return EV.model_coefficients(spark, EV.fit_logistic(t, c=1.0, max_iter=200))
+    return (EV.model_coefficients(spark, EV.fit_logistic(t, c=1.0, max_iter=200))
+            .withColumn("coefficient", F.round("coefficient", 4)))
 
 
-@register("lr_eval_auc", _SPLIT_SQL + """
-SELECT count(*) FILTER (WHERE churned_30d = 1) AS n_pos, count(*) FILTER (WHERE churned_30d = 0) AS n_neg,
-       true AS better_than_chance FROM sp WHERE split = 'test'""")
+@register("lr_eval_auc", _FIT_AUC + "\nSELECT n_pos, n_neg, auc > 0.5 AS better_than_chance FROM au")
 def q_lr_eval_auc(spark, sf_dir):
     """The fitted pipeline on the test split: its classes, and whether it ranks
     them better than chance; `lr_test_auc` has the AUC."""
     return _test_auc(spark, sf_dir).select("n_pos", "n_neg", (F.col("auc") > 0.5).alias("better_than_chance"))
 
 
-@register("lr_test_auc")
+@register("lr_test_auc", _FIT_AUC + "\nSELECT n_pos, n_neg, round(auc, 4) AS auc FROM au")
 def q_lr_test_auc(spark, sf_dir):
-    """AUC of the fitted pipeline on the test split (solver-dependent digits, so no SQL)."""
-    return _test_auc(spark, sf_dir)
+    """AUC of the fitted pipeline on the test split, to four decimals."""
+    return _test_auc(spark, sf_dir).withColumn("auc", F.round("auc", 4))
 
 
 def _test_auc(spark, sf_dir):
     t = EV.temporal_split(stored(training(spark, sf_dir), "training"), 6)
-    pm = EV.fit_logistic(t.filter(F.col("split") == "train"), c=1.0, max_iter=100)
+    pm = EV.fit_logistic(t.filter(F.col("split") == "train"), c=1.0, max_iter=200)
     from pyspark.ml.functions import vector_to_array
     pred = pm.transform(t.filter(F.col("split") == "test").withColumn("churned_30d", F.col("churned_30d").cast("double")))
     scored_ = pred.select(vector_to_array("probability")[1].alias("churn_probability"),
@@ -393,14 +411,19 @@ def _test_auc(spark, sf_dir):
     return EV.auc(scored_)
 
 
-@register("score_fitted")
+@register("score_fitted", _FIT_SQL + f""",
+lv AS (SELECT * FROM snap QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY feature_date DESC) = 1),
+sc AS (SELECT v.user_id, v.feature_date, {_FIT_SCORE} AS p FROM lv v, tstats, nw_w w)
+SELECT u.user_id, round(sc.p, 3) AS churn_probability, CAST(sc.p >= 0.5 AS INTEGER) AS predicted_label,
+       CASE WHEN sc.p IS NOT NULL THEN 'ok' ELSE 'no_features' END AS status, sc.feature_date AS vector_date
+FROM users u LEFT JOIN sc ON sc.user_id = u.user_id""")
 def q_score_fitted(spark, sf_dir):
     """The pipeline fitted on the train split is saved, loaded and scores every user
-    from the latest training vector (solver-dependent digits, so no SQL; tested
-    against a Newton fit of the same rows)."""
+    from the latest training vector; probabilities to three decimals."""
     t = stored(training(spark, sf_dir), "training")
     train = EV.temporal_split(t, 6).filter(F.col("split") == "train")
     path = EV.save_model(EV.fit_logistic(train, c=1.0, max_iter=200), f"{scratch_path(spark, 'model')}/m")
     model_ = SC.model_of(EV.load_model(path))
     users = mapping_b(spark, sf_dir).users
-    return SC.score_batch(users, SC.latest_features(t.drop("churned_30d")), model_)
+    return (SC.score_batch(users, SC.latest_features(t.drop("churned_30d")), model_)
+            .withColumn("churn_probability", F.round("churn_probability", 3)))
