@@ -90,7 +90,8 @@ def test_fitted_model_scores_and_ranks_as_a_newton_fit(spark, sf001):
     for r in got:
         if r["status"] == "ok":
             assert abs(r["churn_probability"] - want[r["user_id"]]) < 2e-3
-            assert r["predicted_label"] == int(r["churn_probability"] >= 0.5)
+            if abs(want[r["user_id"]] - 0.5) > 1e-3:  # the query's probabilities are rounded
+                assert r["predicted_label"] == int(want[r["user_id"]] >= 0.5)
 
     p = probability(x(test))
     pos, neg = (p[[r["churned_30d"] == k for r in test]] for k in (1, 0))
