@@ -119,11 +119,13 @@ def _uncovered(grid: Grid, lo: str, window_days: int) -> str:
     return f"CASE WHEN last IS NULL THEN {lo} ELSE greatest({lo}, {_back(grid, 'last', window_days)[1]} + 1) END"
 
 
-def _change(lo: str, hi: str, values: dict[str, str], when: str = "true") -> list[tuple[str, dict[str, str]]]:
-    """+x at ``lo`` and -x after ``hi``; nothing where lo > hi."""
+def _change(grid: Grid, lo: str, hi: str, values: dict[str, str], when: str = "true") -> list[tuple[str, dict[str, str]]]:
+    """+x at ``lo`` and -x after ``hi``; nothing where lo > hi. One date has no index after it."""
     on = f"{lo} <= {hi} AND ({when})"
-    return [(f"CASE WHEN {on} THEN {lo} END", values),
-            (f"CASE WHEN {on} THEN {hi} + 1 END", {c: f"-({x})" for c, x in values.items()})]
+    add = (f"CASE WHEN {on} THEN {lo} END", values)
+    if grid.n == 1:
+        return [add]
+    return [add, (f"CASE WHEN {on} THEN {hi} + 1 END", {c: f"-({x})" for c, x in values.items()})]
 
 
 def _change_rows(rows: DataFrame, grid: Grid, changes: Sequence[tuple[str, dict[str, str]]],
@@ -131,6 +133,10 @@ def _change_rows(rows: DataFrame, grid: Grid, changes: Sequence[tuple[str, dict[
     """``user_id, k`` and the changes of every measure of ``types`` there; changes
     after the last date are left out. The changes of a row are put into one array
     and combined before the shuffle by the group sum that follows."""
+    if len(changes) == 1:
+        (k, values), = changes
+        return rows.selectExpr("user_id", f"{k} AS k", *[f"CAST({values.get(c, '0')} AS {t}) AS {c}" for c, t in types.items()]
+                               ).filter(f"k IS NOT NULL AND k < {grid.n}")
     structs = ", ".join("named_struct('k', " + k + "".join(
         f", '{c}', CAST({values.get(c, '0')} AS {t})" for c, t in types.items()) + ")" for k, values in changes)
     return rows.selectExpr("user_id", f"inline(array({structs}))").filter(f"k IS NOT NULL AND k < {grid.n}")
@@ -162,13 +168,13 @@ def activity_changes(events: DataFrame, grid: Grid, label_days: int | None = Non
              .groupBy("user_id", "session_id", "day").agg(F.expr("count(1) AS c")))
     before = "lag(day) OVER (PARTITION BY user_id, session_id ORDER BY day)"
     daily = daily.selectExpr("*", f"{before} AS last")
-    changes = _change(*_back(grid, "day", 30), {"events_30d": "c"})
+    changes = _change(grid, *_back(grid, "day", 30), {"events_30d": "c"})
     for w in (30, 7):
         lo, hi = _back(grid, "day", w)
-        changes += _change(_uncovered(grid, lo, w), hi, {f"sessions_{w}d": "1"}, "session_id IS NOT NULL")
+        changes += _change(grid, _uncovered(grid, lo, w), hi, {f"sessions_{w}d": "1"}, "session_id IS NOT NULL")
     if label_days is not None:
         types["active_next"] = "BIGINT"
-        changes += _change(*_forward(grid, "day", label_days), {"active_next": "c"})
+        changes += _change(grid, *_forward(grid, "day", label_days), {"active_next": "c"})
     return _change_rows(daily, grid, changes, types)
 
 
@@ -178,13 +184,13 @@ def billing_changes(billing: DataFrame, grid: Grid, label_days: int | None = Non
     rows = (billing.filter(_time_range(grid, 90, label_days or 0))
             .selectExpr("user_id", "status", "amount", f"{grid.day_sql('event_time')} AS day"))
     month, quarter = _back(grid, "day", 30), _back(grid, "day", 90)
-    changes = (_change(*month, {"failed_payments_30d": "CASE WHEN status = 'failed' THEN 1 ELSE 0 END",
+    changes = (_change(grid, *month, {"failed_payments_30d": "CASE WHEN status = 'failed' THEN 1 ELSE 0 END",
                                 "refunds_30d": "CASE WHEN status = 'refunded' THEN 1 ELSE 0 END"},
                        "status IN ('failed', 'refunded')")
-               + _change(*quarter, {"spend_micros_90d": f"coalesce({_MICROS}, 0)"}, "status = 'successful'"))
+               + _change(grid, *quarter, {"spend_micros_90d": f"coalesce({_MICROS}, 0)"}, "status = 'successful'"))
     if label_days is not None:
         types["paid_next"] = "BIGINT"
-        changes += _change(*_forward(grid, "day", label_days), {"paid_next": "1"}, "status = 'successful'")
+        changes += _change(grid, *_forward(grid, "day", label_days), {"paid_next": "1"}, "status = 'successful'")
     return _change_rows(rows, grid, changes, types)
 
 
@@ -219,11 +225,15 @@ def on_grid(users: DataFrame, grid: Grid, parts: Sequence[DataFrame]) -> DataFra
     if not values:
         return users.selectExpr("*", f"explode(sequence(0, {grid.n - 1})) AS k")
     run = {c: "max" if c == "last_login" or c.startswith("max_") else "sum" for c in values}
-    out = out.groupBy("user_id", "k").agg(F.expr("bool_or(wanted) AS wanted"),
+    # of one date all rows have the index 0
+    by = ["user_id", "k"] if grid.n > 1 else ["user_id"]
+    out = out.groupBy(*by).agg(F.expr("bool_or(wanted) AS wanted"),
                                           *[F.expr(f"{f}({c}) AS {c}") for c, f in run.items()])
     if grid.n > 1:
         w = "OVER (PARTITION BY user_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         out = out.selectExpr("user_id", "k", "wanted", *[f"{f}({c}) {w} AS {c}" for c, f in run.items()])
+    else:
+        out = out.withColumn("k", F.lit(0))
     return out.filter("wanted").drop("wanted").join(users, "user_id")
 
 
@@ -249,12 +259,12 @@ def custom_changes(source: DataFrame, grid: Grid, specs: Sequence[FeatureSpec])
             if s.agg != "count":
                 types[f"s_{s.name}"] = "DECIMAL(38, 6)"
                 values[f"s_{s.name}"] = f"CAST(_x{i} AS DECIMAL(28, 6))"
-            changes += _change(lo, hi, values, f"_x{i} IS NOT NULL")
+            changes += _change(grid, lo, hi, values, f"_x{i} IS NOT NULL")
         elif s.agg == "count_distinct":
             days = rows.filter(F.col(f"_x{i}").isNotNull()).select("user_id", F.col(f"_x{i}").alias("v"), "day").distinct()
             days = days.selectExpr("*", "lag(day) OVER (PARTITION BY user_id, v ORDER BY day) AS last")
             fresh = _uncovered(grid, lo, s.window_days)
-            out.append(_change_rows(days, grid, _change(fresh, hi, {f"n_{s.name}": "1"}), {f"n_{s.name}": "BIGINT"}))
+            out.append(_change_rows(days, grid, _change(grid, fresh, hi, {f"n_{s.name}": "1"}), {f"n_{s.name}": "BIGINT"}))
     if changes:
         out.insert(0, _change_rows(rows, grid, changes, types))
     return out
