@@ -21,21 +21,26 @@ CRLF = "\r\n"
 HTTP_HEADERS = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 # Patterns are in the common part of Java's and RE2's syntax.
-DROPPED = "|".join([r"<script\b[^>]*>.*?</script[^>]*>", r"<style\b[^>]*>.*?</style[^>]*>",
-                    r"<noscript\b[^>]*>.*?</noscript[^>]*>", r"<template\b[^>]*>.*?</template[^>]*>", r"<!--.*?-->"])
-UNSEEN = r"(?is)<head\b[^>]*>.*?</head[^>]*>|" + DROPPED
-DROPPED = "(?is)" + DROPPED
-BLOCK = (r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|"
-         r"h[1-6]|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|tr|ul)(?:[ \t\r\n\f/][^>]*)?>")
-TAG = r"</?[a-zA-Z][^>]*>|<![^>]*>|<\?[^>]*>"
-BLANKS = r"[ \t\r\f\x0b\x{a0}]+"
+HEAD = r"(?is)<head\b[^>]*>.*?</head[^>]*>"
+DROPPED = ("(?is)<(?:" + "|".join(rf"{t}\b[^>]*>.*?</{t}[^>]*>" for t in ("script", "style", "noscript", "template"))
+           + "|!--.*?-->)")
+_BLOCKS = ("address article aside blockquote body br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+           "header hr html li main nav ol option p pre section table td th tr ul").split()
+# names by first letter, so that a tag is not held against all of them
+BLOCK = ("(?i)</?(?:" + "|".join(f"{c}(?:{'|'.join(n[1:] for n in _BLOCKS if n[0] == c)})"
+                                 for c in sorted({n[0] for n in _BLOCKS})) + r")(?:[ \t\r\n\f/][^>]*)?>")
+TAG = r"<(?:/?[a-zA-Z]|!|\?)[^>]*>"
+BLANKS = r"[ \t\r\f\x0b\x{a0}]{2,}|[\t\r\f\x0b\x{a0}]"  # all runs of blanks but a single space
 LINES = r" ?\n[ \n]*"
 TITLE = r"(?is)<title[^>]*>(.*?)</title"
 LANG = r"""(?is)<html\b[^>]*[ \t\r\n\f]lang[ \t\r\n\f]*=[ \t\r\n\f]*["']?([a-zA-Z0-9-]+)"""
 CHARSET = r"""(?is)<meta\b[^>]*charset[ \t\r\n\f]*=[ \t\r\n\f]*["']?([a-zA-Z0-9_:.-]+)"""
-LINK = r"""(?is)<a\b[^>]*[ \t\r\n\f]href[ \t\r\n\f]*=[ \t\r\n\f]*["']([^"'\r\n]*)["']"""
+# a value in double quotes, in single quotes, or without
+LINK = (r"""(?is)<a\b[^>]*[ \t\r\n\f]href[ \t\r\n\f]*=[ \t\r\n\f]*"""
+        r"""("[^"\r\n]*"|'[^'\r\n]*'|[^ \t\r\n\f"'>][^ \t\r\n\f>]*)""")
+NUMERIC = r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 # &amp; comes last: what it spells is not decoded again
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
+ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
             ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&hellip;", "…"), ("&ndash;", "–"),
             ("&mdash;", "—"), ("&amp;", "&")]
 
@@ -80,17 +85,31 @@ def responses(pages: DataFrame, date: str, page_id: str = "page_id", url: str =
     return with_digest(p, "block_digest", F.concat("http_headers", F.lit(CRLF * 2), "payload"))
 
 
+def _numeric(x: Column, i: Column) -> Column:
+    """A piece after ``&#``: the character it begins with by number, and the rest. An
+    ampersand becomes ``&amp;``, which is decoded last; numbers that are no character
+    stay as they are."""
+    m = F.regexp_extract(x, NUMERIC, 1)
+    number = F.when(F.lower(F.substring(m, 1, 1)) == "x", F.conv(F.substring(m, 2, 6), 16, 10)).otherwise(m)
+    n = F.when(m == "", F.lit(0)).otherwise(number.cast("int"))
+    real = ((n > 0) & (n < 0xD800)) | ((n > 0xDFFF) & (n < 0x110000))
+    char = F.when(n == 38, F.lit("&amp;")).otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+    rest = F.substr(x, F.length(m) + 2)
+    return F.when(i == 0, x).when(real, F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), x))
+
+
 def _decoded(s: Column) -> Column:
+    """Entities by name and number, each once. Texts without an ampersand are left alone."""
+    t = F.when(F.contains(s, F.lit("&#")), F.array_join(F.transform(F.split(s, "&#"), _numeric), "")).otherwise(s)
     for name, char in ENTITIES:
-        s = F.replace(s, F.lit(name), F.lit(char))
-    return s
+        t = F.replace(t, F.lit(name), F.lit(char))
+    return F.when(F.contains(s, F.lit("&")), t).otherwise(s)
 
 
-def plain_text(html: Column) -> Column:
-    """Visible text: a line for each block element, entities decoded."""
-    t = F.regexp_replace(html, UNSEEN, " ")
-    for c in "\r\n":
-        t = F.replace(t, F.lit(c), F.lit(" "))
+def plain_text(clean: Column) -> Column:
+    """Visible text of a page without scripts, styles and comments: a line for each
+    block element, entities decoded."""
+    t = F.translate(F.regexp_replace(clean, HEAD, " "), "\r\n", "  ")
     t = F.regexp_replace(F.regexp_replace(t, BLOCK, "\n"), TAG, "")
     t = F.regexp_replace(F.regexp_replace(_decoded(t), BLANKS, " "), LINES, "\n")
     return F.btrim(t, F.lit(" \n"))
@@ -101,18 +120,25 @@ def _field(s: Column) -> Column:
     return F.trim(F.regexp_replace(_decoded(s), r"[ \t\r\n\f]+", " "))
 
 
-def with_fields(df: DataFrame, html: str, out: str) -> DataFrame:
-    """``df`` with the metadata record's body; fields without a value are left
-    out. Found values are columns of their own first, each searched for once."""
-    clean = df.withColumn("m_clean", F.regexp_replace(F.col(html), DROPPED, " "))
+def _link(value: Column) -> Column:
+    """A found address without its quotes, decoded, on one line."""
+    quoted = F.substring(value, 1, 1).isin('"', "'")
+    bare = F.when(quoted, F.substr(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+    return F.regexp_replace(_decoded(bare), r"[\r\n]+", " ")
+
+
+def with_fields(df: DataFrame, clean: str, out: str) -> DataFrame:
+    """``df`` with the metadata record's body, from the column ``clean`` (a page
+    without scripts, styles and comments); fields without a value are left out.
+    Found values are columns of their own first, each searched for once."""
     found = {"title": TITLE, "language": LANG, "charset": CHARSET}
-    d = clean.withColumns({"m_" + k: _field(F.regexp_extract("m_clean", v, 1)) for k, v in found.items()}
-                          | {"m_links": F.regexp_extract_all("m_clean", F.lit(LINK), F.lit(1))})
+    d = df.withColumns({"m_" + k: _field(F.regexp_extract(clean, v, 1)) for k, v in found.items()}
+                       | {"m_links": F.transform(F.regexp_extract_all(clean, F.lit(LINK), F.lit(1)), _link)})
     lines = [F.when(F.col("m_" + k) != "", F.concat(F.lit(k + ": "), F.col("m_" + k), F.lit(CRLF))).otherwise(F.lit(""))
              for k in found]
-    links = _decoded(F.array_join("m_links", CRLF + "outlink: "))
+    links = F.array_join("m_links", CRLF + "outlink: ")
     lines.append(F.when(F.size("m_links") > 0, F.concat(F.lit("outlink: "), links, F.lit(CRLF))).otherwise(F.lit("")))
-    return d.withColumn(out, F.concat(*lines)).drop("m_clean", "m_links", *["m_" + k for k in found])
+    return d.withColumn(out, F.concat(*lines)).drop("m_links", *["m_" + k for k in found])
 
 
 def derive(records: DataFrame) -> DataFrame:
@@ -121,9 +147,9 @@ def derive(records: DataFrame) -> DataFrame:
     source_payload_digest, source_block_digest, source_headers, body``.
 
     An empty page gives records with empty bodies. An empty table gives none."""
-    r = with_fields(records.select("page_id", "record_id", "target_uri", "date", "http_headers", "payload_digest",
-                                   "block_digest", "payload"), "payload", "fields")
-    r = r.withColumn("text", plain_text(F.col("payload"))).drop("payload")
+    r = records.select("page_id", "record_id", "target_uri", "date", "http_headers", "payload_digest", "block_digest",
+                       F.regexp_replace("payload", DROPPED, " ").alias("clean"))
+    r = with_fields(r, "clean", "fields").withColumn("text", plain_text(F.col("clean"))).drop("clean")
     both = r.select("*", F.explode(F.array(
         F.struct(F.lit("metadata").alias("kind"), F.lit("application/warc-fields").alias("type"),
                  F.col("fields").alias("body")),

@@ -32,7 +32,17 @@ def _sub(x: str, pattern: str, to: str) -> str:
     return f"regexp_replace({x}, {_re(pattern)}, {to}, 'g')"
 
 
+def _numeric(x: str) -> str:
+    m = f"regexp_extract(p, {_re(W.NUMERIC)}, 1)"
+    n = (f"(CASE WHEN {m} = '' THEN 0 WHEN lower({m}[1]) = 'x' THEN ('0x' || {m}[2:])::INTEGER ELSE {m}::INTEGER END)")
+    real = f"(({n} > 0 AND {n} < 55296) OR ({n} > 57343 AND {n} < 1114112))"
+    piece = (f"CASE WHEN i = 1 THEN p WHEN {real} THEN (CASE WHEN {n} = 38 THEN '&amp;' ELSE chr({n}) END) || "
+             f"substr(p, len({m}) + 2) ELSE '&#' || p END")
+    return f"array_to_string(list_transform(string_split({x}, '&#'), lambda p, i: {piece}), '')"
+
+
 def _decoded(x: str) -> str:
+    x = _numeric(x)
     for name, char in W.ENTITIES:
         x = f"replace({x}, {_q(name)}, {_q(char)})"
     return x
@@ -46,7 +56,7 @@ def _clean(x: str) -> str:
 
 
 def _text(x: str) -> str:
-    t = f"replace(replace({_sub(x, W.UNSEEN, _q(' '))}, chr(13), ' '), chr(10), ' ')"
+    t = f"replace(replace({_sub(x, W.HEAD, _q(' '))}, chr(13), ' '), chr(10), ' ')"
     t = _sub(_sub(t, W.BLOCK, _NL), W.TAG, "''")
     t = _sub(_sub(_decoded(t), W.BLANKS, "' '"), W.LINES, _NL)
     return f"trim({t}, ' ' || {_NL})"
@@ -58,7 +68,9 @@ def _fields(x: str) -> str:
         v = f"trim({_sub(_decoded(f'regexp_extract({x}, {_re(pattern)}, 1)'), '[ ' + chr(92) + 't' + chr(92) + 'r' + chr(92) + 'n' + chr(92) + 'f]+', _q(' '))}, ' ')"
         out.append(f"CASE WHEN {v} <> '' THEN '{name}: ' || {v} || {_CRLF} ELSE '' END")
     links = f"regexp_extract_all({x}, {_re(W.LINK)}, 1)"
-    joined = _decoded(f"array_to_string({links}, {_CRLF} || 'outlink: ')")
+    bare = "CASE WHEN v[1] IN ('\"', chr(39)) THEN v[2:len(v) - 1] ELSE v END"
+    link = f"regexp_replace({_decoded(f'({bare})')}, '[' || chr(13) || chr(10) || ']+', ' ', 'g')"
+    joined = f"array_to_string(list_transform({links}, lambda v: {link}), {_CRLF} || 'outlink: ')"
     out.append(f"CASE WHEN len({links}) > 0 THEN 'outlink: ' || {joined} || {_CRLF} ELSE '' END")
     return " || ".join(f"({o})" for o in out)
 
@@ -77,7 +89,7 @@ r AS (
 b AS (
   SELECT *, 'metadata' AS kind, 'application/warc-fields' AS type, {_fields('clean')} AS body FROM r
   UNION ALL
-  SELECT *, 'conversion', 'text/plain', {_text('payload')} FROM r)
+  SELECT *, 'conversion', 'text/plain', {_text('clean')} FROM r)
 SELECT page_id, kind AS record_type, {_uuid("kind || '|' || id")} AS record_id, id AS refers_to, target_uri,
   {_q(date)} AS date, type AS content_type, strlen(body)::BIGINT AS content_length, {_digest('body')} AS block_digest,
   payload_digest AS source_payload_digest, block AS source_block_digest, http AS source_headers, body
