@@ -121,6 +121,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, kind: str, end_id: int, capacit
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)],
                                              ["doc_id", "piece", "start", "length", "ids_crc32"])
+        enc.rest()
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECES)
 

@@ -138,6 +138,7 @@ def write(docs: DataFrame, root: str, tokenizer_path: str, kind: str, end_id: in
                 lot.append(ids)
             # 32-bit ids are dropped batch by batch; the shard keeps what it needs
             parts.append(np.frombuffer(b"".join(lot), "<u4").astype("<u2" if bits <= 16 else "<u4"))
+        enc.rest()
         if names:
             ids = np.concatenate(parts)
             fs, path = _store(root)

@@ -11,6 +11,7 @@ to the library whole.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 
@@ -29,7 +30,8 @@ SEGMENTS = {
 }
 # marks that may join an ASCII letter into one character, differently by case
 _MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
-CACHE_SEGMENTS = 400_000  # of two generations each; results do not depend on it
+CACHE_SEGMENTS = 300_000  # of two generations each; results do not depend on it
+KEPT_SEGMENTS = 60_000     # between two tasks
 CACHE_CHARS = 48          # longer segments hardly repeat
 _CHUNK_BYTES = 8 << 20
 # UTF-8 of blanks and marks beyond ASCII, and the bytes that may begin one
@@ -154,6 +156,13 @@ class Encoder:
                     del self.cache[s]
         return parts
 
+    def rest(self) -> None:
+        """Give memory back at the end of a task: the segments met first, among them
+        the frequent ones, stay for the worker's next task."""
+        self.before = {}
+        self.cache = dict(itertools.islice(self.cache.items(), KEPT_SEGMENTS))
+        pa.default_memory_pool().release_unused()
+
     def _learn(self, new: set[str]) -> None:
         """Fill the cache. A comma or full stop after a letter that ends a segment
         is a pre-token of its own, so the segment's ids are those of its word and

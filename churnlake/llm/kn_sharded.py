@@ -29,7 +29,7 @@ from churnlake.llm.common import fresh, materialise, release
 ORDER = 4                  # pairs of pairs, in _distinct
 BITS = 21                  # a code point
 CONTEXT = -1               # ``sym`` of a context's row
-LOT_CHARS = 20_000_000
+LOT_CHARS = 14_000_000
 _CHUNK = 1_000_000
 _HELD = 2_000_000          # n-grams that a counting task holds before it sends them on
 _PAD = ORDER - 1
@@ -183,21 +183,27 @@ def train(grams: DataFrame) -> list[DataFrame]:
 
 # ---- scoring --------------------------------------------------------------------------------
 
-def _lot_grams(langs, texts):
+def _lot_grams(langs, texts, positions: bool = True):
     """Of each language of a lot, in order of name: the distinct n-grams in order,
-    and for its parts which of them each position ends, each position's item and
-    the items' (row, characters)."""
+    and with ``positions`` for each part of its texts the places of the part's own
+    distinct n-grams among them, which of those each position ends, and the items'
+    (row, characters)."""
     for lang, rows, own in sorted(_by_language(langs, texts), key=lambda x: x[0]):
-        parts = [(*_distinct(p), [(rows[i], len(b)) for _, b, i in p]) for p in _lots(own)]
-        if parts:
-            ctx, sym = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        grams, parts = [], []
+        for part in _lots(own):
+            ctx, sym, which, _ = _distinct(part)
+            grams.append((ctx, sym))
+            if positions:
+                parts.append((which.astype(np.int32, copy=False), [(rows[i], len(b)) for _, b, i in part]))
+        if grams:
+            ctx, sym = (np.concatenate(x) for x in zip(*grams))
             order = np.lexsort((sym, ctx))
             c, g = ctx[order], sym[order]
             new = np.append(True, (c[1:] != c[:-1]) | (g[1:] != g[:-1]))
             place = np.empty(len(order), np.int32)
             place[order] = np.cumsum(new) - 1
-            cuts = np.cumsum([len(p[0]) for p in parts])[:-1]
-            yield lang, c[new], g[new], [(w[p[2]], p[3], p[4]) for w, p in zip(np.split(place, cuts), parts)]
+            cuts = np.cumsum([len(x) for x, _ in grams])[:-1]
+            yield lang, c[new], g[new], [(own_, *p) for own_, p in zip(np.split(place, cuts), parts)]
 
 
 def _answered(asked: DataFrame, model: list[DataFrame]) -> DataFrame:
@@ -245,6 +251,7 @@ def _packed(dealt: DataFrame, lot: str) -> DataFrame:
 
 
 def _unpacked(packed: pa.Table) -> pa.Table:
+    pa.default_memory_pool().release_unused()  # of the lot before
     return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in packed.column("rows")])
 
 
@@ -264,7 +271,7 @@ def score(docs: DataFrame, model: list[DataFrame], out: str, doc_id: str = "doc_
 
     def ask(packed: pa.Table) -> pa.Table:
         t, tables, n = _unpacked(packed), [], 0
-        for x, ctx, sym, _ in _lot_grams(t.column(lang), t.column(text)):
+        for x, ctx, sym, _ in _lot_grams(t.column(lang), t.column(text), positions=False):
             nr = np.arange(n, n + len(ctx), dtype=np.int32)
             n += len(ctx)
             tables.append(pa.table([pa.repeat(x, len(ctx)), pa.array(ctx), pa.array(sym, pa.int32()), pa.array(nr),
@@ -282,10 +289,11 @@ def score(docs: DataFrame, model: list[DataFrame], out: str, doc_id: str = "doc_
             own, at = cost[at:at + len(ctx)], at + len(ctx)
             if len(own) and np.isnan(own[0]):
                 continue  # no model of this language
-            for which, item, items in parts:
-                doc = np.array([r for r, _ in items])
-                np.add.at(nll, doc, np.bincount(item, own[which], len(items)))
-                np.add.at(n, doc, [k for _, k in items])
+            for places, which, items in parts:
+                doc, size = (np.array(x) for x in zip(*items))
+                # every item has characters
+                np.add.at(nll, doc, np.add.reduceat(own[places][which], np.cumsum(size) - size))
+                np.add.at(n, doc, size)
         return pa.Table.from_arrays([*t.columns, pa.array(nll), pa.array(n)], names=fields)
 
     asks = materialise(dealt.groupBy("lot").applyInArrow(ask, "lang string, ctx long, sym int, nr int, lot int"), "asked")
