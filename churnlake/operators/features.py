@@ -17,10 +17,10 @@ One plan computes any number of snapshot dates ``d_k = start + k * step`` days
 * the label (no activity and no successful payment in ``[d_k, d_k + 30d)``) is the
   same difference array in the other direction.
 
-The changes of all facts are united with one empty row per user and date and
-summed by (user, k), map-side first, so a user that owns a third of all rows is a
-few rows per task; the running sums then see at most n rows per user. Facts are
-never joined. Dates are truncated to midnight; all times are ``timestamp_ntz``.
+The changes of all facts are united with one empty row per user and summed by
+(user, k), map-side first, so a user that owns a third of all rows is a few rows
+per task; the running sums then see at most n rows per user, which are repeated
+up to the next change last of all. Facts are never joined. Dates are truncated to midnight; all times are ``timestamp_ntz``.
 """
 
 from __future__ import annotations
@@ -215,9 +215,12 @@ def login_values(events: DataFrame, grid: Grid, state: DataFrame | None = None,
 
 def on_grid(users: DataFrame, grid: Grid, parts: Sequence[DataFrame]) -> DataFrame:
     """Users x grid with the running values of all ``parts`` (``user_id, k`` and
-    changes; a column ``last_login`` or ``max_*`` runs as a maximum). Users are
-    joined at the end by their id alone, which is how the running rows already lie."""
-    out = users.selectExpr("user_id", f"explode(sequence(0, {grid.n - 1})) AS k", "true AS wanted")
+    changes; a column ``last_login`` or ``max_*`` runs as a maximum). A user has one
+    row per index where something changes, and one at the first; each is repeated
+    for the dates up to the next change only after the users are joined, by their
+    id alone, which is how the running rows already lie. What is summed, sorted and
+    joined is as long as the changes, not as users times dates."""
+    out = users.selectExpr("user_id", "0 AS k")
     values: list[str] = []
     for p in parts:
         values += [c for c in p.columns if c not in ("user_id", "k")]
@@ -227,14 +230,14 @@ def on_grid(users: DataFrame, grid: Grid, parts: Sequence[DataFrame]) -> DataFra
     run = {c: "max" if c == "last_login" or c.startswith("max_") else "sum" for c in values}
     # of one date all rows have the index 0
     by = ["user_id", "k"] if grid.n > 1 else ["user_id"]
-    out = out.groupBy(*by).agg(F.expr("bool_or(wanted) AS wanted"),
-                                          *[F.expr(f"{f}({c}) AS {c}") for c, f in run.items()])
-    if grid.n > 1:
-        w = "OVER (PARTITION BY user_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-        out = out.selectExpr("user_id", "k", "wanted", *[f"{f}({c}) {w} AS {c}" for c, f in run.items()])
-    else:
-        out = out.withColumn("k", F.lit(0))
-    return out.filter("wanted").drop("wanted").join(users, "user_id")
+    out = out.groupBy(*by).agg(*[F.expr(f"{f}({c}) AS {c}") for c, f in run.items()])
+    if grid.n == 1:
+        return out.withColumn("k", F.lit(0)).join(users, "user_id")
+    w = "OVER (PARTITION BY user_id ORDER BY k{})"
+    upto = w.format(" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+    out = out.selectExpr("user_id", "k AS first", f"lead(k, 1, {grid.n}) {w.format('')} AS next",
+                         *[f"{f}({c}) {upto} AS {c}" for c, f in run.items()])
+    return out.join(users, "user_id").selectExpr("*", "explode(sequence(first, next - 1)) AS k").drop("first", "next")
 
 
 def custom_changes(source: DataFrame, grid: Grid, specs: Sequence[FeatureSpec]) -> list[DataFrame]:

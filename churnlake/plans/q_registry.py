@@ -11,7 +11,7 @@ from churnlake.plans import oracle_sql as O
 from churnlake.plans.q_abtest import TESTS_CTE
 from churnlake.plans.q_monitoring import _ALERTS_SQL, _degradation, _report
 from churnlake.plans.registry import register
-from churnlake.sources.predictions import AS_OF, ab_tests, prediction_log
+from churnlake.sources.predictions import AS_OF, ab_tests, of_logged_users, prediction_log
 from churnlake.sources import registry_fixture as RF
 from churnlake.sources.store import stored
 from churnlake.sources.tables import mapping_a
@@ -22,10 +22,12 @@ LABEL_GRID_DAYS = 32
 
 def scored_log(spark, sf_dir):
     """Log rows with the actual outcome: was the user inactive the next day?"""
-    lab = (FE.feature_grid(mapping_a(spark, sf_dir), FE.make_grid(LABEL_GRID_START, LABEL_GRID_DAYS, 1),
+    log = prediction_log(spark, sf_dir)
+    lab = (FE.feature_grid(of_logged_users(mapping_a(spark, sf_dir), log),
+                           FE.make_grid(LABEL_GRID_START, LABEL_GRID_DAYS, 1),
                            features=(), with_label=True, label_days=1)
            .select("user_id", "feature_date", F.col("churned_30d").alias("actual_label")))
-    log = prediction_log(spark, sf_dir).withColumn(
+    log = log.withColumn(
         "feature_date", (F.date_trunc("DAY", F.col("prediction_time")) + F.make_dt_interval(F.lit(1))).cast("timestamp_ntz"))
     return log.join(lab, ["user_id", "feature_date"], "left").drop("feature_date")
 

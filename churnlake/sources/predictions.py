@@ -9,12 +9,14 @@ midnight of the prediction day, so drift jobs see real feature values.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake.operators import features as FE
 from churnlake.sources import schemas as S
-from churnlake.sources.tables import mapping_a, read_table
+from churnlake.sources.tables import Domain, mapping_a, read_table
 
 AS_OF = "2024-01-31"
 LOG_GRID_START = "2024-01-01"
@@ -38,19 +40,25 @@ def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def daily_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every user's ten features at every midnight of January 2024."""
-    return FE.feature_grid(mapping_a(spark, sf_dir), FE.make_grid(LOG_GRID_START, LOG_GRID_DAYS, 1))
+def of_logged_users(d: Domain, log: DataFrame) -> Domain:
+    """``d`` without the users that the log, to which their days are joined, never names."""
+    return replace(d, users=d.users.join(log.select("user_id").distinct(), "user_id", "left_semi"))
+
+
+def daily_vectors(d: Domain) -> DataFrame:
+    """Every user's monitored features at every midnight of January 2024."""
+    return FE.feature_grid(d, FE.make_grid(LOG_GRID_START, LOG_GRID_DAYS, 1), S.MONITORED_FEATURES)
 
 
 def prediction_log_with_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log with ``features`` = JSON of the seven monitored features."""
+    """The log with ``features`` = JSON of the seven monitored features. Numbers
+    are joined; the text is made of them afterwards."""
     log = prediction_log(spark, sf_dir).drop("features")
-    vec = daily_vectors(spark, sf_dir).select(
-        "user_id", "feature_date",
-        F.to_json(F.struct(*[F.col(c) for c in S.MONITORED_FEATURES])).alias("features"))
+    vec = daily_vectors(of_logged_users(mapping_a(spark, sf_dir), log)).withColumn("has_vector", F.lit(True))
     keyed = log.withColumn("feature_date", F.date_trunc("DAY", F.col("prediction_time")).cast("timestamp_ntz"))
+    features = F.to_json(F.struct(*[F.col(c) for c in S.MONITORED_FEATURES]))
     return (keyed.join(vec, ["user_id", "feature_date"], "left")
+            .withColumn("features", F.when(F.col("has_vector"), features))
             .select(*[f.name for f in S.PREDICTIONS.fields]))
 
 

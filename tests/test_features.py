@@ -1,6 +1,7 @@
 """Point-in-time features and labels on hand-made frames (window edges,
 fan-out, defaults, rounding, leakage, label edges)."""
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -122,3 +123,24 @@ def test_custom_feature_spec(spark):
     r = snap(spark, billing=bill, features=(), custom=spec)
     assert r[1]["avg_paid_90d"] == 20.0 and r[1]["rows_30d"] == 2
     assert r[2]["avg_paid_90d"] is None and r[2]["rows_30d"] == 0
+
+
+def test_dates_are_spread_after_everything_that_holds_rows(spark):
+    """Users times dates is no input of a sum, sort or join: one task's share of the
+    users, which may be a whole file of them, would be held for every date."""
+    d = domain(spark, [(1, "pro", T("2024-01-01"), "X")], [(1, "login", T("2024-01-05 10:00:00"), "s")])
+    plan = FE.feature_grid(d, FE.make_grid("2024-01-01", 31, 1))._jdf.queryExecution().optimizedPlan().toString()
+    at = [i for i, line in enumerate(plan.splitlines()) if "explode(sequence(" in line]
+    held = [i for i, line in enumerate(plan.splitlines()) if re.search(r"Aggregate|Window|Join", line)]
+    assert len(at) == 1 and held and at[0] < min(held)
+
+
+def test_a_users_values_run_on_between_changes_and_before_the_first(spark):
+    users = [(1, "pro", T("2024-01-01"), "X"), (1, "free", T("2024-01-01"), "X"), (2, "free", T("2024-01-01"), "X")]
+    events = [(1, "login", T("2024-01-05 10:00:00"), "s"), (3, "login", T("2024-01-02"), "s")]
+    got = FE.feature_grid(domain(spark, users, events), FE.make_grid("2024-01-03", 40, 1)).collect()
+    assert sorted(r.user_id for r in got) == [1] * 80 + [2] * 40
+    for r in got:
+        day = (r.feature_date - T("2024-01-03")).days
+        assert r.events_30d == int(r.user_id == 1 and 3 <= day < 33), r
+        assert (r.days_since_last_login == 9999) == (r.user_id == 2 or day < 3), r

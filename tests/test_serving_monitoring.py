@@ -1,10 +1,12 @@
 """Scoring, JSON vectors, monitoring rules on the reference's small fixtures."""
+import json
 import math
 
 from pyspark.sql import functions as F
 
 from churnlake.operators import monitor as M
 from churnlake.operators import scoring as SC
+from churnlake.sources import predictions as P
 from churnlake.sources import schemas as S
 from frames import T
 
@@ -150,3 +152,23 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
 
     with pytest.raises(RuntimeError):
         checkpoint_root(Session())
+
+
+def test_logged_features_are_built_for_logged_users_only(spark, tmp_path):
+    nation = spark.createDataFrame([(0, "X", 0)], "n_nationkey int, n_name string, n_regionkey int")
+    customer = spark.createDataFrame([(k, "c", 0, 0.0, "BUILDING") for k in (1, 1, 2, None)],
+                                     "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    events = spark.createDataFrame([(10, T("2024-01-03 12:00:00"), 1, "view", 5.0, "{}"),
+                                    (11, T("2024-01-05 12:00:00"), 1, "view", 5.0, "{}"),
+                                    (12, T("2024-01-05 12:00:00"), 7, "view", 5.0, "{}"),
+                                    (13, T("2024-01-05 12:00:00"), None, "view", 5.0, "{}"),
+                                    (14, T("2024-02-05 12:00:00"), 1, "view", 5.0, "{}")],
+                                   "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    for name, df in (("nation", nation), ("customer", customer), ("events", events)):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    log = P.prediction_log_with_features(spark, str(tmp_path))
+    got = sorted((r.prediction_id, r.features and json.loads(r.features)["events_30d"]) for r in log.collect())
+    # customer 1 is there twice; 7 is none, and February has no vectors
+    assert got == [(10, 0), (10, 0), (11, 1), (11, 1), (12, None), (13, None), (14, None)]
+    assert log.columns == S.PREDICTIONS.names
+    assert "LeftSemi" in log._jdf.queryExecution().optimizedPlan().toString()
