@@ -18,6 +18,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
+from churnlake.llm.common import give_back
 from churnlake.llm.words import LOWER, WHITE, spans, views
 
 # Unicode White_Space, the class that the vocabularies' patterns call \s
@@ -161,7 +162,7 @@ class Encoder:
         the frequent ones, stay for the worker's next task."""
         self.before = {}
         self.cache = dict(itertools.islice(self.cache.items(), KEPT_SEGMENTS))
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     def _learn(self, new: set[str]) -> None:
         """Fill the cache. A comma or full stop after a letter that ends a segment

@@ -21,6 +21,7 @@ QUANTILE = 0.99           # of the trusted documents of a language
 POOLED_DOCS = 100         # weight, in documents, of all languages' quantile in one language's limit
 PRIOR_CHARS = 64          # a document counts as having so many more average characters
 BROADCAST_IDS = 1_000_000
+KEEP_LOT_CHARS = 6_000_000  # ``keep_clean``: its workers carry whole rows, and later stages meet what they hold
 _HALF = "\x01"  # between a language and the number of its half
 
 
@@ -73,7 +74,7 @@ def _adjusted(nll: str, n: str, mean: str) -> F.Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc_id: str = "doc_id",
-                lang: str = "lang", text: str = "text") -> tuple[list[DataFrame], DataFrame]:
+                lang: str = "lang", text: str = "text", lot_chars: int | None = None) -> tuple[list[DataFrame], DataFrame]:
     """Model of all characters (kn_sharded.py) and thresholds of the trusted documents."""
     good = trusted(docs.select(F.col(doc_id).alias("doc_id"), _language(lang).alias("lang"),
                                F.coalesce(F.col(text), F.lit("")).alias("text")), labels)
@@ -84,7 +85,7 @@ def fit(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc_id:
              .groupBy("lang", "ctx", "sym").agg(F.sum("n").alias("n")))
     model = kn_sharded.train(materialise(every, "ngrams"))
     other = good.select("doc_id", F.col("lang").alias("of"), named(F.lit(1) - F.col("half")).alias("lang"), "text")
-    s = kn_sharded.score(other, kn_sharded.train(grams), "s")
+    s = kn_sharded.score(other, kn_sharded.train(grams), "s", lot_chars=lot_chars)
     s = materialise(s.select(F.col("of").alias("lang"), F.col("s_nll").alias("nll"), F.col("s_n").alias("n")), "scores")
     return model, thresholds(s, quantile)
 
@@ -114,10 +115,10 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc
 def keep_clean(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc_id: str = "doc_id",
                lang: str = "lang", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that ``classify`` keeps."""
-    model, limits = fit(docs, labels, quantile, doc_id, lang, text)
+    model, limits = fit(docs, labels, quantile, doc_id, lang, text, KEEP_LOT_CHARS)
     out = fresh(docs, "quality", "_nll", "_n")
     of, mean, limit = (fresh(docs, c) for c in ("limit_of", "limit_mean", "limit_at"))
-    got = kn_sharded.score(docs, model, out, doc_id, lang, text)
+    got = kn_sharded.score(docs, model, out, doc_id, lang, text, lot_chars=KEEP_LOT_CHARS)
     got = got.join(limits.select("lang", "mean", "limit").toDF(of, mean, limit),
                    _language(lang) == F.col(of), "left")
     ok = (F.col(out + "_n") == 0) | (_adjusted(out + "_nll", out + "_n", mean) <= F.col(limit))

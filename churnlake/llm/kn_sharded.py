@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import fresh, materialise, release
+from churnlake.llm.common import fresh, give_back, materialise, release
 
 ORDER = 4                  # pairs of pairs, in _distinct
 BITS = 21                  # a code point
@@ -251,18 +251,20 @@ def _packed(dealt: DataFrame, lot: str) -> DataFrame:
 
 
 def _unpacked(packed: pa.Table) -> pa.Table:
-    pa.default_memory_pool().release_unused()  # of the lot before
+    give_back()  # of the lot before
     return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in packed.column("rows")])
 
 
 def score(docs: DataFrame, model: list[DataFrame], out: str, doc_id: str = "doc_id", lang: str = "lang",
-          text: str = "text") -> DataFrame:
+          text: str = "text", lot_chars: int | None = None) -> DataFrame:
     """``docs`` with ``out``_nll (negative log-likelihood) and ``out``_n (characters).
     Empty and null texts and languages without a model have n = 0; a null language
-    counts as the empty one. Very long texts are cut into overlapping parts."""
+    counts as the empty one. Very long texts are cut into overlapping parts. A task
+    holds a lot of about ``lot_chars`` characters (``LOT_CHARS``); smaller ones ask
+    for more n-grams in all, with the same scores."""
     lot = fresh(docs, "lot")
     chars = docs.agg(F.sum(F.length(text)).alias("n")).first()["n"] or 0
-    lots = max(1, -(-chars // LOT_CHARS))
+    lots = max(1, -(-chars // (lot_chars or LOT_CHARS)))
     # equal rows of different input partitions go to different lots
     place = F.pmod(F.xxhash64(doc_id, text, F.spark_partition_id()), F.lit(lots)).cast("int")
     dealt = _packed(docs.withColumn(lot, place), lot)

@@ -13,6 +13,7 @@ spanning forest of the links it found, never all pairs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -20,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import fresh, materialise, parallelism
+from churnlake.llm.common import fresh, give_back, materialise, parallelism
 from churnlake.llm.components import connected_components
 
 TREE_ROWS = 2048
@@ -49,8 +50,11 @@ def with_fingerprint(docs: DataFrame, out: str, k: int = 3, text: str = "text")
     """``docs`` and its fingerprint as a long. Null and word-less texts: zero."""
 
     @F.pandas_udf("long")
-    def fp(s: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(x, k) for x in s], dtype="int64")
+    def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            yield pd.Series([fingerprint(x, k) for x in s], dtype="int64")
+            del s
+        give_back()
 
     return docs.withColumn(out, fp(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")))
 

@@ -2,6 +2,7 @@
 import gzip
 import hashlib
 import math
+import os
 from base64 import b32encode
 from collections import Counter, defaultdict
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from churnlake.llm import kmeans_dedup, kn_quality, kn_sharded, multi_index, url_gbt, warc
 from churnlake.llm import vectors as V
+from churnlake.llm.common import give_back
 
 VECS = "vec_id long, embedding array<float>, label int, " + CLASH
 
@@ -415,3 +417,35 @@ def test_parse_reads_foreign_records():
     raw = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nX-Empty:\r\nContent-Length: 9\r\n\r\na\r\n\r\nb\r\n\r\r\n\r\n"
     assert list(warc.parse(raw)) == [([("WARC-Type", "warcinfo"), ("X-Empty", ""), ("Content-Length", "9")], b"a\r\n\r\nb\r\n\r")] 
     assert gzip.decompress(gzip.compress(raw)) == raw
+
+
+def test_keep_clean_deals_small_lots_and_keeps_the_same_rows(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    rows = [(i, words(i, 30) if i % 6 else "".join(r.permutation(list("#|=~^%$0123456789")).tolist() * 6), "en")
+            for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3).localCheckpoint()
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60) if i % 6 and i % 2], "doc_id long, quality int, toxic int")
+    dealt, score = [], kn_sharded.score
+
+    def noted(*args, lot_chars=None):
+        dealt.append(lot_chars)
+        return score(*args, lot_chars=lot_chars)
+
+    monkeypatch.setattr(kn_sharded, "score", noted)
+    whole = sorted(x["doc_id"] for x in kn_quality.keep_clean(docs, labels).collect())
+    assert dealt == [kn_quality.KEEP_LOT_CHARS] * 2 and kn_quality.KEEP_LOT_CHARS < kn_sharded.LOT_CHARS
+    monkeypatch.setattr(kn_quality, "KEEP_LOT_CHARS", 400)
+    assert sorted(x["doc_id"] for x in kn_quality.keep_clean(docs, labels).collect()) == whole
+    assert 0 < len(whole) < 60
+
+
+def test_freed_memory_goes_back_to_the_system():
+    def held():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+    blocks = [b"\1" * 60_000 for _ in range(3000)]
+    blocks = blocks[::50]  # holes between what is still in use
+    before = held()
+    give_back()
+    assert before - held() > 100 << 20 and len(blocks) == 60
