@@ -115,7 +115,10 @@ def ngram_counts(docs: DataFrame) -> DataFrame:
                     if held >= _HELD:
                         yield from sent(acc)
                         acc, held = {}, 0
+                        give_back()
         yield from sent(acc)
+        acc.clear()
+        give_back()
 
     return (docs.mapInArrow(run, "lang string, ctx long, sym int, n long")
             .groupBy("lang", "ctx", "sym").agg(F.sum("n").alias("n")))
@@ -246,12 +249,15 @@ def _packed(dealt: DataFrame, lot: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([int(lots[own[0]])], pa.int32()),
                                                       pa.array([sink.getvalue().to_pybytes()], pa.binary())],
                                                      ["lot", "rows"])
+                    del some, sink
+            del b, rows, lots
+        give_back()
 
     return dealt.mapInArrow(run, "lot int, rows binary")
 
 
 def _unpacked(packed: pa.Table) -> pa.Table:
-    give_back()  # of the lot before
+    give_back()  # of the lot before, whose tables have gone too
     return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in packed.column("rows")])
 
 
@@ -271,7 +277,7 @@ def score(docs: DataFrame, model: list[DataFrame], out: str, doc_id: str = "doc_
     fields = [*docs.columns, f"{out}_nll", f"{out}_n"]
     kinds = [("lang", pa.string()), ("ctx", pa.int64()), ("sym", pa.int32()), ("nr", pa.int32()), ("lot", pa.int32())]
 
-    def ask(packed: pa.Table) -> pa.Table:
+    def asked(packed: pa.Table) -> pa.Table:
         t, tables, n = _unpacked(packed), [], 0
         for x, ctx, sym, _ in _lot_grams(t.column(lang), t.column(text), positions=False):
             nr = np.arange(n, n + len(ctx), dtype=np.int32)
@@ -280,7 +286,7 @@ def score(docs: DataFrame, model: list[DataFrame], out: str, doc_id: str = "doc_
                                     pa.repeat(packed.column("lot")[0], len(ctx))], schema=pa.schema(kinds)))
         return pa.concat_tables(tables or [pa.schema(kinds).empty_table()])
 
-    def answer(packed: pa.Table, told: pa.Table) -> pa.Table:
+    def answered(packed: pa.Table, told: pa.Table) -> pa.Table:
         t = _unpacked(packed)
         nll, n = np.zeros(len(t)), np.zeros(len(t), np.int64)
         every = list(_lot_grams(t.column(lang), t.column(text)))
@@ -298,6 +304,17 @@ def score(docs: DataFrame, model: list[DataFrame], out: str, doc_id: str = "doc_
                 np.add.at(n, doc, size)
         return pa.Table.from_arrays([*t.columns, pa.array(nll), pa.array(n)], names=fields)
 
+    # a task's last lot, too, gives back what it took, before its worker goes idle
+    def ask(packed: pa.Table) -> pa.Table:
+        got = asked(packed)
+        give_back()
+        return got
+
+    def answer(packed: pa.Table, told: pa.Table) -> pa.Table:
+        got = answered(packed, told)
+        give_back()
+        return got
+
     asks = materialise(dealt.groupBy("lot").applyInArrow(ask, "lang string, ctx long, sym int, nr int, lot int"), "asked")
     release(docs.sparkSession)  # the texts that were dealt for asking
     probability = _answered(materialise(asks.select("lang", "ctx", "sym").distinct(), f"asked{ORDER}"), model)

@@ -5,8 +5,10 @@ import math
 import os
 from base64 import b32encode
 from collections import Counter, defaultdict
+from unittest.mock import MagicMock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edge import CLASH, DOCS, EXTRA, documents, nothing, words
 from pyspark.sql import functions as F
@@ -449,3 +451,18 @@ def test_freed_memory_goes_back_to_the_system():
     before = held()
     give_back()
     assert before - held() > 100 << 20 and len(blocks) == 60
+
+
+def test_quality_tasks_give_memory_back_when_they_end(spark, monkeypatch):
+    done = []
+    monkeypatch.setattr(kn_sharded, "give_back", lambda: done.append(True))
+    caught = MagicMock()
+    kn_sharded.ngram_counts(caught)
+    count = caught.mapInArrow.call_args.args[0]
+    texts = pa.RecordBatch.from_pydict({"lang": ["en", "de"], "text": ["abcd abcd", "efg"]})
+    assert sum(b.num_rows for b in count(iter([texts]))) and done == [True]
+    kn_sharded._packed(caught, "lot")
+    pack = caught.mapInArrow.call_args.args[0]
+    rows = texts.append_column("lot", pa.array([1, 0], pa.int32()))
+    assert [b.column(0)[0].as_py() for b in pack(iter([rows]))] == [0, 1] and done == [True] * 2
+    assert not list(pack(iter([]))) and done == [True] * 3
