@@ -32,7 +32,7 @@ SEGMENTS = {
 # marks that may join an ASCII letter into one character, differently by case
 _MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
 CACHE_SEGMENTS = 300_000  # of two generations each; results do not depend on it
-KEPT_SEGMENTS = 60_000     # between two tasks
+KEPT_SEGMENTS = 150_000    # between two tasks
 CACHE_CHARS = 48          # longer segments hardly repeat
 _CHUNK_BYTES = 8 << 20
 # UTF-8 of blanks and marks beyond ASCII, and the bytes that may begin one
@@ -110,15 +110,17 @@ class Encoder:
         if self.kind == "word":
             cut[start] = True
         else:  # a blank goes with the word, another last white space stands alone
-            inner = start[(start > 0) & ~np.isin(start - 1, stop)]
-            cut[start[(start == 0) | np.isin(start - 1, stop)]] = True
+            head = np.zeros(len(data) + 1, dtype=bool)
+            head[0] = head[stop + 1] = True
+            head = head[start]
+            cut[start[head]] = True
+            inner = start[~head]
             cut[inner - 1] = True
             cut[inner[data[inner - 1] != 0x20]] = True
-        at = np.flatnonzero(cut)
-        items = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data))
+        at = np.flatnonzero(cut).astype(np.int32)  # a chunk has far fewer bytes and ids than 2**31
+        items = pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data))
         named = items.dictionary_encode()
-        which = named.indices.to_numpy()
-        first = at[:-1]
+        which, first, values = named.indices.to_numpy(), at[:-1], named.dictionary
         if self.kind == "word":
             kept = np.zeros(len(data), dtype=bool)
             kept[start] = True
@@ -126,18 +128,23 @@ class Encoder:
             kept = np.ones(len(data), dtype=bool)
             kept[stop] = False
         kept = kept[first]
-        which, text = which[kept], np.searchsorted(stop, first[kept])
-        used, which = np.unique(which, return_inverse=True) if self.kind == "word" else (None, which)
-        values = named.dictionary if used is None else named.dictionary.take(pa.array(used))
+        which, first = which[kept], first[kept]
+        upto = np.searchsorted(first, stop.astype(np.int32))  # segments up to the end of each text
+        if self.kind == "word":  # without the separators
+            used = np.zeros(len(values), dtype=bool)
+            used[which] = True
+            values = values.take(pa.array(np.flatnonzero(used)))
+            which = (np.cumsum(used, dtype=np.int32) - 1)[which]
+        del data, cut, at, items, named, kept, first
         parts = self._looked_up(values.to_pylist())
-        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        size = np.fromiter(map(len, parts), np.int32, len(parts)) // 4
         flat = np.frombuffer(b"".join(parts), "<u4")
         n = size[which]
-        begin = (np.cumsum(size) - size)[which]
-        before = np.cumsum(n) - n
-        ids = flat[np.repeat(begin - before, n) + np.arange(int(n.sum()))]
-        ends = np.cumsum(np.bincount(text, weights=n, minlength=len(chunk)).astype(np.int64)).tolist()
-        body, a = ids.tobytes(), 0
+        total = np.cumsum(n, dtype=np.int32)
+        place = np.repeat((np.cumsum(size, dtype=np.int32) - size)[which] - (total - n), n)
+        place += np.arange(len(place), dtype=np.int32)
+        ends = np.append(np.int32(0), total)[upto].tolist()
+        body, a = flat[place].tobytes(), 0
         for (i, _), b in zip(chunk, ends):
             out[i], a = body[4 * a:4 * b], b
 
@@ -148,7 +155,7 @@ class Encoder:
         parts = list(map(self.cache.get, segs))
         at = [i for i, p in enumerate(parts) if p is None]
         if at:
-            new = {segs[i] for i in at}
+            new = [segs[i] for i in at]
             self._learn(new)
             for i in at:
                 parts[i] = self.cache[segs[i]]
@@ -164,7 +171,7 @@ class Encoder:
         self.cache = dict(itertools.islice(self.cache.items(), KEPT_SEGMENTS))
         give_back()
 
-    def _learn(self, new: set[str]) -> None:
+    def _learn(self, new: list[str]) -> None:
         """Fill the cache. A comma or full stop after a letter that ends a segment
         is a pre-token of its own, so the segment's ids are those of its word and
         of the point. Words of letters are encoded in one text and cut at their

@@ -380,3 +380,15 @@ def test_prefix_sums_over_many_buckets(spark):
     got = {x["k"]: x["s"] for x in prefix_sums(df, ["g"], "b", ["k"], "w", "s").collect()}
     for g, k, _ in rows:
         assert got[k] == sum(w for h, j, w in rows if h == g and j < k)
+
+
+@pytest.mark.parametrize("kind, file", [("byte", "byte_bpe_50k.json"), ("word", "word_bpe_49k.json")])
+def test_a_workers_next_task_meets_segments_it_knows(kind, file):
+    e = Encoder(public_tokenizers.path(file), kind)
+    texts = pa.array([" ".join(f"a{i}z" for i in range(100_000)), None, "", " b\n\n a1z a2z \n", "\na1z", "a1z\n"])
+    first = e.encode_all(texts)
+    assert first == [e.encode(t) for t in texts.to_pylist()]
+    e.rest()
+    learned, learn = [], e._learn
+    e._learn = lambda new: (learned.extend(new), learn(new))
+    assert e.encode_all(texts) == first and not learned
